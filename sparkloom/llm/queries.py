@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from sparkloom.llm import bpe, quality_rules
+from sparkloom.llm import bpe, exact_dedup, mixing, quality_rules
 
 QUERIES = {
+    "op2_mixing": mixing.query,
+    "op3_exact_dedup": exact_dedup.query,
     "op4_bpe": bpe.query,
     "op10_quality_rules": quality_rules.query,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_exact_dedup": exact_dedup.ORACLE}
