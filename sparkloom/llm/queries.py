@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from sparkloom.llm import bpe, exact_dedup, html_extract, mixing, quality_rules, secrets_scan
+from sparkloom.llm import bpe, chat_format, exact_dedup, html_extract, language_id, mixing, quality_rules, secrets_scan
 
 QUERIES = {
     "op2_mixing": mixing.query,
     "op3_exact_dedup": exact_dedup.query,
     "op4_bpe": bpe.query,
+    "op5_chat": chat_format.query,
+    "op7_language_id": language_id.query,
     "op8_html": html_extract.query,
     "op9_secrets": secrets_scan.query,
     "op10_quality_rules": quality_rules.query,
 }
-ORACLES: dict[str, str] = {"op3_exact_dedup": exact_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op3_exact_dedup": exact_dedup.ORACLE, "op5_chat": chat_format.ORACLE}
