@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from sparkloom.llm import bpe, chat_format, exact_dedup, html_extract, language_id, mixing, quality_rules, secrets_scan
+from sparkloom.llm import bpe, chat_format, exact_dedup, html_extract, language_id, minhash_dedup, mixing, quality_rules, secrets_scan
 
 QUERIES = {
     "op2_mixing": mixing.query,
     "op3_exact_dedup": exact_dedup.query,
     "op4_bpe": bpe.query,
     "op5_chat": chat_format.query,
+    "op6_minhash": minhash_dedup.query,
     "op7_language_id": language_id.query,
     "op8_html": html_extract.query,
     "op9_secrets": secrets_scan.query,
