@@ -1,26 +1,51 @@
-"""Corpus preparation: quality rules, exact dedup, near-dedup, mixing, encoding."""
+"""Corpus preparation: quality rules, exact dedup, near-dedup, mixing and encoding.
+
+Each stage takes and returns the columns of documents, but for the last, which
+returns the token ids of what is left.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparkloom.llm import bpe, quality_rules
+from sparkloom.llm import bpe, exact_dedup, minhash_dedup, mixing, quality_rules
+from sparkloom.llm.common import cut
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
     return quality_rules.quality_filter(docs)
 
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.digests(bpe.encode_decode(docs, bpe.tokenizer_path()))
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts."""
+    return exact_dedup.exact_dedup(docs)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: 80 % of five-word shingles."""
+    return minhash_dedup.near_dedup(docs)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, in the order that interleaves the sources."""
+    return mixing.mix(docs)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document."""
+    found = bpe.encode_decode(docs, bpe.tokenizer_path(), decoded_col=None)
+    return found.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
-STAGES = [("quality_rules", rules), ("bpe", encode)]
+STAGES = [("quality_rules", rules), ("exact_dedup", exact), ("minhash_dedup", near), ("mixing", mixed), ("bpe", encoded)]
+#: Near-duplicates and merges are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from sparkloom.llm import bpe, chat_format, exact_dedup, html_extract, language_id, minhash_dedup, mixing, quality_rules, secrets_scan
+from sparkloom.llm import bpe, chat_format, exact_dedup, html_extract, language_id, minhash_dedup, mixing, quality_rules, secrets_scan, substring_dedup
 
 QUERIES = {
+    "op1_substring_dedup": substring_dedup.query,
     "op2_mixing": mixing.query,
     "op3_exact_dedup": exact_dedup.query,
     "op4_bpe": bpe.query,
