@@ -172,7 +172,7 @@ def encode_decode(docs: DataFrame, path: str, text_col: str = "text", ids_col: s
     treated one by one, so repeated rows get equal results and an empty table an
     empty one; columns of ``docs`` with the added names are replaced.
     """
-    fields = [StructField(ids_col, ArrayType(IntegerType()))] + [StructField(decoded_col, StringType())] * bool(decoded_col)
+    fields = [StructField(ids_col, ArrayType(IntegerType())), *([StructField(decoded_col, StringType())] if decoded_col else [])]
     kept, schema, names = _with(docs, [ids_col, decoded_col or ids_col], *fields)
     at, source = kept.columns.index(text_col), _vocabulary(docs.sparkSession, path)
 
