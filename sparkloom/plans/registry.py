@@ -27,6 +27,7 @@ TABLES = {
     "geneset": "SELECT p_brand AS term, p_partkey AS gene_id FROM part",
     "typeset": "SELECT p_type AS term, p_partkey AS gene_id FROM part",
     "trait": "SELECT l_suppkey AS study, p_type AS trait, l_partkey AS gene_id, l_discount AS pval, sum(l_quantity) AS n_cases FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey GROUP BY ALL",
+    "assoc": "SELECT 'n' || (l_partkey % 50) AS target_name, CAST(s_nationkey AS VARCHAR) AS program_name, 'c' || (l_linenumber % 3) AS sample, round(ln(avg(l_quantity) / 25.5) * 2, 6) AS log2FC, round(abs(avg(l_tax) - 0.04) * 10, 6) AS adj_pval FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL",
     "gene_dict": "SELECT p_partkey AS gene_id, p_name AS symbol FROM part WHERE p_partkey % 4 <> 0",
     "papers": "SELECT doc_id AS pmid, substring(text, 1, 60) AS title, text AS abstract FROM documents",
     "entities": "SELECT DISTINCT entity FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS entity FROM benchmark) WHERE length(entity) >= 5",
@@ -69,5 +70,5 @@ def load() -> None:
     """Imports all modules that register queries."""
     from importlib import import_module
 
-    for name in ("association",):
+    for name in ("association", "recode", "tables"):
         import_module(f"sparkloom.plans.{name}")

@@ -107,6 +107,15 @@ class ScreenL(Source):
         keys = [F.col("l_suppkey").alias("study"), F.col("p_type").alias("trait"), F.col("l_partkey").alias("gene_id"), F.col("l_discount").alias("pval")]
         return t.groupBy(*keys).agg(F.sum("l_quantity").alias("n_cases"))
 
+    @cached_property
+    def assoc(self) -> DataFrame:
+        """A perturbation result table: target_name, program_name, sample, log2FC, adj_pval."""
+        target = F.concat(F.lit("n"), (F.col("l_partkey") % 50).cast("string"))
+        sample = F.concat(F.lit("c"), (F.col("l_linenumber") % 3).cast("string"))
+        keys = [target.alias("target_name"), F.col("s_nationkey").cast("string").alias("program_name"), sample.alias("sample")]
+        fold, adjusted = F.log(F.avg("l_quantity") / 25.5) * 2, F.abs(F.avg("l_tax") - 0.04) * 10
+        return self._lines.groupBy(*keys).agg(F.round(fold, 6).alias("log2FC"), F.round(adjusted, 6).alias("adj_pval"))
+
     @cached_property
     def gene_dict(self) -> DataFrame:
         return self.table("part").filter("p_partkey % 4 <> 0").select(F.col("p_partkey").alias("gene_id"), F.col("p_name").alias("symbol"))
