@@ -70,5 +70,5 @@ def load() -> None:
     """Imports all modules that register queries."""
     from importlib import import_module
 
-    for name in ("association", "recode", "tables", "enrichment", "similarity"):
+    for name in ("association", "recode", "tables", "enrichment", "similarity", "calibration", "text", "sources", "factor"):
         import_module(f"sparkloom.plans.{name}")
