@@ -1,0 +1,139 @@
+"""Queries of factorisation and motif scans."""
+
+from __future__ import annotations
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from sparkloom.operators import factor as N
+from sparkloom.operators import similarity as S
+from sparkloom.plans.association import rounded
+from sparkloom.plans.registry import register
+from sparkloom.sources.tables import ScreenL
+
+
+def _matrix(spark, sf_dir, n_top: int = 100):
+    s = ScreenL(spark, sf_dir)
+    genes = N.variable_genes(s.expr, s.cells.count(), n_top)
+    return N.prepare(s.expr, genes).cache(), n_top
+
+
+@register("variable_genes", "SELECT gene_id, round(var / mean, 6) AS dispersion, row_number() OVER (ORDER BY var / mean DESC, gene_id) AS rank FROM (SELECT gene_id, sum(count) / any_value(n) AS mean, (sum(count * count) - sum(count) * sum(count) / any_value(n)) / (any_value(n) - 1) AS var FROM expr_l CROSS JOIN (SELECT count(*)::DOUBLE AS n FROM cells_l) GROUP BY gene_id) ORDER BY rank LIMIT 200")
+def variable_genes(spark, sf_dir):
+    s = ScreenL(spark, sf_dir)
+    return rounded(N.variable_genes(s.expr, s.cells.count(), 200).select("gene_id", "dispersion", "rank"), "dispersion")
+
+
+@register("factorise_replicates")
+def factorise_replicates(spark, sf_dir):
+    matrix, n = _matrix(spark, sf_dir)
+    return N.replicates(matrix, n, [3], 2, rounds=5)
+
+
+@register("factorise_kl_minibatch")
+def factorise_kl_minibatch(spark, sf_dir):
+    matrix, n = _matrix(spark, sf_dir)
+    return N.replicates(matrix, n, [3], 1, loss="kl", rounds=3, inner=3, fraction=0.5)
+
+
+@register("consensus_programs")
+def consensus_programs(spark, sf_dir):
+    matrix, n = _matrix(spark, sf_dir)
+    return N.consensus(N.replicates(matrix, n, [3], 4, rounds=5), 3)
+
+
+@register("consensus_usage")
+def consensus_usage(spark, sf_dir):
+    matrix, n = _matrix(spark, sf_dir)
+    rows = N.consensus(N.replicates(matrix, n, [3], 3, rounds=5), 3).collect()
+    h = np.zeros((3, n))
+    for r in rows:
+        h[r.label, r.dim] = r["median"]
+    return N.usages(matrix, h)
+
+
+@register("cluster_two_runs")
+def cluster_two_runs(spark, sf_dir):
+    """Cluster labels of two runs' spectra beside the overlap of their top genes."""
+    matrix, n = _matrix(spark, sf_dir)
+    spectra = N.replicates(matrix, n, [4], 2, rounds=4)
+    run = lambda i: spectra.filter(F.col("replicate") == i).select(F.col("component").cast("string").alias("program"), F.col("dim").alias("gene_id"), F.col("value").alias("score"))
+    overlap = S.top_overlap(run(0), run(1), 20)
+    vectors = spectra.groupBy("replicate", F.col("component").cast("string").alias("program")).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "value"))), lambda x: x["value"]).alias("v"))
+    vectors = vectors.withColumn("features", N.array_to_vector("v")).orderBy("replicate", "program")
+    labels = N.KMeans(k=2, seed=1).fit(vectors).transform(vectors).select("replicate", "program", "prediction")
+    left = labels.filter("replicate = 0").select(F.col("program").alias("a"), F.col("prediction").alias("group_a"))
+    right = labels.filter("replicate = 1").select(F.col("program").alias("b"), F.col("prediction").alias("group_b"))
+    return overlap.join(left, "a").join(right, "b")
+
+
+@register("expression_pca")
+def expression_pca(spark, sf_dir):
+    matrix, n = _matrix(spark, sf_dir, 50)
+    return N.pca(matrix, n, 5)
+
+
+def _sequences(spark, sf_dir):
+    """A genome from the digests of one brand's parts, 64 bases a chunk."""
+    p = ScreenL(spark, sf_dir).table("part")
+    bases = F.upper(F.translate(F.md5(F.col("p_partkey").cast("string")), "0123456789abcdef", "ACGTACGTACGTACGT"))
+    genome = p.filter("p_brand = 'Brand#1'").select(F.lit("chr1").alias("chromosome"), F.concat(bases, bases).alias("bases"), "p_partkey")
+    genome = genome.withColumn("chunk", (F.row_number().over(N.W.orderBy("p_partkey")) - 1).cast("long"))
+    return genome
+
+
+GENOME = {
+    "chunks": "SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS chunk, upper(translate(md5(CAST(p_partkey AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT')) AS half FROM part WHERE p_brand = 'Brand#1'",
+    "whole": "SELECT string_agg(half || half, '' ORDER BY chunk) AS g FROM chunks",
+    "wins": "SELECT 's' || i AS seq_name, 'g' || (i % 7) AS gene_name, substring(g, CAST(i * 37 + 50 - 40 + 1 AS BIGINT), 80) AS seq FROM whole CROSS JOIN (SELECT chunk AS i FROM chunks)",
+}
+
+
+def _windows(spark, sf_dir):
+    i = F.col("chunk")
+    genome = _sequences(spark, sf_dir).drop("p_partkey")
+    loci = genome.select(F.lit("chr1").alias("chromosome"), (i * 37).alias("start"), (i * 37 + 100).alias("end"), F.concat(F.lit("s"), i).alias("seq_name"), F.concat(F.lit("g"), i % 7).alias("gene_name"))
+    return N.locus_windows(genome, loci, 80)
+
+
+@register("locus_windows", "SELECT seq_name, gene_name, seq FROM wins WHERE seq <> ''", GENOME)
+def locus_windows(spark, sf_dir):
+    return _windows(spark, sf_dir)
+
+
+MOTIFS = {"acgt": [[0.97, 0.01, 0.01, 0.01], [0.01, 0.97, 0.01, 0.01], [0.01, 0.01, 0.97, 0.01], [0.01, 0.01, 0.01, 0.97]], "caag": [[0.01, 0.97, 0.01, 0.01], [0.97, 0.01, 0.01, 0.01], [0.97, 0.01, 0.01, 0.01], [0.01, 0.01, 0.97, 0.01]]}
+HITS = GENOME | {
+    "subs": "SELECT seq_name, gene_name, p AS position, substring(seq, CAST(p + 1 AS BIGINT), 4) AS w FROM wins, (SELECT unnest(range(0, 77)) AS p) WHERE length(substring(seq, CAST(p + 1 AS BIGINT), 4)) = 4",
+    "hits": "SELECT seq_name, gene_name, 'acgt' AS motif, position, unnest(['+', '-']) AS strand FROM subs WHERE w = 'ACGT' UNION ALL SELECT seq_name, gene_name, 'caag', position, '+' FROM subs WHERE w = 'CAAG' UNION ALL SELECT seq_name, gene_name, 'caag', position, '-' FROM subs WHERE w = 'CTTG'",
+}
+
+
+@register("motif_scan", "SELECT seq_name, gene_name, motif, position, strand FROM hits", HITS)
+def motif_scan(spark, sf_dir):
+    return N.scan_motifs(_windows(spark, sf_dir), MOTIFS, p_max=0.005).select("seq_name", "gene_name", "motif", "position", "strand")
+
+
+@register("motif_counts", "SELECT gene_name, motif, count(*) AS n FROM hits GROUP BY ALL", HITS)
+def motif_counts(spark, sf_dir):
+    return N.motif_counts(N.scan_motifs(_windows(spark, sf_dir), MOTIFS, p_max=0.005), literal=True)
+
+
+@register("hits_with_loci", "SELECT h.seq_name, h.motif, h.position, h.strand, 'class' || length(h.gene_name) AS seq_class FROM hits h", HITS)
+def hits_with_loci(spark, sf_dir):
+    hits = N.scan_motifs(_windows(spark, sf_dir), MOTIFS, p_max=0.005)
+    loci = _sequences(spark, sf_dir).select(F.concat(F.lit("s"), "chunk").alias("seq_name"), F.concat(F.lit("class"), F.length(F.concat(F.lit("g"), F.col("chunk") % 7))).alias("seq_class"))
+    return hits.join(loci, "seq_name").select("seq_name", "motif", "position", "strand", "seq_class")
+
+
+ENRICH = {
+    "mc": "SELECT l_partkey AS gene_id, 'm' || (l_linenumber % 5) AS motif, count(*)::DOUBLE AS n FROM lineitem GROUP BY ALL",
+    "dense": "SELECT p.program, m.motif, g.gene_id, coalesce(l.score, 0) AS x, coalesce(mc.n, 0) AS y FROM (SELECT DISTINCT program FROM loading_l) p CROSS JOIN (SELECT DISTINCT motif FROM mc) m CROSS JOIN (SELECT p_partkey AS gene_id FROM part) g LEFT JOIN loading_l l ON l.program = p.program AND l.gene_id = g.gene_id LEFT JOIN mc ON mc.motif = m.motif AND mc.gene_id = g.gene_id",
+}
+
+
+@register("motif_enrichment", "SELECT program, motif, round(corr(x, y), 6) AS stat FROM dense GROUP BY ALL", ENRICH)
+def motif_enrichment(spark, sf_dir):
+    s = ScreenL(spark, sf_dir)
+    counts = s.table("lineitem").groupBy(F.col("l_partkey").alias("gene_id"), F.concat(F.lit("m"), F.col("l_linenumber") % 5).alias("motif")).agg(F.count("*").alias("n"))
+    genes = s.table("part").select(F.col("p_partkey").alias("gene_id"))
+    return rounded(N.motif_enrichment(s.loading, counts, genes).select("program", "motif", "stat"), "stat")

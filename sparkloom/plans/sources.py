@@ -1,0 +1,183 @@
+"""Queries of readers and sinks; files are written to and read from a folder that all executors share."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import functions as F
+
+from sparkloom.plans.association import rounded
+from sparkloom.plans.registry import register
+from sparkloom.sources import readers as R
+from sparkloom.sources import sinks as K
+from sparkloom.sources.tables import ScreenE, ScreenL, Source
+
+
+def _folder(spark) -> str:
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="sparkloom-")
+    return f"{where}/files-{uuid.uuid4().hex}"
+
+
+@register("matrix_roundtrip", "SELECT program, CAST(gene_id AS VARCHAR) AS gene_id, score FROM loading_l WHERE gene_id < 100")
+def matrix_roundtrip(spark, sf_dir):
+    loading = ScreenL(spark, sf_dir).loading.filter("gene_id < 100")
+    path = _folder(spark)
+    loading.groupBy("program").pivot("gene_id", [i for i in range(100)]).agg(F.first("score")).write.option("sep", "\t").option("header", True).csv(path)
+    return R.read_matrix(spark, path).filter("score IS NOT NULL")
+
+
+@register("result_files", "SELECT target_name, program_name, log2FC, adj_pval, sample FROM assoc")
+def result_files(spark, sf_dir):
+    a, path = ScreenL(spark, sf_dir).assoc, _folder(spark)
+    a.write.partitionBy("sample").option("sep", "\t").option("header", True).csv(path)
+    return R.read_results(spark, f"{path}/*/", r"sample=([^/]+)/", "target_name string, program_name string, log2FC double, adj_pval double").select("target_name", "program_name", "log2FC", "adj_pval", "sample")
+
+
+@register("condition_union", "SELECT sample, target_name, program_name, adj_pval < 0.05 AS significant FROM assoc")
+def condition_union(spark, sf_dir):
+    a = ScreenL(spark, sf_dir).assoc
+    out = None
+    for s in ("c0", "c1", "c2"):
+        part = a.filter(F.col("sample") == s).drop("sample").withColumn("sample", F.lit(s))
+        out = part if out is None else out.unionByName(part)
+    return out.select("sample", "target_name", "program_name", (F.col("adj_pval") < 0.05).alias("significant"))
+
+
+@register("result_sweep", "SELECT CAST(program_name AS INTEGER) % 5 AS K, sample, count(*) AS n, count(DISTINCT target_name) AS targets FROM assoc GROUP BY ALL")
+def result_sweep(spark, sf_dir):
+    a, path = ScreenL(spark, sf_dir).assoc.withColumn("K", F.col("program_name").cast("int") % 5).withColumn("sel_thresh", F.lit(2.0)), _folder(spark)
+    K.write_partitioned(a, path)
+    return spark.read.parquet(path).groupBy("K", "sample").agg(F.count("*").alias("n"), F.count_distinct("target_name").alias("targets"))
+
+
+@register("completeness_check", "SELECT CAST(k AS INTEGER) AS K, 2.0::DOUBLE AS sel_thresh, s AS sample FROM (SELECT unnest(range(0, 7)) AS k), (SELECT unnest(['c0', 'c1', 'c2', 'c3']) AS s) WHERE (k, s) NOT IN (SELECT (CAST(program_name AS INTEGER) % 5, sample) FROM assoc)")
+def completeness_check(spark, sf_dir):
+    a = ScreenL(spark, sf_dir).assoc.withColumn("K", F.col("program_name").cast("int") % 5).withColumn("sel_thresh", F.lit(2.0))
+    return R.expected_but_missing(a, list(range(7)), [2.0], ["c0", "c1", "c2", "c3"])
+
+
+@register("gzip_text", "SELECT c_custkey, c_name, c_acctbal FROM customer")
+def gzip_text(spark, sf_dir):
+    path = _folder(spark)
+    Source(spark, sf_dir).table("customer").select("c_custkey", "c_name", "c_acctbal").write.option("sep", "\t").option("header", True).option("compression", "gzip").csv(path)
+    return R.read_delimited(spark, path, "c_custkey long, c_name string, c_acctbal double", partitions=8)
+
+
+@register("gtf_reader", "SELECT 'chr' || (p_size % 22) AS chromosome, p_partkey * 100 AS start, p_name AS gene_name FROM part")
+def gtf_reader(spark, sf_dir):
+    path = _folder(spark)
+    line = F.concat_ws("\t", F.concat(F.lit("chr"), F.col("p_size") % 22), F.lit("x"), F.lit("gene"), F.col("p_partkey") * 100, F.col("p_partkey") * 100 + 50, F.lit("."), F.lit("+"), F.lit("."), F.concat(F.lit('gene_id "'), "p_partkey", F.lit('"; gene_name "'), "p_name", F.lit('";')))
+    spark.range(1).select(F.lit("#! header").alias("value")).union(Source(spark, sf_dir).table("part").select(line)).write.text(path)
+    return R.read_gtf(spark, path).select("chromosome", "start", "gene_name")
+
+
+@register("loci_reader", "SELECT 'chr' || (p_size % 22) AS chromosome, p_partkey * 100 AS start, p_name AS gene_name, p_retailprice AS seq_score FROM part")
+def loci_reader(spark, sf_dir):
+    path = _folder(spark)
+    p = Source(spark, sf_dir).table("part")
+    p.select(F.concat(F.lit("chr"), F.col("p_size") % 22).alias("chromosome"), (F.col("p_partkey") * 100).alias("start"), (F.col("p_partkey") * 100 + 50).alias("end"), F.lit("s").alias("seq_name"), F.col("p_type").alias("seq_class"), F.col("p_retailprice").alias("seq_score"), F.col("p_name").alias("gene_name")).write.option("sep", "\t").option("header", True).csv(path)
+    return R.read_loci(spark, path).select("chromosome", "start", "gene_name", "seq_score")
+
+
+@register("sparse_entries", "SELECT cell_id, gene_id, count AS value FROM expr_l WHERE cell_id % 3 = 0")
+def sparse_entries(spark, sf_dir):
+    e = ScreenL(spark, sf_dir).expr
+    cells = e.select("cell_id", F.xxhash64("cell_id").alias("cell_idx")).distinct()
+    genes = e.select("gene_id", (F.col("gene_id") + 1).alias("gene_idx")).distinct()
+    entries = e.select(F.xxhash64("cell_id").alias("cell_idx"), (F.col("gene_id") + 1).alias("gene_idx"), F.col("count").alias("value"))
+    return R.sparse_entries(entries, cells, genes, cells.filter("cell_id % 3 = 0"))
+
+
+@register("matrix_market", "SELECT CAST(l_orderkey + 1 AS BIGINT) AS row, l_partkey + 1 AS \"column\", sum(l_quantity) AS value FROM lineitem WHERE l_orderkey < 500 GROUP BY ALL")
+def matrix_market(spark, sf_dir):
+    path = _folder(spark)
+    e = ScreenL(spark, sf_dir).expr.filter("cell_id < 500")
+    head = spark.range(1).select(F.posexplode(F.array(F.lit("%%MatrixMarket matrix coordinate real general"), F.lit("500 2000 1"))).alias("line", "value"))
+    lines = head.unionByName(e.select(F.lit(2).alias("line"), F.concat_ws(" ", F.col("cell_id") + 1, F.col("gene_id") + 1, "count").alias("value")))
+    lines.repartition(1).sortWithinPartitions("line").select("value").write.text(path)
+    return R.read_matrix_market(spark, path)
+
+
+@register("geneset_library", "SELECT 'lib' AS library, p_brand AS term, CAST(p_partkey AS VARCHAR) AS gene FROM part WHERE p_brand IN (SELECT p_brand FROM part GROUP BY p_brand HAVING count(*) BETWEEN 70 AND 100)")
+def geneset_library(spark, sf_dir):
+    path = _folder(spark)
+    terms = ScreenL(spark, sf_dir).geneset.groupBy("term").agg(F.collect_list(F.col("gene_id").cast("string")).alias("genes"))
+    terms.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("term", "genes"))).alias("lib")).select(F.to_json(F.struct("lib"))).write.text(path)
+    return R.read_genesets(spark, path, 70, 100)
+
+
+@register("gmt_reader", "SELECT p_type AS term, CAST(p_partkey AS VARCHAR) AS gene FROM part")
+def gmt_reader(spark, sf_dir):
+    path = _folder(spark)
+    terms = ScreenL(spark, sf_dir).typeset.groupBy("term").agg(F.collect_list(F.col("gene_id").cast("string")).alias("g"))
+    terms.select(F.concat_ws("\t", "term", F.lit("na"), F.array_join("g", "\t"))).write.text(path)
+    return R.read_gmt(spark, path)
+
+
+@register("alias_table", "SELECT c_custkey AS cust_key, c_name AS full_name FROM customer")
+def alias_table(spark, sf_dir):
+    c = Source(spark, sf_dir).table("customer")
+    return R.with_lower_names(c.select(F.col("c_custkey").alias("Cust Key"), F.col("c_name").alias("FULL name"), F.lit(1).alias("full_name"))).select("cust_key", "full_name")
+
+
+@register("batch_results", "SELECT CASE WHEN event_id % 5 <> 4 THEN CAST(event_id AS INTEGER) END AS topic, CASE event_id % 5 WHEN 0 THEN event_type WHEN 1 THEN event_type WHEN 3 THEN ' ' END AS text, CASE event_id % 5 WHEN 2 THEN 'errored' WHEN 3 THEN 'empty' WHEN 4 THEN 'corrupt' ELSE 'ok' END AS status FROM events")
+def batch_results(spark, sf_dir):
+    i = F.col("event_id").cast("string")
+    ident = F.concat(F.lit('{"custom_id": "topic_'), i, F.lit('", '))
+    line = (
+        F.when(F.col("event_id") % 5 == 0, F.concat(ident, F.lit('"response": {"content": [{"text": "'), "event_type", F.lit('"}]}}')))
+        .when(F.col("event_id") % 5 == 1, F.concat(ident, F.lit('"result": {"type": "succeeded", "message": {"content": [{"text": "'), "event_type", F.lit('"}]}}}')))
+        .when(F.col("event_id") % 5 == 2, F.concat(ident, F.lit('"result": {"type": "errored"}}')))
+        .when(F.col("event_id") % 5 == 3, F.concat(ident, F.lit('"response": {"content": [{"text": " "}]}}')))
+        .otherwise(F.concat(F.lit("{broken"), i))
+    )
+    return R.parse_batch_lines(Source(spark, sf_dir).table("events").select(line.alias("value")))
+
+
+@register("cache_first", "SELECT c_custkey, 'cached' AS origin FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 2 = 0 UNION ALL SELECT c_custkey, 'fetch' FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 2 = 1")
+def cache_first(spark, sf_dir):
+    c = Source(spark, sf_dir).table("customer").select("c_custkey")
+    cached, fetch = R.cache_first(c.filter("c_custkey % 3 = 0"), c.filter("c_custkey % 2 = 0"), "c_custkey")
+    return cached.withColumn("origin", F.lit("cached")).unionByName(fetch.withColumn("origin", F.lit("fetch")))
+
+
+@register("sheet_chunks", "SELECT sheet, count(*) AS n, min(k) AS first_key FROM (SELECT (row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1) // 7000 AS sheet, l_orderkey AS k FROM lineitem) GROUP BY sheet")
+def sheet_chunks(spark, sf_dir):
+    li = Source(spark, sf_dir).table("lineitem")
+    return K.sheets(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 7000).groupBy("sheet").agg(F.count("*").alias("n"), F.min("l_orderkey").alias("first_key"))
+
+
+@register("json_payload", "SELECT event_id, replace(event_type || '/' || user_id, '/', '_') AS file_key, '{\"user_id\":' || user_id || ',\"bad\":null}' AS payload FROM (SELECT DISTINCT event_id, event_type, user_id FROM events)")
+def json_payload(spark, sf_dir):
+    e = Source(spark, sf_dir).table("events").select("event_id", F.concat_ws("/", "event_type", "user_id").alias("key"), "user_id", F.lit(float("nan")).alias("bad"))
+    out = K.json_payload(e, "key", ["user_id", "bad"])
+    return e.select("event_id", "key").distinct().join(out.distinct(), "key").select("event_id", "file_key", "payload")
+
+
+@register("keyed_sheets", "SELECT program_name, target_name, log2FC, CAST(NULL AS DOUBLE) AS explained FROM assoc WHERE sample = 'c0'")
+def keyed_sheets(spark, sf_dir):
+    a = ScreenL(spark, sf_dir).assoc.filter("sample = 'c0'").select("program_name", "target_name", "log2FC")
+    missing = spark.createDataFrame([], "program_name string, explained double")  # an optional sheet that isn't there
+    return a.join(missing, "program_name", "left").orderBy("program_name", "target_name")
+
+
+@register("long_effect_matrix", "SELECT target_name AS perturbation, program_name AS gene, adj_pval AS p_value, log2FC AS coef_gene FROM assoc WHERE sample = 'c2'")
+def long_effect_matrix(spark, sf_dir):
+    a, path = ScreenL(spark, sf_dir).assoc.filter("sample = 'c2'"), _folder(spark)
+    K.long_matrix(a.select(F.col("target_name").alias("perturbation"), F.col("program_name").alias("gene"), F.col("adj_pval").alias("p_value"), F.col("log2FC").alias("coef_gene")), ["perturbation", "gene"], ["p_value", "coef_gene"]).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("compiled_run", "SELECT CAST(gene_id AS VARCHAR) AS gene_id, coalesce(symbol, CAST(gene_id AS VARCHAR)) AS symbol, count(DISTINCT program) AS programs FROM loading_l LEFT JOIN gene_dict USING (gene_id) GROUP BY gene_id, symbol")
+def compiled_run(spark, sf_dir):
+    s = ScreenL(spark, sf_dir)
+    genes = s.loading.join(s.gene_dict, "gene_id", "left").withColumn("gene_id", F.col("gene_id").cast("string"))
+    return genes.withColumn("symbol", F.coalesce("symbol", "gene_id")).groupBy("gene_id", "symbol").agg(F.count_distinct("program").alias("programs"))
+
+
+@register("consolidated_runs", "SELECT replicate, count(*) AS n FROM (SELECT CAST(l_linenumber AS INTEGER) + CASE WHEN l_suppkey % 2 = 1 THEN 10 ELSE 0 END AS replicate FROM lineitem WHERE l_returnflag <> 'R') GROUP BY replicate")
+def consolidated_runs(spark, sf_dir):
+    li = Source(spark, sf_dir).table("lineitem").select(F.col("l_linenumber").alias("replicate"), F.concat(F.lit("spectra_"), "l_returnflag").alias("name"), "l_suppkey")
+    both = R.consolidate([li.filter("l_suppkey % 2 = 0"), li.filter("l_suppkey % 2 = 1")], 10, "^spectra", "_R$")
+    return both.groupBy("replicate").agg(F.count("*").alias("n"))
