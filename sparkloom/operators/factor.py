@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 from pyspark.sql.window import Window as W
 
-from sparkloom.operators.ranking import benjamini_hochberg, top_k
+from sparkloom.operators.ranking import benjamini_hochberg_wide, top_k
 from sparkloom.operators.similarity import cluster_medians, distance
 
 #: H has k rows and the high-variance genes as columns; both are chosen by the caller and bounded here.
@@ -214,8 +214,7 @@ def scan_motifs(sequences: DataFrame, motifs: dict[str, list[list[float]]], p_ma
             yield pd.DataFrame(found, columns=["seq_name", "gene_name", "motif", "position", "strand", "score", "pval"])
 
     hits = sequences.select("seq_name", "gene_name", "seq").mapInPandas(run, "seq_name string, gene_name string, motif string, position long, strand string, score double, pval double")
-    # one scope for all hits: ranges of p are numbered apart and their sizes summed up
-    return benjamini_hochberg(hits.withColumn("_all", F.lit(1)), ["_all"], "pval", "adj_pval", ["seq_name", "motif", "position", "strand"]).drop("_all")
+    return benjamini_hochberg_wide(hits, "pval")
 
 
 def motif_counts(hits: DataFrame, bound: float = 0.05, literal: bool = False) -> DataFrame:
@@ -242,5 +241,5 @@ def motif_enrichment(loading: DataFrame, counts: DataFrame, genes: DataFrame, nu
     m = x.crossJoin(F.broadcast(y)).join(xy, ["program", "motif"], "left").fillna(0.0, ["xy"])
     var = (F.col("qx") - F.col("sx") * F.col("sx") / n) * (F.col("qy") - F.col("sy") * F.col("sy") / n)
     m = m.withColumn("stat", F.when(var > 0, (F.col("xy") - F.col("sx") * F.col("sy") / n) / F.sqrt(var))).filter("stat IS NOT NULL")
-    m = m.withColumn("pval", t_p(F.col("stat") * F.sqrt((n - 2) / (1 - F.col("stat") * F.col("stat"))), F.lit(float(n - 2)))).withColumn("_all", F.lit(1))
-    return benjamini_hochberg(m, ["_all"], "pval", "adj_pval", ["program", "motif"]).select("program", "motif", "stat", "pval", "adj_pval")
+    m = m.withColumn("pval", t_p(F.col("stat") * F.sqrt((n - 2) / (1 - F.col("stat") * F.col("stat"))), F.lit(float(n - 2))))
+    return benjamini_hochberg_wide(m, "pval").select("program", "motif", "stat", "pval", "adj_pval")

@@ -18,7 +18,7 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str
     return df.withColumn(rank, F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter(F.col(rank) <= k)
 
 
-def positions(df: DataFrame, keys: list[str], value: str, weight: Column | None = None, buckets: int = BUCKETS) -> DataFrame:
+def positions(df: DataFrame, keys: list[str], value: str, weight: Column | None = None, buckets: int = BUCKETS, keep_range: bool = False) -> DataFrame:
     """Adds ``below`` and ``equal``: the weight of rows of the group with a smaller, and with the same value.
 
     A group is cut at approximate quantiles, ranked range by range, and the ranges'
@@ -34,7 +34,7 @@ def positions(df: DataFrame, keys: list[str], value: str, weight: Column | None
     totals = totals.withColumn("_before", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")
     upto = W.partitionBy(*keys, "_b").orderBy(value).rangeBetween(W.unboundedPreceding, W.currentRow)
     rows = rows.withColumn("equal", F.sum("_w").over(W.partitionBy(*keys, "_b", value))).withColumn("_upto", F.sum("_w").over(upto))
-    return rows.join(totals, [*keys, "_b"]).withColumn("below", F.col("_before") + F.col("_upto") - F.col("equal")).drop("_b", "_w", "_upto", "_before")
+    return rows.join(totals, [*keys, "_b"]).withColumn("below", F.col("_before") + F.col("_upto") - F.col("equal")).drop("_w", "_upto", "_before", *([] if keep_range else ["_b"]))
 
 
 def average_ranks(df: DataFrame, keys: list[str], value: str, rank: str = "rank") -> DataFrame:
@@ -51,6 +51,23 @@ def benjamini_hochberg(df: DataFrame, keys: list[str], p: str, out: str = "adj_p
     return df.withColumn(out, F.least(F.lit(1.0), F.min(F.col(p) * F.col("_m") / F.col("_k")).over(later))).drop("_m", "_k")
 
 
+def benjamini_hochberg_wide(df: DataFrame, p: str, out: str = "adj_pval", buckets: int = BUCKETS) -> DataFrame:
+    """Benjamini-Hochberg over a whole table, range by range, so that no task holds it. Rows with a null p are dropped.
+
+    A row's rank is that of the last of its ties, which gives ties one value. The smallest
+    value of each range is carried to the ranges below it.
+    """
+    rows = positions(df.withColumn("_all", F.lit(1)), ["_all"], p, buckets=buckets, keep_range=True)
+    ranges = rows.groupBy("_b").agg(F.count("*").alias("_n"))
+    m = F.sum("_n").over(W.partitionBy(F.lit(1)))
+    rows = rows.join(ranges.withColumn("_m", m).drop("_n"), "_b").withColumn("_v", F.col(p) * F.col("_m") / (F.col("below") + F.col("equal")))
+    later = F.min("_v").over(W.orderBy(F.desc("_b")).rowsBetween(W.unboundedPreceding, -1))
+    carried = rows.groupBy("_b").agg(F.min("_v").alias("_v")).select("_b", later.alias("_later"))
+    own = F.min("_v").over(W.partitionBy("_b").orderBy(F.desc(p)))
+    rows = rows.join(carried, "_b").withColumn(out, F.least(F.lit(1.0), own, F.coalesce("_later", F.lit(1.0))))
+    return rows.drop("_all", "_b", "_m", "_v", "_later", "below", "equal")
+
+
 def storey(df: DataFrame, keys: list[str], p: str, out: str = "qval", lam: float | None = None, ties: list[str] | None = None) -> DataFrame:
     """Adds q-values: pi0 times the Benjamini-Hochberg values (Storey and Tibshirani 2003).
 

@@ -23,6 +23,8 @@ TRUE, FALSE = ["true", "t", "1", "yes", "y"], ["false", "f", "0", "no", "n", "na
 #: Bounds of fold-change bands, and the region excluded on chromosome 6.
 BANDS = {"highly": 3.0, "moderately": 1.5, "weakly": 0.5, "depleted": -0.5}
 MHC = ("6", 28510120, 33480577)
+#: Fixed value: wording of traits that are left out, case-sensitive.
+EXCLUDED_TRAITS = r" or |conditional| and | x |pleiotropy|interaction|eg:|EA|intake| ms\]|protein quantitative|adjusted for|diet"
 
 
 def resolve_columns(df: DataFrame, wanted: list[str], required: bool = True, aliases: dict[str, list[str]] | None = None) -> DataFrame:
@@ -94,9 +96,8 @@ def standardise_regulators(df: DataFrame, bound: float = 0.05) -> DataFrame:
 
 def clean_traits(df: DataFrame) -> DataFrame:
     """Quality filters of trait rows: at most 2 commas in trait_efos, no excluded wording or category, cases fall back to n_initial, the largest studies of each trait (ties stay), the excluded region."""
-    excluded = r" or |conditional| and | x |pleiotropy|interaction|eg:|EA|intake| ms\]|protein quantitative|adjusted for|diet"
     rows = df.withColumn("trait", F.replace("trait", F.lit('"'), F.lit(""))).filter(F.length(F.regexp_replace("trait_efos", "[^,]", "")) <= 2)
-    rows = rows.filter(~F.col("trait").rlike(excluded) & (F.col("category") != "Uncategorised")).withColumn("n_cases", F.coalesce("n_cases", "n_initial"))
+    rows = rows.filter(~F.col("trait").rlike(EXCLUDED_TRAITS) & (F.col("category") != "Uncategorised")).withColumn("n_cases", F.coalesce("n_cases", "n_initial"))
     rows = rows.withColumn("_r", F.rank().over(W.partitionBy("trait").orderBy(F.desc("n_cases")))).filter("_r = 1").drop("_r")
     return rows.filter(~((F.col("chrom") == MHC[0]) & F.col("pos").between(MHC[1], MHC[2])))
 

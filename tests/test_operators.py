@@ -35,6 +35,15 @@ def test_benjamini_hochberg_by_hand(spark):
     assert [round(r.adj_pval, 6) for r in R.benjamini_hochberg(df, ["k"], "p").orderBy("i").collect()] == [0.04, 0.053333, 0.053333, 0.5]
 
 
+@pytest.mark.parametrize("buckets", [2, 32])
+def test_wide_benjamini_hochberg_is_the_same(spark, buckets):
+    values = [random.Random(3).randrange(1, 60) / 80 for _ in range(200)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, p double").withColumn("k", F.lit(1))
+    want = {r.i: r.adj_pval for r in R.benjamini_hochberg(df, ["k"], "p").collect()}
+    got = {r.i: r.adj_pval for r in R.benjamini_hochberg_wide(df, "p", buckets=buckets).collect()}
+    assert got.keys() == want.keys() and all(got[i] == pytest.approx(want[i]) for i in want)
+
+
 def test_storey_is_at_most_bh_and_bounded(spark):
     df = spark.createDataFrame([(i, (i + 1) / 50) for i in range(49)], "i int, p double").withColumn("k", F.lit(1))
     both = R.storey(R.benjamini_hochberg(df, ["k"], "p"), ["k"], "p").collect()
