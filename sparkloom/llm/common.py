@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Characters that separate words in every operator here: space and \x09 to \x0D.
 SEPARATORS = " \t\n\x0b\x0c\r"
@@ -40,6 +41,18 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sample_rows(df: DataFrame, n: int) -> DataFrame:
+    """About ``n`` rows (all of fewer), at most 2 n, by the hash of the whole row, so alike on any partitioning.
+
+    Only the count is gathered; the share is a filter on the scan, not a sort.
+    """
+    total = df.count()
+    if total <= n:
+        return df
+    share = F.pmod(F.xxhash64(*df.columns), F.lit(1 << 31).cast("long")) / F.lit(float(1 << 31))
+    return df.filter(share < n / total).limit(2 * n)
+
+
 def batches(rows: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Slices Arrow batches so that ``column`` holds about ``max_bytes`` in each; a row is never cut."""
     for batch in rows:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from sparkloom.llm.common import batches
+from sparkloom.llm.common import batches, sample_rows
 
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
@@ -27,8 +27,8 @@ LETTER = re.compile(r"[^\W\d_]")
 
 @dataclass(frozen=True)
 class Settings:
-    """window: bytes; widths, filters: of the first layer, filters for each width. At most
-    sample_docs labelled documents, of each at most sample_windows windows, are learnt from."""
+    """window: bytes; widths, filters: of the first layer, filters for each width. About
+    sample_docs labelled documents (at most twice as many), of each at most sample_windows windows, are learnt from."""
 
     window: int = 128
     widths: tuple[int, ...] = (2, 3, 4)
@@ -159,12 +159,12 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", settings: Settings = Settings()) -> ByteNet:
     """A network trained on a bounded sample of rows with text and language.
 
-    The sample is the first sample_docs rows by the hash of their text; of each, evenly
-    spaced windows go to the driver, so at most sample_docs * sample_windows * window bytes.
+    The sample is about sample_docs rows, by the hash of the row; of each, evenly spaced
+    windows go to the driver, so at most 2 * sample_docs * sample_windows * window bytes.
     Without labelled rows every prediction is UNKNOWN.
     """
-    few = labelled.filter(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    few = few.orderBy(F.xxhash64("text"), "text", "lang").limit(settings.sample_docs)
+    few = labelled.filter(F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
+    few = sample_rows(few, settings.sample_docs).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     size, most = settings.window, settings.sample_windows
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,5 +209,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op7: language of every document, learnt from those that are not held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
-    net = learn(docs.filter(~held_out))
+    net = learn(docs.select("doc_id", "text", "lang").filter(~held_out))
     return identify(docs.select("doc_id", "text"), net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
