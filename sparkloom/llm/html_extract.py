@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from sparkloom.llm.common import batches
+from sparkloom.llm.common import batches, sample_rows
 
 #: Elements of HTML by their kind.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -268,11 +268,11 @@ def extract(page: str | None, weights: np.ndarray, costs: Costs = Costs()) -> st
 def train(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_PAGES) -> np.ndarray:
     """Weights of the layout classifier.
 
-    Labelled rows are the blocks of at most ``sample_pages`` pages, the first by the hash of
-    their content, that stand in a container known as content or boilerplate; of a page
+    Labelled rows are the blocks of about ``sample_pages`` pages (at most twice as many), by
+    the hash of the row, that stand in a container known as content or boilerplate; of a page
     at most SAMPLE_BLOCKS, evenly spaced. Without both kinds all weights are 0.
     """
-    few = pages.filter(F.col(html_col).isNotNull()).orderBy(F.xxhash64(html_col), html_col).select(F.col(html_col).alias("html")).limit(sample_pages)
+    few = sample_rows(pages.filter(F.col(html_col).isNotNull()), sample_pages).select(F.col(html_col).alias("html"))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -283,7 +283,7 @@ def train(pages: DataFrame, html_col: str = "html", sample_pages: int = SAMPLE_P
                 use = use[np.unique(np.linspace(0, len(use) - 1, SAMPLE_BLOCKS).astype(int))] if len(use) > SAMPLE_BLOCKS else use
                 yield pa.RecordBatch.from_arrays([pa.array(known[use].tolist(), pa.int32()), pa.array(features(blocks)[use].tolist(), pa.list_(pa.float64()))], names=["state", "x"])
 
-    rows = few.mapInArrow(run, "state int, x array<double>").collect()
+    rows = sorted(few.mapInArrow(run, "state int, x array<double>").collect())
     if not rows:
         return np.zeros(8)
     return fit(np.array([r.x for r in rows]), np.array([r.state > 0 for r in rows], int))
