@@ -8,7 +8,7 @@ from sparkloom.operators import calibration as C
 from sparkloom.operators.association import cells_of_targets, perturbation_association, reference_cells
 from sparkloom.operators.recode import floored_composition
 from sparkloom.plans.association import rounded
-from sparkloom.plans.registry import register
+from sparkloom.plans.registry import register, whole
 from sparkloom.plans.tables import CELL_TARGET_L
 from sparkloom.sources.tables import CONTROL, ScreenE, ScreenL
 
@@ -86,7 +86,7 @@ def collinearity(spark, sf_dir):
 
 def _screen(spark, sf_dir):
     s = ScreenL(spark, sf_dir)
-    treated = cells_of_targets(s.assignment, s.guides).filter(F.col("target").isin("n1", "n2", "n3"))
+    treated = cells_of_targets(s.assignment, s.guides).filter(F.col("target") != CONTROL)
     return s, treated, reference_cells(s.assignment, s.guides, [CONTROL])
 
 
@@ -107,9 +107,10 @@ def matched_effects(spark, sf_dir):
 @register("hurdle_effects")
 def hurdle_effects(spark, sf_dir):
     s, treated, _ = _screen(spark, sf_dir)
-    cells = s.cells.join(treated.filter("target = 'n1'"), "cell_id", "left").select("cell_id", F.col("target").isNotNull().cast("int").alias("treated"), (F.col("total") / 1e5).alias("total"))
+    every = s.cells.select("cell_id", (F.col("total") / 1e5).alias("total")).crossJoin(treated.select("target").distinct())
+    cells = every.join(treated.withColumn("treated", F.lit(1)), ["target", "cell_id"], "left").fillna(0, ["treated"])
     grid = cells.crossJoin(s.usage.select("program").distinct()).join(s.usage, ["cell_id", "program"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)) / 1e6)
-    return C.hurdle(grid.select("program", "cell_id", "treated", "total", "score"), ["program"], "score", ["total"])
+    return C.hurdle(grid.select("target", "program", "cell_id", "treated", "total", "score"), ["target", "program"], "score", ["total"])
 
 
 EFFECT = {
@@ -118,12 +119,21 @@ EFFECT = {
 }
 
 
-@register("gene_effects", "SELECT gene_id, round(avg(ln(c / o)), 6) AS effect FROM obs GROUP BY gene_id", EFFECT)
-def gene_effects(spark, sf_dir):
+def _gene_effects(spark, sf_dir, cells="true", genes="true"):
     s = ScreenL(spark, sf_dir)
     betas = s.loading.select("program").distinct().withColumn("beta", F.col("program").cast("double") / 100 - 0.1)
-    usage = s.usage.filter("cell_id % 20 = 0").withColumn("score", F.col("score") / 1e5)
-    return rounded(C.gene_effects(usage, s.loading.filter("gene_id % 10 = 0"), betas), "effect")
+    usage = s.usage.filter(cells).withColumn("score", F.col("score") / 1e5)
+    return rounded(C.gene_effects(usage, s.loading.filter(genes), betas), "effect")
+
+
+@register("gene_effects", "SELECT gene_id, round(avg(ln(c / o)), 6) AS effect FROM obs GROUP BY gene_id", EFFECT)
+def gene_effects(spark, sf_dir):
+    return _gene_effects(spark, sf_dir, "cell_id % 20 = 0", "gene_id % 10 = 0")
+
+
+@register("gene_effects_whole", "SELECT gene_id, round(avg(ln(c / o)), 6) AS effect FROM obs GROUP BY gene_id", whole(EFFECT, " WHERE cell_id % 20 = 0", " WHERE gene_id % 10 = 0"))
+def gene_effects_whole(spark, sf_dir):
+    return _gene_effects(spark, sf_dir)
 
 
 LABELS = {
@@ -160,10 +170,19 @@ GENE = {
 }
 
 
-@register("gene_tests", "SELECT gene_id, round(m1 - m0, 6) AS beta, round((m1 - m0) / sqrt((v1 * (n1 - 1) + v0 * (n0 - 1)) / (n1 + n0 - 2) * (1.0 / n1 + 1.0 / n0)), 6) AS t FROM (SELECT gene_id, avg(v) FILTER (WHERE treated = 1) AS m1, avg(v) FILTER (WHERE treated = 0) AS m0, var_samp(v) FILTER (WHERE treated = 1) AS v1, var_samp(v) FILTER (WHERE treated = 0) AS v0, count(*) FILTER (WHERE treated = 1) AS n1, count(*) FILTER (WHERE treated = 0) AS n0 FROM vals GROUP BY gene_id) WHERE gene_id IN (SELECT gene_id FROM expr_l WHERE cell_id % 10 = 0)", GENE)
-def gene_tests(spark, sf_dir):
+def _gene_tests(spark, sf_dir, cells="true", genes="true"):
     s = ScreenL(spark, sf_dir)
-    cells = s.cells.filter("cell_id % 10 = 0").select("cell_id", (F.col("condition") == "F").cast("int").alias("treated"))
+    cells = s.cells.filter(cells).select("cell_id", (F.col("condition") == "F").cast("int").alias("treated"))
     expr = s.expr.join(cells.select("cell_id"), "cell_id", "left_semi")
-    out = C.gene_tests(expr, cells).filter("gene_id % 20 = 0")
+    out = C.gene_tests(expr, cells).filter(genes)
     return rounded(out.select("gene_id", "beta", "t"), "beta", "t")
+
+
+@register("gene_tests", "SELECT gene_id, round(m1 - m0, 6) AS beta, round((m1 - m0) / sqrt((v1 * (n1 - 1) + v0 * (n0 - 1)) / (n1 + n0 - 2) * (1.0 / n1 + 1.0 / n0)), 6) AS t FROM (SELECT gene_id, avg(v) FILTER (WHERE treated = 1) AS m1, avg(v) FILTER (WHERE treated = 0) AS m0, var_samp(v) FILTER (WHERE treated = 1) AS v1, var_samp(v) FILTER (WHERE treated = 0) AS v0, count(*) FILTER (WHERE treated = 1) AS n1, count(*) FILTER (WHERE treated = 0) AS n0 FROM vals GROUP BY gene_id) WHERE gene_id IN (SELECT gene_id FROM expr_l WHERE cell_id % 10 = 0)", GENE)
+def gene_tests(spark, sf_dir):
+    return _gene_tests(spark, sf_dir, "cell_id % 10 = 0", "gene_id % 20 = 0")
+
+
+@register("gene_tests_whole", "SELECT gene_id, round(m1 - m0, 6) AS beta, round((m1 - m0) / sqrt((v1 * (n1 - 1) + v0 * (n0 - 1)) / (n1 + n0 - 2) * (1.0 / n1 + 1.0 / n0)), 6) AS t FROM (SELECT gene_id, avg(v) FILTER (WHERE treated = 1) AS m1, avg(v) FILTER (WHERE treated = 0) AS m0, var_samp(v) FILTER (WHERE treated = 1) AS v1, var_samp(v) FILTER (WHERE treated = 0) AS v0, count(*) FILTER (WHERE treated = 1) AS n1, count(*) FILTER (WHERE treated = 0) AS n0 FROM vals GROUP BY gene_id)", whole(GENE, " WHERE o_orderkey % 10 = 0", " WHERE gene_id % 20 = 0"))
+def gene_tests_whole(spark, sf_dir):
+    return _gene_tests(spark, sf_dir)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkloom.operators import similarity as S
 from sparkloom.operators.ranking import top_k
 from sparkloom.plans.association import rounded
-from sparkloom.plans.registry import register
+from sparkloom.plans.registry import register, whole
 from sparkloom.sources.tables import ScreenE, ScreenL
 
 #: Two runs of programs: loadings of lines shipped with odd and even line numbers.
@@ -68,10 +68,18 @@ def program_cell_correlation(spark, sf_dir):
 GENES = {"few": "SELECT gene_id, program, score FROM loading_l WHERE gene_id % 40 = 0", "dense": "SELECT g.gene_id, p.program, coalesce(f.score, 0) AS score FROM (SELECT DISTINCT gene_id FROM few) g CROSS JOIN (SELECT DISTINCT program FROM loading_l) p LEFT JOIN few f ON f.gene_id = g.gene_id AND f.program = p.program"}
 
 
+def _gene_correlation(loading, n):
+    return rounded(S.correlation(loading, loading, "gene_id", "program", "score", n).fillna(0.0, ["r"]), "r", digits=5)
+
+
 @register("gene_correlation", "SELECT x.gene_id AS a, y.gene_id AS b, round(coalesce(corr(x.score, y.score), 0), 5) AS r FROM dense x JOIN dense y USING (program) GROUP BY ALL", GENES)
 def gene_correlation(spark, sf_dir):
-    few = ScreenL(spark, sf_dir).loading.filter("gene_id % 40 = 0")
-    return rounded(S.correlation(few, few, "gene_id", "program", "score", 25).fillna(0.0, ["r"]), "r", digits=5)
+    return _gene_correlation(ScreenL(spark, sf_dir).loading.filter("gene_id % 40 = 0"), 25)
+
+
+@register("gene_correlation_whole", "SELECT x.gene_id AS a, y.gene_id AS b, round(coalesce(corr(x.score, y.score), 0), 5) AS r FROM dense x JOIN dense y USING (program) GROUP BY ALL", whole(GENES, " WHERE gene_id % 40 = 0"))
+def gene_correlation_whole(spark, sf_dir):
+    return _gene_correlation(ScreenL(spark, sf_dir).loading, None)
 
 
 PROFILE = {"profile": "SELECT x.target_name AS a, y.target_name AS b, corr(x.v, CASE WHEN x.target_name <> y.target_name THEN y.v END) AS r FROM (SELECT target_name, program_name, avg(log2FC) AS v FROM assoc GROUP BY ALL) x JOIN (SELECT target_name, program_name, avg(log2FC) AS v FROM assoc GROUP BY ALL) y USING (program_name) GROUP BY ALL"}
@@ -147,12 +155,20 @@ ERROR = {
 }
 
 
+def _reconstruction_error(spark, sf_dir, cells="true"):
+    s = ScreenL(spark, sf_dir)
+    w = s.usage.filter(cells).withColumn("score", F.col("score") / 1e5)
+    return rounded(S.reconstruction_error(s.expr.filter(cells), w, s.loading.withColumn("score", F.col("score") / 100)), "error", digits=2)
+
+
 @register("reconstruction_error", "SELECT round(sum(d * d), 2) AS error FROM dense", ERROR)
 def reconstruction_error(spark, sf_dir):
-    s = ScreenL(spark, sf_dir)
-    x = s.expr.filter("cell_id % 50 = 0")
-    w = s.usage.filter("cell_id % 50 = 0").withColumn("score", F.col("score") / 1e5)
-    return rounded(S.reconstruction_error(x, w, s.loading.withColumn("score", F.col("score") / 100)), "error", digits=2)
+    return _reconstruction_error(spark, sf_dir, "cell_id % 50 = 0")
+
+
+@register("reconstruction_error_whole", "SELECT round(sum(d * d), 2) AS error FROM dense", whole(ERROR, " WHERE cell_id % 50 = 0"))
+def reconstruction_error_whole(spark, sf_dir):
+    return _reconstruction_error(spark, sf_dir)
 
 
 POINTS = {
@@ -163,24 +179,50 @@ POINTS = {
 }
 
 
-def _points(spark, sf_dir):
-    e = ScreenE(spark, sf_dir).table("embeddings").filter("vec_id < 200")
+POINTS_WHOLE = whole(POINTS, " WHERE vec_id < 200")
+FEW = "vec_id < 200"
+
+
+def _points(spark, sf_dir, which="true"):
+    e = ScreenE(spark, sf_dir).table("embeddings").filter(which)
     points = e.select(F.col("vec_id").alias("id"), F.posexplode("embedding").alias("dim", "value")).withColumn("value", F.col("value").cast("double"))
     return points, e.select(F.col("vec_id").alias("id"), "label")
 
 
 @register("stability_silhouette", "SELECT a AS id, la AS label, round(CASE WHEN own IS NULL OR other IS NULL THEN 0 ELSE (other - own) / greatest(own, other) END, 6) AS silhouette FROM sides", POINTS)
 def stability_silhouette(spark, sf_dir):
+    return rounded(S.silhouette(*_points(spark, sf_dir, FEW)), "silhouette")
+
+
+@register("stability_silhouette_whole", "SELECT a AS id, la AS label, round(CASE WHEN own IS NULL OR other IS NULL THEN 0 ELSE (other - own) / greatest(own, other) END, 6) AS silhouette FROM sides", POINTS_WHOLE)
+def stability_silhouette_whole(spark, sf_dir):
     return rounded(S.silhouette(*_points(spark, sf_dir)), "silhouette")
 
 
+def _cluster_medians(points, labels):
+    return rounded(S.cluster_medians(points.withColumn("value", F.col("value") * F.col("value")), labels), "median")
+
+
 @register("cluster_medians", "SELECT label, dim, round(m / sum(m) OVER (PARTITION BY label), 6) AS median FROM (SELECT label, dim - 1 AS dim, median(value * value) AS m FROM pts GROUP BY label, dim)", POINTS)
 def cluster_medians(spark, sf_dir):
-    points, labels = _points(spark, sf_dir)
-    return rounded(S.cluster_medians(points.withColumn("value", F.col("value") * F.col("value")), labels), "median")
+    return _cluster_medians(*_points(spark, sf_dir, FEW))
+
+
+@register("cluster_medians_whole", "SELECT label, dim, round(m / sum(m) OVER (PARTITION BY label), 6) AS median FROM (SELECT label, dim - 1 AS dim, median(value * value) AS m FROM pts GROUP BY label, dim)", POINTS_WHOLE)
+def cluster_medians_whole(spark, sf_dir):
+    return _cluster_medians(*_points(spark, sf_dir))
+
+
+def _k_selection(points, labels):
+    s = S.silhouette(points, labels)
+    return rounded(s.groupBy((F.col("label") % 3).alias("k")).agg(F.avg("silhouette").alias("silhouette")), "silhouette")
 
 
 @register("k_selection", "SELECT la % 3 AS k, round(avg(CASE WHEN own IS NULL OR other IS NULL THEN 0 ELSE (other - own) / greatest(own, other) END), 6) AS silhouette FROM sides GROUP BY ALL", POINTS)
 def k_selection(spark, sf_dir):
-    s = S.silhouette(*_points(spark, sf_dir))
-    return rounded(s.groupBy((F.col("label") % 3).alias("k")).agg(F.avg("silhouette").alias("silhouette")), "silhouette")
+    return _k_selection(*_points(spark, sf_dir, FEW))
+
+
+@register("k_selection_whole", "SELECT la % 3 AS k, round(avg(CASE WHEN own IS NULL OR other IS NULL THEN 0 ELSE (other - own) / greatest(own, other) END), 6) AS silhouette FROM sides GROUP BY ALL", POINTS_WHOLE)
+def k_selection_whole(spark, sf_dir):
+    return _k_selection(*_points(spark, sf_dir))
