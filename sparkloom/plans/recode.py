@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from sparkloom.operators import recode as B
 from sparkloom.plans.association import rounded
-from sparkloom.plans.registry import register
+from sparkloom.plans.registry import register, twin
 from sparkloom.sources.tables import Papers, ScreenE, ScreenL, Source
 
 PCT = "quantile_cont"
@@ -214,9 +216,12 @@ def subsample_cells(spark, sf_dir):
 
 
 @register("drop_empty_guides", "SELECT guide_name, target FROM guides_l SEMI JOIN (SELECT * FROM assign_l WHERE cell_id % 50 = 0) USING (guide_name)")
-def drop_empty_guides(spark, sf_dir):
+def drop_empty_guides(spark, sf_dir, which="cell_id % 50 = 0"):
     s = ScreenL(spark, sf_dir)
-    return s.guides.join(s.assignment.filter("cell_id % 50 = 0"), "guide_name", "left_semi")
+    return s.guides.join(s.assignment.filter(which), "guide_name", "left_semi")
+
+
+twin("drop_empty_guides", "cell_id % 50 = 0", partial(drop_empty_guides, which="true"))
 
 
 @register("search_input", "SELECT program_name AS program, array_to_string(list(target_name ORDER BY s, target_name), ', ') AS regulators FROM (SELECT program_name, target_name, min(sample) AS s FROM assoc WHERE adj_pval < 0.01 GROUP BY ALL) GROUP BY ALL")

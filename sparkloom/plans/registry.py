@@ -76,6 +76,13 @@ def register(name: str, sql: str | None = None, extra: dict[str, str] | None = N
     return keep
 
 
+def twin(name: str, condition: str, query: Callable[[SparkSession, str], DataFrame]) -> None:
+    """Registers ``name``_whole: the query over all rows, its SQL without the condition that makes a slice of the other."""
+    if condition not in ORACLES[name]:
+        raise ValueError(f"{name} has no {condition!r}")
+    QUERIES[f"{name}_whole"], ORACLES[f"{name}_whole"] = query, ORACLES[name].replace(condition, "true")
+
+
 def load() -> None:
     """Imports all modules that register queries."""
     from importlib import import_module

@@ -63,17 +63,20 @@ def sparse_entries(entries: DataFrame, cells: DataFrame, genes: DataFrame, kept:
 
 
 def read_matrix_market(spark: SparkSession, path: str) -> DataFrame:
-    """(row, column, value) of a coordinate Matrix Market file, numbered from 1; the size line has as many parts and is the first."""
-    lines = spark.read.text(path).filter(~F.col("value").startswith("%") & (F.trim("value") != ""))
-    numbered = lines.select(F.monotonically_increasing_id().alias("_i"), F.split(F.trim("value"), r"\s+").alias("p"))
-    head = numbered.agg(F.min("_i").alias("_first"))
-    rows = numbered.crossJoin(F.broadcast(head)).filter("_i > _first")
+    """(row, column, value) of a coordinate Matrix Market file, numbered from 1; the size line has as many parts and is the first of the file with the banner, which can stand beside files of entries only."""
+    text = spark.read.text(path).withColumn("_file", F.col("_metadata.file_path")).withColumn("_start", F.col("_metadata.file_block_start"))
+    banner = text.filter(F.col("value").startswith("%%MatrixMarket")).agg(F.min("_file").alias("_banner"))
+    lines = text.withColumn("_i", F.monotonically_increasing_id()).filter(~F.col("value").startswith("%") & (F.trim("value") != ""))
+    placed = lines.crossJoin(F.broadcast(banner)).withColumn("_at", F.struct((~F.col("_file").eqNullSafe(F.col("_banner"))).alias("other"), "_file", "_start", "_i"))
+    numbered = placed.select("_at", F.split(F.trim("value"), r"\s+").alias("p"))
+    head = numbered.agg(F.min("_at").alias("_first"))
+    rows = numbered.crossJoin(F.broadcast(head)).filter("_at <> _first")
     return rows.select(F.get("p", F.lit(0)).cast("long").alias("row"), F.get("p", F.lit(1)).cast("long").alias("column"), F.get("p", F.lit(2)).cast("double").alias("value"))
 
 
 def read_genesets(spark: SparkSession, path: str, least: int = 1, most: int = 10**9) -> DataFrame:
     """(library, term, gene) of JSON lines {library: {term: [genes]}}, sets of least to most genes."""
-    maps = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string, map<string, array<string>>>").alias("m"))
+    maps = spark.read.text(path).select(F.from_json("value", "map<string, map<string, array<string>>>").alias("m"))
     terms = maps.select(F.explode("m").alias("library", "t")).select("library", F.explode("t").alias("term", "genes"))
     return terms.filter(F.size("genes").between(least, most)).select("library", "term", F.explode("genes").alias("gene"))
 
@@ -81,7 +84,7 @@ def read_genesets(spark: SparkSession, path: str, least: int = 1, most: int = 10
 def read_gmt(spark: SparkSession, path: str) -> DataFrame:
     """(term, gene) of GMT lines: term, description, genes."""
     parts = spark.read.text(path).select(F.split("value", "\t").alias("p"))
-    return parts.select(F.get("p", F.lit(0)).alias("term"), F.explode(F.slice("p", 3, 100_000)).alias("gene")).filter("gene <> ''")
+    return parts.select(F.get("p", F.lit(0)).alias("term"), F.explode(F.slice("p", F.lit(3), F.size("p"))).alias("gene")).filter("gene <> ''")
 
 
 def with_lower_names(df: DataFrame) -> DataFrame:

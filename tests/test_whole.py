@@ -4,7 +4,8 @@ import numpy as np
 
 from sparkloom.operators import similarity as S
 from sparkloom.plans import calibration as C
-from sparkloom.plans import registry
+from sparkloom.plans import factor, registry
+from sparkloom.sources import readers as R
 from sparkloom.sources.tables import ScreenE, ScreenL
 
 registry.load()
@@ -42,3 +43,22 @@ def test_silhouette_in_blocks_against_brute_force(spark, monkeypatch):
         m = {c: np.mean([d[i, j] for j in range(40) if j != i and label[j] == c]) for c in set(label) if any(j != i and label[j] == c for j in range(40))}
         own, other = m.pop(label[i], None), min(m[c] for c in m if c != label[i])
         assert abs(got[i] - (0 if own is None else (other - own) / max(own, other))) < 1e-6
+
+
+def test_long_gene_sets_and_headers_beside_entries(spark, tmp_path):
+    (tmp_path / "long.gmt").write_text("\t".join(["t", "na", *map(str, range(100_003))]) + "\n")
+    assert R.read_gmt(spark, str(tmp_path / "long.gmt")).count() == 100_003
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "a").write_text("".join(f"{i} 1 2.0\n" for i in range(1, 400)))
+    (tmp_path / "m" / "b").write_text("%%MatrixMarket matrix coordinate real general\n400 1 400\n400 1 2.0\n")
+    got = R.read_matrix_market(spark, str(tmp_path / "m")).collect()
+    assert sorted(r.row for r in got) == list(range(1, 401)) and {r.column for r in got} == {1}
+
+
+def test_every_order_part_and_entry(spark, data):
+    s = ScreenL(spark, data)
+    orders, parts = s.expr.select("cell_id").distinct().count(), s.table("part").count()
+    assert registry.QUERIES["gene_mentions_whole"](spark, data).select("pmid").distinct().count() > orders / 2
+    assert registry.QUERIES["matrix_market_whole"](spark, data).count() == s.expr.count()
+    chunks = factor._sequences(spark, data, "true").select("chunk").collect()
+    assert sorted(r.chunk for r in chunks) == list(range(parts))
