@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from sparkloom.llm.common import batches, cut, mix64, words_of
 
@@ -36,7 +37,7 @@ class Rules:
     k: retained values. Documents of up to ``small`` shingles use runs of small_run
     retained values, those of more than small_from runs of ``run``; the overlap of the two
     covers pairs on either side. least_estimate: pairs whose union sketch is below
-    are dropped. slack: see _across.
+    are dropped, but for those with a centre, which all full sets are compared with.
     """
 
     shingle: int = 5
@@ -47,7 +48,6 @@ class Rules:
     small: int = 24
     small_from: int = 16
     least_estimate: float = 0.55
-    slack: float = 0.02
 
 
 #: Words whose hashes a worker keeps, about 15 MB.
@@ -194,23 +194,22 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _across(stars: DataFrame, labels: DataFrame, heads: DataFrame, sets: DataFrame, rules: Rules) -> DataFrame:
+def _across(stars: DataFrame, labels: DataFrame, sets: DataFrame, rules: Rules) -> DataFrame:
     """Pairs (a, b) of documents that share a star's centre, lie in different components and may be linked.
 
     Two documents share at most the smaller of their overlaps with the centre and what they
     have in common outside it. If they share nothing outside, a stray with overlap i and size
     n links with sizes up to i / f - n only, f = percent / (100 + percent), which for most
-    strays leaves none. Pairs that do share a shingle outside are found by it; they may
-    have there as much as the centre has for itself alone, and ``slack``. What a pair shares
-    beyond that is in runs whose lists have another centre.
+    strays leaves none. A document that must share t shingles outside to reach the threshold has
+    one of them among all but its t - 1 most common ones of those that documents of another component
+    in the star have too (prefix filter); so every pair that may link meets, and no share is estimated.
     """
     f, least, step = rules.percent / (100 + rules.percent), rules.percent / 100, float(np.log(1.02))
     centre = stars.select(F.col("a").alias("c"), F.col("a").alias("id"), F.col("n_a").alias("n"), F.col("n_a").alias("i")).distinct()
     group = centre.unionByName(stars.select(F.col("a").alias("c"), F.col("b").alias("id"), F.col("n_b").alias("n"), F.col("common").cast("long").alias("i")))
     group = group.join(labels.withColumnRenamed("component", "own"), "id", "left").withColumn("own", F.coalesce("own", "id"))
     of_centre = labels.select(F.col("id").alias("c"), F.col("component").alias("main"))
-    alone = heads.select(F.col("id").alias("c"), (F.col("own") + rules.slack).alias("outside"))
-    group = cut(group.join(of_centre, "c", "left").withColumn("main", F.coalesce("main", "c")).join(alone, "c"), "near-groups")
+    group = cut(group.join(of_centre, "c", "left").withColumn("main", F.coalesce("main", "c")), "near-groups")
     band = lambda x: F.floor(F.log(x) / step).cast("int")
     other = lambda df: df.select("c", F.col("id").alias("x"), F.col("n").alias("n_x"), F.col("i").alias("i_x"), F.col("own").alias("own_x"), *(k for k in ("band", "r") if k in df.columns))
     apart = (F.col("own") != F.col("own_x")) & _possible("n", "n_x", rules)
@@ -223,15 +222,17 @@ def _across(stars: DataFrame, labels: DataFrame, heads: DataFrame, sets: DataFra
     inside = group.withColumn("band", band(F.col("n"))).join(cut(other(strays), "near-strays"), ["c", "band"])
     inside = inside.filter(apart & (F.least("i", "i_x") >= need)).select("id", "x")
 
-    close = group.filter("c <> id").filter(i + F.col("outside") * n >= least * n)
-    mixed = close.groupBy("c").agg(F.bool_or(F.col("own") != F.col("main")).alias("m")).filter("m").select("c")
-    close = close.join(cut(mixed, "near-mixed"), "c", "left_semi")
-    close = close.join(sets.withColumnsRenamed({"hashes": "h"}), "id").join(sets.withColumnsRenamed({"id": "c", "hashes": "h_c"}), "c")
-    close = cut(close.withColumn("r", F.explode(F.array_except("h", "h_c"))).drop("h", "h_c"), "near-outside")
-    shared = cut(close.groupBy("c", "r").count().filter("count > 1").drop("count"), "near-shared")
-    close = cut(close.join(shared, ["c", "r"], "left_semi"), "near-outside-shared")
-    beside = close.join(cut(other(close.filter("own <> main")), "near-outside-strays"), ["c", "r"])
-    beside = beside.filter(apart & (F.least("i", "i_x") + F.col("outside") * F.least("n", "n_x") >= need)).select("id", "x")
+    mixed = group.filter("c <> id").groupBy("c").agg(F.bool_or(F.col("own") != F.col("main")).alias("m"), F.count("*").alias("k")).filter("m AND k > 1").select("c")
+    outer = group.filter("c <> id AND i < n").join(cut(mixed, "near-mixed"), "c", "left_semi")
+    outer = outer.join(sets.withColumnsRenamed({"hashes": "h"}), "id").join(sets.withColumnsRenamed({"id": "c", "hashes": "h_c"}), "c")
+    outer = cut(outer.withColumn("r", F.explode(F.array_except("h", "h_c"))).drop("h", "h_c"), "near-outside")
+    shared = outer.groupBy("c", "r").agg(F.count("*").alias("k"), F.min("own").alias("low"), F.max("own").alias("high")).filter("k > 1 AND low <> high")
+    outer = cut(outer.join(cut(shared.select("c", "r", "k"), "near-shared"), ["c", "r"]), "near-outside-shared")
+    rank = W.partitionBy("c", "id")
+    wants = F.greatest(F.lit(1), F.ceil((rules.percent * F.col("n") - 100 * F.col("i")) / 100))
+    outer = outer.withColumn("q", F.count("*").over(rank)).withColumn("at", F.row_number().over(rank.orderBy("k", "r")))
+    outer = cut(outer.filter(F.col("at") <= F.col("q") - wants + 1), "near-outside-prefix")
+    beside = outer.alias("l").join(cut(other(outer.filter("own <> main")), "near-outside-strays"), ["c", "r"]).filter(apart).select("id", "x")
     return inside.union(beside).select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct()
 
 
@@ -254,20 +255,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sizes = cut(entries.groupBy("run").agg(F.count("*").alias("size")).filter("size > 1"), "near-lists")
     members = cut(entries.join(sizes, "run"), "near-members")
     # the centre of a list is the member whose runs are shared most, so least edited
-    weight = cut(members.groupBy("id").agg(F.sum("size").alias("weight"), F.count("*").alias("shared")), "near-weights")
+    weight = cut(members.groupBy("id").agg(F.sum("size").alias("weight")), "near-weights")
     best = F.min(F.struct((-F.col("weight")).alias("w"), F.col("id").alias("a"), F.col("n").alias("n_a")))
     centres = cut(members.join(weight, "id").groupBy("run").agg(best.alias("c")).select("run", "c.a", "c.n_a"), "near-centres")
-    stars = members.join(centres, "run").filter((F.col("id") != F.col("a")) & _possible("n_a", "n", rules)).select("a", F.col("id").alias("b")).distinct()
-    # sketches only of documents that meet another; own: share of shingles that no other document has, from the share of runs
-    length = F.when(F.col("n") <= rules.small_from, rules.small_run).otherwise(rules.run)
-    own = 1 - F.pow(F.col("shared") / F.size(F.concat(small, large)), 1 / length)
-    heads = cut(heads.join(weight, "id").select("id", "n", "sketch", own.alias("own")), "near-heads")
-    likely = _likely_pairs(stars, heads, rules)
-    wanted = cut(likely.select(F.col("a").alias(id_col)).union(likely.select("b")).distinct(), "near-wanted")
+    # every member stays in the star, however far from the centre: it may be linked to another one
+    stars = members.join(centres, "run").filter(F.col("id") != F.col("a")).select("a", F.col("n_a"), F.col("id").alias("b"), F.col("n").alias("n_b")).distinct()
+    stars = cut(stars, "near-stars")
+    # sketches only of documents that meet another
+    heads = cut(heads.join(weight, "id").select("id", "n", "sketch"), "near-heads")
+    wanted = cut(stars.select(F.col("a").alias(id_col)).union(stars.select("b")).distinct(), "near-wanted")
     sets = cut(full_sets(_of_ids(docs, id_col, wanted), id_col, text_col, rules).dropDuplicates(["id"]), "near-sets")
-    stars = _compared(likely, sets)
+    stars = _compared(stars, sets)
     links = _links(stars, rules)
-    across = _likely_pairs(_across(stars, components(links), heads, sets, rules), heads, rules)  # of documents in stars
+    across = _likely_pairs(_across(stars, components(links), sets, rules), heads, rules)  # of documents in stars
     links = links.union(_links(_compared(across, sets), rules))
     labels = components(links).withColumnRenamed("id", "first")
     of_class = cut(classes.select("whole", "first").join(labels, "first", "left").select("whole", F.coalesce("component", "first").alias("component")), "near-components")

@@ -121,7 +121,7 @@ def geneset_library(spark, sf_dir):
     path = _folder(spark)
     terms = ScreenL(spark, sf_dir).geneset.groupBy("term").agg(F.collect_list(F.col("gene_id").cast("string")).alias("genes"))
     terms.select(F.to_json(F.create_map(F.lit("lib"), F.create_map("term", "genes")))).write.text(path)
-    return R.read_genesets(spark, path, 70, 100)
+    return R.read_genesets(spark, path, 70, 100, wholetext=False)
 
 
 @register("gmt_reader", "SELECT p_type AS term, CAST(p_partkey AS VARCHAR) AS gene FROM part")

@@ -74,9 +74,9 @@ def read_matrix_market(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.get("p", F.lit(0)).cast("long").alias("row"), F.get("p", F.lit(1)).cast("long").alias("column"), F.get("p", F.lit(2)).cast("double").alias("value"))
 
 
-def read_genesets(spark: SparkSession, path: str, least: int = 1, most: int = 10**9) -> DataFrame:
-    """(library, term, gene) of JSON lines {library: {term: [genes]}}, sets of least to most genes."""
-    maps = spark.read.text(path).select(F.from_json("value", "map<string, map<string, array<string>>>").alias("m"))
+def read_genesets(spark: SparkSession, path: str, least: int = 1, most: int = 10**9, wholetext: bool = True) -> DataFrame:
+    """(library, term, gene) of JSON {library: {term: [genes]}}, one per file or else per line, sets of least to most genes."""
+    maps = spark.read.text(path, wholetext=wholetext).select(F.from_json("value", "map<string, map<string, array<string>>>").alias("m"))
     terms = maps.select(F.explode("m").alias("library", "t")).select("library", F.explode("t").alias("term", "genes"))
     return terms.filter(F.size("genes").between(least, most)).select("library", "term", F.explode("genes").alias("gene"))
 

@@ -143,6 +143,34 @@ def test_near_duplicates_of_edited_copies(spark, size, percent, seed):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
 
 
+def test_near_pairs_far_from_the_centre(spark):
+    """Copies of one text, and pairs that each lack a tenth of it and share new words outside it."""
+    rng = random.Random(7)
+    fresh = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    found = []
+    for _ in range(12):
+        base = fresh(300)
+        found += [" ".join([*base, *fresh(1)]) for _ in range(8)]
+        added, lost = fresh(20), rng.randrange(30, 240)
+        both = [*base[:lost], *base[lost + 30 :], *added]
+        found += [" ".join([*both[:-k], *fresh(k)]) for k in (4, 6)]
+        far = [*base[:120], *fresh(200)]
+        found += [" ".join([*far, *fresh(k)]) for k in (3, 5)]
+    for size, percent in ((3, 85), (5, 80)):
+        want = components(dict(enumerate(found)), size, percent)
+        got = minhash_dedup.near_duplicates(documents(spark, found, extra=False), rules=minhash_dedup.Rules(shingle=size, percent=percent))
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
+
+
+def test_pairs_of_a_star_that_share_much_outside_the_centre(spark):
+    sets = {1: set(range(100)), 2: {*range(80), *range(200, 215)}, 3: {*range(80), *range(200, 215), 300}, 4: {*range(20, 100), *range(400, 415)}}
+    stars = spark.createDataFrame([(1, b, 100, len(sets[b]), len(sets[1] & sets[b])) for b in (2, 3, 4)], "a long, b long, n_a long, n_b long, common int")
+    labels = spark.createDataFrame([], "id long, component long")
+    hashes = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "id long, hashes array<long>")
+    got = minhash_dedup._across(stars, labels, hashes, minhash_dedup.Rules(shingle=3, percent=85))
+    assert sorted(map(tuple, got.collect())) == [(2, 3)]
+
+
 def test_near_of_odd_rows(spark):
     got = {r.doc_id: r for r in minhash_dedup.near_duplicates(documents(spark)).collect()}
     assert [got[i].component_id for i in (0, 1, 2, 9, 10)] == [0, 1, 2, 9, 9] and got[0].n_shingles == 0
