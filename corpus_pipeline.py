@@ -1,16 +1,23 @@
 """Corpus preparation: quality rules, exact dedup, near-dedup, mixing and encoding.
 
 Each stage takes and returns the columns of documents, but for the last, which
-returns the token ids of what is left.
+returns the places, token ids and digests of what is left.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkloom.llm import bpe, exact_dedup, minhash_dedup, mixing, quality_rules
-from sparkloom.llm.common import cut
+from sparkloom.llm.common import cut, shared_dir
+
+
+def places_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where the mixing stage of the tables at ``sf_dir`` leaves the places of documents, in the shared folder."""
+    return f"{shared_dir(spark)}/pipeline-places-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,14 +36,17 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order that interleaves the sources."""
-    return mixing.mix(docs)
+    """All documents, in the order that interleaves the sources; their places go to places_path, as files don't keep an order."""
+    return mixing.mix(docs, places=places_path(spark, sf_dir))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document."""
-    found = bpe.encode_decode(docs, bpe.tokenizer_path(), decoded_col=None)
-    return found.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """Place, token ids and digest of the decoded text of each document."""
+    found = bpe.encode_decode(docs, bpe.tokenizer_path())
+    found = found.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    places = spark.read.parquet(places_path(spark, sf_dir)).select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "mix_slot", "mix_offset")
+    placed = found.join(places, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")), "left")
+    return placed.drop("_id", "_source")
 
 
 STAGES = [("quality_rules", rules), ("exact_dedup", exact), ("minhash_dedup", near), ("mixing", mixed), ("bpe", encoded)]

@@ -110,17 +110,20 @@ def schedule(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", source
     return placed.join(turns, ["_s", "_turn"]).withColumn("mix_slot", slot).select(*docs.columns, "mix_block", "mix_slot", "mix_offset")
 
 
-def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
+def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", places: str | None = None, **options) -> DataFrame:
     """All rows of ``docs`` in mixed order, with their own columns; the default weights are root_weights.
 
     Only ids and sources go through the scheduling; the other columns are moved once to
     meet their place and once into order. Rows with equal id and source share a place.
+    places: a path to write the places to as well: id_col, source_col, mix_slot, mix_offset.
     """
     keys = docs.select(F.col(id_col).alias("__id"), F.col(source_col).alias("__source")).distinct()
     keys = cut(keys, "mix-keys")
     weights = root_weights(docs, source_col) if weights is None else weights
     placed = schedule(keys, weights, "__id", "__source", **options)
     placed = cut(placed.select("__id", "__source", F.col("mix_slot").alias("__slot"), F.col("mix_offset").alias("__offset")), "mix-places")
+    if places:
+        placed.toDF(id_col, source_col, "mix_slot", "mix_offset").write.mode("overwrite").parquet(places)
     found = docs.join(placed, F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source")))
     return found.repartitionByRange("__slot", "__offset").sortWithinPartitions("__slot", "__offset").select(*docs.columns)
 

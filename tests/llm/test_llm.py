@@ -429,6 +429,20 @@ def test_pipeline_against_brute_force(spark, data, texts):
         assert r.ids == encoder.encode([texts[r.doc_id]])[0].tolist() and r.n_tokens == len(r.ids)
 
 
+def test_pipeline_returns_places_and_decodes(spark, data, texts):
+    got = corpus_pipeline.run(spark, data).select("doc_id", "source", "mix_slot", "mix_offset", "decoded_sha256").collect()
+    slots = defaultdict(list)
+    for r in got:
+        assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+        slots[r.mix_slot].append(r)
+    for rows in slots.values():
+        assert len({r.source for r in rows}) == 1 and sorted(r.mix_offset for r in rows) == list(range(len(rows)))
+    # in a source, blocks are full but for the last
+    for source in {r.source for r in got}:
+        sizes = [len(rows) for _, rows in sorted(slots.items()) if rows[0].source == source]
+        assert all(n == mixing.BLOCK_DOCS for n in sizes[:-1])
+
+
 def test_stages_keep_the_columns(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").limit(40)
     for _, stage in corpus_pipeline.STAGES[:-1]:
