@@ -3,7 +3,7 @@
 Candidates are marked in the text by regular expressions and their places follow
 from the lengths of the pieces between marks. The values' hashes are counted by
 distinct repositories and owners over the whole corpus: a value that many owners
-share is a copied example, one that a single owner has looks live.
+share is a copied example, one with fewer owners looks live.
 """
 
 from __future__ import annotations
@@ -29,12 +29,11 @@ OPEN, CLOSE, OTHER = "\u0001", "\u0002", "\u0003"
 @dataclass(frozen=True)
 class Policy:
     """token_chars: least length of a general token. A value is a copied example
-    from example_owners distinct owners on; it is owner-specific with one owner and
-    at most live_repos distinct repositories."""
+    from example_owners distinct owners on and owner-specific with fewer, in however
+    many repositories: copies of a document don't make its secrets examples."""
 
     token_chars: int = 20
     example_owners: int = 3
-    live_repos: int = 5
 
 
 def _runs(chars: str, least: int) -> str:
@@ -111,7 +110,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_c
     found = cut(candidates(docs, id_col, text_col, repo_col, owner_col, policy), "secrets-found")
     owners = cut(ownership(found), "secrets-owners")
     example = F.col("n_owners") >= policy.example_owners
-    live = (F.col("n_owners") == 1) & (F.col("n_repos") <= policy.live_repos)
+    live = ~example
     k = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
     judged = found.join(owners, "value").select("id", "text_hash", F.struct("start", k.alias("k"), "end").alias("span"), (F.col("kind") == "token").alias("general"), example.alias("example"), live.alias("live"), (F.col("n_base") > 0).alias("known"))
     in_order = lambda c: F.array_sort(F.collect_set(c))

@@ -305,6 +305,15 @@ def test_ownership_decides_on_added_spans(spark):
     assert got[10].added == [] and got[10].n_example == 1
 
 
+def test_secrets_of_copies_and_of_every_owner_count(spark):
+    value = lambda n: f"Xk29fLq8ZmB4tR7wPd3{n}"
+    rows = [(i, f"see {value(0)} here", "a") for i in range(100)]
+    rows += [(1000 * n + o, f"see {value(n)} here", f"o{o}") for n in range(1, 6) for o in range(n)]
+    for r in secrets_scan.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect():
+        owners = max(1, r.doc_id // 1000)
+        assert ([(s.start, s.end) for s in r.added], r.n_live, r.n_example) == (([(4, 24)], 1, 0) if owners < 3 else ([], 0, 1))
+
+
 # web pages
 
 
