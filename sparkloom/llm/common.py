@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 #: Characters that separate words in every operator here: space and \x09 to \x0D.
 SEPARATORS = " \t\n\x0b\x0c\r"
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+#: Bits of the filter in bits_filter: at most 131,072 rows of two longs are sent, about 2 MB.
+FILTER_BITS = 1 << 23
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -22,9 +25,14 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a local one only where the session names none (tests)."""
+    """The folder that all executors share, which spark.checkpoint.dir names; one of its own only in local mode, where the driver is the one executor.
+
+    Elsewhere a folder of one machine would lose rows, so an unset folder is an error.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         where = "file://" + tempfile.mkdtemp(prefix="sparkloom-")
         spark.sparkContext.setCheckpointDir(where)
     return where
@@ -41,6 +49,27 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a table that cut() wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def bits_filter(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+    """The rows of ``rows`` whose key may be in ``wanted``, with no row moved: nearly all others are gone.
+
+    A bitmap of FILTER_BITS hashed keys, of that fixed size whatever is wanted, is sent to the
+    scan; when it fills up, it drops fewer. An exact semi-join has to follow.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+    placed = lambda df: df.withColumn("__word", F.floor(place / 64)).withColumn("__at", (place % 64).cast("int")).withColumn("__bit", F.expr("shiftleft(1L, __at)"))
+    bitmap = placed(wanted).groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
+    hit = placed(rows).join(F.broadcast(bitmap), "__word").filter(F.col("__bits").bitwiseAND(F.col("__bit")) != 0)
+    return hit.select(*rows.columns)
+
+
 def sample_rows(df: DataFrame, n: int) -> DataFrame:
     """About ``n`` rows (all of fewer), at most 2 n, by the hash of the whole row, so alike on any partitioning.
 

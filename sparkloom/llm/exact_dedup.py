@@ -1,9 +1,10 @@
 """Exact dedup by progressive refinement, in DataFrame functions only.
 
 Groups by length, then by the hash of a prefix, then by the full hash; each step
-sees only rows whose group had another row in the step before. Text is scanned
-once: the full hash of every row is part of the result, so it is taken in that
-scan, and all later steps move rows of about 100 bytes.
+sees only rows whose group had another row in the step before. duplicate_groups
+returns the full hash of every row, so it takes it in its one scan, and all later
+steps move rows of about 100 bytes. exact_dedup returns no hash and reads the full
+content of surviving groups only.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import SEPARATORS, cut
+from sparkloom.llm.common import SEPARATORS, bits_filter, cut
 
 PREFIX_CHARS = 64
 ADDED = ["keep_id", "group_size", "kept", "text_sha256"]
@@ -69,9 +70,38 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose document stays. Ids must be unique for one row a group to stay; rows with a null id stay if their group keeps it."""
-    dropped = cut(duplicate_groups(docs, id_col, text_col).filter(~F.col("kept") & F.col(id_col).isNotNull()).select(id_col).distinct(), "exact-dropped")
-    return docs.join(dropped, id_col, "left_anti")
+    """One row of each group of equal texts, with all columns: the longest original, then the smallest id, nulls last.
+
+    Lengths and prefix hashes come first; the full hash is taken only of rows whose group
+    survived both. Rows that repeat an id and its text leave one row. Dropped rows are known by id and
+    text, so other rows with the same id stay.
+    """
+    norm, text = normalised(F.col(text_col)), F.coalesce(F.col(text_col), F.lit(""))
+    level = [F.length(norm).alias("n"), F.xxhash64(F.substring(norm, 1, PREFIX_CHARS)).alias("prefix")]
+    meta = cut(docs.select(*level), "exact-levels")
+    lengths = cut(meta.groupBy("n").count().filter("count > 1").select("n"), "exact-lengths")
+    pairs = meta.join(lengths, "n", "left_semi").groupBy("n", "prefix").count().filter("count > 1").select("n", "prefix")
+    pairs = cut(pairs, "exact-prefixes")
+    digest = F.sha2(norm, 256).alias("full")
+    rest = bits_filter(docs.select(F.col(id_col).alias("id"), F.col(text_col), F.length(text).alias("n_code"), *level), pairs, "n", "prefix")
+    rest = cut(rest.select("id", "n", "prefix", "n_code", F.xxhash64(text).alias("original"), digest).join(pairs, ["n", "prefix"], "left_semi"), "exact-full")
+    first = F.struct((-F.col("n_code")).alias("a"), F.col("id").isNull().alias("b"), "id", "original")
+    copies = rest.groupBy("n", "prefix", "full", "id", "n_code", "original").agg(F.count("*").alias("copies"))
+    groups = cut(copies.groupBy("n", "prefix", "full").agg(F.min(first).alias("best"), F.sum("copies").alias("size")).filter("size > 1"), "exact-groups")
+    judged = cut(copies.join(groups, ["n", "prefix", "full"]).withColumn("kept", first == F.col("best")), "exact-judged")
+    key = [F.col("id").alias("__id"), F.col("original").alias("__original")]
+
+    def of(rows: DataFrame, how: str, found: DataFrame) -> DataFrame:
+        """Rows that ``found`` names by id and text; as no join key, the text's hash is taken of rows with a matching id only."""
+        same_text = F.xxhash64(F.coalesce(rows[text_col], F.lit(""))).bitwiseXOR(found["__original"]) == 0
+        return rows.join(found, rows[id_col].eqNullSafe(found["__id"]) & same_text, how)
+
+    left = of(docs, "left_anti", judged.filter("NOT kept").select(*key))
+    repeated = judged.filter("kept AND copies > 1").select(*key)
+    if not repeated.isEmpty():
+        one = of(left, "left_semi", repeated).withColumn("__text", F.xxhash64(text)).dropDuplicates([id_col, "__text"])
+        left = of(left, "left_anti", repeated).unionByName(one.drop("__text"))
+    return left.select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

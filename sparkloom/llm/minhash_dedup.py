@@ -12,13 +12,14 @@ the similarity and drops unlikely pairs; full shingle sets confirm the rest.
 What can be missed: with all shingles retained (k or fewer) two documents linked at
 80 % or more always share a run, by the pigeonhole principle. Beyond that a pair
 exactly at 85 % shares none of its runs of 4 at k = 64 with a probability of about
-1e-8 (at 80 %: 1e-6), and the estimate drops it with one of about 1e-8.
+1e-8 (at 80 %: 1e-6), and the estimate drops it with one of about 1e-8. exact() gives
+rules that miss nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from sparkloom.llm.common import batches, cut, mix64, words_of
+from sparkloom.llm.common import batches, bits_filter, cut, discard, mix64, words_of
 
 
 @dataclass(frozen=True)
@@ -50,12 +51,17 @@ class Rules:
     least_estimate: float = 0.55
 
 
-#: Words whose hashes a worker keeps, about 15 MB.
-KNOWN_WORDS = 60_000
+def exact(rules: Rules) -> Rules:
+    """The same rules with every shingle retained: no pair is missed or estimated away, at the cost of lists over whole sets.
+
+    Of u shingles in the union at most a fifth differs; were all runs of common neighbours shorter than 4, there would be
+    fewer than 0.6 u + 3 of them, so above 15 a run of 4 is shared, and in small documents a run of 2.
+    """
+    return replace(rules, k=2**31 - 1)
 
 
-#: Bits of the filter in _of_ids: at most 131,072 rows of two longs are sent, about 2 MB.
-FILTER_BITS = 1 << 23
+#: Words whose hashes a worker keeps, about 15 MB.
+KNOWN_WORDS = 60_000
 
 
 class Shingler:
@@ -125,16 +131,8 @@ def full_sets(docs: DataFrame, id_col: str, text_col: str, rules: Rules) -> Data
 
 
 def _of_ids(docs: DataFrame, id_col: str, wanted: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is in ``wanted``, with few of the others moved.
-
-    A bitmap of FILTER_BITS hashed ids, of that fixed size whatever is wanted, is sent to the
-    scan and drops most other rows before the exact semi-join; when it fills up, it drops fewer.
-    """
-    place = F.pmod(F.xxhash64(id_col), F.lit(FILTER_BITS))
-    placed = lambda df: df.withColumn("__word", F.floor(place / 64)).withColumn("__at", (place % 64).cast("int")).withColumn("__bit", F.expr("shiftleft(1L, __at)"))
-    bitmap = placed(wanted).groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
-    hit = placed(docs).join(F.broadcast(bitmap), "__word").filter(F.col("__bits").bitwiseAND(F.col("__bit")) != 0)
-    return hit.select(*docs.columns).join(wanted, id_col, "left_semi")
+    """The rows of ``docs`` whose id is in ``wanted``, with few of the others moved."""
+    return bits_filter(docs, wanted, id_col).join(wanted, id_col, "left_semi")
 
 
 def _runs(sketch: Column, length: int) -> Column:
@@ -189,8 +187,10 @@ def components(links: DataFrame) -> DataFrame:
         least = labels.join(near, "id").select("id", "component", F.least("component", "near").alias("least"))
         jump = labels.select(F.col("id").alias("least"), F.col("component").alias("further"))
         moved = cut(least.join(jump, "least", "left").select("id", F.least("least", F.coalesce("further", "least")).alias("component"), F.col("component").alias("before")), "cc-labels")
+        discard(labels)
         labels = moved.select("id", "component")
         if moved.filter("component <> before").isEmpty():
+            discard(both)
             return labels
 
 

@@ -1,11 +1,17 @@
 """Mixing sources to target weights by Pfair scheduling, in DataFrame functions only.
 
 Documents of a source form blocks in a seeded random order. Block j (from 1) of a
-source with weight w may start in slot floor((j - 1) / w) and must end by slot
-ceil(j / w); earliest deadline first fills one slot after the other, so while no
-source has run out its number of blocks in the first t slots is less than one
-away from t * w. Weights are quotas of a period of slots; deadlines repeat
-with it, so one period is planned and all blocks take their slots from that plan.
+source with weight w, its share of all weights, may start in slot floor((j - 1) / w)
+and must end by slot ceil(j / w); earliest deadline first fills one slot after the
+other. So while no source has run out, its number of blocks in the first t slots
+is less than one away from t * w, for every t.
+
+Slots are planned in ranges, a row each, so that a plan is no single task. A range
+is longer than every window, so a block's window crosses one border at most. At a
+border each crossing block goes to one side: blocks with windows wholly before the
+border leave some slots there free, and earliest deadline first deals those out.
+Inside a range, earliest deadline first runs from one border's state to the next.
+Weights are integers throughout, so no rounding adds up.
 """
 
 from __future__ import annotations
@@ -16,10 +22,11 @@ from pyspark.sql.window import Window as W
 
 from sparkloom.llm.common import cut
 
-PERIOD = 1000
 BLOCK_DOCS = 16
 BUCKET_DOCS = 512
-MAX_SOURCES = 10_000
+RANGE_SLOTS = 1024
+#: Weights that are no small whole numbers are rounded to units of this part of their sum.
+UNITS = 1 << 28
 SEED = 42
 
 
@@ -28,94 +35,175 @@ def root_weights(docs: DataFrame, source_col: str = "source", power: float = 0.5
     return docs.groupBy(F.col(source_col).alias("source")).agg(F.pow(F.count("*").cast("double"), F.lit(power)).alias("weight"))
 
 
-def quotas(weights: DataFrame, period: int = PERIOD) -> DataFrame:
-    """source, s (number), quota: slots of a period by largest remainder, one at least so that no source is left out.
+def _div(a: Column, b: Column) -> Column:
+    return F.call_function("div", a, b)
 
-    weights: a row per source, at most MAX_SOURCES, else an error. A null or
-    non-positive weight gets one slot.
+
+def units(weights: DataFrame) -> DataFrame:
+    """source, s (number from 0), u (whole number), total (of all u): the target share of a source is u / total.
+
+    Whole weights with a sum of up to UNITS are used as they are; others are rounded to
+    the total's part of UNITS, one unit at least. A null or non-positive weight has
+    no share: u is 0 and s null. One small row a source.
     """
-    n = weights.count()
-    if n > MAX_SOURCES:
-        raise ValueError(f"{n} sources; a plan holds at most {MAX_SOURCES}")
     every = W.partitionBy(F.lit(1))
-    share = F.greatest(F.coalesce("weight", F.lit(0.0)), F.lit(0.0))
-    w = weights.select("source", share.alias("w")).withColumn("total", F.sum("w").over(every))
-    w = w.withColumn("exact", F.when(F.col("total") > 0, F.col("w") / F.col("total") * period).otherwise(0.0)).withColumn("whole", F.floor("exact"))
-    by_remainder = every.orderBy(F.desc(F.col("exact") - F.col("whole")), F.col("source").asc_nulls_first())
-    w = w.withColumn("left", F.lit(period) - F.sum("whole").over(every)).withColumn("extra", (F.row_number().over(by_remainder) <= F.col("left")) & (F.col("w") > 0))
-    quota = F.greatest(F.col("whole") + F.col("extra").cast("long"), F.lit(1)).cast("long")
-    return w.select("source", (F.row_number().over(every.orderBy(F.col("source").asc_nulls_first())) - 1).alias("s"), quota.alias("quota"))
-
-
-def _earliest(done: Column, quota: Column, period: Column, slot: Column) -> Column:
-    """Number of the released source with the earliest deadline; ties go to the smaller number."""
-    n = F.size(quota)
-    entry = F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.when(
-            F.floor(F.get(done, i) * period / F.get(quota, i)) <= slot,
-            F.struct(F.ceil((F.get(done, i) + 1) * period / F.get(quota, i)).alias("deadline"), i.alias("s")),
+    w = weights.select("source", F.greatest(F.coalesce(F.col("weight").cast("double"), F.lit(0.0)), F.lit(0.0)).alias("w"))
+    w = w.withColumn("sum", F.sum("w").over(every)).withColumn("whole", F.bool_and(F.col("w") == F.floor("w")).over(every) & (F.col("sum") <= UNITS))
+    scaled = F.greatest(F.lit(1), F.round(F.col("w") / F.col("sum") * UNITS)).cast("long")
+    u = F.when(F.col("w") == 0, F.lit(0).cast("long")).when(F.col("whole"), F.col("w").cast("long")).otherwise(scaled)
+    w = w.select("source", u.alias("u")).withColumn("total", F.sum("u").over(every))
+    number = F.row_number().over(W.partitionBy(F.col("u") > 0).orderBy(F.col("source").asc_nulls_first())) - 1
+    return w.select("source", F.when(F.col("u") > 0, number).alias("s"), "u", "total")
+
+
+def _frame(sized: DataFrame, range_slots: int) -> DataFrame:
+    """One row: q, the sources' (s, u, blocks) in order, total, span (slots of a range) and ranges.
+
+    Ranges are planned until all sources but the most lasting one have run out; that one goes on alone.
+    """
+    lasting = _div(F.col("blocks") * F.col("total") + F.col("u") - 1, F.col("u"))
+    row = sized.filter("u > 0").withColumn("lasts", lasting).groupBy("total").agg(F.array_sort(F.collect_list(F.struct("s", "u", "blocks"))).alias("q"), F.min("u").alias("least"), F.array_sort(F.collect_list("lasts")).alias("lasts"))
+    span = F.greatest(F.lit(range_slots).cast("long"), _div(F.col("total"), F.col("least")) + 3)
+    second = F.coalesce(F.get("lasts", F.size("lasts") - 2), F.lit(0).cast("long"))
+    row = row.withColumn("span", span).withColumn("ranges", _div(second + F.col("span") - 1, F.col("span")))
+    return cut(row.select("total", "q", "span", "ranges"), "mix-frame")
+
+
+def _borders(frame: DataFrame, ranges: int) -> DataFrame:
+    """k, total, q, span, done: how many blocks of each source come before slot k * span, for k from 0 to ``ranges``."""
+    spark = frame.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ks = spark.range(0, ranges + 1, 1, min(ranges + 1, most)).select(F.col("id").alias("k"), F.lit(1).alias("one"))
+    rows = ks.join(F.broadcast(frame.withColumn("one", F.lit(1))), "one").drop("one")  # one row of three numbers a source
+    b, total = F.col("k") * F.col("span"), F.col("total")
+    base = F.transform(
+        "q",
+        lambda x: F.struct(
+            x["s"].alias("s"),
+            x["u"].alias("u"),
+            _div(b * x["u"], total).alias("base"),
+            (F.pmod(b * x["u"], total) > 0).alias("open"),
         ),
     )
-    return F.array_min(entry)["s"]
+    rows = rows.withColumn("x", base)
+    crossing = F.transform(
+        F.filter("x", lambda x: x["open"]),
+        lambda x: F.struct(_div((x["base"] + 1) * total + x["u"] - 1, x["u"]).alias("deadline"), x["s"].alias("s"), _div(x["base"] * total, x["u"]).alias("release")),
+    )
+    rows = rows.withColumn("crossing", crossing).withColumn("room", b - F.aggregate("x", F.lit(0).cast("long"), lambda n, x: n + x["base"]))
+
+    def inside(a: Column) -> Column:
+        """Blocks with windows wholly in [a, border)."""
+        return F.aggregate("x", F.lit(0).cast("long"), lambda n, x: n + F.greatest(F.lit(0).cast("long"), x["base"] - _div(a * x["u"] + total - 1, total)))
+
+    def step(state: Column, a: Column) -> Column:
+        left = F.least(state["left"], b - a - 1 - inside(a + 1))
+        return F.struct(left.alias("left"), F.when(left < state["left"], F.array_append(state["free"], a)).otherwise(state["free"]).alias("free"))
+
+    first = F.array_min(F.transform("crossing", lambda c: c["release"]))
+    slots = F.when(F.col("room") > 0, F.sequence(first, b - 1)).otherwise(F.array().cast("array<bigint>"))
+    free = F.aggregate(slots, F.struct(F.col("room").alias("left"), F.array().cast("array<bigint>").alias("free")), step, lambda s: s["free"])
+    rows = rows.withColumn("free", free)
 
+    def deal(state: Column, p: Column) -> Column:
+        chosen = F.array_min(F.filter(state["rest"], lambda c: c["release"] <= p))["s"]
+        return F.struct(F.filter(state["rest"], lambda c: c["s"] != chosen).alias("rest"), F.array_append(state["before"], chosen).alias("before"))
 
-def plan(quota: DataFrame) -> DataFrame:
-    """s, turn, slot, period: the slot of each source's turn in one period. One small row in, at most period rows out."""
-    row = quota.agg(F.array_sort(F.collect_list(F.struct("s", "quota"))).alias("q")).filter(F.size("q") > 0)
-    row = row.select(F.transform("q", lambda x: x["quota"]).alias("q")).withColumn("period", F.aggregate("q", F.lit(0).cast("long"), lambda a, x: a + x))
-    start = F.struct(F.transform("q", lambda _: F.lit(0).cast("long")).alias("done"), F.array().cast("array<int>").alias("order"))
+    before = F.aggregate("free", F.struct(F.col("crossing").alias("rest"), F.array().cast("array<int>").alias("before")), deal, lambda s: s["before"])
+    rows = rows.withColumn("before", before)
+    done = F.transform("x", lambda x: x["base"] + F.array_contains("before", x["s"]).cast("long"))
+    return cut(rows.select("k", "total", "q", "span", done.alias("done")), "mix-borders")
+
+
+def plan(borders: DataFrame) -> DataFrame:
+    """s, block (from 0), slot: earliest deadline first in each range; blocks that their source has."""
+    until = borders.select((F.col("k") - 1).alias("k"), F.col("done").alias("until"))
+    rows = borders.join(until, "k")
+    total, start = F.col("total"), F.col("k") * F.col("span")
+    end = start + F.col("span")
+    never = F.lit((1 << 62)).cast("long")
+
+    def job(s: Column, u: Column, j: Column, last: Column) -> Column:
+        """Deadline, source, number and release of a source's block j; it waits for ever beyond its last one in this range."""
+        due = F.least(end, _div(j * total + u - 1, u))
+        release = F.when(j <= last, _div((j - 1) * total, u)).otherwise(never)
+        return F.struct(due.alias("deadline"), s.alias("s"), j.alias("j"), release.alias("release"), u.alias("u"), last.alias("last"))
+
+    jobs = F.transform("q", lambda x, i: job(x["s"], x["u"], F.get("done", i) + 1, F.get("until", i)))
 
     def step(state: Column, slot: Column) -> Column:
-        chosen = _earliest(state["done"], F.col("q"), F.col("period"), slot)
-        done = F.transform(state["done"], lambda x, i: x + F.when(i == chosen, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long")))
-        return F.struct(done.alias("done"), F.concat(state["order"], F.array(chosen)).alias("order"))
+        chosen = F.array_min(F.filter(state["jobs"], lambda x: x["release"] <= slot))
+        after = F.transform(state["jobs"], lambda x: F.when(x["s"] == chosen["s"], job(x["s"], x["u"], x["j"] + 1, x["last"])).otherwise(x))
+        return F.struct(after.alias("jobs"), F.array_append(state["order"], F.struct(chosen["s"].alias("s"), (chosen["j"] - 1).alias("block"), slot.alias("slot"))).alias("order"))
+
+    def some(state: Column, at: Column) -> Column:
+        """A few hundred slots at a time, so that no long array is copied for every slot."""
+        part = F.aggregate(F.sequence(at, F.least(at + 255, end - 1)), F.struct(state["jobs"].alias("jobs"), none.alias("order")), step)
+        return F.struct(part["jobs"].alias("jobs"), F.concat(state["order"], F.filter(part["order"], lambda x: x["block"] < F.get("q", x["s"])["blocks"])).alias("order"))
 
-    slots = F.sequence(F.lit(0).cast("long"), F.col("period") - 1)
-    order = row.select("period", F.posexplode(F.aggregate(slots, start, step, lambda s: s["order"])).alias("slot", "s"))
-    turn = F.row_number().over(W.partitionBy("s").orderBy("slot")) - 1
-    return order.select("s", turn.cast("long").alias("turn"), F.col("slot").cast("long"), "period")
+    none = F.array().cast("array<struct<s: int, block: bigint, slot: bigint>>")
+    order = F.aggregate(F.sequence(start, end - 1, F.lit(256).cast("long")), F.struct(jobs.alias("jobs"), none.alias("order")), some, lambda s: s["order"])
+    return rows.select(F.inline(order))
 
 
-def schedule(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", source_col: str = "source", block_docs: int = BLOCK_DOCS, period: int = PERIOD) -> DataFrame:
+def _places(keys: DataFrame, sized: DataFrame, id_col: str, source_col: str, block_docs: int) -> DataFrame:
+    """``keys`` with _s, _tail, _end, mix_block and mix_offset: rows numbered in each source by a seeded draw.
+
+    Rows are dealt to buckets of about BUCKET_DOCS by their draw, numbered there, and sizes of buckets
+    are summed in two steps, so a window task of a source holds one row for BUCKET_DOCS ** 2 documents.
+    """
+    small = sized.select(F.col("source").alias("_source"), F.col("n").alias("_g"), "_s", "_tail", "_end", "_buckets")
+    draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(SEED)), F.lit(1 << 31).cast("long"))
+    dealt = keys.withColumn("_draw", draw).join(small, F.col(source_col).eqNullSafe(F.col("_source"))).drop("_source")
+    dealt = dealt.withColumn("_bucket", F.floor(F.col("_draw") * F.col("_buckets") / F.lit(1 << 31)))
+    sizes = cut(dealt.groupBy("_g", "_bucket").count().withColumn("_part", F.floor(F.col("_bucket") / BUCKET_DOCS)), "mix-buckets")
+    earlier = lambda w: F.coalesce(F.sum("count").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    parts = sizes.groupBy("_g", "_part").agg(F.sum("count").alias("count")).select("_g", "_part", earlier(W.partitionBy("_g").orderBy("_part")).alias("_base"))
+    inner = sizes.select("_g", "_part", "_bucket", earlier(W.partitionBy("_g", "_part").orderBy("_bucket")).alias("_inner"))
+    offsets = cut(inner.join(parts, ["_g", "_part"]).select("_g", "_bucket", (F.col("_base") + F.col("_inner")).alias("_before")), "mix-offsets")
+    row = F.row_number().over(W.partitionBy("_g", "_bucket").orderBy("_draw", F.col(id_col))) - 1
+    placed = dealt.withColumn("_row", row).join(offsets, ["_g", "_bucket"]).withColumn("_row", F.col("_before") + F.col("_row"))
+    return placed.withColumn("mix_block", F.floor(F.col("_row") / block_docs)).withColumn("mix_offset", F.col("_row") % block_docs)
+
+
+def schedule(docs: DataFrame, weights: DataFrame, id_col: str = "doc_id", source_col: str = "source", block_docs: int = BLOCK_DOCS, range_slots: int = RANGE_SLOTS) -> DataFrame:
     """``docs`` with mix_block (number of its block in the source), mix_slot and mix_offset; all rows, in no order.
 
     The mixed order is by (mix_slot, mix_offset). A null source is a source of its
-    own; a source missing from ``weights`` gets one slot a period. When a source has
-    no more blocks its slots stay empty and the others go on in proportion. Rows
-    with equal ids are separate documents. Columns of ``docs`` with the added names
-    are replaced. Hot sources: rows are numbered in buckets of about BUCKET_DOCS
-    rows and the buckets' sizes are summed, so no task holds a whole source.
+    own. When a source has no more blocks its slots stay empty and the others go on in
+    proportion; the last one left takes slot after slot. A source missing from ``weights``, or
+    with a null or non-positive weight, is no part of the mix: its rows stay, with a null mix_slot. Rows
+    with equal ids are separate documents. Columns of ``docs`` with the added names are replaced.
+    The plan's work is slots x sources; a range is at least as long as the smallest weight's window.
     """
-    spark = docs.sparkSession
     docs = docs.drop("mix_block", "mix_slot", "mix_offset")
     sources = docs.groupBy(F.col(source_col).alias("source")).count()
-    listed = sources.alias("n").join(weights.alias("w"), F.col("n.source").eqNullSafe(F.col("w.source")), "left").select("n.source", "weight")
-    quota = cut(quotas(listed, period), "mix-quota")
-    turns = cut(plan(quota), "mix-plan")
-    sized = sources.alias("n").join(quota.alias("q"), F.col("n.source").eqNullSafe(F.col("q.source"))).select("n.source", "s", "quota", F.ceil(F.col("count") / BUCKET_DOCS).alias("n_buckets"))
-    sized = cut(sized, "mix-sources").withColumnsRenamed({"source": "_source", "s": "_s", "quota": "_quota", "n_buckets": "_n"})
-    draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(SEED)), F.lit(1 << 31).cast("long"))
-    dealt = docs.withColumn("_draw", draw).join(sized, F.col(source_col).eqNullSafe(F.col("_source"))).drop("_source")
-    dealt = dealt.withColumn("_bucket", F.floor(F.col("_draw") * F.col("_n") / F.lit(1 << 31)))
-    sizes = dealt.groupBy("_s", "_bucket").count()
-    before = F.sum("count").over(W.partitionBy("_s").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1))
-    offsets = cut(sizes.select("_s", "_bucket", F.coalesce(before, F.lit(0)).alias("_before")), "mix-offsets")
-    within = F.row_number().over(W.partitionBy("_s", "_bucket").orderBy("_draw", F.col(id_col)))
-    placed = dealt.withColumn("_row", within).join(offsets, ["_s", "_bucket"]).withColumn("_row", F.col("_before") + F.col("_row") - 1)
-    placed = placed.withColumn("mix_block", F.floor(F.col("_row") / block_docs)).withColumn("mix_offset", F.col("_row") % block_docs)
-    placed = placed.withColumn("_turn", F.col("mix_block") % F.col("_quota"))
-    turns = turns.withColumnsRenamed({"s": "_s", "turn": "_turn", "slot": "_slot", "period": "_period"})
-    slot = F.floor(F.col("mix_block") / F.col("_quota")) * F.col("_period") + F.col("_slot")
-    return placed.join(turns, ["_s", "_turn"]).withColumn("mix_slot", slot).select(*docs.columns, "mix_block", "mix_slot", "mix_offset")
+    listed = cut(sources.alias("n").join(weights.alias("w"), F.col("n.source").eqNullSafe(F.col("w.source")), "left").select("n.source", "count", "weight"), "mix-sources")
+    number = (F.row_number().over(W.partitionBy(F.lit(1)).orderBy(F.col("a.source").asc_nulls_first())) - 1).alias("n")
+    sized = listed.alias("a").join(units(listed).alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")))
+    sized = cut(sized.select(number, "a.source", "s", "u", "total", F.ceil(F.col("count") / block_docs).alias("blocks"), F.ceil(F.col("count") / BUCKET_DOCS).alias("_buckets")), "mix-units")
+    frame = _frame(sized, range_slots)
+    head = frame.select("ranges", "span").first()
+    ranges, span = (head.ranges, head.span) if head else (0, 0)
+    borders = _borders(frame, ranges)
+    turns = cut(plan(borders), "mix-plan")
+    last = borders.filter(F.col("k") == ranges).select(F.posexplode("done").alias("s", "_tail"))
+    sized = cut(sized.join(last, "s", "left").select("n", "source", F.col("s").alias("_s"), "_tail", F.lit(ranges * span).alias("_end"), "_buckets"), "mix-sized")
+    placed = _places(docs, sized, id_col, source_col, block_docs)
+    turns = turns.select(F.col("s").alias("_s"), F.col("block").alias("mix_block"), F.col("slot").alias("_slot"))
+    alone = F.col("_end") + F.col("mix_block") - F.col("_tail")
+    return placed.join(turns, ["_s", "mix_block"], "left").withColumn("mix_slot", F.coalesce("_slot", alone)).select(*docs.columns, "mix_block", "mix_slot", "mix_offset")
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", places: str | None = None, **options) -> DataFrame:
-    """All rows of ``docs`` in mixed order, with their own columns; the default weights are root_weights.
-
-    Only ids and sources go through the scheduling; the other columns are moved once to
-    meet their place and once into order. Rows with equal id and source share a place.
-    places: a path to write the places to as well: id_col, source_col, mix_slot, mix_offset.
+    """All rows of ``docs`` with their own columns; the default weights are root_weights.
+
+    Only ids and sources go through the scheduling. The other columns are moved once, at any
+    size, to meet their place: rows are dealt by id, and each partition is in mixed
+    order, so a file is an even share of the mix that interleaves the sources by weight. The exact
+    order of all rows is in the places. Rows with equal id and source share a place; rows of
+    sources outside the mix come last.
+    places: a path to write the places to: id_col, source_col, mix_slot, mix_offset.
     """
     keys = docs.select(F.col(id_col).alias("__id"), F.col(source_col).alias("__source")).distinct()
     keys = cut(keys, "mix-keys")
@@ -124,8 +212,8 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id
     placed = cut(placed.select("__id", "__source", F.col("mix_slot").alias("__slot"), F.col("mix_offset").alias("__offset")), "mix-places")
     if places:
         placed.toDF(id_col, source_col, "mix_slot", "mix_offset").write.mode("overwrite").parquet(places)
-    found = docs.join(placed, F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source")))
-    return found.repartitionByRange("__slot", "__offset").sortWithinPartitions("__slot", "__offset").select(*docs.columns)
+    found = docs.join(placed.hint("merge"), F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source")))
+    return found.sortWithinPartitions(F.col("__slot").asc_nulls_last(), "__offset").select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

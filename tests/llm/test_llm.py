@@ -90,6 +90,8 @@ def test_exact_of_odd_rows(spark):
     got = {r.doc_id: r for r in exact_dedup.duplicate_groups(documents(spark)).collect()}
     assert {got[i].keep_id for i in (0, 1, 2)} == {2} and got[2].group_size == 3  # the longest original of the empty ones
     assert {got[i].keep_id for i in (9, 10, 11)} == {9} and got[11].text_sha256 != got[9].text_sha256 or got[11].keep_id == 11
+    repeated = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, "ab"), (None, ""), (None, ""), (4, "z"), (4, "z"), (1, "q"), (3, "a b")], "doc_id long, text string")
+    assert sorted(((r.doc_id, r.text) for r in exact_dedup.exact_dedup(repeated).collect()), key=str) == [(1, "a b"), (1, "q"), (4, "z"), (None, "")]
     kept = exact_dedup.exact_dedup(documents(spark))
     assert ids(kept) == [2, 3, 4, 5, 6, 7, 8, 9, 11, 12] and "kept" in kept.columns
     nulls = spark.createDataFrame([(None, "t"), (5, "t"), (None, None)], "doc_id long, text string")
@@ -171,6 +173,15 @@ def test_pairs_of_a_star_that_share_much_outside_the_centre(spark):
     assert sorted(map(tuple, got.collect())) == [(2, 3)]
 
 
+def test_near_duplicates_without_estimates(spark):
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(300)}" for _ in range(400)]
+    found = [" ".join(rng.choice(base) if rng.random() < rate else w for w in base) for rate in (0, 0.005, 0.01, 0.02) for _ in range(6)] + ["a b c", "a b c d", "a b c"]
+    rules = minhash_dedup.exact(minhash_dedup.Rules())
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash_dedup.near_duplicates(documents(spark, found, extra=False), rules=rules).collect()}
+    assert got == components(dict(enumerate(found)), 5, 80)
+
+
 def test_near_of_odd_rows(spark):
     got = {r.doc_id: r for r in minhash_dedup.near_duplicates(documents(spark)).collect()}
     assert [got[i].component_id for i in (0, 1, 2, 9, 10)] == [0, 1, 2, 9, 9] and got[0].n_shingles == 0
@@ -243,23 +254,69 @@ def test_decoding_of_ids(spark):
 # mixing
 
 
-@pytest.mark.parametrize("quota", [[5, 3, 2], [1], [7, 1, 1, 1], [11, 40, 3, 3, 17, 29]])
-def test_plans_stay_within_a_block(spark, quota):
-    rows = sorted(mixing.plan(spark.createDataFrame([(str(i), i, q) for i, q in enumerate(quota)], "source string, s int, quota long")).collect(), key=lambda r: r.slot)
-    period, done = sum(quota), [0] * len(quota)
-    assert [r.slot for r in rows] == list(range(period))
-    for t, r in enumerate(rows, 1):
-        done[r.s] += 1
-        assert max(abs(d - t * q / period) for d, q in zip(done, quota, strict=True)) < 1
-    assert done == quota
+def slots_are_fair(u, blocks, span, got):
+    """Every block in the window of its exact weight, a slot for one block only, all sources whole but the most lasting one."""
+    total = sum(u)
+    for s, block, slot in got:
+        assert block * total // u[s] <= slot < -(-(block + 1) * total // u[s])
+    assert len({slot for _, _, slot in got}) == len(got) == len({(s, b) for s, b, _ in got})
+    lasting = sorted(range(len(u)), key=lambda i: -(-blocks[i] * total // u[i]))
+    assert {(s, b) for s, b, _ in got} >= {(s, b) for s in lasting[:-1] for b in range(blocks[s])}
+
+
+@pytest.mark.parametrize("u,blocks,span", [([1, 1, 1], [40, 30, 30], 4), ([1], [5], 4), ([7, 1, 1, 1], [90, 10, 12, 9], 4), ([11, 40, 3, 3, 17, 29], [60, 200, 11, 40, 90, 140], 8), ([5, 17, 2, 29, 1, 1], [70, 80, 30, 90, 8, 3], 1024)])
+def test_blocks_keep_their_windows(spark, u, blocks, span):
+    rows = [(f"s{i}", i, x, sum(u), n) for i, (x, n) in enumerate(zip(u, blocks, strict=True))]
+    frame = mixing._frame(spark.createDataFrame(rows, "source string, s int, u long, total long, blocks long"), span)
+    got = [tuple(r) for r in mixing.plan(mixing._borders(frame, frame.first().ranges)).select("s", "block", "slot").collect()]
+    slots_are_fair(u, blocks, span, got)
+    # lag below one block over the slots that all sources fill
+    full = min(n * sum(u) // x for n, x in zip(blocks, u, strict=True))
+    done, order = [0] * len(u), {slot: s for s, _, slot in got}
+    for t in range(min(full, len(order))):
+        done[order[t]] += 1
+        assert all(abs(d * sum(u) - (t + 1) * x) < sum(u) for d, x in zip(done, u, strict=True))
+
+
+def test_units_of_weights(spark):
+    rows = [("a", 1.0), ("b", 2.0), (None, 4.0), ("z", 0.0), ("n", None)]
+    got = {r.source: r for r in mixing.units(spark.createDataFrame(rows, "source string, weight double")).collect()}
+    assert (got["a"].u, got["b"].u, got[None].u, got["z"].u, got["z"].s, got["n"].s) == (1, 2, 4, 0, None, None) and got["a"].total == 7
+    got = mixing.units(spark.createDataFrame([(str(i), 0.3) for i in range(3)], "source string, weight double")).collect()
+    assert len({r.u for r in got}) == 1 and sorted(r.s for r in got) == [0, 1, 2]
+
+
+def test_mixing_query_against_brute_force(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(mixing.SEED)), F.lit(1 << 31))
+    per = defaultdict(list)
+    for r in docs.select("doc_id", "source", draw.alias("d")).collect():
+        per[r.source].append((r.d, r.doc_id))
+    got = {r.doc_id: r for r in mixing.query(spark, data).collect()}
+    assert len(got) == docs.count()
+    names = sorted(per)
+    weight = [len(per[n]) ** 0.5 for n in names]
+    u = [round(w / sum(weight) * mixing.UNITS) for w in weight]
+    slots = []
+    for s, n in enumerate(names):
+        for i, (_, x) in enumerate(sorted(per[n])):
+            assert (got[x].mix_block, got[x].mix_offset) == divmod(i, mixing.BLOCK_DOCS)
+        slots += sorted({(s, got[x].mix_block, got[x].mix_slot) for _, x in per[n]})
+    blocks = [-(-len(per[n]) // mixing.BLOCK_DOCS) for n in names]
+    lasting = max(range(len(u)), key=lambda i: -(-blocks[i] * sum(u) // u[i]))
+    planned = max(slot for s, _, slot in slots if s != lasting)
+    slots_are_fair(u, blocks, mixing.RANGE_SLOTS, [x for x in slots if x[0] != lasting or x[2] <= planned])
 
 
 def test_schedule_places_every_row_once(spark):
     df = spark.createDataFrame([(i, None if i % 7 == 0 else "hot" if i % 2 else f"s{i % 5}") for i in range(3000)], "doc_id long, source string")
-    weights = spark.createDataFrame([("hot", 1.0), ("s0", 3.0), (None, 1.0)], "source string, weight double")
-    got = mixing.schedule(df, weights, block_docs=4, period=20).toPandas()
-    assert len(got) == 3000 and got.groupby(["mix_slot", "mix_offset"]).size().max() == 1
-    assert got.groupby("mix_slot").source.nunique(dropna=False).max() == 1
+    weights = spark.createDataFrame([("hot", 1.0), ("s0", 3.0), (None, 1.0), ("s2", 0.0), ("s4", 2.0)], "source string, weight double")
+    got = mixing.schedule(df, weights, block_docs=4, range_slots=20).toPandas()
+    outside = got[got.mix_slot.isna()]
+    assert len(got) == 3000 and set(outside.source) == {"s1", "s2", "s3"} & set(df.toPandas().source)
+    inside = got[got.mix_slot.notna()]
+    assert inside.groupby(["mix_slot", "mix_offset"]).size().max() == 1
+    assert inside.groupby("mix_slot").source.nunique(dropna=False).max() == 1
     for _, g in got.groupby(got.source.fillna("none")):
         assert sorted(g.mix_block * 4 + g.mix_offset) == list(range(len(g)))
 
