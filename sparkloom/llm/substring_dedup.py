@@ -5,10 +5,11 @@ corpus. The corpus is packed into shards of a few megabytes, each one row of a
 table. Recurring passages are confirmed in two steps that move hashes only, packed
 by shard: the smallest phrase hash of each window (equal windows have equal ones)
 tells which windows can recur in another shard, then those windows' hashes tell
-where each starts first. A shard then compiles the passages that recur in it into
-its own Aho-Corasick automaton over word numbers and streams all its documents
-through it to locate every occurrence. So automata grow with a shard, not with
-the corpus.
+which of them start earlier elsewhere. What comes back are passages, not places: a
+shard compiles phrases of its confirmed passages into an Aho-Corasick automaton over word numbers
+and streams all its documents through it. Only windows at a phrase that the automaton
+found are compared, word by word, with the passages, and are removed where they match. So
+automata grow with a shard, not with the corpus.
 """
 
 from __future__ import annotations
@@ -20,16 +21,21 @@ import ahocorasick
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import batches, cut, mix64, words_of
+from sparkloom.llm.common import batches, cut, mix64, ragged
 
 SHARD_BYTES = 4 << 20
 SHARDS_A_BUCKET = 4
 LAST = np.iinfo(np.int64).max
 WINDOW_ROW = np.dtype([("hash", "<u8"), ("check", "<u4"), ("doc", "<i8")])
+#: Bits of a letter in _letters, and a code point from which on there are no surrogates.
+BASE_BITS, FIRST_LETTER = 6, 0x10000
+LETTER_VALUES = np.random.default_rng(11).integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+POWERS = np.cumprod(np.full(64, 0xD6E8FEB86659FD93, np.uint64))
 STEP1, STEP2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -41,96 +47,135 @@ class Passage:
     phrase: int = 6
 
 
-def shards(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """shard, payload: documents packed as compressed Arrow streams of about SHARD_BYTES, written once."""
+def _parsed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """One row: the documents of a batch in the order of their ids, as word numbers and the words that these stand for."""
+    batch = batch.take(pc.sort_indices(pa.table({"id": batch.column(0), "at": np.arange(batch.num_rows)}), [("id", "ascending"), ("at", "ascending")]))
+    pieces = pc.ascii_split_whitespace(batch.column(1))  # at exactly SEPARATORS, with '' at the ends
+    flat = pieces.flatten()
+    real = pc.not_equal(flat, "")
+    words = flat.filter(real).dictionary_encode()
+    owner = np.asarray(pc.list_parent_indices(pieces))[np.asarray(real)]
+    wide = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+    columns = {
+        "ids": wide(batch.column(0)),
+        "sizes": wide(pa.array(np.bincount(owner, minlength=batch.num_rows).astype(np.int32))),
+        "numbers": wide(words.indices),
+        "words": wide(words.dictionary.cast(pa.binary())),
+    }
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def _hashes(words: pa.BinaryArray) -> np.ndarray:
+    """A 64-bit hash of each word: of short ones a polynomial over a table of random numbers, as arrays; of the others xxHash."""
+    found = np.zeros(len(words), np.uint64)
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64) if len(words) else np.zeros(1, np.int64)
+    length = np.diff(ends)
+    short = np.flatnonzero(length <= len(POWERS))
+    if len(short):
+        n = length[short]
+        raw = np.frombuffer(words.buffers()[2], np.uint8)
+        first = np.cumsum(n) - n
+        value = LETTER_VALUES[raw[ragged(ends[:-1][short], n)]] * POWERS[ragged(np.zeros(len(n), np.int64), n)]
+        found[short] = mix64(np.add.reduceat(value, first) + n.astype(np.uint64))
+    for i in np.flatnonzero(length > len(POWERS)).tolist():
+        found[i] = xxhash.xxh3_64_intdigest(words[i].as_py())
+    return found
+
+
+def shards(docs: DataFrame, id_col: str, text_col: str, rules: Passage) -> DataFrame:
+    """shard, payload, anchors: documents parsed and packed as compressed Arrow streams of about SHARD_BYTES of text, written once."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def run(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(found, "text", SHARD_BYTES):
+            parsed = _parsed(batch)
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_batch(batch)
-            yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["payload"])
-
-    packed = rows.mapInArrow(run, "payload binary")
-    return cut(packed.select(F.monotonically_increasing_id().alias("shard"), "payload"), "passages-shards")
+            with pa.ipc.new_stream(sink, parsed.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(parsed)
+            own = np.unique(Shard(parsed, rules).anchors()[0])
+            yield pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([own.tobytes()], pa.binary())], names=["payload", "anchors"])
+
+    packed = rows.mapInArrow(run, "payload binary, anchors binary")
+    return cut(packed.select(F.monotonically_increasing_id().alias("shard"), "payload", "anchors"), "passages-shards")
+
+
+def _grams(word: np.ndarray, size: int, step: np.uint64) -> np.ndarray:
+    """Hash of each ``size`` words in a row, from hashes of halves."""
+    if size > len(word):
+        return np.zeros(0, np.uint64)
+    with np.errstate(over="ignore"):
+        whole, length, part, reach, power = None, 0, word, 1, step
+        while True:
+            if size & reach:
+                n = len(word) - length - reach + 1
+                whole = part if whole is None else whole[:n] * power + part[length : length + n]
+                length += reach
+            if length == size:
+                return mix64(whole)
+            part, reach, power = part[: len(part) - reach] * power + part[reach:], reach * 2, power * power
 
 
 class Shard:
     """The documents of a shard in the order of their ids, with hashes of all windows."""
 
-    def __init__(self, payload: bytes, rules: Passage):
-        table = pa.ipc.open_stream(payload).read_all()
-        ids = np.array([LAST if i is None else i for i in table.column("id").to_pylist()], np.int64)
-        order = np.argsort(ids, kind="stable")
-        texts = table.column("text").to_pylist()
-        self.rules, self.null = rules, [table.column("id")[int(i)].as_py() is None for i in order]
-        self.ids = ids[order]
-        self.words = [words_of(texts[i]) for i in order]
-        self.sizes = np.fromiter(map(len, self.words), np.int64, len(self.words))
-        flat = [w for words in self.words for w in words]
-        number = {w: i for i, w in enumerate(dict.fromkeys(flat))}
-        self.number = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in number), np.uint64, len(number))
-        word = hashes[self.number] if len(flat) else np.zeros(0, np.uint64)
-        doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        end = np.cumsum(self.sizes)
-        start = np.flatnonzero(np.arange(len(flat)) + rules.window <= end[doc]) if len(flat) else np.zeros(0, np.int64)
-        self.start, self.doc = start, doc[start]
-        self.word = word
-        self.hash = self._grams(word, rules.window, STEP1)[start]
-
-    def _grams(self, word: np.ndarray, size: int, step: np.uint64) -> np.ndarray:
-        n = max(0, len(word) - size + 1)
-        x = np.zeros(n, np.uint64)
-        for o in range(size):
-            x = x * step + word[o : o + n]
-        return mix64(x)
+    def __init__(self, parsed: pa.RecordBatch, rules: Passage):
+        self.rules = rules
+        self.ids, sizes, numbers, self.words = (parsed.column(i).values for i in range(4))
+        self.sizes = np.asarray(sizes).astype(np.int64)
+        self.number = np.asarray(numbers)
+        self.word = _hashes(self.words)[self.number] if len(self.number) else np.zeros(0, np.uint64)
+        self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.end = np.cumsum(self.sizes)
+        self.start = np.flatnonzero(np.arange(len(self.number)) + rules.window <= self.end[self.owner]) if len(self.number) else np.zeros(0, np.int64)
+        self.hash = _grams(self.word, rules.window, STEP1)[self.start]
+
+    @staticmethod
+    def read(payload: pa.Buffer, rules: Passage) -> Shard:
+        return Shard(next(iter(pa.ipc.open_stream(payload))), rules)
+
+    def doc_keys(self, windows: np.ndarray) -> np.ndarray:
+        ids = np.array([LAST if i is None else i for i in self.ids.to_pylist()], np.int64)
+        return ids[self.owner[self.start[windows]]]
 
     def checks(self) -> np.ndarray:
         """A second hash of each window, independent of the first."""
-        return (self._grams(mix64(self.word + STEP2), self.rules.window, STEP2)[self.start] >> np.uint64(32)).astype(np.uint32)
+        return (_grams(mix64(self.word + STEP2), self.rules.window, STEP2)[self.start] >> np.uint64(32)).astype(np.uint32)
 
-    def anchors(self) -> np.ndarray:
-        """The smallest phrase hash in each window."""
-        least = self._grams(self.word, self.rules.phrase, STEP2)
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """The smallest phrase hash in each window, one for each stretch of windows that share it, and the stretches' lengths."""
+        least = _grams(self.word, self.rules.phrase, STEP2)
         left, reach = self.rules.window - self.rules.phrase + 1, 1
         while reach < left:  # doubles the reach of the running minimum
             step = min(reach, left - reach)
             least = np.minimum(least[: len(least) - step], least[step:])
             reach += step
-        return least[self.start]
+        least = least[self.start]
+        at = np.flatnonzero(np.r_[True, least[1:] != least[:-1]]) if len(least) else np.zeros(0, np.int64)
+        return least[at], np.diff(np.r_[at, len(least)])
 
-    def firsts(self) -> np.ndarray:
-        """Marks windows that start nowhere earlier in this shard."""
-        first = np.zeros(len(self.hash), bool)
-        if len(self.hash):
-            order = np.argsort(self.hash, kind="stable")
-            h = self.hash[order]
-            first[order[np.r_[True, h[1:] != h[:-1]]]] = True
-        return first
 
-
-def _by_bucket(values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order that groups values by bucket, and where each bucket begins."""
+def _by_bucket(values: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order that groups values by bucket, the buckets met, and where each begins (and the last ends)."""
     bucket = (mix64(values) % np.uint64(n)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(n + 1))
+    used, begin = np.unique(bucket[order], return_index=True)
+    return order, used, np.r_[begin, len(values)].astype(np.int64)
 
 
 def _packed(shard: int, rows: np.ndarray, keys: np.ndarray, n: int) -> pa.RecordBatch:
-    order, ends = _by_bucket(keys, n)
-    used = [b for b in range(n) if ends[b + 1] > ends[b]] if n < 4096 else np.flatnonzero(np.diff(ends)).tolist()
-    blobs = [rows[order[ends[b] : ends[b + 1]]].tobytes() for b in used]
+    """A blob of rows for each bucket; with very many shards it holds one row, as in any other shuffle."""
+    order, used, begin = _by_bucket(keys, n)
+    blobs = [rows[order[a:b]].tobytes() for a, b in zip(begin[:-1].tolist(), begin[1:].tolist(), strict=True)]
     return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([shard] * len(used), pa.int64()), pa.array(blobs, pa.binary())], names=["bucket", "shard", "blob"])
 
 
 def _unpacked(marks: list[dict] | None, keys: np.ndarray, n: int) -> np.ndarray:
     """The marks that came back for the rows that _packed sent."""
     found = np.zeros(len(keys), bool)
-    order, ends = _by_bucket(keys, n)
+    order, used, begin = _by_bucket(keys, n)
     for m in marks or []:
-        at = order[ends[m["bucket"]] : ends[m["bucket"] + 1]]
+        k = int(np.searchsorted(used, m["bucket"]))
+        at = order[begin[k] : begin[k + 1]]
         found[at] = np.unpackbits(np.frombuffer(m["marks"], np.uint8), count=len(at)).astype(bool)
     return found
 
@@ -160,48 +205,98 @@ def _not_first(group: pd.DataFrame) -> pd.DataFrame:
     return _answer(group, marks, sizes)
 
 
-def _candidates(shard: Shard, marks: list[dict] | None, n: int) -> np.ndarray:
-    """First windows of the shard that hold an anchor which another shard has too."""
-    anchors = shard.anchors()
-    own = np.unique(anchors)
-    recurring = own[_unpacked(marks, own, n)]
-    at = np.minimum(np.searchsorted(recurring, anchors), max(0, len(recurring) - 1))
-    return np.flatnonzero(shard.firsts() & (recurring[at] == anchors)) if len(recurring) else np.zeros(0, np.int64)
+def _candidates(shard: Shard, marks: list[dict] | None, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Windows (first in the shard) that recur in it or can elsewhere, how often they do in the shard, and whether another shard has their anchor."""
+    anchors, lengths = shard.anchors()
+    own, which = np.unique(anchors, return_inverse=True)
+    elsewhere = np.repeat(_unpacked(marks, own, n)[which], lengths)
+    some = np.flatnonzero(elsewhere | pd.Series(shard.hash).duplicated(keep=False).to_numpy())
+    _, first, times = np.unique(shard.hash[some], return_index=True, return_counts=True)
+    order = np.argsort(first)
+    windows = some[first[order]]
+    return windows, times[order], elsewhere[windows]
 
 
-def _locate(shard: Shard, removable: np.ndarray) -> np.ndarray:
-    """Marks words covered by removable windows, located by the shard's automaton.
+def _letters(shard: Shard) -> tuple[str, int]:
+    """The shard's words as a string, some letters a word, and how many.
 
-    Phrases: of each run of removable windows every window-th one and the last, so the
-    words of the run are covered without a trie of all overlapping windows.
+    Letters are the digits of a word's number, from BASE code points of their own at each
+    place, so that matches begin and end at words and no node of a trie has many children.
+    """
+    digits = max(1, -(-(max(1, len(shard.words)) - 1).bit_length() // BASE_BITS))
+    shift = np.arange(digits - 1, -1, -1) * BASE_BITS
+    letters = (shard.number[:, None] >> shift & ((1 << BASE_BITS) - 1)) + FIRST_LETTER + (np.arange(digits) << BASE_BITS)
+    return letters.astype("<u4").tobytes().decode("utf-32-le"), digits
+
+
+def compiled(shard: Shard, passages: np.ndarray, text: str, digits: int) -> ahocorasick.Automaton:
+    """The automaton of the phrases of passages, given as starts of their windows in ascending order.
+
+    A phrase is half a window long, and phrases begin so closely in a passage that each of
+    its windows holds one.
     """
-    covered = np.zeros(len(shard.number) + 1, np.int32)
-    hits = np.flatnonzero(removable)
-    if not len(hits):
-        return covered[:-1] > 0
     width = shard.rules.window
-    place = shard.start[hits]
-    new = np.r_[True, (np.diff(place) > 1) | (np.diff(shard.doc[hits]) != 0)]
-    offset = place - np.maximum.accumulate(np.where(new, place, 0))
-    chosen = place[(offset % width == 0) | np.r_[new[1:], True]]
-    numbers = shard.number.tolist()
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-    for p in chosen.tolist():
-        automaton.add_word(tuple(numbers[p : p + width]))
+    size = (width + 1) // 2
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+    if len(passages):
+        new = np.r_[True, (np.diff(passages) > 1) | (np.diff(shard.owner[passages]) != 0)]
+        words = np.diff(np.r_[np.flatnonzero(new), len(passages)]) + width - 1
+        each = (words - size) // (width + 1 - size) + 1
+        phrases = np.repeat(passages[new], each) + ragged(np.zeros(len(each), np.int64), each) * (width + 1 - size)
+        for p in (phrases * digits).tolist():
+            automaton.add_word(text[p : p + size * digits])
     automaton.make_automaton()
-    allowed = np.zeros(len(numbers), bool)
-    allowed[place] = True
-    at = 0
-    found: list[int] = []
-    for size in shard.sizes.tolist():
-        if size >= width:
-            found += [at + end - width + 1 for end, _ in automaton.iter(tuple(numbers[at : at + size]))]
-        at += size
-    starts = np.array(found, np.int64)
-    starts = starts[allowed[starts]] if len(starts) else starts
-    np.add.at(covered, starts, 1)
-    np.add.at(covered, starts + width, -1)
-    return np.cumsum(covered[:-1]) > 0
+    return automaton
+
+
+def locate(shard: Shard, automaton: ahocorasick.Automaton, text: str, digits: int) -> np.ndarray:
+    """Windows (numbers) that hold a phrase of the automaton, from streaming all documents through it."""
+    width = shard.rules.window
+    size = (width + 1) // 2
+    near = np.zeros(len(shard.number) + 1, np.int32)
+    if len(automaton):
+        ends = (np.fromiter((end for end, _ in automaton.iter(text)), np.int64) + 1) // digits
+        np.add.at(near, np.maximum(0, ends - width), 1)
+        np.add.at(near, ends - size + 1, -1)
+    return np.flatnonzero(np.cumsum(near)[shard.start] > 0)
+
+
+def removed_words(shard: Shard, windows: np.ndarray, times: np.ndarray, earlier: np.ndarray) -> np.ndarray:
+    """Marks words to remove. windows: first in the shard, with their number there and whether they start earlier in another one."""
+    passage = (times > 1) | earlier
+    windows, earlier = windows[passage], earlier[passage]
+    gone = np.zeros(len(shard.number) + 1, np.int32)
+    text, digits = _letters(shard)
+    at = locate(shard, compiled(shard, shard.start[windows], text, digits), text, digits)
+    if len(at):
+        order = np.argsort(shard.hash[windows])
+        windows, earlier = windows[order], earlier[order]
+        k = np.minimum(np.searchsorted(shard.hash[windows], shard.hash[at]), len(windows) - 1)
+        a, b = shard.start[at], shard.start[windows[k]]
+        same = shard.hash[windows[k]] == shard.hash[at]
+        for o in range(shard.rules.window):
+            same &= shard.number[a + o] == shard.number[b + o]
+        starts = a[same & (earlier[k] | (a != b))]
+        np.add.at(gone, starts, 1)
+        np.add.at(gone, starts + shard.rules.window, -1)
+    return np.cumsum(gone[:-1]) > 0
+
+
+def _results(shard: Shard, gone: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    docs = len(shard.sizes)
+    count = lambda owners: np.bincount(owners, minlength=docs).astype(np.int64)
+    offsets = lambda sizes: pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+    n_removed = count(shard.owner[gone])
+    words = pa.ListArray.from_arrays(offsets(shard.sizes - n_removed), shard.words.take(pa.array(shard.number[~gone])))
+    begin = shard.end - shard.sizes
+    first, last = np.zeros(len(gone), bool), np.zeros(len(gone), bool)
+    first[begin[shard.sizes > 0]] = last[shard.end[shard.sizes > 0] - 1] = True
+    starts = np.flatnonzero(gone & (first | ~np.r_[False, gone[:-1]])) if len(gone) else np.zeros(0, np.int64)
+    ends = np.flatnonzero(gone & (last | ~np.r_[gone[1:], False])) if len(gone) else np.zeros(0, np.int64)
+    shift = begin[shard.owner[starts]]
+    spans = pa.StructArray.from_arrays([pa.array(starts - shift), pa.array(ends - shift + 1)], names=["start", "end"])
+    spans = pa.ListArray.from_arrays(offsets(count(shard.owner[starts])), spans)
+    return pa.RecordBatch.from_arrays([shard.ids.cast(pa.int64()), pa.array(shard.sizes), pa.array(n_removed), pc.binary_join(words, b" ").cast(pa.string()), spans], names=names)
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: Passage = Passage()) -> DataFrame:
@@ -210,61 +305,49 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kept_text: the words that stay, joined by one space. removed: spans (start, end) of
     removed words, end exclusive. Earlier means a smaller id, or the same document and an
     earlier start; null ids come last; rows that repeat an id are ordered by where they
-    are stored. Null and empty texts have no words; an empty table gives an empty result.
+    are stored. Ids are whole numbers, another type is an error. Null and empty texts have no words; an
+    empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    packed = shards(docs, id_col, text_col)
+    if docs.schema[id_col].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise TypeError(f"{id_col} has to be a whole number")
+    packed = shards(docs, id_col, text_col, rules)
     n = max(1, packed.count() // SHARDS_A_BUCKET)
 
     def anchors(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            for number, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = np.unique(Shard(payload.as_buffer(), rules).anchors())
+            for number, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                own = np.frombuffer(own, np.uint64)
                 yield _packed(number, own, own, n)
 
     answer = "shard long, bucket int, marks binary"
-    marks = packed.mapInArrow(anchors, "bucket int, shard long, blob binary").groupBy("bucket").applyInPandas(_recurring, answer)
+    marks = packed.select("shard", "anchors").mapInArrow(anchors, "bucket int, shard long, blob binary").groupBy("bucket").applyInPandas(_recurring, answer)
     gathered = lambda name: F.collect_list(F.struct("bucket", "marks")).alias(name)
     marks = cut(marks.groupBy("shard").agg(gathered("anchor_marks")), "passages-anchors")
-    known = packed.join(marks, "shard", "left")
+    known = packed.select("shard", "payload").join(marks, "shard", "left")
 
     def windows(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             for number, payload, own in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-                shard = Shard(payload.as_buffer(), rules)
-                use = _candidates(shard, own, n)
+                shard = Shard.read(payload.as_buffer(), rules)
+                use, _, elsewhere = _candidates(shard, own, n)
+                use = use[elsewhere]
                 sent = np.zeros(len(use), WINDOW_ROW)
-                sent["hash"], sent["check"], sent["doc"] = shard.hash[use], shard.checks()[use], shard.ids[shard.doc[use]]
+                sent["hash"], sent["check"], sent["doc"] = shard.hash[use], shard.checks()[use], shard.doc_keys(use)
                 yield _packed(number, sent, sent["hash"].copy(), n)
 
     earlier = known.mapInArrow(windows, "bucket int, shard long, blob binary").groupBy("bucket").applyInPandas(_not_first, answer)
     earlier = cut(earlier.groupBy("shard").agg(gathered("window_marks")).join(marks, "shard", "full"), "passages-windows")
 
     def remove(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         for batch in rows:
             for payload, later, own in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                shard = Shard(payload.as_buffer(), rules)
-                use = _candidates(shard, own, n)
-                elsewhere = np.sort(shard.hash[use[_unpacked(later, shard.hash[use], n)]])
-                at = np.minimum(np.searchsorted(elsewhere, shard.hash), max(0, len(elsewhere) - 1))
-                gone = _locate(shard, ~shard.firsts() | (elsewhere[at] == shard.hash) if len(elsewhere) else ~shard.firsts())
-                kept, removed, spans, start = [], [], [], 0
-                for words in shard.words:
-                    own_gone = gone[start : start + len(words)]
-                    start += len(words)
-                    removed.append(int(own_gone.sum()))
-                    if not removed[-1]:
-                        kept.append(b" ".join(words).decode("utf-8", "surrogatepass"))
-                        spans.append([])
-                        continue
-                    kept.append(b" ".join([words[i] for i in np.flatnonzero(~own_gone).tolist()]).decode("utf-8", "surrogatepass"))
-                    edge = np.flatnonzero(np.diff(np.r_[False, own_gone, False].astype(np.int8)))
-                    spans.append([{"start": a, "end": b} for a, b in edge.reshape(-1, 2).tolist()])
-                ids = pa.array([None if none else i for i, none in zip(shard.ids.tolist(), shard.null, strict=True)], pa.int64())
-                yield pa.RecordBatch.from_arrays([ids, pa.array(shard.sizes), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), pa.array(spans, span)], names=[id_col, "n_words", "n_removed", "kept_text", "removed"])
-
-    joined = packed.join(earlier, "shard", "left").select("payload", "window_marks", "anchor_marks")
+                shard = Shard.read(payload.as_buffer(), rules)
+                use, times, elsewhere = _candidates(shard, own, n)
+                before = np.zeros(len(use), bool)
+                before[elsewhere] = _unpacked(later, shard.hash[use[elsewhere]], n)
+                yield _results(shard, removed_words(shard, use, times, before), [id_col, "n_words", "n_removed", "kept_text", "removed"])
+
+    joined = packed.select("shard", "payload").join(earlier, "shard", "left").select("payload", "window_marks", "anchor_marks")
     return joined.mapInArrow(remove, f"`{id_col}` long, n_words long, n_removed long, kept_text string, removed array<struct<start: long, end: long>>")
 
 

@@ -224,6 +224,41 @@ def test_passages_across_shards(spark, partitions):
     assert sum(s.end - s.start for s in spans.removed) == spans.n_removed
 
 
+def packed_shard(texts, rules):
+    batch = substring_dedup.pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    return substring_dedup.Shard(substring_dedup._parsed(batch), rules)
+
+
+def test_the_automaton_decides():
+    """Windows are removed where the automaton hits; without its phrases none is."""
+    rules = substring_dedup.Passage(6, 3)
+    shard = packed_shard(["a b c d e f g h", "x a b c d e f g h y", "a b c d e f", "q r s t u v w"], rules)
+    use, times, _ = substring_dedup._candidates(shard, None, 1)
+    earlier = np.zeros(len(use), bool)
+    gone = substring_dedup.removed_words(shard, use, times, earlier)
+    assert gone.tolist() == [False] * 8 + [False, *[True] * 8, False] + [True] * 6 + [False] * 7
+    text, digits = substring_dedup._letters(shard)
+    empty = substring_dedup.compiled(shard, np.zeros(0, np.int64), text, digits)
+    assert len(substring_dedup.locate(shard, empty, text, digits)) == 0
+    full, substring_dedup.compiled = substring_dedup.compiled, lambda *_: empty
+    try:
+        assert not substring_dedup.removed_words(shard, use, times, earlier).any()
+    finally:
+        substring_dedup.compiled = full
+
+
+def test_word_hashes_tell_words_apart():
+    found = [b"a", b"b", b"ab", b"ba", b"x" * 64, b"x" * 65, b"x" * 1000, b"\x00", b"\x00\x00"]
+    hashes = substring_dedup._hashes(substring_dedup.pa.array(found, substring_dedup.pa.binary()))
+    assert len(set(hashes.tolist())) == len(found)
+    assert (substring_dedup._hashes(substring_dedup.pa.array(found[3:], substring_dedup.pa.binary())) == hashes[3:]).all()
+
+
+def test_substring_ids_are_numbers(spark):
+    with pytest.raises(TypeError):
+        substring_dedup.substring_dedup(spark.createDataFrame([("a", "t")], "doc_id string, text string"))
+
+
 def test_substring_of_odd_rows(spark):
     got = {r.doc_id: r for r in substring_dedup.substring_dedup(documents(spark)).collect()}
     assert len(got) == len(ODD) and got[0].n_words == 0 and got[6].n_removed == 29_999
