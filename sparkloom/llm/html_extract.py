@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,9 +25,10 @@ from sparkloom.llm.common import batches, sample_rows
 
 #: Elements of HTML by their kind.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = set("script style noscript template title svg iframe select object textarea math canvas audio video datalist button".split())
-BLOCKS = set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
-CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+RAW = set("script style template iframe title".split())
+CONTROLS = set("select datalist optgroup option".split())
+BLOCKS = CONTROLS | set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "optgroup": {"option", "optgroup"}}
 SCOPES = set("article aside body div footer form header html main nav section table".split())
 #: Words in class, id and role that name boilerplate or content.
 BOILERPLATE_TAGS = set("nav aside footer form menu dialog".split())
@@ -35,7 +36,9 @@ BOILERPLATE = set("ad ads adv advert adverts advertisement advertising adsense b
 HEADERS = set("header hdr top".split())
 CONTENT = set("article content entry main post story".split())
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^>"'])*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?][^>]*>""", re.S)
+NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
+ATTRIBUTE = re.compile(r"""[^>=]*+(?:(>)|=\s*+(["'])?)""")
+BLOCK_TAG = re.compile(f"</?(?:{'|'.join(sorted(BLOCKS))})\\b", re.I)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 WORD = re.compile(r"[a-z]+")
@@ -46,12 +49,19 @@ SAMPLE_BLOCKS = 50
 
 @dataclass(frozen=True)
 class Costs:
-    """container: log-odds of a block in a named container; text: bound of the classifier's log-odds; adjacent, sibling: smoothness."""
+    """Log-odds that make a block's capacities: content, boilerplate: of standing in a container with such a name;
+    text: bound of the classifier's. Smoothness: adjacent, sibling; apart: its share between blocks that stand in different kinds of container.
 
-    container: float = 6.0
-    text: float = 2.0
+    The text weighs more than a content container and less than a boilerplate one, and a few alike neighbours more
+    than the difference; so a container is evidence, and the cut decides.
+    """
+
+    content: float = 3.0
+    boilerplate: float = 4.0
+    text: float = 3.5
     adjacent: float = 0.8
     sibling: float = 0.8
+    apart: float = 0.25
 
 
 @dataclass(slots=True)
@@ -66,7 +76,7 @@ class Block:
 
 def _state(tag: str, attributes: str, state: int) -> int:
     """1 inside content, -1 inside boilerplate, 0 unknown; boilerplate holds for all that it contains."""
-    if state < 0 or tag in BOILERPLATE_TAGS or attributes and HIDDEN.search(attributes):
+    if state < 0 or tag in BOILERPLATE_TAGS or tag in CONTROLS or attributes and HIDDEN.search(attributes):
         return -1
     names = {w for n in NAMES.findall(attributes) for w in WORD.findall(n.lower())} if attributes else set()
     if tag in ("html", "body"):
@@ -81,74 +91,153 @@ def _state(tag: str, attributes: str, state: int) -> int:
     return state
 
 
+class _Open:
+    """The open elements. Counts by tag, of all and of each scope, tell whether an element is open without a walk."""
+
+    def __init__(self):
+        self.tags, self.states, self.serials, self.blocks, self.items = [""], [0], [0], [("", 0)], [False]
+        self.all: Counter = Counter()
+        self.scopes: list[Counter] = [Counter()]
+        self.serial = 0
+
+    def push(self, tag: str, attributes: str) -> None:
+        self.serial += 1
+        self.blocks.append((tag, self.serials[-1]) if tag in BLOCKS else self.blocks[-1])
+        self.states.append(_state(tag, attributes, self.states[-1]))
+        self.items.append(self.items[-1] or tag == "li")
+        self.tags.append(tag)
+        self.serials.append(self.serial)
+        self.all[tag] += 1
+        self.scopes[-1][tag] += 1
+        if tag in SCOPES:
+            self.scopes.append(Counter())
+
+    def close(self, names: set[str], everywhere: bool) -> None:
+        """Closes the innermost open element of these names, and all in it; unless everywhere, not beyond the scope."""
+        counts = self.all if everywhere else self.scopes[-1]
+        if not any(counts[n] for n in names):
+            return
+        while True:
+            tag = self.tags.pop()
+            for kept in (self.states, self.serials, self.blocks, self.items):
+                kept.pop()
+            if tag in SCOPES:
+                self.scopes.pop()
+            self.all[tag] -= 1
+            self.scopes[-1][tag] -= 1
+            if tag in names:
+                return
+
+
+class _Tags:
+    """Where tags and raw text end in a page. Searches that failed once are not repeated, so all of them take linear time."""
+
+    def __init__(self, page: str):
+        self.page, self.quoted, self.missing = page, True, set()
+
+    def find(self, what: str, at: int) -> int:
+        """As str.find(); -1 at once where it failed before, as places only grow."""
+        if what in self.missing:
+            return -1
+        found = self.page.find(what, at)
+        if found < 0:
+            self.missing.add(what)
+        return found
+
+    def end(self, at: int) -> int:
+        """Past the > of a tag whose name ends before ``at``, or -1. A > inside a quoted value is none, unless then the tag never ends."""
+        start = at
+        while self.quoted:
+            m = ATTRIBUTE.match(self.page, at)
+            if not m:
+                self.quoted = False
+            elif m[1]:
+                return m.end()
+            else:
+                at = m.end()
+                quote = self.find(m[2], at) if m[2] else -1
+                at = quote + 1 if quote >= 0 else at
+        return self.find(">", start) + 1 or -1
+
+    def past_raw(self, tag: str, at: int) -> int:
+        """Past the end tag of raw text. Without one, a title ends at the next tag and others where a block begins."""
+        if tag not in self.missing:
+            m = re.compile(f"</{tag}\\b", re.I).search(self.page, at)
+            if m:
+                return self.end(m.end()) if self.find(">", m.end()) >= 0 else len(self.page)
+            self.missing.add(tag)
+        if tag == "title":
+            return self.find("<", at) if self.find("<", at) >= 0 else len(self.page)
+        m = BLOCK_TAG.search(self.page, at)
+        return m.start() if m else len(self.page)
+
+
 def blocks_of(page: str) -> list[Block]:
-    """Blocks with text, in page order. Character references are decoded, white space is one space."""
+    """Blocks with text, in page order, in time linear in the page. Character references are decoded, white space is one space.
+
+    A < that begins no tag, comment or declaration is text. Only scripts, styles, templates, frames and titles lose their
+    content; what other elements hold is text of the page.
+    """
     found: list[Block] = []
-    stack: list[tuple[str, int, int]] = [("", 0, 0)]
+    open_, tags = _Open(), _Tags(page)
     pieces: list[str] = []
-    linked = depth = serial = at = 0
+    linked = at = 0
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(pieces).split())
         if text:
-            inner = [t for t, _, _ in stack]
-            own = next((x for x in reversed(stack) if x[0] in BLOCKS), stack[0])
-            up = stack[max(0, stack.index(own) - 1)]
-            found.append(Block(text, min(linked, len(text)), stack[-1][1], up[2], own[0][:1] == "h" and own[0][1:].isdigit(), "li" in inner))
+            own, parent = open_.blocks[-1]
+            found.append(Block(text, min(linked, len(text)), open_.states[-1], parent, own[:1] == "h" and own[1:].isdigit(), open_.items[-1]))
         pieces.clear()
         linked = 0
 
-    def close(names: set[str]) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in names:
-                del stack[i:]
-                return
-            if stack[i][0] in SCOPES:
-                return
-
-    for m in TAG.finditer(page):
-        if m.start() < at:
-            continue
-        if m.start() > at:
-            piece = html_lib.unescape(page[at : m.start()])
-            pieces.append(piece)
-            linked += len(piece) if depth else 0
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
-        if not tag:
+    def add(text: str) -> None:
+        nonlocal linked
+        if text:
+            pieces.append(html_lib.unescape(text))
+            linked += len(pieces[-1]) if open_.all["a"] else 0
+
+    while (lt := page.find("<", at)) >= 0:
+        add(page[at:lt])
+        m = NAME.match(page, lt)
+        if not m:
+            end = -1
+            if page.startswith("<!--", lt):
+                end = tags.find("-->", lt + 2)
+                end = end + 3 if end >= 0 else -1
+            if end < 0 and page[lt + 1 : lt + 2] in ("!", "?", "/"):
+                end = tags.find(">", lt) + 1 or -1
+            if end < 0:
+                add("<")
+            at = end if end >= 0 else lt + 1
             continue
-        if m[1] or m[4]:
-            if tag == "a":
-                depth = max(0, depth - 1)
+        end = tags.end(m.end())
+        if end < 0:  # no > any more: the rest is text
+            add(page[lt:])
+            at = len(page)
+            break
+        tag, attributes, at = m[1].lower(), page[m.end() : end - 1], end
+        if page[lt + 1] == "/":
             if tag in BLOCKS:
                 flush()
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    del stack[i:]
-                    break
-                if tag not in BLOCKS and stack[i][0] in SCOPES:
-                    break
+            open_.close({tag}, tag in BLOCKS)
             continue
-        attributes = m[3] or m[6] or ""
-        if tag in SKIPPED:
-            if not attributes.endswith("/"):
-                end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
+        if tag in RAW:
+            at = tags.past_raw(tag, at)
             pieces.append(" ")
             continue
         if tag in BLOCKS:
             flush()
-            close({"p"})
-            close(CLOSES.get(tag, set()))
+            if tag not in CONTROLS:
+                open_.close({"select", "datalist"}, False)
+            open_.close({"p"}, False)
+            open_.close(CLOSES.get(tag, set()), False)
         if tag in VOID:
-            pieces.append(" ")
-            continue
-        serial += 1
-        depth += tag == "a"
-        stack.append((tag, _state(tag, attributes, stack[-1][1]), serial))
-    if at < len(page):
-        pieces.append(html_lib.unescape(page[at:]))
+            pieces.append("" if tag == "wbr" else " ")
+        elif tag in BLOCKS or not attributes.endswith("/"):
+            open_.push(tag, attributes)
+    add(page[at:])
     flush()
     return found
 
@@ -190,8 +279,36 @@ def min_cut(content: list[float], edges: list[tuple[int, int, float]]) -> list[b
     """Labels (True: content) of the minimum cut.
 
     content: log-odds; positive ones are capacities from the source, negative ones to
-    the sink. edges: both ways. Max-flow by level graphs and blocking flows.
+    the sink. edges: both ways. A block whose own capacity is at least that of all its open edges has its label; its
+    edges become capacities of its neighbours. Max-flow labels the rest.
     """
+    score = [round(c * 1000) for c in content]
+    beside: list[list[tuple[int, int]]] = [[] for _ in score]
+    for a, b, w in edges:
+        beside[a].append((b, round(w * 1000)))
+        beside[b].append((a, round(w * 1000)))
+    loose = [sum(w for _, w in own) for own in beside]
+    label: list[bool | None] = [None] * len(score)
+    queue = deque(range(len(score)))
+    while queue:
+        i = queue.popleft()
+        if label[i] is None and abs(score[i]) >= loose[i] and (score[i] or not loose[i]):
+            label[i] = score[i] > 0
+            for j, w in beside[i]:
+                if label[j] is None:
+                    score[j] += w if label[i] else -w
+                    loose[j] -= w
+                    queue.append(j)
+    rest = [i for i, x in enumerate(label) if x is None]
+    at = {i: k for k, i in enumerate(rest)}
+    inner = [(at[a], at[b], w) for a, b, w in edges if a in at and b in at]
+    for i, kept in zip(rest, _max_flow([score[i] / 1000 for i in rest], inner), strict=True):
+        label[i] = kept
+    return label
+
+
+def _max_flow(content: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
+    """Labels by max-flow with level graphs and blocking flows."""
     excess = [round(c * 1000) for c in content]
     n = len(excess)
     out: list[list[int]] = [[] for _ in range(n)]
@@ -249,19 +366,26 @@ def min_cut(content: list[float], edges: list[tuple[int, int, float]]) -> list[b
                     break
 
 
+def graph(blocks: list[Block], weights: np.ndarray, costs: Costs = Costs()) -> tuple[list[float], list[tuple[int, int, float]]]:
+    """Log-odds of each block and the smoothness edges: between neighbours, and between a parent's neighbouring blocks."""
+    state = np.array([b.state for b in blocks])
+    score = np.clip(features(blocks) @ weights, -costs.text, costs.text) + np.select([state > 0, state < 0], [costs.content, -costs.boilerplate], 0.0)
+    smooth = lambda i, j, w: (i, j, w if blocks[i].state == blocks[j].state else w * costs.apart)
+    edges = [smooth(i, i + 1, costs.adjacent) for i in range(len(blocks) - 1)]
+    last: dict[int, int] = {}
+    for i, b in enumerate(blocks):
+        if b.parent in last:
+            edges.append(smooth(last[b.parent], i, costs.sibling))
+        last[b.parent] = i
+    return score.tolist(), edges
+
+
 def extract(page: str | None, weights: np.ndarray, costs: Costs = Costs()) -> str:
     """Main text of one page, a line per block; '' for null or without content."""
     blocks = blocks_of(page) if page else []
     if not blocks:
         return ""
-    text = np.clip(features(blocks) @ weights, -costs.text, costs.text)
-    score = (text + costs.container * np.array([b.state for b in blocks])).tolist()
-    edges = [(i, i + 1, costs.adjacent) for i in range(len(blocks) - 1)]
-    last: dict[int, int] = {}
-    for i, b in enumerate(blocks):
-        if b.parent in last:
-            edges.append((last[b.parent], i, costs.sibling))
-        last[b.parent] = i
+    score, edges = graph(blocks, weights, costs)
     return "\n".join(b.text for b, kept in zip(blocks, min_cut(score, edges), strict=True) if kept)
 
 

@@ -435,6 +435,55 @@ def test_page_parts(spark):
     assert html_extract.extract_text(df.limit(0)).collect() == []
 
 
+#: A classifier for tests: words count for a block, links and headings against it.
+WEIGHTS = np.array([-1.0, 1.0, -6.0, 1.0, 0, -2.0, 0, 0])
+
+
+def own_sign(page):
+    blocks = html_extract.blocks_of(page)
+    return [x > 0 for x in html_extract.graph(blocks, WEIGHTS)[0]]
+
+
+def test_the_cut_decides_in_named_containers():
+    text = "<p>One two three four five six seven eight nine ten.</p>"
+    # a link among paragraphs: its own score says boilerplate, its neighbours keep it
+    page = f"<article>{text}<p><a href=x>more</a></p>{text}</article>"
+    assert own_sign(page) == [True, False, True] and html_extract.extract(page, WEIGHTS).count("more") == 1
+    # a menu without a name inside the article: the whole list costs more than its edges
+    page = f"<article>{text}<ul>" + "<li><a href=x>go</a>" * 12 + f"</ul>{text}</article>"
+    assert "go" not in html_extract.extract(page, WEIGHTS) and html_extract.extract(page, WEIGHTS).count("ten.") == 2
+    # other weights, other text: the classifier's costs are the capacities
+    assert html_extract.extract(page, -WEIGHTS) != html_extract.extract(page, WEIGHTS)
+
+
+def test_reduced_cuts_equal_full_ones():
+    rng = random.Random(3)
+    for _ in range(100):
+        n = rng.randrange(1, 12)
+        c = [rng.randrange(-40, 41) / 10 + 0.001 * rng.random() for _ in range(n)]
+        e = [(i, i + 1, 0.8) for i in range(n - 1)] + [(i, i + 2, 0.6) for i in range(n - 2)]
+        cost = lambda labels: sum(abs(x) for x, k in zip(c, labels, strict=True) if (x > 0) != k) + sum(w for a, b, w in e if labels[a] != labels[b])
+        assert cost(html_extract.min_cut(c, e)) == pytest.approx(cost(html_extract._max_flow(c, e)), abs=0.02)
+
+
+def test_text_of_inline_elements_and_unclosed_ones_stays():
+    get = lambda page: html_extract.extract(page, WEIGHTS)
+    assert get("<article><p>one<select><option>x<p>two three four</article><p>end").startswith("one\ntwo three four")
+    assert get("<article><p>a<script src=/a/>var leak=1;</script> <button>b</button> <textarea>c</textarea> <math>d</math> <noscript>e</noscript> <svg><path d=1/>f</svg> <canvas>g</canvas></p></article>") == "a b c d e f g"
+    assert get("<article><p>1 < 2 & 3 > 2 <!-- <b>x</b> --><!bogus>y<wbr>z</article>") == "1 < 2 & 3 > 2 yz"
+    assert get('<article><p title="a > b" class=\'c>d\'>one</p><p a="unclosed>two</p><p>three</article>') == "one\ntwo\nthree"
+    assert get("<article><title>lost<p>kept</p><!-- open<p>also</p></article>") == "kept\nalso"
+
+
+@pytest.mark.parametrize("page", ['<a "x ' * 30_000, "<a " * 70_000, "<div>x" * 30_000, "<b><p>x</p>" * 30_000, '<a b=">" ' * 30_000, "<!-- x" * 60_000, "<script>x" * 60_000, "<" * 300_000, "<p>" + "<li>x" * 60_000, "<select><option>x" * 30_000, "</b>" * 150_000])
+def test_hostile_pages_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    html_extract.extract(page, WEIGHTS)
+    assert time.process_time() - began < 10
+
+
 def test_page_query(spark, data):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{data}/pages.parquet").collect()}
     import html
