@@ -542,15 +542,103 @@ def test_tool_calls_are_linked_and_ordered(spark):
     assert got[1, 6].message == '{"content":"{bad","role":"assistant"}' and (None, None) in got
 
 
-def test_cycles_end(spark):
-    call = lambda a, b: json.dumps({"tool_calls": [{"id": a, "name": "f", "arguments": {"x": {"$ref": b}}}]})
-    df = spark.createDataFrame([(1, 0, "assistant", call("a", "b")), (1, 1, "assistant", call("b", "a"))], "conv_id long, turn long, role string, text string")
-    old, chat_format.MAX_DEPTH = chat_format.MAX_DEPTH, 3
-    try:
-        assert chat_format.format_chat(df).count() == 2
-    finally:
-        chat_format.MAX_DEPTH = old
-    assert chat_format.format_chat(df.limit(0)).collect() == []
+def call_text(*calls):
+    return json.dumps({"tool_calls": [{"id": i, "name": "f", "arguments": {"x": [{"$ref": r} for r in refs]}} for i, refs in calls]})
+
+
+def chat_rows(spark, rows):
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+
+def test_long_chains_and_cycles(spark):
+    chain = call_text(*[(f"c{i:03d}", [f"c{i - 1:03d}"] if i else []) for i in range(200)])
+    rows = [(1, 0, "assistant", chain), (2, 0, "assistant", call_text(("a", ["b"]))), (2, 1, "assistant", call_text(("b", ["a"]), ("c", ["b"]), ("d", ["d"]), ("e", [])))]
+    calls = chat_format._order(chat_rows(spark, []).select("conv_id", "turn").crossJoin(spark.createDataFrame([], "call_id string, refs array<string>")))
+    assert calls.collect() == []
+    got = {(r.conv_id, r.turn): r for r in chat_format.format_chat(chat_rows(spark, rows)).collect()}
+    assert (got[1, 0].n_calls, got[1, 0].n_cyclic) == (200, 0) and (got[2, 0].n_cyclic, got[2, 1].n_cyclic) == (1, 3)
+    results = [(1, 1 + i, "tool", json.dumps({"tool_call_id": f"c{i:03d}"})) for i in range(200)]
+    placed = chat_format.format_chat(chat_rows(spark, rows[:1] + results)).filter("result = 1").collect()
+    assert {r.turn - 1: (r.seq, r.depth) for r in placed} == {i: (0, i) for i in range(200)}
+    assert chat_format.format_chat(chat_rows(spark, [])).collect() == []
+
+
+def test_rounds_order_as_one_task_does(spark):
+    rng = random.Random(6)
+    rows = []
+    for conv in range(12):
+        names = [f"k{i}" for i in range(rng.randrange(2, 12))]
+        rows += [(conv, t, "assistant", call_text(*[(n, rng.sample(names, rng.randrange(3)) if rng.random() < 0.5 else []) for n in rng.sample(names, rng.randrange(1, len(names) + 1))])) for t in range(3)]
+        rows += [(conv, 3 + i, "tool", json.dumps({"tool_call_id": n})) for i, n in enumerate(names)]
+    found = [sorted(map(tuple, chat_format.format_chat(chat_rows(spark, rows), local_calls=n).collect())) for n in (0, 10_000)]
+    assert found[0] == found[1]
+
+
+DEEP = "[" * 3000 + "]" * 3000
+BAD = ['{"content": "\\ud800", "tool_calls": []}', '{"tool_calls": [{"id": "a", "name": "f", "arguments": ' + DEEP + "}]}", '{"tool_calls": [{"id": "a", "name": "f", "arguments": {"x": 1e999}}]}', '{"tool_calls": [{"id": NaN}]}', "{" * 100_000, '{"tool_calls": ' + "9" * 5000 + "}"]
+
+
+def test_odd_texts_of_chats(spark):
+    schema = {"f": {"properties": {"x": {"type": "integer"}}}}
+    fine = ['{"tool_calls": [{"id": "a", "name": "f", "arguments": "' + "[" * 100_000 + '"}]}', '{"tool_calls": [{"id": "b", "name": "f", "arguments": {"x": ' + "9" * 400 + "}}]}", '{"tool_calls": [{"id": 7, "name": "f", "arguments": {"x": 2.0}}]}']
+    rows = [(1, i, "assistant", t) for i, t in enumerate(BAD + fine)] + [(1, 50, "tool", '{"tool_call_id": 7, "content": "\\ud800"}'), (1, 51, "tool", '{"tool_call_id": 7}'), (1, 52, "assistant", "x" * 300_000), (1, 53, None, None)]
+    df = chat_rows(spark, rows).withColumns({c: F.lit("clash") for c in ("seq", "calls", "message", "linked")})
+    got = {r.turn: r for r in chat_format.format_chat(df, schema).collect()}
+    assert len(got) == len(rows)
+    for i, t in enumerate(BAD):
+        assert got[i].message == json.dumps({"content": t, "role": "assistant"}, sort_keys=True, separators=(",", ":")) and got[i].n_calls == 0
+    assert [got[len(BAD) + i].n_valid for i in range(3)] == [0, 1, 1]
+    assert json.loads(got[len(BAD)].message)["tool_calls"][0]["arguments"] == "[" * 100_000
+    assert got[50].result == 0 and got[51].linked and got[52].n_calls == 0
+
+
+def test_tool_calls_over_the_whole_table(spark, data):
+    """Every assistant turn of the given table becomes a call, every second one answered by the next user turn, against brute force."""
+    schemas = {"tool0": {"type": "object", "properties": {"n": {"type": "integer", "maximum": 40}}, "required": ["n"]}, "tool1": {"type": "object", "required": ["q"]}}
+    made, texts = [], spark.read.parquet(f"{data[:-5]}0.01/conversations.parquet").collect()
+    for r in texts:
+        n = len(r.text or "")
+        if r.role == "assistant":
+            refs = [{"$ref": f"c{r.turn - d}"} for d in (2, -2) if (n + d) % 3 == 0]
+            made.append((r.conv_id, r.turn, r.role, json.dumps({"content": r.text, "tool_calls": [{"id": f"c{r.turn}", "name": f"tool{n % 3}", "arguments": {"n": n, "refs": refs}}]})))
+        elif r.role == "user" and n % 2:
+            made.append((r.conv_id, r.turn, "tool", json.dumps({"tool_call_id": f"c{r.turn - 1}", "content": r.text})))
+        else:
+            made.append(tuple(r))
+    made = [m for m in made if m[1] is not None]
+    calls = {(c, json.loads(t)["tool_calls"][0]["id"]): (turn, json.loads(t)["tool_calls"][0]) for c, turn, role, t in made if role == "assistant"}
+    answered = {(c, json.loads(t)["tool_call_id"]) for c, _, role, t in made if role == "tool"}
+    assert len(calls) > 50 and len(answered & set(calls)) > 10
+
+    def place(key, path=()):
+        """(seq, depth) of a call, or None on or behind a cycle."""
+        if key in path:
+            return None
+        best = (calls[key][0], 0)
+        for ref in calls[key][1]["arguments"]["refs"]:
+            if (key[0], ref["$ref"]) in calls:
+                of = place((key[0], ref["$ref"]), (*path, key))
+                if of is None:
+                    return None
+                best = max(best, (of[0], of[1] + 1))
+        return best
+
+    got = {(r.conv_id, r.turn): r for r in chat_format.format_chat(chat_rows(spark, made), schemas).collect()}
+    assert len(got) == len(made)
+    for c, turn, role, t in made:
+        r, body = got[c, turn], json.loads(t) if role in ("assistant", "tool") else None
+        key = (c, body["tool_call_id"] if role == "tool" else f"c{turn}") if body else None
+        at = place(key) if key in calls else None
+        if role == "assistant":
+            n = calls[key][1]["arguments"]["n"]
+            name = calls[key][1]["name"]
+            assert (r.n_calls, r.n_valid, r.n_answered, r.n_cyclic) == (1, int(name == "tool0" and n <= 40), int(key in answered), int(at is None))
+            assert r.message == chat_format.canonical({"content": body["content"], "role": role, "tool_calls": [{k: calls[key][1][k] for k in ("arguments", "id", "name")}]})
+        if role == "tool":
+            assert r.linked == (key in calls) and r.result == 1
+        if role != "tool" or key in calls:
+            want = at or ((calls[key][0], 0) if key in calls else (turn, 0))
+            assert (r.seq, r.depth) == want
 
 
 # pipeline
