@@ -3,7 +3,8 @@
 The symbols of many distinct pre-tokens lie in one flat array. In each round the
 adjacent pairs of all of them are looked up by binary search over the sorted keys
 of mergeable pairs, each pre-token merges its lowest-ranked pair everywhere, and
-the array is compacted. Pre-tokens met before keep their ids in a cache of
+the array is compacted. A very long pre-token merges the lowest-ranked pair of every
+neighbourhood instead. Pre-tokens met before keep their ids in a cache of
 bounded size.
 """
 
@@ -26,6 +27,9 @@ PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 NONE = np.int64(1) << 40
+NO_IDS = np.zeros(0, np.int64)
+#: Bytes from which on a pre-token is merged by neighbourhoods.
+LONG_WORD = 512
 CHUNK_BYTES = 1 << 20
 CACHE_SYMBOLS = 1 << 22
 
@@ -56,12 +60,56 @@ class Vocabulary:
         self.piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self.piece_length = np.array([len(p) for p in pieces], np.int64)
         self.piece_start = np.cumsum(self.piece_length) - self.piece_length
+        self.reach = max((len(pieces[i]) for i in self.merged.tolist()), default=1)
         self.pre_token = regex.compile(PRE_TOKENS)
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
 
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after the other, and how many each has."""
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        long = [i for i, w in enumerate(raw) if len(w) > LONG_WORD]
+        if not long:
+            return self._merge(raw)
+        short = sorted(set(range(len(raw))).difference(long))
+        parts: list[np.ndarray] = [NO_IDS] * len(raw)
+        if short:
+            ids, length = self._merge([raw[i] for i in short])
+            for i, part in zip(short, np.split(ids, np.cumsum(length)[:-1]), strict=True):
+                parts[i] = part
+        for i in long:
+            parts[i] = self._merge_long(raw[i])
+        return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+
+    def _merge_long(self, word: bytes) -> np.ndarray:
+        """Ids of one long word.
+
+        A merge can change a pair's fate only inside one token, of at most ``reach`` symbols. So each round
+        merges all pairs with the lowest rank within that distance at once, not just those of the lowest rank of all.
+        """
+        symbols = self.of_byte[np.frombuffer(word, np.uint8)]
+        while len(symbols) > 1:
+            key = symbols[:-1] * self.size + symbols[1:]
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            rank = np.where(self.keys[at] == key, self.ranks[at], NONE)
+            if rank.min() == NONE:
+                break
+            pad = np.full(self.reach, NONE)
+            least, left, reach = np.r_[pad, rank, pad], 2 * self.reach + 1, 1
+            while reach < left:  # doubles the reach of the running minimum
+                step = min(reach, left - reach)
+                least = np.minimum(least[: len(least) - step], least[step:])
+                reach += step
+            chosen = (rank == least) & (rank < NONE)
+            # a run of overlapping pairs merges from its left end on, so as far as nothing before can change that end
+            index, waits = np.arange(len(rank)), np.cumsum(~chosen)
+            run = np.maximum.accumulate(np.where(np.r_[True, rank[1:] != rank[:-1]], index, 0))
+            where = np.flatnonzero(chosen & (waits == waits[run]) & chosen[run] & ((index - run) % 2 == 0))
+            symbols = symbols.copy()
+            symbols[where] = self.merged[at[where]]
+            symbols = np.delete(symbols, where + 1)
+        return symbols
+
+    def _merge(self, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         symbols = self.of_byte[np.frombuffer(b"".join(raw), np.uint8)]
         word = np.repeat(np.arange(len(raw)), np.fromiter(map(len, raw), np.int64, len(raw)))
         done: list[tuple[np.ndarray, np.ndarray]] = []

@@ -9,20 +9,20 @@ prediction neighbouring tables are summed into tables of byte pairs.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from sparkloom.llm.common import batches, sample_rows
+from sparkloom.llm.common import batches
 
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass(frozen=True)
@@ -156,15 +156,26 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(1, keepdims=True)
 
 
+def _sample(labelled: DataFrame, lang_col: str, n: int) -> DataFrame:
+    """About ``n`` rows, at most 2 n: of each language n divided by the number of languages, or all of fewer."""
+    counts = labelled.groupBy(F.col(lang_col).alias("__lang")).agg(F.count("*").alias("__n"))
+    total = counts.count()
+    if not total:
+        return labelled.limit(0)
+    shares = counts.withColumn("__share", F.lit(n / total) / F.col("__n"))
+    draw = F.pmod(F.xxhash64(*labelled.columns), F.lit(1 << 31).cast("long")) / F.lit(float(1 << 31))
+    return labelled.join(shares, F.col(lang_col) == F.col("__lang")).filter(draw < F.col("__share")).select(*labelled.columns).limit(2 * n)
+
+
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", settings: Settings = Settings()) -> ByteNet:
     """A network trained on a bounded sample of rows with text and language.
 
-    The sample is about sample_docs rows, by the hash of the row; of each, evenly spaced
-    windows go to the driver, so at most 2 * sample_docs * sample_windows * window bytes.
+    The sample is about sample_docs rows, an equal number of each language or all of a rare one, by the hash of the
+    row; of each, evenly spaced windows go to the driver, so at most 2 * sample_docs * sample_windows * window bytes.
     Without labelled rows every prediction is UNKNOWN.
     """
     few = labelled.filter(F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
-    few = sample_rows(few, settings.sample_docs).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    few = _sample(few, lang_col, settings.sample_docs).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     size, most = settings.window, settings.sample_windows
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -60,6 +60,21 @@ def test_suffix_arrays_against_brute_force():
         assert quality_rules.repeats(flat, doc).tolist() == sum(map(longest_repeats, docs), [])
 
 
+def longest_spans(w):
+    """For each word the longest repeat from there, by growing lengths; no suffix array."""
+    best = [0] * len(w)
+    alive, n = list(range(len(w))), 1
+    while alive:
+        seen = Counter(tuple(w[i : i + n]) for i in alive if i + n <= len(w))
+        alive = [i for i in alive if i + n <= len(w) and seen[tuple(w[i : i + n])] > 1]
+        for i in alive:
+            best[i] = n
+        n += 1
+        if n > 400:
+            return longest_repeats(w) if len(w) < 600 else [max(b, m) for b, m in zip(best, quality_rules.repeats(np.unique(np.array(w, dtype=object).astype("S"), return_inverse=True)[1], np.zeros(len(w), np.int64)), strict=True)]
+    return best
+
+
 def test_quality_query(spark, data, texts):
     for r in quality_rules.query(spark, data).collect():
         t = texts[r.doc_id] or ""
@@ -69,7 +84,11 @@ def test_quality_query(spark, data, texts):
         lines = [line for line in t.split("\n") if line.encode().split()]
         want = (len(w), sum(len(x.decode()) for x in w), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(inside))
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
-        assert r.base_failed == (len(w) < 20 or 100 * len(inside) > 30 * len(w)) and (not r.base_failed or not r.kept)
+        spans = longest_spans(w)
+        covered = {j for i, n in enumerate(spans) if n >= 4 for j in range(i, i + n)}
+        assert r.base_failed == (len(w) < 20 or 100 * len(inside) > 30 * len(w))
+        assert (r.covered_words, r.longest_repeat) == (len(covered), max(spans, default=0))
+        assert r.kept == (not r.base_failed and 100 * len(covered) <= 50 * len(w) and 100 * max(spans, default=0) <= 40 * len(w))
 
 
 def test_quality_of_odd_rows(spark):
@@ -280,6 +299,18 @@ def test_encoding_equals_the_library(spark, data, texts):
         assert got[i].ids == want and got[i].decoded == t.decode(want, skip_special_tokens=False)
 
 
+def test_long_words_equal_the_library():
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(bpe.tokenizer_path())
+    rng = random.Random(8)
+    encoder = bpe.Encoder(bpe.Vocabulary(open(bpe.tokenizer_path(), encoding="utf-8").read()))
+    parts = [list("etaoinshrdlu"), ["the", "ing", "tion", "er", "ation"], [c * n for c in "=-_*#" for n in (1, 2, 3, 31, 64, 129, 200)], list("éñßδ日本"), list("ÃÂ")]
+    found = ["".join(rng.choice(p) for _ in range(n)) for p in parts for n in (300, 900, 2500) for _ in range(3)]
+    for x in [*found, "a" * 70_000, " ".join(found[:4])]:
+        assert encoder.encode([x])[0].tolist() == t.encode(x, add_special_tokens=False).ids
+
+
 def test_decoding_of_ids(spark):
     df = spark.createDataFrame([([15496, 995],), (None,), ([],), ([50256],), ([222],)], "ids array<int>")
     assert [r.decoded for r in bpe.decode_ids(df, bpe.tokenizer_path()).collect()] == ["Hello world", "", "", "<|endoftext|>", "�"]
@@ -381,6 +412,32 @@ def test_secret_query(spark, data, texts):
         assert r.base_sha256 == hashlib.sha256(base_spans(texts[r.doc_id]).encode()).hexdigest()
 
 
+def test_all_secret_spans_over_the_whole_table(spark, data, texts):
+    """The spans column against brute force: base spans, and tokens whose value fewer than three sources have and no base span overlaps."""
+    source = {r.doc_id: r.source for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    owners, base_values, general = defaultdict(set), set(), defaultdict(list)
+    for i, t in texts.items():
+        t = t or ""
+        for m in re.finditer(secrets_scan.ASSIGN, t):
+            if len(m[2]) >= 12:
+                owners[m[2]].add(source[i]), base_values.add(m[2])
+        for pattern, least in (("AKIA[A-Z0-9]+", 18), ("[0-9a-f]+", 16)):
+            for m in re.finditer(pattern, t):
+                if len(m[0]) >= least:
+                    owners[m[0]].add(source[i]), base_values.add(m[0])
+        for m in re.finditer("[A-Za-z0-9+/_=-]+", t):
+            if len(m[0]) >= 20 and all(re.search(c, m[0]) for c in ("[A-Z]", "[a-z]", "[0-9]")):
+                owners[m[0]].add(source[i]), general[i].append(m)
+    n_added = 0
+    for r in secrets_scan.query(spark, data).collect():
+        spans = [(int(a), secrets_scan.KINDS.index(k), int(b)) for k, a, b in (x.split(":") for x in base_spans(texts[r.doc_id]).split(",") if x)]
+        more = [(m.start(), 3, m.end()) for m in general[r.doc_id] if len(owners[m[0]]) < 3 and not any(a < m.end() and m.start() < b for a, _, b in spans)]
+        n_added += len(more)
+        assert r.spans == ",".join(f"{secrets_scan.KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans + more))
+    repeated = spark.createDataFrame([(1, "token=abcdefghijkl", "s")] * 3, "doc_id long, text string, source string")
+    assert [len(r.base) for r in secrets_scan.scan(repeated).collect()] == [1, 1, 1]
+
+
 def test_secret_spans_of_noise(spark):
     rng = random.Random(5)
     parts = ["token", "=", ": ", "'", '"', " ", "secret", "AKIA", "A9Z", "abcdef012345", "ff", "Zz9", "é🙂", "\u0001", "\u0002", "\n", "API_KEY", "Apikey", "Passwd"]
@@ -510,6 +567,21 @@ def test_summed_tables_give_the_same_responses():
     assert np.allclose(language_id._softmax(np.maximum(peak + net.bias, 0) @ net.out + net.out_bias), net.probabilities(x), atol=1e-4)
 
 
+def test_rare_languages_are_learnt(spark):
+    rng = random.Random(4)
+    say = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(6)) for _ in range(40))
+    rows = [(i, say("abcdef"), "common") for i in range(1500)] + [(5000 + i, say("uvwxyz"), "rare") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    net = language_id.learn(df, settings=language_id.Settings(sample_docs=60))
+    assert net.labels == ["common", "rare"] and net.predict([say("uvwxyz"), say("abcdef")])[0] == ["rare", "common"]
+    assert language_id._sample(df, "lang", 60).count() <= 120 and language_id._sample(df, "lang", 60).filter("lang = 'rare'").count() == 4
+
+
+def test_letters_are_letters():
+    net = language_id.ByteNet(["a"], language_id.Settings())
+    assert net.predict(["½ ² ① 12 _", "٣", "é", "日", "a1"])[0] == ["und", "und", "a", "a", "a"]
+
+
 def test_language_of_odd_rows(spark):
     docs = documents(spark)
     net = language_id.learn(docs, settings=language_id.Settings(epochs=1))
