@@ -8,7 +8,7 @@ from sparkloom.operators import calibration as C
 from sparkloom.operators.association import cells_of_targets, perturbation_association, reference_cells
 from sparkloom.operators.recode import floored_composition
 from sparkloom.plans.association import rounded
-from sparkloom.plans.registry import register, whole
+from sparkloom.plans.registry import register
 from sparkloom.plans.tables import CELL_TARGET_L
 from sparkloom.sources.tables import CONTROL, ScreenE, ScreenL
 
@@ -114,26 +114,16 @@ def hurdle_effects(spark, sf_dir):
 
 
 EFFECT = {
-    "q": "SELECT cell_id, program, 1 + 1e6 * score / 1e5 AS q FROM usage_l WHERE cell_id % 20 = 0",
-    "obs": "SELECT cell_id, gene_id, sum(q * score) AS o, sum(q * exp(CAST(program AS DOUBLE) / 100 - 0.1) * score) AS c FROM q JOIN loading_l USING (program) WHERE gene_id % 10 = 0 GROUP BY ALL",
+    "q": "SELECT cell_id, program, 1 + 1e6 * score / 1e5 AS q FROM usage_l",
+    "obs": "SELECT cell_id, gene_id, sum(q * score) AS o, sum(q * exp(CAST(program AS DOUBLE) / 100 - 0.1) * score) AS c FROM q JOIN loading_l USING (program) GROUP BY ALL",
 }
 
 
-def _gene_effects(spark, sf_dir, cells="true", genes="true"):
-    s = ScreenL(spark, sf_dir)
-    betas = s.loading.select("program").distinct().withColumn("beta", F.col("program").cast("double") / 100 - 0.1)
-    usage = s.usage.filter(cells).withColumn("score", F.col("score") / 1e5)
-    return rounded(C.gene_effects(usage, s.loading.filter(genes), betas), "effect")
-
-
 @register("gene_effects", "SELECT gene_id, round(avg(ln(c / o)), 6) AS effect FROM obs GROUP BY gene_id", EFFECT)
 def gene_effects(spark, sf_dir):
-    return _gene_effects(spark, sf_dir, "cell_id % 20 = 0", "gene_id % 10 = 0")
-
-
-@register("gene_effects_whole", "SELECT gene_id, round(avg(ln(c / o)), 6) AS effect FROM obs GROUP BY gene_id", whole(EFFECT, " WHERE cell_id % 20 = 0", " WHERE gene_id % 10 = 0"))
-def gene_effects_whole(spark, sf_dir):
-    return _gene_effects(spark, sf_dir)
+    s = ScreenL(spark, sf_dir)
+    betas = s.loading.select("program").distinct().withColumn("beta", F.col("program").cast("double") / 100 - 0.1)
+    return rounded(C.gene_effects(s.usage.withColumn("score", F.col("score") / 1e5), s.loading, betas), "effect")
 
 
 LABELS = {
@@ -165,24 +155,13 @@ def bootstrap_effects(spark, sf_dir):
 
 
 GENE = {
-    "lib": "SELECT o_orderkey AS cell_id, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS treated, sum(l_quantity) AS total FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderkey % 10 = 0 GROUP BY ALL",
-    "vals": "SELECT g.gene_id, l.treated, log2((coalesce(x.count, 0) + 0.5) / (l.total + 1) * 1e6) AS v FROM (SELECT DISTINCT gene_id FROM expr_l WHERE gene_id % 20 = 0) g CROSS JOIN (SELECT * FROM lib) l LEFT JOIN expr_l x ON x.gene_id = g.gene_id AND x.cell_id = l.cell_id",
+    "lib": "SELECT o_orderkey AS cell_id, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS treated, sum(l_quantity) AS total FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL",
+    "vals": "SELECT g.gene_id, l.treated, log2((coalesce(x.count, 0) + 0.5) / (l.total + 1) * 1e6) AS v FROM (SELECT DISTINCT gene_id FROM expr_l) g CROSS JOIN (SELECT * FROM lib) l LEFT JOIN expr_l x ON x.gene_id = g.gene_id AND x.cell_id = l.cell_id",
 }
 
 
-def _gene_tests(spark, sf_dir, cells="true", genes="true"):
-    s = ScreenL(spark, sf_dir)
-    cells = s.cells.filter(cells).select("cell_id", (F.col("condition") == "F").cast("int").alias("treated"))
-    expr = s.expr.join(cells.select("cell_id"), "cell_id", "left_semi")
-    out = C.gene_tests(expr, cells).filter(genes)
-    return rounded(out.select("gene_id", "beta", "t"), "beta", "t")
-
-
-@register("gene_tests", "SELECT gene_id, round(m1 - m0, 6) AS beta, round((m1 - m0) / sqrt((v1 * (n1 - 1) + v0 * (n0 - 1)) / (n1 + n0 - 2) * (1.0 / n1 + 1.0 / n0)), 6) AS t FROM (SELECT gene_id, avg(v) FILTER (WHERE treated = 1) AS m1, avg(v) FILTER (WHERE treated = 0) AS m0, var_samp(v) FILTER (WHERE treated = 1) AS v1, var_samp(v) FILTER (WHERE treated = 0) AS v0, count(*) FILTER (WHERE treated = 1) AS n1, count(*) FILTER (WHERE treated = 0) AS n0 FROM vals GROUP BY gene_id) WHERE gene_id IN (SELECT gene_id FROM expr_l WHERE cell_id % 10 = 0)", GENE)
+@register("gene_tests", "SELECT gene_id, round(m1 - m0, 6) AS beta, round((m1 - m0) / sqrt((v1 * (n1 - 1) + v0 * (n0 - 1)) / (n1 + n0 - 2) * (1.0 / n1 + 1.0 / n0)), 6) AS t FROM (SELECT gene_id, avg(v) FILTER (WHERE treated = 1) AS m1, avg(v) FILTER (WHERE treated = 0) AS m0, var_samp(v) FILTER (WHERE treated = 1) AS v1, var_samp(v) FILTER (WHERE treated = 0) AS v0, count(*) FILTER (WHERE treated = 1) AS n1, count(*) FILTER (WHERE treated = 0) AS n0 FROM vals GROUP BY gene_id)", GENE)
 def gene_tests(spark, sf_dir):
-    return _gene_tests(spark, sf_dir, "cell_id % 10 = 0", "gene_id % 20 = 0")
-
-
-@register("gene_tests_whole", "SELECT gene_id, round(m1 - m0, 6) AS beta, round((m1 - m0) / sqrt((v1 * (n1 - 1) + v0 * (n0 - 1)) / (n1 + n0 - 2) * (1.0 / n1 + 1.0 / n0)), 6) AS t FROM (SELECT gene_id, avg(v) FILTER (WHERE treated = 1) AS m1, avg(v) FILTER (WHERE treated = 0) AS m0, var_samp(v) FILTER (WHERE treated = 1) AS v1, var_samp(v) FILTER (WHERE treated = 0) AS v0, count(*) FILTER (WHERE treated = 1) AS n1, count(*) FILTER (WHERE treated = 0) AS n0 FROM vals GROUP BY gene_id)", whole(GENE, " WHERE o_orderkey % 10 = 0", " WHERE gene_id % 20 = 0"))
-def gene_tests_whole(spark, sf_dir):
-    return _gene_tests(spark, sf_dir)
+    s = ScreenL(spark, sf_dir)
+    cells = s.cells.select("cell_id", (F.col("condition") == "F").cast("int").alias("treated"))
+    return rounded(C.gene_tests(s.expr, cells).select("gene_id", "beta", "t"), "beta", "t")

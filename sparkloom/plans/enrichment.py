@@ -54,7 +54,7 @@ def geneset_table(spark, sf_dir):
     return sets.filter(F.size("genes").between(60, 90))
 
 
-@register("uniqueness_score", "SELECT program, gene_id, round(score * ln((25 + 1.0) / (n + 1)), 6) AS uniqueness FROM loading_l JOIN (SELECT gene_id, count(DISTINCT program) AS n FROM loading_l GROUP BY gene_id) USING (gene_id)")
+@register("uniqueness_score", "SELECT program, gene_id, round(score * ln(((SELECT count(DISTINCT program) FROM loading_l) + 1.0) / (n + 1)), 6) AS uniqueness FROM loading_l JOIN (SELECT gene_id, count(DISTINCT program) AS n FROM loading_l GROUP BY gene_id) USING (gene_id)")
 def uniqueness_score(spark, sf_dir):
     return rounded(E.uniqueness(ScreenL(spark, sf_dir).loading).drop("score"), "uniqueness")
 

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 import numpy as np
 from pyspark.sql import functions as F
 
 from sparkloom.operators import factor as N
 from sparkloom.operators import similarity as S
 from sparkloom.plans.association import rounded
-from sparkloom.plans.registry import register, twin
+from sparkloom.plans.registry import register
 from sparkloom.sources.tables import ScreenL
 
 
@@ -75,14 +73,13 @@ def expression_pca(spark, sf_dir):
     return N.pca(matrix, n, 5)
 
 
-BRAND = "p_brand = 'Brand#1'"
 #: Keys of a range in which chunks are numbered by one task.
 RANGE_KEYS = 4096
 
 
-def _sequences(spark, sf_dir, which=BRAND):
+def _sequences(spark, sf_dir):
     """A genome from the digests of parts, 64 bases a chunk, numbered by ranges of keys and the ranges' totals."""
-    p = ScreenL(spark, sf_dir).table("part").filter(which).withColumn("_range", F.floor(F.col("p_partkey") / RANGE_KEYS))
+    p = ScreenL(spark, sf_dir).table("part").withColumn("_range", F.floor(F.col("p_partkey") / RANGE_KEYS))
     sizes = p.groupBy("_range").count()
     before = F.coalesce(F.sum("count").over(N.W.orderBy("_range").rowsBetween(N.W.unboundedPreceding, -1)), F.lit(0))
     bases = F.upper(F.translate(F.md5(F.col("p_partkey").cast("string")), "0123456789abcdef", "ACGTACGTACGTACGT"))
@@ -93,22 +90,22 @@ def _sequences(spark, sf_dir, which=BRAND):
 
 
 GENOME = {
-    "chunks": "SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS chunk, upper(translate(md5(CAST(p_partkey AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT')) AS half FROM part WHERE p_brand = 'Brand#1'",
+    "chunks": "SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS chunk, upper(translate(md5(CAST(p_partkey AS VARCHAR)), '0123456789abcdef', 'ACGTACGTACGTACGT')) AS half FROM part",
     "whole": "SELECT string_agg(half || half, '' ORDER BY chunk) AS g FROM chunks",
     "wins": "SELECT 's' || i AS seq_name, 'g' || (i % 7) AS gene_name, substring(g, CAST(i * 37 + 50 - 40 + 1 AS BIGINT), 80) AS seq FROM whole CROSS JOIN (SELECT chunk AS i FROM chunks)",
 }
 
 
-def _windows(spark, sf_dir, which):
+def _windows(spark, sf_dir):
     i = F.col("chunk")
-    genome = _sequences(spark, sf_dir, which).drop("p_partkey")
+    genome = _sequences(spark, sf_dir).drop("p_partkey")
     loci = genome.select(F.lit("chr1").alias("chromosome"), (i * 37).alias("start"), (i * 37 + 100).alias("end"), F.concat(F.lit("s"), i).alias("seq_name"), F.concat(F.lit("g"), i % 7).alias("gene_name"))
     return N.locus_windows(genome, loci, 80)
 
 
 @register("locus_windows", "SELECT seq_name, gene_name, seq FROM wins WHERE seq <> ''", GENOME)
-def locus_windows(spark, sf_dir, which=BRAND):
-    return _windows(spark, sf_dir, which)
+def locus_windows(spark, sf_dir):
+    return _windows(spark, sf_dir)
 
 
 MOTIFS = {"acgt": [[0.97, 0.01, 0.01, 0.01], [0.01, 0.97, 0.01, 0.01], [0.01, 0.01, 0.97, 0.01], [0.01, 0.01, 0.01, 0.97]], "caag": [[0.01, 0.97, 0.01, 0.01], [0.97, 0.01, 0.01, 0.01], [0.97, 0.01, 0.01, 0.01], [0.01, 0.01, 0.97, 0.01]]}
@@ -119,26 +116,22 @@ HITS = GENOME | {
 
 
 @register("motif_scan", "SELECT seq_name, gene_name, motif, position, strand FROM hits", HITS)
-def motif_scan(spark, sf_dir, which=BRAND):
-    return N.scan_motifs(_windows(spark, sf_dir, which), MOTIFS, p_max=0.005).select("seq_name", "gene_name", "motif", "position", "strand")
+def motif_scan(spark, sf_dir):
+    return N.scan_motifs(_windows(spark, sf_dir), MOTIFS, p_max=0.005).select("seq_name", "gene_name", "motif", "position", "strand")
 
 
 @register("motif_counts", "SELECT gene_name, motif, count(*) AS n FROM hits GROUP BY ALL", HITS)
-def motif_counts(spark, sf_dir, which=BRAND):
-    return N.motif_counts(N.scan_motifs(_windows(spark, sf_dir, which), MOTIFS, p_max=0.005), literal=True)
+def motif_counts(spark, sf_dir):
+    return N.motif_counts(N.scan_motifs(_windows(spark, sf_dir), MOTIFS, p_max=0.005), literal=True)
 
 
 @register("hits_with_loci", "SELECT h.seq_name, h.motif, h.position, h.strand, 'class' || length(h.gene_name) AS seq_class FROM hits h", HITS)
-def hits_with_loci(spark, sf_dir, which=BRAND):
-    hits = N.scan_motifs(_windows(spark, sf_dir, which), MOTIFS, p_max=0.005)
-    loci = _sequences(spark, sf_dir, which).select(F.concat(F.lit("s"), "chunk").alias("seq_name"), F.concat(F.lit("class"), F.length(F.concat(F.lit("g"), F.col("chunk") % 7))).alias("seq_class"))
+def hits_with_loci(spark, sf_dir):
+    hits = N.scan_motifs(_windows(spark, sf_dir), MOTIFS, p_max=0.005)
+    loci = _sequences(spark, sf_dir).select(F.concat(F.lit("s"), "chunk").alias("seq_name"), F.concat(F.lit("class"), F.length(F.concat(F.lit("g"), F.col("chunk") % 7))).alias("seq_class"))
     return hits.join(loci, "seq_name").select("seq_name", "motif", "position", "strand", "seq_class")
 
 
-for _query in (locus_windows, motif_scan, motif_counts, hits_with_loci):
-    twin(_query.__name__, BRAND, partial(_query, which="true"))
-
-
 ENRICH = {
     "mc": "SELECT l_partkey AS gene_id, 'm' || (l_linenumber % 5) AS motif, count(*)::DOUBLE AS n FROM lineitem GROUP BY ALL",
     "dense": "SELECT p.program, m.motif, g.gene_id, coalesce(l.score, 0) AS x, coalesce(mc.n, 0) AS y FROM (SELECT DISTINCT program FROM loading_l) p CROSS JOIN (SELECT DISTINCT motif FROM mc) m CROSS JOIN (SELECT p_partkey AS gene_id FROM part) g LEFT JOIN loading_l l ON l.program = p.program AND l.gene_id = g.gene_id LEFT JOIN mc ON mc.motif = m.motif AND mc.gene_id = g.gene_id",

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import functions as F
 
 from sparkloom.operators import recode as B
 from sparkloom.plans.association import rounded
-from sparkloom.plans.registry import register, twin
+from sparkloom.plans.registry import register
 from sparkloom.sources.tables import Papers, ScreenE, ScreenL, Source
 
 PCT = "quantile_cont"
@@ -152,9 +150,9 @@ def screen_validation(spark, sf_dir):
     return B.validate_screen(s.assignment, s.guides, s.cells).drop("examples")
 
 
-@register("program_consistency", "SELECT 'assoc' AS result, CAST(0 AS BIGINT) AS unknown, (SELECT count(*) FROM (SELECT DISTINCT program FROM usage_e WHERE CAST(program AS INTEGER) > 24)) AS missing")
+@register("program_consistency", "SELECT 'assoc' AS result, (SELECT count(*) FROM (SELECT DISTINCT program_name FROM assoc) WHERE program_name NOT IN (SELECT program FROM usage_e)) AS unknown, (SELECT count(*) FROM (SELECT DISTINCT program FROM usage_e) WHERE program NOT IN (SELECT program_name FROM assoc)) AS missing")
 def program_consistency(spark, sf_dir):
-    return B.program_consistency({"assoc": ScreenL(spark, sf_dir).assoc.filter("CAST(program_name AS INT) < 25")}, ScreenE(spark, sf_dir).usage)
+    return B.program_consistency({"assoc": ScreenL(spark, sf_dir).assoc}, ScreenE(spark, sf_dir).usage)
 
 
 @register("volcano_classes", "SELECT target_name, program_name, sample, CASE WHEN adj_pval <= 0.05 AND log2FC >= 0.1 THEN 'up' WHEN adj_pval <= 0.05 AND log2FC <= -0.1 THEN 'down' ELSE 'ns' END AS class, round(-log10(greatest(adj_pval, 1e-300)), 6) AS neg_log10_p FROM assoc")
@@ -215,13 +213,10 @@ def subsample_cells(spark, sf_dir):
     return B.subsample(ScreenL(spark, sf_dir).cells, ["condition"], "cell_id", 500).select("cell_id", "condition")
 
 
-@register("drop_empty_guides", "SELECT guide_name, target FROM guides_l SEMI JOIN (SELECT * FROM assign_l WHERE cell_id % 50 = 0) USING (guide_name)")
-def drop_empty_guides(spark, sf_dir, which="cell_id % 50 = 0"):
+@register("drop_empty_guides", "SELECT guide_name, target FROM guides_l SEMI JOIN assign_l USING (guide_name)")
+def drop_empty_guides(spark, sf_dir):
     s = ScreenL(spark, sf_dir)
-    return s.guides.join(s.assignment.filter(which), "guide_name", "left_semi")
-
-
-twin("drop_empty_guides", "cell_id % 50 = 0", partial(drop_empty_guides, which="true"))
+    return s.guides.join(s.assignment, "guide_name", "left_semi")
 
 
 @register("search_input", "SELECT program_name AS program, array_to_string(list(target_name ORDER BY s, target_name), ', ') AS regulators FROM (SELECT program_name, target_name, min(sample) AS s FROM assoc WHERE adj_pval < 0.01 GROUP BY ALL) GROUP BY ALL")

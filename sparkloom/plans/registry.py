@@ -54,16 +54,6 @@ def _names(text: str, name: str) -> bool:
     return re.search(rf"\b(FROM|JOIN)\s+{name}\b", text) is not None
 
 
-def whole(extra: dict[str, str], *cuts: str) -> dict[str, str]:
-    """The extra tables without the filters that cut them to a slice."""
-    out = dict(extra)
-    for c in cuts:
-        if not any(c in body for body in out.values()):
-            raise ValueError(f"no table has {c!r}")
-        out = {name: body.replace(c, "") for name, body in out.items()}
-    return out
-
-
 def register(name: str, sql: str | None = None, extra: dict[str, str] | None = None) -> Callable:
     def keep(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         if name in QUERIES:
@@ -76,13 +66,6 @@ def register(name: str, sql: str | None = None, extra: dict[str, str] | None = N
     return keep
 
 
-def twin(name: str, condition: str, query: Callable[[SparkSession, str], DataFrame]) -> None:
-    """Registers ``name``_whole: the query over all rows, its SQL without the condition that makes a slice of the other."""
-    if condition not in ORACLES[name]:
-        raise ValueError(f"{name} has no {condition!r}")
-    QUERIES[f"{name}_whole"], ORACLES[f"{name}_whole"] = query, ORACLES[name].replace(condition, "true")
-
-
 def load() -> None:
     """Imports all modules that register queries."""
     from importlib import import_module

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkloom.operators import similarity as S
 from sparkloom.operators.ranking import top_k
 from sparkloom.plans.association import rounded
-from sparkloom.plans.registry import register, whole
+from sparkloom.plans.registry import register
 from sparkloom.sources.tables import ScreenE, ScreenL
 
 #: Two runs of programs: loadings of lines shipped with odd and even line numbers.
@@ -54,7 +54,7 @@ ALIGN = TOPS | {
 }
 
 
-@register("diagonal_alignment", 'SELECT a, b, n, i, best, (j + i - peak + 25) % 25 AS "column" FROM peaked', ALIGN)
+@register("diagonal_alignment", 'SELECT a, b, n, i, best, (j + i - peak + m) % m AS "column" FROM peaked CROSS JOIN (SELECT count(DISTINCT b) AS m FROM overlap)', ALIGN)
 def diagonal_alignment(spark, sf_dir):
     return S.align_diagonal(S.top_overlap(*runs(spark, sf_dir), 100), "n")
 
@@ -65,21 +65,13 @@ def program_cell_correlation(spark, sf_dir):
     return rounded(S.correlation(u, u, "program", "cell_id", "score").fillna(0.0, ["r"]), "r")
 
 
-GENES = {"few": "SELECT gene_id, program, score FROM loading_l WHERE gene_id % 40 = 0", "dense": "SELECT g.gene_id, p.program, coalesce(f.score, 0) AS score FROM (SELECT DISTINCT gene_id FROM few) g CROSS JOIN (SELECT DISTINCT program FROM loading_l) p LEFT JOIN few f ON f.gene_id = g.gene_id AND f.program = p.program"}
-
-
-def _gene_correlation(loading, n):
-    return rounded(S.correlation(loading, loading, "gene_id", "program", "score", n).fillna(0.0, ["r"]), "r", digits=5)
+GENES = {"dense": "SELECT g.gene_id, p.program, coalesce(f.score, 0) AS score FROM (SELECT DISTINCT gene_id FROM loading_l) g CROSS JOIN (SELECT DISTINCT program FROM loading_l) p LEFT JOIN loading_l f ON f.gene_id = g.gene_id AND f.program = p.program"}
 
 
 @register("gene_correlation", "SELECT x.gene_id AS a, y.gene_id AS b, round(coalesce(corr(x.score, y.score), 0), 5) AS r FROM dense x JOIN dense y USING (program) GROUP BY ALL", GENES)
 def gene_correlation(spark, sf_dir):
-    return _gene_correlation(ScreenL(spark, sf_dir).loading.filter("gene_id % 40 = 0"), 25)
-
-
-@register("gene_correlation_whole", "SELECT x.gene_id AS a, y.gene_id AS b, round(coalesce(corr(x.score, y.score), 0), 5) AS r FROM dense x JOIN dense y USING (program) GROUP BY ALL", whole(GENES, " WHERE gene_id % 40 = 0"))
-def gene_correlation_whole(spark, sf_dir):
-    return _gene_correlation(ScreenL(spark, sf_dir).loading, None)
+    loading = ScreenL(spark, sf_dir).loading
+    return rounded(S.correlation(loading, loading, "gene_id", "program", "score").fillna(0.0, ["r"]), "r", digits=5)
 
 
 PROFILE = {"profile": "SELECT x.target_name AS a, y.target_name AS b, corr(x.v, CASE WHEN x.target_name <> y.target_name THEN y.v END) AS r FROM (SELECT target_name, program_name, avg(log2FC) AS v FROM assoc GROUP BY ALL) x JOIN (SELECT target_name, program_name, avg(log2FC) AS v FROM assoc GROUP BY ALL) y USING (program_name) GROUP BY ALL"}
@@ -148,54 +140,36 @@ def variance_summary(spark, sf_dir):
 
 
 ERROR = {
-    "small": "SELECT cell_id, gene_id, count FROM expr_l WHERE cell_id % 50 = 0",
-    "w": "SELECT cell_id, program, score / 1e5 AS w FROM usage_l WHERE cell_id % 50 = 0",
+    "small": "SELECT cell_id, gene_id, count FROM expr_l",
+    "w": "SELECT cell_id, program, score / 1e5 AS w FROM usage_l",
     "h": "SELECT program, gene_id, score / 100 AS h FROM loading_l",
     "dense": "SELECT coalesce(p.cell_id, x.cell_id) AS cell_id, coalesce(p.gene_id, x.gene_id) AS gene_id, coalesce(x.count, 0) - coalesce(p.v, 0) AS d FROM (SELECT cell_id, gene_id, sum(w * h) AS v FROM w JOIN h USING (program) GROUP BY ALL) p FULL JOIN small x ON p.cell_id = x.cell_id AND p.gene_id = x.gene_id",
 }
 
 
-def _reconstruction_error(spark, sf_dir, cells="true"):
-    s = ScreenL(spark, sf_dir)
-    w = s.usage.filter(cells).withColumn("score", F.col("score") / 1e5)
-    return rounded(S.reconstruction_error(s.expr.filter(cells), w, s.loading.withColumn("score", F.col("score") / 100)), "error", digits=2)
-
-
 @register("reconstruction_error", "SELECT round(sum(d * d), 2) AS error FROM dense", ERROR)
 def reconstruction_error(spark, sf_dir):
-    return _reconstruction_error(spark, sf_dir, "cell_id % 50 = 0")
-
-
-@register("reconstruction_error_whole", "SELECT round(sum(d * d), 2) AS error FROM dense", whole(ERROR, " WHERE cell_id % 50 = 0"))
-def reconstruction_error_whole(spark, sf_dir):
-    return _reconstruction_error(spark, sf_dir)
+    s = ScreenL(spark, sf_dir)
+    w = s.usage.withColumn("score", F.col("score") / 1e5)
+    return rounded(S.reconstruction_error(s.expr, w, s.loading.withColumn("score", F.col("score") / 100)), "error", digits=2)
 
 
 POINTS = {
-    "pts": "SELECT vec_id AS id, i AS dim, CAST(embedding[i] AS DOUBLE) AS value, label FROM embeddings, (SELECT unnest(range(1, 65)) AS i) WHERE vec_id < 200",
+    "pts": "SELECT vec_id AS id, i AS dim, CAST(embedding[i] AS DOUBLE) AS value, label FROM embeddings, (SELECT unnest(range(1, 65)) AS i)",
     "dist": "SELECT a.id AS a, a.label AS la, b.label AS lb, sqrt(sum((a.value - b.value) * (a.value - b.value))) AS d FROM pts a JOIN pts b ON a.dim = b.dim AND a.id <> b.id GROUP BY a.id, b.id, a.label, b.label",
     "mean_d": "SELECT a, la, lb, avg(d) AS m FROM dist GROUP BY ALL",
     "sides": "SELECT a, la, max(m) FILTER (WHERE la = lb) AS own, min(m) FILTER (WHERE la <> lb) AS other FROM mean_d GROUP BY ALL",
 }
 
 
-POINTS_WHOLE = whole(POINTS, " WHERE vec_id < 200")
-FEW = "vec_id < 200"
-
-
-def _points(spark, sf_dir, which="true"):
-    e = ScreenE(spark, sf_dir).table("embeddings").filter(which)
+def _points(spark, sf_dir):
+    e = ScreenE(spark, sf_dir).table("embeddings")
     points = e.select(F.col("vec_id").alias("id"), F.posexplode("embedding").alias("dim", "value")).withColumn("value", F.col("value").cast("double"))
     return points, e.select(F.col("vec_id").alias("id"), "label")
 
 
 @register("stability_silhouette", "SELECT a AS id, la AS label, round(CASE WHEN own IS NULL OR other IS NULL THEN 0 ELSE (other - own) / greatest(own, other) END, 6) AS silhouette FROM sides", POINTS)
 def stability_silhouette(spark, sf_dir):
-    return rounded(S.silhouette(*_points(spark, sf_dir, FEW)), "silhouette")
-
-
-@register("stability_silhouette_whole", "SELECT a AS id, la AS label, round(CASE WHEN own IS NULL OR other IS NULL THEN 0 ELSE (other - own) / greatest(own, other) END, 6) AS silhouette FROM sides", POINTS_WHOLE)
-def stability_silhouette_whole(spark, sf_dir):
     return rounded(S.silhouette(*_points(spark, sf_dir)), "silhouette")
 
 
@@ -205,11 +179,6 @@ def _cluster_medians(points, labels):
 
 @register("cluster_medians", "SELECT label, dim, round(m / sum(m) OVER (PARTITION BY label), 6) AS median FROM (SELECT label, dim - 1 AS dim, median(value * value) AS m FROM pts GROUP BY label, dim)", POINTS)
 def cluster_medians(spark, sf_dir):
-    return _cluster_medians(*_points(spark, sf_dir, FEW))
-
-
-@register("cluster_medians_whole", "SELECT label, dim, round(m / sum(m) OVER (PARTITION BY label), 6) AS median FROM (SELECT label, dim - 1 AS dim, median(value * value) AS m FROM pts GROUP BY label, dim)", POINTS_WHOLE)
-def cluster_medians_whole(spark, sf_dir):
     return _cluster_medians(*_points(spark, sf_dir))
 
 
@@ -220,9 +189,4 @@ def _k_selection(points, labels):
 
 @register("k_selection", "SELECT la % 3 AS k, round(avg(CASE WHEN own IS NULL OR other IS NULL THEN 0 ELSE (other - own) / greatest(own, other) END), 6) AS silhouette FROM sides GROUP BY ALL", POINTS)
 def k_selection(spark, sf_dir):
-    return _k_selection(*_points(spark, sf_dir, FEW))
-
-
-@register("k_selection_whole", "SELECT la % 3 AS k, round(avg(CASE WHEN own IS NULL OR other IS NULL THEN 0 ELSE (other - own) / greatest(own, other) END), 6) AS silhouette FROM sides GROUP BY ALL", POINTS_WHOLE)
-def k_selection_whole(spark, sf_dir):
     return _k_selection(*_points(spark, sf_dir))

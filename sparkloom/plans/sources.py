@@ -2,42 +2,29 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import partial
 
 from pyspark.sql import functions as F
 
 from sparkloom.plans.association import rounded
-from sparkloom.plans.registry import register, twin
+from sparkloom.plans.registry import register
 from sparkloom.sources import readers as R
 from sparkloom.sources import sinks as K
-from sparkloom.sources.tables import ScreenE, ScreenL, Source
+from sparkloom.sources.tables import ScreenE, ScreenL, Source, shared_folder
 
 
 def _folder(spark) -> str:
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="sparkloom-")
-    return f"{where}/files-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
 
 
-@register("matrix_roundtrip", "SELECT program, CAST(gene_id AS VARCHAR) AS gene_id, score FROM loading_l WHERE gene_id < 100")
+@register("matrix_roundtrip", "SELECT program, CAST(gene_id AS VARCHAR) AS gene_id, score FROM loading_l")
 def matrix_roundtrip(spark, sf_dir):
-    loading = ScreenL(spark, sf_dir).loading.filter("gene_id < 100")
-    path = _folder(spark)
-    loading.groupBy("program").pivot("gene_id", [i for i in range(100)]).agg(F.first("score")).write.option("sep", "\t").option("header", True).csv(path)
-    return R.read_matrix(spark, path).filter("score IS NOT NULL")
-
-
-def matrix_roundtrip_whole(spark, sf_dir):
     """All genes, as rows; programs are the columns, of which there are few whatever the table."""
     loading, path = ScreenL(spark, sf_dir).loading, _folder(spark)
     loading.groupBy("gene_id").pivot("program").agg(F.first("score")).write.option("sep", "\t").option("header", True).csv(path)
     return R.read_matrix(spark, path, row="gene_id", column="program").filter("score IS NOT NULL").select("program", "gene_id", "score")
 
 
-twin("matrix_roundtrip", "gene_id < 100", matrix_roundtrip_whole)
-
-
 @register("result_files", "SELECT target_name, program_name, log2FC, adj_pval, sample FROM assoc")
 def result_files(spark, sf_dir):
     a, path = ScreenL(spark, sf_dir).assoc, _folder(spark)
@@ -91,31 +78,25 @@ def loci_reader(spark, sf_dir):
     return R.read_loci(spark, path).select("chromosome", "start", "gene_name", "seq_score")
 
 
-@register("sparse_entries", "SELECT cell_id, gene_id, count AS value FROM expr_l WHERE cell_id % 3 = 0")
-def sparse_entries(spark, sf_dir, which="cell_id % 3 = 0"):
+@register("sparse_entries", "SELECT cell_id, gene_id, count AS value FROM expr_l")
+def sparse_entries(spark, sf_dir):
     e = ScreenL(spark, sf_dir).expr
     cells = e.select("cell_id", F.xxhash64("cell_id").alias("cell_idx")).distinct()
     genes = e.select("gene_id", (F.col("gene_id") + 1).alias("gene_idx")).distinct()
     entries = e.select(F.xxhash64("cell_id").alias("cell_idx"), (F.col("gene_id") + 1).alias("gene_idx"), F.col("count").alias("value"))
-    return R.sparse_entries(entries, cells, genes, cells.filter(which))
+    return R.sparse_entries(entries, cells, genes, cells)
 
 
-twin("sparse_entries", "cell_id % 3 = 0", partial(sparse_entries, which="true"))
-
-
-@register("matrix_market", "SELECT CAST(l_orderkey + 1 AS BIGINT) AS row, l_partkey + 1 AS \"column\", sum(l_quantity) AS value FROM lineitem WHERE l_orderkey < 500 GROUP BY ALL")
-def matrix_market(spark, sf_dir, which="cell_id < 500"):
+@register("matrix_market", "SELECT CAST(l_orderkey + 1 AS BIGINT) AS row, l_partkey + 1 AS \"column\", sum(l_quantity) AS value FROM lineitem GROUP BY ALL")
+def matrix_market(spark, sf_dir):
     path = _folder(spark)
-    e = ScreenL(spark, sf_dir).expr.filter(which).select((F.col("cell_id") + 1).alias("i"), (F.col("gene_id") + 1).alias("j"), "count")
+    e = ScreenL(spark, sf_dir).expr.select((F.col("cell_id") + 1).alias("i"), (F.col("gene_id") + 1).alias("j"), "count")
     e.select(F.concat_ws(" ", "i", "j", "count")).write.text(path)
     size = e.agg(F.concat_ws(" ", F.coalesce(F.max("i"), F.lit(0)), F.coalesce(F.max("j"), F.lit(0)), F.count("*")).alias("size"))
     size.select(F.concat_ws("\n", F.lit("%%MatrixMarket matrix coordinate real general"), "size")).write.mode("append").text(path)
     return R.read_matrix_market(spark, path)
 
 
-twin("matrix_market", "l_orderkey < 500", partial(matrix_market, which="true"))
-
-
 @register("geneset_library", "SELECT 'lib' AS library, p_brand AS term, CAST(p_partkey AS VARCHAR) AS gene FROM part WHERE p_brand IN (SELECT p_brand FROM part GROUP BY p_brand HAVING count(*) BETWEEN 70 AND 100)")
 def geneset_library(spark, sf_dir):
     path = _folder(spark)

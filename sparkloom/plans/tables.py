@@ -59,7 +59,7 @@ def trait_metadata_join(spark, sf_dir):
 @register("pvalue_effect_join", "SELECT target_name, program_name, adj_pval AS pval, log2FC AS beta FROM assoc WHERE sample = 'c0'")
 def pvalue_effect_join(spark, sf_dir):
     a = ScreenL(spark, sf_dir).assoc.filter("sample = 'c0'")
-    programs = [str(i) for i in range(25)]
+    programs = [r[0] for r in a.select("program_name").distinct().orderBy("program_name").collect()]  # columns of a wide table
     wide = lambda v: a.groupBy("target_name").pivot("program_name", programs).agg(F.first(v))
     long = lambda df, v: df.unpivot(["target_name"], programs, "program_name", v).filter(F.col(v).isNotNull())
     return long(wide("adj_pval"), "pval").join(long(wide("log2FC"), "beta"), ["target_name", "program_name"])
@@ -78,7 +78,7 @@ def regulator_edges(spark, sf_dir):
     return hits.orderBy(F.desc("n"), "regulator", "gene_id").limit(50).withColumn("rank", F.row_number().over(D.W.orderBy(F.desc("n"), "regulator", "gene_id")).cast("long"))
 
 
-@register("unique_not_top", "SELECT program, gene_id FROM (SELECT program, gene_id, row_number() OVER (PARTITION BY program ORDER BY score * ln(26.0 / (n + 1)) DESC, gene_id) AS u, row_number() OVER (PARTITION BY program ORDER BY score DESC, gene_id) AS t FROM loading_l JOIN (SELECT gene_id, count(DISTINCT program) AS n FROM loading_l GROUP BY gene_id) USING (gene_id)) WHERE u <= 20 AND t > 20")
+@register("unique_not_top", "SELECT program, gene_id FROM (SELECT program, gene_id, row_number() OVER (PARTITION BY program ORDER BY score * ln(((SELECT count(DISTINCT program) FROM loading_l) + 1.0) / (n + 1)) DESC, gene_id) AS u, row_number() OVER (PARTITION BY program ORDER BY score DESC, gene_id) AS t FROM loading_l JOIN (SELECT gene_id, count(DISTINCT program) AS n FROM loading_l GROUP BY gene_id) USING (gene_id)) WHERE u <= 20 AND t > 20")
 def unique_not_top(spark, sf_dir):
     from sparkloom.operators.enrichment import uniqueness
 

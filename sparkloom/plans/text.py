@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import functions as F
 
 from sparkloom.operators import text as T
 from sparkloom.operators.ranking import top_k
 from sparkloom.plans.association import rounded
-from sparkloom.plans.registry import register, twin
+from sparkloom.plans.registry import register
 from sparkloom.sources.tables import Papers, ScreenL
 
 VERBS = ["then", "heit", "tion"]
@@ -55,12 +53,9 @@ def mechanistic_sentences(spark, sf_dir):
     return T.mechanistic(p.papers, pairs, VERBS)
 
 
-SLICE = "l_orderkey % 10 = 0"
-
-
-def _annotated(spark, sf_dir, which):
+def _annotated(spark, sf_dir):
     """BioC documents built from line items: an order is a paper, its parts are genes and neighbouring lines are relations."""
-    li = ScreenL(spark, sf_dir).table("lineitem").filter(which)
+    li = ScreenL(spark, sf_dir).table("lineitem")
     gene = lambda k: F.concat(F.lit("g"), (F.col(k) % 40).cast("string"))
     annotation = F.struct(F.create_map(F.lit("type"), F.when(F.col("l_linenumber") % 4 == 0, "Disease").otherwise("Gene"), F.lit("name"), gene("l_partkey")).alias("infons"), F.concat(F.lit("t"), F.col("l_linenumber").cast("string")).alias("text"))
     kind = F.when(F.col("l_returnflag") == "A", "Positive_Correlation").when(F.col("l_returnflag") == "N", "Negative_Correlation").otherwise("Association")
@@ -69,17 +64,17 @@ def _annotated(spark, sf_dir, which):
     return li.groupBy(F.col("l_orderkey").alias("pmid")).agg(F.to_json(F.struct(F.array(passage).alias("passages"), F.collect_list(relation).alias("relations"))).alias("payload"))
 
 
-@register("gene_mentions", "SELECT l_orderkey AS pmid, 'G' || (l_partkey % 40) AS gene, list_sort(list(DISTINCT 't' || l_linenumber)) AS texts FROM lineitem WHERE l_orderkey % 10 = 0 AND l_linenumber % 4 <> 0 GROUP BY ALL")
-def gene_mentions(spark, sf_dir, which=SLICE):
-    return T.mentions(_annotated(spark, sf_dir, which))
+@register("gene_mentions", "SELECT l_orderkey AS pmid, 'G' || (l_partkey % 40) AS gene, list_sort(list(DISTINCT 't' || l_linenumber)) AS texts FROM lineitem WHERE l_linenumber % 4 <> 0 GROUP BY ALL")
+def gene_mentions(spark, sf_dir):
+    return T.mentions(_annotated(spark, sf_dir))
 
 
-RELATIONS = {"rel": "SELECT l_orderkey AS pmid, 'G' || (l_partkey % 40) AS gene_a, 'G' || (l_suppkey % 40) AS gene_b, CASE WHEN l_returnflag = 'A' THEN 'Positive_Correlation' ELSE 'Negative_Correlation' END AS kind, l_discount * 10 AS score FROM lineitem WHERE l_orderkey % 10 = 0 AND l_returnflag IN ('A', 'N')"}
+RELATIONS = {"rel": "SELECT l_orderkey AS pmid, 'G' || (l_partkey % 40) AS gene_a, 'G' || (l_suppkey % 40) AS gene_b, CASE WHEN l_returnflag = 'A' THEN 'Positive_Correlation' ELSE 'Negative_Correlation' END AS kind, l_discount * 10 AS score FROM lineitem WHERE l_returnflag IN ('A', 'N')"}
 
 
 @register("relation_extraction", "SELECT pmid, 'order ' || pmid AS title, gene_a, gene_b, kind, round(score, 6) AS score FROM rel", RELATIONS)
-def relation_extraction(spark, sf_dir, which=SLICE):
-    return rounded(T.relations(_annotated(spark, sf_dir, which)), "score")
+def relation_extraction(spark, sf_dir):
+    return rounded(T.relations(_annotated(spark, sf_dir)), "score")
 
 
 REGULATOR = RELATIONS | {
@@ -89,8 +84,8 @@ REGULATOR = RELATIONS | {
 
 
 @register("regulator_evidence", "SELECT pmid, regulator, other, kind, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY regulator ORDER BY score DESC, pmid, other) AS rank FROM ones) WHERE rank <= 10", REGULATOR)
-def regulator_evidence(spark, sf_dir, which=SLICE):
-    a = _annotated(spark, sf_dir, which)
+def regulator_evidence(spark, sf_dir):
+    a = _annotated(spark, sf_dir)
     regulators = spark.range(1).select(F.explode(F.array(*map(F.lit, ["G1", "G2", "G3", "G77"]))).alias("regulator"))
     found = rounded(T.relations(a), "score").filter("score >= 0.85")
     return T.regulator_evidence(found, regulators, T.mentions(a))
@@ -131,19 +126,19 @@ def read_bands(spark, sf_dir):
     return text.select("l_orderkey", T.read_bands(F.col("t")).alias("items"))
 
 
-CLAIMS = {"claims": "SELECT l_suppkey % 30 AS claim_id, l_orderkey AS pmid, 'g' || (l_suppkey % 40) AS gene FROM lineitem WHERE l_orderkey % 10 = 0", "ment": "SELECT DISTINCT l_orderkey AS pmid, 'G' || (l_partkey % 40) AS g FROM lineitem WHERE l_orderkey % 10 = 0 AND l_linenumber % 4 <> 0"}
+CLAIMS = {"claims": "SELECT l_suppkey % 30 AS claim_id, l_orderkey AS pmid, 'g' || (l_suppkey % 40) AS gene FROM lineitem", "ment": "SELECT DISTINCT l_orderkey AS pmid, 'G' || (l_partkey % 40) AS g FROM lineitem WHERE l_linenumber % 4 <> 0"}
 
 
 @register("citation_check", "SELECT claim_id, c.pmid, count(g) AS found, count(*) AS claimed, count(g) > 0 AS passed, round(count(g) / count(*), 6) AS confidence FROM claims c LEFT JOIN ment m ON m.pmid = c.pmid AND m.g = upper(c.gene) GROUP BY ALL", CLAIMS)
-def citation_check(spark, sf_dir, which=SLICE):
-    li = ScreenL(spark, sf_dir).table("lineitem").filter(which)
+def citation_check(spark, sf_dir):
+    li = ScreenL(spark, sf_dir).table("lineitem")
     claims = li.select((F.col("l_suppkey") % 30).alias("claim_id"), F.col("l_orderkey").alias("pmid"), F.concat(F.lit("g"), (F.col("l_suppkey") % 40).cast("string")).alias("gene"))
-    return rounded(T.check_citations(claims, T.mentions(_annotated(spark, sf_dir, which))).drop("missing"), "confidence")
+    return rounded(T.check_citations(claims, T.mentions(_annotated(spark, sf_dir))).drop("missing"), "confidence")
 
 
-@register("badges", "SELECT pmid, CASE WHEN bool_and(passed) THEN 'VERIFIED' ELSE arg_min(name, priority) FILTER (WHERE NOT passed) END AS badge, bool_and(passed) AS all_passed, sum(evidence) AS evidence FROM checks GROUP BY pmid", {"checks": "SELECT l_orderkey AS pmid, 'check' || l_linenumber AS name, l_linenumber AS priority, l_discount < 0.08 AS passed, CAST(l_quantity AS BIGINT) AS evidence FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey) = 1"})
+@register("badges", "SELECT pmid, CASE WHEN bool_and(passed) THEN 'VERIFIED' ELSE arg_min(name, priority) FILTER (WHERE NOT passed) END AS badge, bool_and(passed) AS all_passed, sum(evidence) AS evidence FROM checks GROUP BY pmid", {"checks": "SELECT l_orderkey AS pmid, 'check' || l_linenumber AS name, l_linenumber AS priority, l_discount < 0.08 AS passed, CAST(l_quantity AS BIGINT) AS evidence FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_discount) = 1"})
 def badges(spark, sf_dir):
-    li = top_k(ScreenL(spark, sf_dir).table("lineitem"), ["l_orderkey", "l_linenumber"], [F.asc("l_partkey"), F.asc("l_suppkey")], 1)
+    li = top_k(ScreenL(spark, sf_dir).table("lineitem"), ["l_orderkey", "l_linenumber"], [F.asc("l_partkey"), F.asc("l_suppkey"), F.asc("l_quantity"), F.asc("l_discount")], 1)
     checks = li.select(F.col("l_orderkey").alias("pmid"), F.concat(F.lit("check"), F.col("l_linenumber")).alias("name"), F.col("l_linenumber").alias("priority"), (F.col("l_discount") < 0.08).alias("passed"), F.col("l_quantity").cast("long").alias("evidence"))
     return T.badge(checks)
 
@@ -165,7 +160,7 @@ def snippet_dedup(spark, sf_dir):
 
 CONTEXT = SIGNS | {
     "cg": "SELECT program, string_agg(CAST(gene_id AS VARCHAR), ', ' ORDER BY k) AS genes FROM (SELECT *, row_number() OVER (PARTITION BY program ORDER BY score DESC, gene_id) AS k FROM loading_l) WHERE k <= 20 GROUP BY program",
-    "ct": "SELECT program, string_agg(term, ', ' ORDER BY k) AS terms FROM (SELECT program_name AS program, target_name AS term, row_number() OVER (PARTITION BY program_name ORDER BY adj_pval, target_name) AS k FROM assoc WHERE sample = 'c1' AND CAST(program_name AS INTEGER) % 5 <> 0) WHERE k <= 5 GROUP BY program",
+    "ct": "SELECT program, string_agg(term, ', ' ORDER BY k) AS terms FROM (SELECT program_name AS program, target_name AS term, row_number() OVER (PARTITION BY program_name ORDER BY adj_pval, target_name) AS k FROM assoc WHERE sample = 'c1') WHERE k <= 5 GROUP BY program",
     "cr": "SELECT program_name AS program, string_agg(role || ' ' || target_name, ', ' ORDER BY role || ' ' || target_name) AS regulators FROM (SELECT *, row_number() OVER (PARTITION BY program_name, role ORDER BY abs(log2FC) DESC, target_name) AS rank FROM signed) WHERE rank <= 3 OR n <= 8 GROUP BY program_name",
 }
 
@@ -173,7 +168,7 @@ CONTEXT = SIGNS | {
 @register("context_assembly", "SELECT program, 'Genes: ' || coalesce(genes, 'Not available') || '; terms: ' || coalesce(terms, 'Not available') || '; regulators: ' || coalesce(regulators, 'Not available') AS context FROM cg FULL JOIN ct USING (program) FULL JOIN cr USING (program)", CONTEXT)
 def context_assembly(spark, sf_dir):
     s = ScreenL(spark, sf_dir)
-    terms = s.assoc.filter("sample = 'c1' AND CAST(program_name AS INT) % 5 <> 0").select(F.col("program_name").alias("program"), F.col("target_name").alias("term"), "adj_pval")
+    terms = s.assoc.filter("sample = 'c1'").select(F.col("program_name").alias("program"), F.col("target_name").alias("term"), "adj_pval")
     return T.contexts(s.loading, terms, _by_sign(spark, sf_dir), "Genes: {genes}; terms: {terms}; regulators: {regulators}")
 
 
@@ -202,24 +197,18 @@ def unique_names(spark, sf_dir):
     return T.unique_names(p.select(F.col("p_partkey").alias("topic"), F.split("p_name", " ").alias("words"), genes.alias("genes")), "topic", "words", "genes")
 
 
-FUSE = {"found": "SELECT 'q' || (l_suppkey % 5) AS query, l_partkey AS pmid, 't' || l_partkey AS title, max(l_extendedprice) AS score FROM lineitem WHERE l_suppkey % 9 = 0 GROUP BY ALL"}
+FUSE = {"found": "SELECT 'q' || (l_suppkey % 5) AS query, l_partkey AS pmid, 't' || l_partkey AS title, max(l_extendedprice) AS score FROM lineitem GROUP BY ALL"}
 
 
 @register("query_fusion", "SELECT * FROM (SELECT *, row_number() OVER (ORDER BY hits DESC, score DESC, pmid) AS rank FROM (SELECT pmid, count(DISTINCT query) AS hits, list_sort(list(DISTINCT query)) AS sources, arg_min(title, query) AS title, max(score) AS score FROM found GROUP BY pmid)) WHERE rank <= 10", FUSE)
-def query_fusion(spark, sf_dir, which="l_suppkey % 9 = 0"):
-    li = ScreenL(spark, sf_dir).table("lineitem").filter(which)
+def query_fusion(spark, sf_dir):
+    li = ScreenL(spark, sf_dir).table("lineitem")
     found = li.groupBy(F.concat(F.lit("q"), (F.col("l_suppkey") % 5).cast("string")).alias("query"), F.col("l_partkey").alias("pmid"), F.concat(F.lit("t"), F.col("l_partkey").cast("string")).alias("title")).agg(F.max("l_extendedprice").alias("score"))
     return T.fuse_queries(found)
 
 
-@register("enrichment_rows", "SELECT l_orderkey AS program, 'P' || l_partkey AS term, coalesce(CASE WHEN l_linenumber % 3 > 0 THEN l_discount END, 1.0) AS fdr, 'a|b' AS genes FROM lineitem WHERE l_orderkey % 20 = 0")
-def enrichment_rows(spark, sf_dir, which="l_orderkey % 20 = 0"):
-    li = ScreenL(spark, sf_dir).table("lineitem").filter(which)
+@register("enrichment_rows", "SELECT l_orderkey AS program, 'P' || l_partkey AS term, coalesce(CASE WHEN l_linenumber % 3 > 0 THEN l_discount END, 1.0) AS fdr, 'a|b' AS genes FROM lineitem")
+def enrichment_rows(spark, sf_dir):
+    li = ScreenL(spark, sf_dir).table("lineitem")
     row = F.struct(F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("term"), F.when(F.col("l_linenumber") % 3 > 0, F.col("l_discount")).alias("fdr"), F.array(F.lit("a"), F.lit("b")).alias("genes"))
     return T.enrichment_rows(li.groupBy(F.col("l_orderkey").alias("program")).agg(F.collect_list(row).alias("r")), "program", "r")
-
-
-for _query in (gene_mentions, relation_extraction, regulator_evidence, citation_check):
-    twin(_query.__name__, SLICE, partial(_query, which="true"))
-twin("query_fusion", "l_suppkey % 9 = 0", partial(query_fusion, which="true"))
-twin("enrichment_rows", "l_orderkey % 20 = 0", partial(enrichment_rows, which="true"))

@@ -6,6 +6,8 @@ orders and line items (cells with sparse counts). ``program`` is always a string
 
 from __future__ import annotations
 
+import re
+import tempfile
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,18 @@ from pyspark.sql import functions as F
 CONTROL = "non-targeting"
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, which spark.checkpoint.dir names; one of its own only in local mode, else an error."""
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if where:
+        return where
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    where = "file://" + tempfile.mkdtemp(prefix="sparkloom-")
+    spark.sparkContext.setCheckpointDir(where)
+    return where
+
+
 class Source:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir

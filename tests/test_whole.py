@@ -26,9 +26,9 @@ def test_every_gene_and_vector(spark, data):
     s, e = ScreenL(spark, data), ScreenE(spark, data)
     n = s.loading.select("gene_id").distinct().count()
     for name in ("gene_tests", "gene_effects"):
-        assert registry.QUERIES[f"{name}_whole"](spark, data).count() == n
-    assert registry.QUERIES["gene_correlation_whole"](spark, data).count() == n * n
-    assert registry.QUERIES["stability_silhouette_whole"](spark, data).count() == e.table("embeddings").count() > 200
+        assert registry.QUERIES[name](spark, data).count() == n
+    assert registry.QUERIES["gene_correlation"](spark, data).count() == n * n
+    assert registry.QUERIES["stability_silhouette"](spark, data).count() == e.table("embeddings").count() > 200
 
 
 def test_silhouette_in_blocks_against_brute_force(spark, monkeypatch):
@@ -58,7 +58,7 @@ def test_long_gene_sets_and_headers_beside_entries(spark, tmp_path):
 def test_every_order_part_and_entry(spark, data):
     s = ScreenL(spark, data)
     orders, parts = s.expr.select("cell_id").distinct().count(), s.table("part").count()
-    assert registry.QUERIES["gene_mentions_whole"](spark, data).select("pmid").distinct().count() > orders / 2
-    assert registry.QUERIES["matrix_market_whole"](spark, data).count() == s.expr.count()
-    chunks = factor._sequences(spark, data, "true").select("chunk").collect()
+    assert registry.QUERIES["gene_mentions"](spark, data).select("pmid").distinct().count() > orders / 2
+    assert registry.QUERIES["matrix_market"](spark, data).count() == s.expr.count()
+    chunks = factor._sequences(spark, data).select("chunk").collect()
     assert sorted(r.chunk for r in chunks) == list(range(parts))
