@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -9,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from sparkloom.functions.special import normal_p, normal_two_sided, skew_normal_p, t_p
+from sparkloom.operators.similarity import dense
 
-#: Rows of controls that one matched fit takes at most, by a seeded hash, as the published pipeline does.
+#: Controls that one matched fit takes unless the caller says otherwise, as the published pipeline does.
 MAX_CONTROLS = 20_000
 
 
@@ -125,55 +128,83 @@ def logistic(x: np.ndarray, t: np.ndarray, ridge: float = 1.0, rounds: int = 25)
     return 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
 
 
-def match(cells: DataFrame, keys: list[str], covariates: list[str], ratio: int = 4, caliper: float | None = None, seed: int = 42) -> DataFrame:
+def nearest_free(scores: np.ndarray, wanted: np.ndarray, ratio: int, width: float) -> list[list[tuple[int, float]]]:
+    """For each wanted score in turn its up to ``ratio`` nearest free places in the sorted ``scores``, and their distances; these are then taken.
+
+    Pointers lead over taken places to the next free one on either side, and are shortened as they are followed.
+    """
+    n = len(scores)
+    up, down = list(range(n + 1)), list(range(n + 1))  # down is shifted by one: down[j + 1] for place j
+
+    def free(next_: list[int], j: int) -> int:
+        top = j
+        while next_[top] != top:
+            top = next_[top]
+        while next_[j] != top:
+            next_[j], j = top, next_[j]
+        return top
+
+    found = []
+    for x, at in zip(wanted.tolist(), np.searchsorted(scores, wanted).tolist(), strict=True):
+        mine: list[tuple[int, float]] = []
+        while len(mine) < ratio:
+            hi, lo = free(up, at), free(down, at) - 1
+            below = x - scores[lo] if lo >= 0 else np.inf
+            above = scores[hi] - x if hi < n else np.inf
+            distance = min(below, above)
+            if distance == np.inf or distance > width:
+                break
+            j = lo if below <= above else hi
+            up[j], down[j + 1] = j + 1, j
+            mine.append((j, float(distance)))
+        found.append(mine)
+    return found
+
+
+def match(cells: DataFrame, keys: list[str], covariates: list[str], ratio: int = 4, caliper: float | None = None, seed: int = 42, max_controls: int | None = MAX_CONTROLS) -> DataFrame:
     """Nearest propensity matching without replacement, per keys.
 
-    cells: keys, cell_id, treated (0/1), covariates. Controls beyond MAX_CONTROLS are thinned by a
-    seeded hash before. Treated cells choose in order of falling propensity; a caliper is in
+    cells: keys, cell_id, treated (0/1), covariates. Controls beyond max_controls are thinned by a
+    seeded hash before (None keeps all). Treated cells choose in order of falling propensity; a caliper is in
     standard deviations of the logit. keys, cell_id, treated, pair, weight, distance, propensity.
     """
-    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("cell_id").cast("string")))
-    place = F.row_number().over(W.partitionBy(*keys, "treated").orderBy(draw, "cell_id"))
-    rows = cells.withColumn("_k", place).filter(f"treated = 1 OR _k <= {MAX_CONTROLS}").drop("_k")
+    rows = cells
+    if max_controls is not None:
+        place = F.row_number().over(W.partitionBy(*keys, "treated").orderBy(_draw(seed), "cell_id"))
+        rows = cells.withColumn("_k", place).filter((F.col("treated") == 1) | (F.col("_k") <= max_controls)).drop("_k")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("cell_id").reset_index(drop=True)
         c = pdf[covariates].to_numpy(float)
         c = (c - c.mean(0)) / np.where(c.std(0) > 0, c.std(0), 1)
-        p = logistic(np.c_[np.ones(len(pdf)), c], pdf["treated"].to_numpy(float))
+        side, cell = pdf["treated"].to_numpy(), pdf["cell_id"].to_numpy()
+        p = logistic(np.c_[np.ones(len(pdf)), c], side.astype(float))
         logit = np.log(p / (1 - p))
         width = np.inf if caliper is None else caliper * logit.std()
-        treated = np.flatnonzero(pdf["treated"].to_numpy() == 1)
-        control = np.flatnonzero(pdf["treated"].to_numpy() == 0)
+        treated, control = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
         order = control[np.argsort(logit[control], kind="stable")]
-        scores, free = logit[order], np.ones(len(order), bool)
-        found = []
-        for i in treated[np.argsort(-logit[treated], kind="stable")]:
-            at = int(np.searchsorted(scores, logit[i]))
-            lo, hi, mine = at - 1, at, []
-            while len(mine) < ratio and (lo >= 0 or hi < len(order)):
-                down = logit[i] - scores[lo] if lo >= 0 else np.inf
-                up = scores[hi] - logit[i] if hi < len(order) else np.inf
-                j = lo if down <= up else hi
-                lo, hi = (lo - 1, hi) if down <= up else (lo, hi + 1)
-                if min(down, up) > width:
-                    break
-                if free[j]:
-                    mine.append((j, min(down, up)))
-                    free[j] = False
-            if mine:
-                found.append((i, i, 1.0, 0.0))
-                found += [(order[j], i, 1 / len(mine), d) for j, d in mine]
-        at = np.array([f[0] for f in found], int)
+        treated = treated[np.argsort(-logit[treated], kind="stable")]
+        found = nearest_free(logit[order], logit[treated], ratio, width)
+        n = np.array([len(m) for m in found], int)
+        pairs = [(j, d) for m in found for j, d in m]
+        own, chosen = treated[n > 0], order[np.array([j for j, _ in pairs], int)]
+        of = np.repeat(treated, n)
+        at = np.r_[own, chosen]
         out = pdf.loc[at, [*keys, "cell_id", "treated"]].copy()
-        out["pair"] = [int(pdf["cell_id"].iloc[f[1]]) for f in found]
-        out["weight"], out["distance"], out["propensity"] = [f[2] for f in found], [f[3] for f in found], p[at]
+        out["pair"] = cell[np.r_[own, of]]
+        out["weight"] = np.r_[np.ones(len(own)), 1 / np.repeat(n, n)]
+        out["distance"] = np.r_[np.zeros(len(own)), np.array([d for _, d in pairs], float)]
+        out["propensity"] = p[at]
         return out
 
     kinds = ", ".join(f"`{k}` {cells.schema[k].dataType.simpleString()}" for k in keys)
     return rows.groupBy(*keys).applyInPandas(run, f"{kinds}, cell_id long, treated int, pair long, weight double, distance double, propensity double")
 
 
+def _draw(seed: int) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("cell_id").cast("string")))
+
+
 def balance(cells: DataFrame, keys: list[str], covariates: list[str], bound: float = 0.1, weight: str | None = None) -> DataFrame:
     """Standardised mean difference (pooled deviation) and variance ratio of each covariate."""
     long = cells.withColumn("_w", F.col(weight) if weight else F.lit(1.0)).unpivot([*keys, "treated", "_w"], covariates, "covariate", "x")
@@ -261,13 +292,40 @@ def gene_effects(usage: DataFrame, loading: DataFrame, betas: DataFrame, pseudo:
     """Mean over cells of log(counterfactual / observed expression) of each gene when programs change by their betas.
 
     Q = pseudo + 1e6 * score; observed Q W, counterfactual Q e^beta W. Negative scores or loadings are an error.
+    Cells meet W where they lie and only sums per gene leave a task, if W has up to DENSE_ENTRIES numbers; else by a join.
     """
     ok = lambda c: F.when(F.col(c) < 0, F.raise_error(F.lit(f"negative {c}")).cast("double")).otherwise(F.col(c))
     q = usage.select("cell_id", "program", (F.lit(pseudo) + 1e6 * ok("score")).alias("q"))
     w = loading.select("program", "gene_id", ok("score").alias("w"))
-    rows = q.join(w, "program").join(F.broadcast(betas.select("program", "beta")), "program", "left").fillna(0.0, ["beta"])
-    s = rows.groupBy("cell_id", "gene_id").agg(F.sum(F.col("q") * F.col("w")).alias("o"), F.sum(F.col("q") * F.exp("beta") * F.col("w")).alias("c"))
-    return s.filter("o > 0 AND c > 0").groupBy("gene_id").agg(F.avg(F.log(F.col("c") / F.col("o"))).alias("effect"))
+    grown = w.join(betas.select("program", "beta"), "program", "left").select("program", "gene_id", "w", (F.exp(F.coalesce("beta", F.lit(0.0))) * F.col("w")).alias("v"))
+    small = dense(grown, "program", "gene_id", ["w", "v"])
+    if small is None:
+        s = q.join(grown, "program").groupBy("cell_id", "gene_id").agg(F.sum(F.col("q") * F.col("w")).alias("o"), F.sum(F.col("q") * F.col("v")).alias("c"))
+        return s.filter("o > 0 AND c > 0").groupBy("gene_id").agg(F.avg(F.log(F.col("c") / F.col("o"))).alias("effect"))
+    programs, genes, (now, then) = small
+    rows = q.groupBy("cell_id").agg(F.collect_list("program").alias("p"), F.collect_list("q").alias("q")).select("p", "q")
+    sent, index = usage.sparkSession.sparkContext.broadcast((now, then)), pd.Index(programs)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        now, then = sent.value
+        total, n = np.zeros(now.shape[1]), np.zeros(now.shape[1], np.int64)
+        step = max(1, (1 << 21) // max(1, now.shape[1]))
+        for batch in batches:
+            for at in range(0, len(batch), step):
+                part = batch.iloc[at : at + step]
+                owner = np.repeat(np.arange(len(part)), part["p"].map(len))
+                which = index.get_indexer(np.concatenate(part["p"].to_list()))
+                amount = np.zeros((len(part), len(index)))
+                np.add.at(amount, (owner[which >= 0], which[which >= 0]), np.concatenate(part["q"].to_list())[which >= 0])
+                o, c = amount @ now, amount @ then
+                both = (o > 0) & (c > 0)
+                total += np.log(np.divide(c, o, out=np.ones_like(o), where=both)).sum(0)
+                n += both.sum(0)
+        yield pd.DataFrame({"at": np.arange(len(n)), "total": total, "n": n})
+
+    sums = rows.mapInPandas(run, "at long, total double, n long").groupBy("at").agg((F.sum("total") / F.sum("n")).alias("effect"), F.sum("n").alias("n"))
+    names = usage.sparkSession.createDataFrame(pd.DataFrame({"at": np.arange(len(genes)), "gene_id": genes}))
+    return sums.filter("n > 0").join(names, "at").select("gene_id", "effect")
 
 
 def refit(scores: DataFrame, labels: DataFrame, value: str = "score") -> DataFrame:
@@ -340,18 +398,23 @@ def gene_tests(expr: DataFrame, cells: DataFrame, moderated: bool = True) -> Dat
     return g.withColumn("moderated_pval", t_p("moderated_t", F.col("d0") + F.col("df"))).drop("spread", "s0", "d0")
 
 
-def matched_effects(scores: DataFrame, cells: DataFrame, treated: DataFrame, covariates: list[str], control_cells: DataFrame, ratio: int = 4, least: int = 10, value: str = "score") -> DataFrame:
+def matched_effects(scores: DataFrame, cells: DataFrame, treated: DataFrame, covariates: list[str], control_cells: DataFrame, ratio: int = 4, least: int = 10, value: str = "score", seed: int = 42, max_controls: int | None = MAX_CONTROLS) -> DataFrame:
     """The matched pipeline for all targets at once: gate, match, balance, weighted regression per program.
 
-    target, program, beta, se, stat, pval, n, worst_smd.
+    Controls are thinned before they meet the targets: a target's max_controls first ones are among the first
+    max_controls and as many as the largest target has cells. target, program, beta, se, stat, pval, n, worst_smd.
     """
     own = treated.join(cells, "cell_id").withColumn("treated", F.lit(1))
     big = own.groupBy("target").agg(F.count("*").alias("_n")).filter(F.col("_n") >= least)
-    pool = control_cells.join(cells, "cell_id").crossJoin(F.broadcast(big.select("target"))).withColumn("treated", F.lit(0))
+    pool = control_cells.join(cells, "cell_id")
+    if max_controls is not None:
+        most = big.agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0]
+        pool = pool.orderBy(_draw(seed), "cell_id").limit(max_controls + most)
+    pool = pool.join(big.select("target"), how="cross").withColumn("treated", F.lit(0))
     pool = pool.join(own.select("target", "cell_id"), ["target", "cell_id"], "left_anti")
     columns = ["target", "cell_id", "treated", *covariates]
     rows = own.join(big, "target", "left_semi").select(*columns).unionByName(pool.select(*columns))
-    matched = match(rows, ["target"], covariates, ratio)
+    matched = match(rows, ["target"], covariates, ratio, seed=seed, max_controls=max_controls)
     full = matched.join(cells.select("cell_id", *covariates), "cell_id")
     worst = balance(full, ["target"], covariates, weight="weight").groupBy("target").agg(F.max(F.abs("smd")).alias("worst_smd"))
     fits = weighted_ols(full.join(scores.select("cell_id", "program", value), "cell_id"), ["target", "program"], value, covariates)

@@ -19,7 +19,7 @@ def uniqueness(loading: DataFrame) -> DataFrame:
     rows = loading.filter("score IS NOT NULL AND gene_id IS NOT NULL AND program IS NOT NULL")
     p = rows.agg(F.count_distinct("program").alias("_p"))
     n = rows.groupBy("gene_id").agg(F.count_distinct("program").alias("_n"))
-    return rows.join(n, "gene_id").crossJoin(F.broadcast(p)).withColumn("uniqueness", F.col("score") * F.log((F.col("_p") + 1) / (F.col("_n") + 1))).drop("_p", "_n")
+    return rows.join(n, "gene_id").crossJoin(p).withColumn("uniqueness", F.col("score") * F.log((F.col("_p") + 1) / (F.col("_n") + 1))).drop("_p", "_n")
 
 
 def fisher(loading: DataFrame, sets: DataFrame, n_top: int = 500, expressed_only: bool = False) -> DataFrame:
@@ -75,12 +75,50 @@ def running_scores(loading: DataFrame, sets: DataFrame, low: float | None = None
     return s.select("program", "term", "matched", "n", F.when(up, F.col("hi")).otherwise(F.col("lo")).alias("es"), F.when(up, F.col("peak_hi")).otherwise(F.col("peak_lo")).alias("peak"))
 
 
+def judge(observed: pd.DataFrame, size: np.ndarray, null: np.ndarray) -> pd.DataFrame:
+    """nes, pval, fdr and fwer of one program's sets (Subramanian et al. 2005).
+
+    observed: matched, es. null: scores of random sets, a row for each of ``size`` and a column for each draw. Scores are
+    divided by the mean null score of their size and sign. For a normalised score x of one sign, with only scores of that sign:
+    fdr is the share of null scores, pooled over all sets, at least as far out, over the same share of observed ones;
+    fwer is the share of draws whose most extreme score over all sets is at least as far out.
+    """
+    es, at = observed["es"].to_numpy(float), np.searchsorted(size, observed["matched"].to_numpy())
+    sets = np.bincount(at, minlength=len(size)).astype(float)
+    nes, pval, fdr, fwer = (np.full(len(es), np.nan) for _ in range(4))
+    for sign in (1, -1):
+        side = null * sign
+        own = side >= 0 if sign == 1 else side > 0
+        n = own.sum(1)
+        mean = np.where(own, side, 0).sum(1) / np.maximum(n, 1)
+        scale = np.where((n > 0) & (mean > 0), mean, np.nan)
+        mine = np.flatnonzero((es >= 0) == (sign == 1))
+        far = np.abs(es[mine])
+        score = far / scale[at[mine]]
+        nes[mine] = sign * score
+        pval[mine] = [(side[k][own[k]] >= x).sum() / max(1, n[k]) for k, x in zip(at[mine], far, strict=True)]
+        normal = np.where(own, side / scale[:, None], np.nan)
+        pooled, weight = normal[~np.isnan(normal)], np.broadcast_to(sets[:, None], normal.shape)[~np.isnan(normal)]
+        order = np.argsort(pooled)
+        tail = np.r_[np.cumsum(weight[order][::-1])[::-1], 0]
+        seen = np.sort(score[~np.isnan(score)])
+        worst = np.sort(np.where(np.isnan(normal), -1, normal).max(0)) if normal.size else np.zeros(0)
+        worst = worst[worst >= 0]
+        for k, x in zip(mine.tolist(), score.tolist(), strict=True):
+            if not np.isnan(x):
+                of_null = tail[np.searchsorted(pooled[order], x)] / max(tail[0], 1e-300)
+                of_seen = (len(seen) - np.searchsorted(seen, x)) / len(seen)
+                fdr[k] = min(1.0, of_null / of_seen)
+                fwer[k] = (len(worst) - np.searchsorted(worst, x)) / max(1, len(worst))
+    return observed.assign(nes=nes, pval=pval, fdr=fdr, fwer=fwer)
+
+
 def prerank(loading: DataFrame, sets: DataFrame, permutations: int = 1000, seed: int = 42, **options) -> DataFrame:
     """GSEA: es, nes, pval, fdr and fwer against sets of the same size drawn at random.
 
     A program's distinct set sizes are drawn for in one task per (program, size), with a
-    generator seeded by both, so results don't depend on partitioning. FDR after
-    Subramanian et al. (2005): shares of null and observed normalised scores.
+    generator seeded by both, so results don't depend on partitioning. One task per program then holds its sets
+    and a null score for each size and draw (at most ``most`` - ``least`` + 1 sizes) and judges them: see judge().
     """
     observed = running_scores(loading, sets, **options)
     low, n_top = options.get("low"), options.get("n_top")
@@ -90,7 +128,7 @@ def prerank(loading: DataFrame, sets: DataFrame, permutations: int = 1000, seed:
     ranked = rows.groupBy("program").agg(F.array_sort(F.collect_list(F.abs("score").alias("w")), lambda a, b: F.when(a > b, -1).when(a < b, 1).otherwise(0)).alias("weights"))
     sizes = observed.select("program", F.col("matched").alias("size")).distinct().join(ranked, "program")
 
-    def null(pdf: pd.DataFrame) -> pd.DataFrame:
+    def draw(pdf: pd.DataFrame) -> pd.DataFrame:
         program, size, w = pdf["program"].iloc[0], int(pdf["size"].iloc[0]), np.asarray(pdf["weights"].iloc[0], float)
         rng = np.random.default_rng([seed, size, *program.encode()])
         n = len(w)
@@ -103,18 +141,13 @@ def prerank(loading: DataFrame, sets: DataFrame, permutations: int = 1000, seed:
             found.append(hi if hi >= -lo else lo)
         return pd.DataFrame({"program": program, "size": size, "null": [found]})
 
-    drawn = sizes.groupBy("program", "size").applyInPandas(null, "program string, size long, null array<double>")
-    mean = lambda keep: F.aggregate(keep, F.lit(0.0), lambda a, x: a + x) / F.greatest(F.size(keep), F.lit(1))
-    same = F.filter("null", lambda x: (x >= 0) == (F.col("es") >= 0))
-    out = observed.join(drawn, (observed["program"] == drawn["program"]) & (F.col("matched") == F.col("size"))).drop(drawn["program"]).withColumn("same", same)
-    scale = F.abs(mean(F.col("same")))
-    beyond = F.size(F.filter("same", lambda x: F.abs(x) >= F.abs("es")))
-    out = out.withColumn("nes", F.when(scale > 0, F.col("es") / scale)).withColumn("pval", beyond / F.greatest(F.size("same"), F.lit(1)))
-    positive = F.when(F.col("nes") >= 0, 1).otherwise(-1)
-    own = W.partitionBy("program", positive)
-    rank = F.count("*").over(own.orderBy(F.desc(F.abs("nes"))).rangeBetween(W.unboundedPreceding, W.currentRow)) / F.count("*").over(own)
-    out = out.withColumn("fdr", F.least(F.lit(1.0), F.col("pval") / rank)).withColumn("fwer", F.least(F.lit(1.0), F.col("pval") * F.count("*").over(W.partitionBy("program"))))
-    return out.select("program", "term", "matched", "es", "nes", "pval", "fdr", "fwer", "peak")
+    def decide(seen: pd.DataFrame, drawn: pd.DataFrame) -> pd.DataFrame:
+        drawn = drawn.sort_values("size")
+        return judge(seen, drawn["size"].to_numpy(), np.array(drawn["null"].tolist(), float))[["program", "term", "matched", "es", "nes", "pval", "fdr", "fwer", "peak"]]
+
+    drawn = sizes.groupBy("program", "size").applyInPandas(draw, "program string, size long, null array<double>")
+    kept = observed.select("program", "term", "matched", "es", "peak")
+    return kept.groupBy("program").cogroup(drawn.groupBy("program")).applyInPandas(decide, "program string, term string, matched long, es double, nes double, pval double, fdr double, fwer double, peak long")
 
 
 def enrich(loading: DataFrame, sets: DataFrame, method: str = "fisher", **options) -> DataFrame:

@@ -71,7 +71,7 @@ GENES = {"dense": "SELECT g.gene_id, p.program, coalesce(f.score, 0) AS score FR
 @register("gene_correlation", "SELECT x.gene_id AS a, y.gene_id AS b, round(coalesce(corr(x.score, y.score), 0), 5) AS r FROM dense x JOIN dense y USING (program) GROUP BY ALL", GENES)
 def gene_correlation(spark, sf_dir):
     loading = ScreenL(spark, sf_dir).loading
-    return rounded(S.correlation(loading, loading, "gene_id", "program", "score").fillna(0.0, ["r"]), "r", digits=5)
+    return rounded(S.correlation_in_blocks(loading, "gene_id", "program", "score").fillna(0.0, ["r"]), "r", digits=5)
 
 
 PROFILE = {"profile": "SELECT x.target_name AS a, y.target_name AS b, corr(x.v, CASE WHEN x.target_name <> y.target_name THEN y.v END) AS r FROM (SELECT target_name, program_name, avg(log2FC) AS v FROM assoc GROUP BY ALL) x JOIN (SELECT target_name, program_name, avg(log2FC) AS v FROM assoc GROUP BY ALL) y USING (program_name) GROUP BY ALL"}

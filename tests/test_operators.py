@@ -206,3 +206,91 @@ def test_unique_names_on_collision(spark):
 def test_empty_tables(spark, f):
     empty = spark.createDataFrame([], "program string, cell_id long, score double, g string")
     assert f(empty).collect() == []
+
+
+def test_nearest_free_against_brute_force():
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        scores = np.sort(np.round(rng.random(rng.integers(1, 30)), 2))
+        wanted, ratio, width = np.round(rng.random(rng.integers(1, 15)), 2), int(rng.integers(1, 4)), float(rng.choice([0.05, 0.3, np.inf]))
+        taken, want = set(), []
+        for x in wanted:
+            mine = []
+            for _ in range(ratio):
+                left = [j for j in range(len(scores)) if j not in taken]
+                if not left or min(abs(scores[j] - x) for j in left) > width:
+                    break
+                best = min(abs(scores[j] - x) for j in left)
+                mine.append(best)
+                below = [j for j in left if scores[j] < x and x - scores[j] == best]
+                taken.add(max(below) if below else min(j for j in left if abs(scores[j] - x) == best))
+            want.append(mine)
+        got = C.nearest_free(scores, wanted, ratio, width)
+        assert [[d for _, d in m] for m in got] == want
+        assert len({j for m in got for j, _ in m}) == sum(map(len, got))
+
+
+def test_sent_matrices_and_joins_agree(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    usage = spark.createDataFrame([(c, str(p), float(rng.random())) for c in range(30) for p in range(4) if rng.random() < 0.7], "cell_id long, program string, score double")
+    loading = spark.createDataFrame([(str(p), g, float(rng.random())) for p in range(4) for g in range(25) if rng.random() < 0.6], "program string, gene_id long, score double")
+    expr = spark.createDataFrame([(c, g, float(rng.integers(1, 9))) for c in range(30) for g in range(26) if rng.random() < 0.4], "cell_id long, gene_id long, count double")
+    betas = spark.createDataFrame([("0", 0.3), ("2", -0.2)], "program string, beta double")
+
+    def found():
+        e = {r.gene_id: r.effect for r in C.gene_effects(usage, loading, betas).collect()}
+        v = {r.program: r.explained for r in S.explained_variance(expr, loading, 30).collect()}
+        return e, v
+
+    sent = found()
+    monkeypatch.setattr(S, "DENSE_ENTRIES", 0)
+    joined = found()
+    for a, b in zip(sent, joined, strict=True):
+        assert set(a) == set(b) and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def test_blocks_of_correlations(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(g, str(p), float(rng.random())) for g in range(17) for p in range(5) if rng.random() < 0.8] + [(99, str(p), 1.0) for p in range(5)]
+    df = spark.createDataFrame(rows, "gene_id long, program string, score double")
+    want = {(r.a, r.b): r.r for r in S.correlation(df, df, "gene_id", "program", "score").collect()}
+    monkeypatch.setattr(S, "BLOCK_IDS", 4)
+    got = {(r.a, r.b): r.r for r in S.correlation_in_blocks(df, "gene_id", "program", "score").collect()}
+    assert set(got) == set(want) and all((got[k] is None) == (want[k] is None) and (got[k] is None or abs(got[k] - want[k]) < 1e-9) for k in want)
+
+
+def test_enrichment_statistics_against_brute_force():
+    rng = np.random.default_rng(7)
+    size = np.array([15, 20, 33])
+    null = rng.normal(0, 0.3, (3, 50)).round(2)
+    seen = E.pd.DataFrame({"matched": [15, 20, 20, 33, 15, 33], "es": [0.9, 0.2, -0.4, -0.1, 0.0, 0.35]})
+    got = E.judge(seen, size, null)
+    same = lambda x, up: x >= 0 if up else x < 0
+
+    def normal(x, k):
+        own = [v for v in null[k] if same(v, x >= 0)]
+        return x / abs(np.mean(own))
+
+    at = [list(size).index(m) for m in seen["matched"]]
+    nes = [normal(x, k) for x, k in zip(seen["es"], at, strict=True)]
+    for i, (x, k) in enumerate(zip(seen["es"], at, strict=True)):
+        up = x >= 0
+        own = [v for v in null[k] if same(v, up)]
+        assert got["pval"][i] == pytest.approx(sum(abs(v) >= abs(x) for v in own) / len(own))
+        assert got["nes"][i] == pytest.approx(nes[i])
+        pooled = [abs(normal(v, j)) for j in at for v in null[j] if same(v, up)]
+        observed = [abs(v) for v in nes if same(v, up)]
+        share = lambda values, i=i: sum(v >= abs(nes[i]) - 1e-12 for v in values) / len(values)
+        assert got["fdr"][i] == pytest.approx(min(1, share(pooled) / share(observed)))
+        worst = [max((abs(normal(null[j, d], j)) for j in set(at) if same(null[j, d], up)), default=None) for d in range(50)]
+        assert got["fwer"][i] == pytest.approx(share([w for w in worst if w is not None]))
+
+
+def test_random_sets_are_no_discoveries(spark):
+    rng = random.Random(5)
+    loading = spark.createDataFrame([("p", g, rng.random()) for g in range(400)], "program string, gene_id long, score double")
+    top = sorted((r for r in loading.collect()), key=lambda r: -r.score)[:25]
+    sets = [("planted", r.gene_id) for r in top] + [(f"random{i}", g) for i in range(12) for g in rng.sample(range(400), 25)]
+    got = {r.term: r for r in E.prerank(loading, spark.createDataFrame(sets, "term string, gene_id long"), permutations=200).collect()}
+    assert got["planted"].fdr < 0.05 and got["planted"].fwer < 0.05 and got["planted"].nes > 1.5
+    assert sum(r.fwer < 0.05 for t, r in got.items() if t != "planted") <= 1 and all(r.fdr <= 1 for r in got.values())
