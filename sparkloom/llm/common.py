@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters that separate words in every operator here: space and \x09 to \x0D.
@@ -57,17 +57,35 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def bits_filter(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
-    """The rows of ``rows`` whose key may be in ``wanted``, with no row moved: nearly all others are gone.
+def _marked(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+    """``rows`` with __hit: false if the key is surely not in ``wanted``, with no row moved.
 
     A bitmap of FILTER_BITS hashed keys, of that fixed size whatever is wanted, is sent to the
-    scan; when it fills up, it drops fewer. An exact semi-join has to follow.
+    scan; when it fills up, more other rows are hit.
     """
     place = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
     placed = lambda df: df.withColumn("__word", F.floor(place / 64)).withColumn("__at", (place % 64).cast("int")).withColumn("__bit", F.expr("shiftleft(1L, __at)"))
     bitmap = placed(wanted).groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
-    hit = placed(rows).join(F.broadcast(bitmap), "__word").filter(F.col("__bits").bitwiseAND(F.col("__bit")) != 0)
-    return hit.select(*rows.columns)
+    hit = F.coalesce(F.col("__bits").bitwiseAND(F.col("__bit")) != 0, F.lit(False))
+    return placed(rows).join(F.broadcast(bitmap), "__word", "left").select(*rows.columns, hit.alias("__hit"))
+
+
+def bits_filter(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:
+    """The rows whose key may be in ``wanted``; nearly all others are gone before any is moved. An exact semi-join has to follow."""
+    return _marked(rows, wanted, *keys).filter("__hit").drop("__hit")
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str, same: Callable[[DataFrame, DataFrame], Column] | None = None) -> DataFrame:
+    """The rows that ``gone`` does not name by ``key`` (and by the further condition ``same`` of a row and a row of gone).
+
+    Rows that a bitmap of the keys clears stay where they are; only the others are moved to an exact
+    anti-join, in the same way at any size. Rows with a null key are compared with null keys.
+    """
+    marked, named = _marked(rows, gone.select(key), key), gone.withColumnRenamed(key, "__key")
+    maybe = marked.filter("__hit").drop("__hit")
+    condition = maybe[key].eqNullSafe(named["__key"])
+    left = maybe.join(named.hint("merge"), condition & same(maybe, named) if same else condition, "left_anti")
+    return marked.filter("NOT __hit").drop("__hit").unionByName(left)
 
 
 def sample_rows(df: DataFrame, n: int) -> DataFrame:

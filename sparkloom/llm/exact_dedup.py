@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import SEPARATORS, bits_filter, cut
+from sparkloom.llm.common import SEPARATORS, bits_filter, cut, without
 
 PREFIX_CHARS = 64
 ADDED = ["keep_id", "group_size", "kept", "text_sha256"]
@@ -89,18 +89,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     copies = rest.groupBy("n", "prefix", "full", "id", "n_code", "original").agg(F.count("*").alias("copies"))
     groups = cut(copies.groupBy("n", "prefix", "full").agg(F.min(first).alias("best"), F.sum("copies").alias("size")).filter("size > 1"), "exact-groups")
     judged = cut(copies.join(groups, ["n", "prefix", "full"]).withColumn("kept", first == F.col("best")), "exact-judged")
-    key = [F.col("id").alias("__id"), F.col("original").alias("__original")]
-
-    def of(rows: DataFrame, how: str, found: DataFrame) -> DataFrame:
-        """Rows that ``found`` names by id and text; as no join key, the text's hash is taken of rows with a matching id only."""
-        same_text = F.xxhash64(F.coalesce(rows[text_col], F.lit(""))).bitwiseXOR(found["__original"]) == 0
-        return rows.join(found, rows[id_col].eqNullSafe(found["__id"]) & same_text, how)
-
-    left = of(docs, "left_anti", judged.filter("NOT kept").select(*key))
-    repeated = judged.filter("kept AND copies > 1").select(*key)
+    named = [F.col("id").alias(id_col), F.col("original").alias("__original")]
+    # the text's hash is no join key, so it is taken of rows with a matching id only
+    same_text = lambda row, found: F.xxhash64(F.coalesce(row[text_col], F.lit(""))).bitwiseXOR(found["__original"]) == 0
+    left = without(docs, judged.filter("NOT kept").select(*named), id_col, same_text)
+    repeated = judged.filter("kept AND copies > 1").select(*named)
     if not repeated.isEmpty():
-        one = of(left, "left_semi", repeated).withColumn("__text", F.xxhash64(text)).dropDuplicates([id_col, "__text"])
-        left = of(left, "left_anti", repeated).unionByName(one.drop("__text"))
+        found = repeated.withColumnRenamed(id_col, "__key")
+        one = left.join(found, left[id_col].eqNullSafe(found["__key"]) & same_text(left, found), "left_semi").withColumn("__text", F.xxhash64(text)).dropDuplicates([id_col, "__text"])
+        left = without(left, repeated, id_col, same_text).unionByName(one.drop("__text"))
     return left.select(*docs.columns)
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from sparkloom.llm.common import batches, bits_filter, cut, discard, mix64, words_of
+from sparkloom.llm.common import batches, bits_filter, cut, discard, mix64, without, words_of
 
 
 @dataclass(frozen=True)
@@ -280,7 +280,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that stand for their group, with all columns."""
     dropped = cut(near_duplicates(docs, id_col, text_col, rules).filter("NOT kept").select(id_col).distinct(), "near-dropped")
-    return docs.join(dropped, id_col, "left_anti")
+    return without(docs, dropped, id_col)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
