@@ -41,12 +41,13 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Place, token ids and digest of the decoded text of each document."""
-    found = bpe.encode_decode(docs, bpe.tokenizer_path())
-    found = found.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+    """Place, token ids and digest of the decoded text of each document, in mixed order within each partition."""
     places = spark.read.parquet(places_path(spark, sf_dir)).select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "mix_slot", "mix_offset")
-    placed = found.join(places, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")), "left")
-    return placed.drop("_id", "_source")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
+    # texts are moved, not token ids, and in the same way at any size
+    placed = docs.select("doc_id", "lang", "source", "text").join(places.hint("merge"), same, "left").sortWithinPartitions(F.col("mix_slot").asc_nulls_last(), "mix_offset")
+    found = bpe.encode_decode(placed, bpe.tokenizer_path())
+    return found.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"), "mix_slot", "mix_offset")
 
 
 STAGES = [("quality_rules", rules), ("exact_dedup", exact), ("minhash_dedup", near), ("mixing", mixed), ("bpe", encoded)]
