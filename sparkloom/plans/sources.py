@@ -34,12 +34,11 @@ def result_files(spark, sf_dir):
 
 @register("condition_union", "SELECT sample, target_name, program_name, adj_pval < 0.05 AS significant FROM assoc")
 def condition_union(spark, sf_dir):
-    a = ScreenL(spark, sf_dir).assoc
-    out = None
+    a, path = ScreenL(spark, sf_dir).assoc, _folder(spark)
     for s in ("c0", "c1", "c2"):
-        part = a.filter(F.col("sample") == s).drop("sample").withColumn("sample", F.lit(s))
-        out = part if out is None else out.unionByName(part)
-    return out.select("sample", "target_name", "program_name", (F.col("adj_pval") < 0.05).alias("significant"))
+        a.filter(F.col("sample") == s).drop("sample").write.option("sep", "\t").option("header", True).csv(f"{path}/25_perturbation_{s}.txt")
+    found = R.union_conditions(spark, f"{path}/25_perturbation", ["c0", "c1", "c2"], schema=a.drop("sample").schema)
+    return found.select("sample", "target_name", "program_name", (F.col("adj_pval") < 0.05).alias("significant"))
 
 
 @register("result_sweep", "SELECT CAST(program_name AS INTEGER) % 5 AS K, sample, count(*) AS n, count(DISTINCT target_name) AS targets FROM assoc GROUP BY ALL")
@@ -153,11 +152,23 @@ def json_payload(spark, sf_dir):
     return e.select("event_id", "key").distinct().join(out.distinct(), "key").select("event_id", "file_key", "payload")
 
 
-@register("keyed_sheets", "SELECT program_name, target_name, log2FC, CAST(NULL AS DOUBLE) AS explained FROM assoc WHERE sample = 'c0'")
+SHEETS = "SELECT 'perturbation' AS sheet, sample, program_name, target_name AS key, log2FC AS value FROM assoc UNION ALL SELECT 'significant', sample, program_name, target_name, log2FC FROM assoc WHERE adj_pval < 0.05 UNION ALL SELECT 'go', NULL, program, list_aggregate(list('g' || gene_id ORDER BY gene_id)[1:5], 'string_agg', ';'), count(*) FROM loading_l GROUP BY program"
+
+
+@register("keyed_sheets", SHEETS)
 def keyed_sheets(spark, sf_dir):
-    a = ScreenL(spark, sf_dir).assoc.filter("sample = 'c0'").select("program_name", "target_name", "log2FC")
-    missing = spark.createDataFrame([], "program_name string, explained double")  # an optional sheet that isn't there
-    return a.join(missing, "program_name", "left").orderBy("program_name", "target_name")
+    """Two sheets of one (K, threshold) are written and read back; those without a file are left out."""
+    s, path = ScreenL(spark, sf_dir), _folder(spark)
+    head, tab = f"{path}/25_2_0/25_", {"sep": "\t", "header": True}
+    for c in ("c0", "c1", "c2"):
+        s.assoc.filter(F.col("sample") == c).drop("sample").write.options(**tab).csv(f"{head}perturbation_association_results_{c}.txt")
+    genes = F.array_join(F.transform(F.array_sort(F.collect_list("gene_id")), lambda g: F.concat(F.lit("g"), g.cast("string"))), ";")
+    s.loading.groupBy("program").agg(genes.alias("Genes"), F.count("*").alias("n")).write.options(**tab).csv(f"{head}GO_term_enrichment.txt")
+    sheets = R.load_sheets(spark, path, 25, 2.0, ["c0", "c1", "c2"], n_genes=5)
+    assert {n for n, df in sheets.items() if df is not None} == {"go", "perturbation", "significant"}
+    both = [sheets[n].select(F.lit(n).alias("sheet"), "sample", "program_name", F.col("target_name").alias("key"), F.col("log2FC").cast("double").alias("value")) for n in ("perturbation", "significant")]
+    go = sheets["go"].select(F.lit("go").alias("sheet"), F.lit(None).cast("string").alias("sample"), F.col("program").alias("program_name"), F.col("Genes").alias("key"), F.col("n").cast("double").alias("value"))
+    return both[0].unionByName(both[1]).unionByName(go)
 
 
 @register("long_effect_matrix", "SELECT target_name AS perturbation, program_name AS gene, adj_pval AS p_value, log2FC AS coef_gene FROM assoc WHERE sample = 'c2'")
@@ -167,11 +178,32 @@ def long_effect_matrix(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@register("compiled_run", "SELECT CAST(gene_id AS VARCHAR) AS gene_id, coalesce(symbol, CAST(gene_id AS VARCHAR)) AS symbol, count(DISTINCT program) AS programs FROM loading_l LEFT JOIN gene_dict USING (gene_id) GROUP BY gene_id, symbol")
+RUN = {
+    "named": "SELECT g.gene_id, CASE WHEN k = 1 THEN s ELSE s || '-' || (k - 1) END AS symbol FROM (SELECT gene_id, s, row_number() OVER (PARTITION BY s ORDER BY CAST(gene_id AS VARCHAR)) AS k FROM (SELECT DISTINCT l.gene_id, coalesce(symbol, CAST(l.gene_id AS VARCHAR)) AS s FROM loading_l l LEFT JOIN gene_dict d ON d.gene_id = l.gene_id)) g",
+    "scored": "SELECT program, condition, count(*) AS n_cells, sum(score) AS total FROM usage_l JOIN cells_l USING (cell_id) GROUP BY ALL",
+    "grid": "SELECT unnest([10, 25]) AS K, unnest([1, 2]) AS times",
+}
+
+
+def _wide(df, row, column, value):
+    """Lines of a matrix with a header; absent numbers are 0."""
+    columns = df.select(column).distinct().agg(F.array_sort(F.collect_list(column)).alias("c"))
+    rows = df.groupBy(row).agg(F.map_from_entries(F.collect_list(F.struct(column, value))).alias("m")).crossJoin(columns)
+    line = F.concat_ws("\t", F.col(row).cast("string"), F.array_join(F.transform("c", lambda c: F.coalesce(F.try_element_at("m", c), F.lit(0.0)).cast("string")), "\t"))
+    return columns.select(F.concat(F.lit("\t"), F.array_join(F.col("c").cast("array<string>"), "\t"))).union(rows.select(line))
+
+
+@register("compiled_run", "SELECT K, 2.0::DOUBLE AS sel_thresh, 'loading' AS kind, program, CAST(gene_id AS VARCHAR) AS key, symbol AS label, round(score * times, 5) AS value FROM loading_l JOIN named USING (gene_id) CROSS JOIN grid UNION ALL SELECT K, 2.0, 'score', program, condition, CAST(n_cells AS VARCHAR), round(total * times, 2) FROM scored CROSS JOIN grid", RUN)
 def compiled_run(spark, sf_dir):
-    s = ScreenL(spark, sf_dir)
-    genes = s.loading.join(s.gene_dict, "gene_id", "left").withColumn("gene_id", F.col("gene_id").cast("string"))
-    return genes.withColumn("symbol", F.coalesce("symbol", "gene_id")).groupBy("gene_id", "symbol").agg(F.count_distinct("program").alias("programs"))
+    """A run of two K is written in its layout and compiled; the second K has all numbers doubled."""
+    s, path = ScreenL(spark, sf_dir), _folder(spark)
+    for k, times in ((10, 1), (25, 2)):
+        _wide(s.usage.withColumn("score", F.col("score") * times), "cell_id", "program", "score").write.text(f"{path}/r.usages.k_{k}.dt_2_0.consensus.txt")
+        _wide(s.loading.withColumn("score", F.col("score") * times), "program", "gene_id", "score").write.text(f"{path}/r.gene_spectra_score.k_{k}.dt_2_0.txt")
+    run = R.compile_run(spark, path, "r", [10, 25], [2.0], s.cells.select("cell_id", "condition"), s.gene_dict.withColumn("gene_id", F.col("gene_id").cast("string")))
+    loading = run["loadings"].filter("score <> 0").select("K", "sel_thresh", F.lit("loading").alias("kind"), "program", F.col("gene_id").alias("key"), F.col("symbol").alias("label"), F.round("score", 5).alias("value"))
+    scores = run["scores"].filter("score <> 0").groupBy("K", "sel_thresh", "program", F.col("condition").alias("key")).agg(F.count("*").cast("string").alias("label"), F.round(F.sum("score"), 2).alias("value"))
+    return loading.unionByName(scores.withColumn("kind", F.lit("score")))
 
 
 @register("consolidated_runs", "SELECT replicate, count(*) AS n FROM (SELECT CAST(l_linenumber AS INTEGER) + CASE WHEN l_suppkey % 2 = 1 THEN 10 ELSE 0 END AS replicate FROM lineitem WHERE l_returnflag <> 'R') GROUP BY replicate")

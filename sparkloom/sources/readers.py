@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.window import Window as W
 
 LOCI = StructType([
     StructField("chromosome", StringType()), StructField("start", LongType()), StructField("end", LongType()), StructField("seq_name", StringType()),
@@ -33,6 +36,87 @@ def read_results(spark: SparkSession, pattern: str, name: str = r"_([^_/]+)\.txt
     return df.withColumn("sample", F.regexp_extract(F.col("_metadata.file_path"), name, 1))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or pattern names a file, in any store that Spark reads."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where)
+    return found is not None and len(found) > 0
+
+
+def union_conditions(spark: SparkSession, base: str, samples: list[str], sample_key: str = "sample", schema: StructType | str | None = None) -> DataFrame | None:
+    """The result files {base}_{sample}.txt of all conditions in one read, each row with its condition.
+
+    None if no condition has a file; if only some have, the others are an error of the read.
+    """
+    if not any(exists(spark, f"{base}_{s}.txt") for s in samples):
+        return None
+    reader = spark.read.option("sep", "\t").option("header", True)
+    df = (reader.schema(schema) if schema is not None else reader).csv([f"{base}_{s}.txt" for s in samples])
+    folder = rf"^.*_({'|'.join(sorted((re.escape(s) for s in samples), key=len, reverse=True))})\.txt(?:/.*)?$"
+    return df.withColumn(sample_key, F.regexp_extract(F.col("_metadata.file_path"), folder, 1))
+
+
+def load_sheets(spark: SparkSession, folder: str, k: int, threshold: float, samples: list[str], n_genes: int = 300, perturbation: str = "perturbation_association_results", sample_key: str = "sample", significant: float = 0.05) -> dict[str, DataFrame | None]:
+    """The result tables of one (K, threshold) by sheet name; a sheet without a file is None.
+
+    go, geneset, trait: terms with their first n_genes genes; perturbation: all conditions, and significant ones of them;
+    association and explained_variance: by program.
+    """
+    head = f"{folder}/{k}_{str(threshold).replace('.', '_')}/{k}_"
+    sheets: dict[str, DataFrame | None] = {}
+    for name, file in (("go", "GO_term_enrichment"), ("geneset", "geneset_enrichment"), ("trait", "trait_enrichment")):
+        found = read_delimited(spark, f"{head}{file}.txt") if exists(spark, f"{head}{file}.txt") else None
+        sheets[name] = found.withColumn("Genes", F.array_join(F.slice(F.split("Genes", ";"), 1, n_genes), ";")) if found is not None else None
+    for name, file in (("association", "categorical_association_results"), ("explained_variance", "Explained_Variance")):
+        sheets[name] = read_delimited(spark, f"{head}{file}.txt") if exists(spark, f"{head}{file}.txt") else None
+    every = union_conditions(spark, f"{head}{perturbation}", samples, sample_key)
+    sheets["perturbation"] = every
+    sheets["significant"] = every.filter(F.col("adj_pval").cast("double") < significant) if every is not None else None
+    return sheets
+
+
+RUN_FILE = r"\.k_([0-9]+)\.dt_([0-9]+(?:_[0-9]+)?)\.[^/]*$"
+
+
+def read_wide(spark: SparkSession, paths: list[str], row: str, column: str, value: str = "score") -> DataFrame:
+    """K, sel_thresh, row, column, value of wide matrices named ...k_{K}.dt_{threshold}...; any number of columns, as a line is split where it lies.
+
+    The header line of a file begins with a separator, above the row names.
+    """
+    lines = spark.read.text(paths).withColumn("_file", F.regexp_extract(F.col("_metadata.file_path"), r"^(.*\.k_[0-9]+\.dt_[0-9_]+\.[^/]*)", 1))
+    lines = lines.withColumn("K", F.regexp_extract("_file", RUN_FILE, 1).cast("int")).withColumn("sel_thresh", F.replace(F.regexp_extract("_file", RUN_FILE, 2), F.lit("_"), F.lit(".")).cast("double"))
+    head = lines.filter(F.col("value").startswith("\t")).select("_file", F.posexplode(F.split("value", "\t")).alias("_at", column))
+    body = lines.filter(~F.col("value").startswith("\t") & (F.col("value") != "")).withColumn("_parts", F.split("value", "\t"))
+    cells = body.select("_file", "K", "sel_thresh", F.get("_parts", F.lit(0)).alias(row), F.posexplode("_parts").alias("_at", value)).filter("_at > 0")
+    return cells.join(head.filter("_at > 0"), ["_file", "_at"]).select("K", "sel_thresh", row, column, F.col(value).cast("double").alias(value))
+
+
+def unique_symbols(genes: DataFrame, names: DataFrame) -> DataFrame:
+    """gene_id, symbol: the name of each gene, its id without one; later genes of one name get -1, -2 ..."""
+    named = genes.select("gene_id").distinct().join(names.select("gene_id", "symbol").dropDuplicates(["gene_id"]), "gene_id", "left").withColumn("symbol", F.coalesce("symbol", "gene_id"))
+    k = F.row_number().over(W.partitionBy("symbol").orderBy("gene_id")) - 1
+    return named.select("gene_id", F.when(k == 0, F.col("symbol")).otherwise(F.concat_ws("-", "symbol", k.cast("string"))).alias("symbol"))
+
+
+def compile_run(spark: SparkSession, folder: str, run: str, ks: list[int], thresholds: list[float], cells: DataFrame, names: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Scores and loadings of all (K, threshold) of a run, as long tables aligned with the cells and gene names.
+
+    scores: K, sel_thresh, cell_id, program, score and the columns of ``cells``, for the cells that both have;
+    loadings: K, sel_thresh, program, gene_id, symbol, score. Files: {run}.usages.k_{K}.dt_{t}.consensus.txt (cells by
+    programs) and {run}.gene_spectra_score.k_{K}.dt_{t}.txt (programs by genes). A missing file is an error that names it.
+    """
+    at = [(k, str(t).replace(".", "_")) for k in ks for t in thresholds]
+    usages = [f"{folder}/{run}.usages.k_{k}.dt_{t}.consensus.txt" for k, t in at]
+    spectra = [f"{folder}/{run}.gene_spectra_score.k_{k}.dt_{t}.txt" for k, t in at]
+    missing = [f for f in usages + spectra if not exists(spark, f)]
+    if missing:
+        raise FileNotFoundError(", ".join(missing))
+    scores = read_wide(spark, usages, "cell_id", "program").withColumn("cell_id", F.col("cell_id").cast(cells.schema["cell_id"].dataType)).join(cells, "cell_id")
+    loadings = read_wide(spark, spectra, "program", "gene_id")
+    symbols = unique_symbols(loadings, names if names is not None else loadings.select("gene_id", F.col("gene_id").alias("symbol")))
+    return {"scores": scores, "loadings": loadings.join(symbols, "gene_id").select("K", "sel_thresh", "program", "gene_id", "symbol", "score")}
+
+
 def expected_but_missing(found: DataFrame, ks: list[int], thresholds: list[float], samples: list[str]) -> DataFrame:
     """(K, sel_thresh, sample) that should be there and aren't."""
     spark = found.sparkSession
@@ -58,7 +142,7 @@ def read_loci(spark: SparkSession, path: str) -> DataFrame:
 
 def sparse_entries(entries: DataFrame, cells: DataFrame, genes: DataFrame, kept: DataFrame | None = None) -> DataFrame:
     """(cell_idx, gene_idx, value) with names for indices, restricted to shared cells."""
-    out = entries.join(cells, "cell_idx").join(F.broadcast(genes), "gene_idx").select("cell_id", "gene_id", "value")
+    out = entries.join(cells, "cell_idx").join(genes, "gene_idx").select("cell_id", "gene_id", "value")
     return out if kept is None else out.join(kept.select("cell_id").distinct(), "cell_id", "left_semi")
 
 
