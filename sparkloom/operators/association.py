@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.special import chi2_p, normal_p, range_p, t_p
-from sparkloom.operators.ranking import average_ranks, benjamini_hochberg, clean_p, positions, storey
+from sparkloom.operators.ranking import average_ranks, benjamini_hochberg, clean_p, distinct_positions, positions, storey
 
 EPSILON = 1e-9
 
@@ -28,18 +28,24 @@ def mann_whitney(test: DataFrame, reference: DataFrame, keys: list[str], label:
     all labels: a test row adds the reference rows below it and half of those equal to
     it. Ties of both enter the variance. Adds ref_mean, test_mean, log2FC, stat, z.
     """
-    rows = test.select(*keys, F.col(label).alias("_label"), value, F.lit(0).alias("_ref")).unionByName(reference.select(*keys, F.lit(None).cast(test.schema[label].dataType).alias("_label"), value, F.lit(1).alias("_ref")))
-    placed = positions(rows, keys, value, F.col("_ref"))
+    side = lambda df, of, ref: df.filter(F.col(value).isNotNull() & ~F.isnan(value)).select(*keys, of.alias("_label"), value, F.lit(ref).alias("_ref"))
+    rows = side(test, F.col(label), 0).unionByName(side(reference, F.lit(None).cast(test.schema[label].dataType), 1))
+    # equal values are counted first, so a value that most cells have is a row a label
+    by_label = rows.groupBy(*keys, value, "_label", "_ref").agg(F.count("*").alias("_c"))
+    tests = F.collect_list(F.when(F.col("_ref") == 0, F.struct("_label", "_c"))).alias("_tests")
+    by_value = by_label.groupBy(*keys, value).agg(F.sum(F.when(F.col("_ref") == 1, F.col("_c")).otherwise(0)).alias("_r"), tests)
+    placed = distinct_positions(by_value, keys, value, "_r").drop("_b")
     cube = lambda x: x * x * x - x
-    ref = placed.filter("_ref = 1").groupBy(*keys).agg(F.count("*").alias("n_ref"), F.avg(value).alias("ref_mean"), F.sum((F.col("equal") * F.col("equal") - 1).cast("double")).alias("_ref_ties"))
-    by_value = placed.filter("_ref = 0").groupBy(*keys, "_label", value).agg(F.count("*").alias("_c"), F.first("below").alias("_below"), F.first("equal").alias("_r"))
-    c, r = F.col("_c").cast("double"), F.col("_r").cast("double")
-    tested = by_value.groupBy(*keys, "_label").agg(
+    r = F.col("_r").cast("double")
+    ref = placed.groupBy(*keys).agg(F.sum("_r").alias("n_ref"), (F.sum(r * F.col(value)) / F.sum(r)).alias("ref_mean"), F.sum(cube(r)).alias("_ref_ties"))
+    c = F.col("_c").cast("double")
+    tested = placed.select(*keys, value, "below", "_r", F.inline("_tests")).groupBy(*keys, "_label").agg(
         F.sum("_c").alias("n_test"),
         (F.sum(c * F.col(value)) / F.sum(c)).alias("test_mean"),
-        F.sum(c * (F.col("_below") + r / 2)).alias("stat"),
+        F.sum(c * (F.col("below") + r / 2)).alias("stat"),
         F.sum(cube(r + c) - cube(r)).alias("_more_ties"),
     )
+    ref = ref.filter("n_ref > 0")
     out = tested.join(ref, keys)
     n1, n2 = F.col("n_test").cast("double"), F.col("n_ref").cast("double")
     n = n1 + n2

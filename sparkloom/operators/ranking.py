@@ -18,23 +18,32 @@ def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str
     return df.withColumn(rank, F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter(F.col(rank) <= k)
 
 
-def positions(df: DataFrame, keys: list[str], value: str, weight: Column | None = None, buckets: int = BUCKETS, keep_range: bool = False) -> DataFrame:
-    """Adds ``below`` and ``equal``: the weight of rows of the group with a smaller, and with the same value.
+def distinct_positions(values: DataFrame, keys: list[str], value: str, weight: str, buckets: int = BUCKETS) -> DataFrame:
+    """Adds ``below``, the weight of smaller values of the group, and ``_b``, the value's range, to rows of one distinct value each.
 
     A group is cut at approximate quantiles, ranked range by range, and the ranges'
-    totals are summed up, so a group of any size is ranked by many tasks. Equal values
-    share a range. Rows with a null or NaN value are dropped.
+    totals are summed up, so a group of any size is ranked by many tasks.
     """
-    rows = df.filter(F.col(value).isNotNull() & ~F.isnan(value)).withColumn("_w", F.lit(1) if weight is None else weight)
     steps = [i / buckets for i in range(1, buckets)]
-    cuts = rows.groupBy(*keys).agg(F.percentile_approx(value, F.array(*map(F.lit, steps)), F.lit(1000)).alias("_cuts"))
-    rows = rows.join(cuts, keys).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
-    totals = rows.groupBy(*keys, "_b").agg(F.sum("_w").alias("_t"))
+    cuts = values.groupBy(*keys).agg(F.percentile_approx(value, F.array(*map(F.lit, steps)), F.lit(1000)).alias("_cuts"))
+    rows = values.join(cuts, keys).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+    totals = rows.groupBy(*keys, "_b").agg(F.sum(weight).alias("_t"))
     before = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     totals = totals.withColumn("_before", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")
-    upto = W.partitionBy(*keys, "_b").orderBy(value).rangeBetween(W.unboundedPreceding, W.currentRow)
-    rows = rows.withColumn("equal", F.sum("_w").over(W.partitionBy(*keys, "_b", value))).withColumn("_upto", F.sum("_w").over(upto))
-    return rows.join(totals, [*keys, "_b"]).withColumn("below", F.col("_before") + F.col("_upto") - F.col("equal")).drop("_w", "_upto", "_before", *([] if keep_range else ["_b"]))
+    upto = W.partitionBy(*keys, "_b").orderBy(value).rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = rows.withColumn("_upto", F.sum(weight).over(upto))
+    return rows.join(totals, [*keys, "_b"]).withColumn("below", F.col("_before") + F.col("_upto") - F.col(weight)).drop("_upto", "_before")
+
+
+def positions(df: DataFrame, keys: list[str], value: str, weight: Column | None = None, buckets: int = BUCKETS, keep_range: bool = False) -> DataFrame:
+    """Adds ``below`` and ``equal``: the weight of rows of the group with a smaller, and with the same value.
+
+    Equal values are added up before any is ranked, so a value that most rows have is one row of a
+    task; rows meet their value's place again by a join. Rows with a null or NaN value are dropped.
+    """
+    rows = df.filter(F.col(value).isNotNull() & ~F.isnan(value)).withColumn("_w", F.lit(1) if weight is None else weight)
+    placed = distinct_positions(rows.groupBy(*keys, value).agg(F.sum("_w").alias("equal")), keys, value, "equal", buckets)
+    return rows.drop("_w").join(placed if keep_range else placed.drop("_b"), [*keys, value])
 
 
 def average_ranks(df: DataFrame, keys: list[str], value: str, rank: str = "rank") -> DataFrame:
