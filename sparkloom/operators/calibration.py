@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,8 @@ from sparkloom.operators.similarity import dense
 
 #: Controls that one matched fit takes unless the caller says otherwise, as the published pipeline does.
 MAX_CONTROLS = 20_000
+#: Hex digits of a hash by which cells are counted before any are sorted.
+PREFIX = 4
 
 
 def fake_guides(guides: DataFrame, control: str, runs: int, number_guide: int = 6, seed: int = 42) -> DataFrame:
@@ -48,7 +51,7 @@ def matched_control_groups(guides: DataFrame, assignment: DataFrame, control: st
     places = places.join(total, "bin").withColumn("turn", F.row_number().over(W.partitionBy("bin").orderBy("target", "slot")) - 1)
     runs = guides.sparkSession.range(ensembles).select(F.col("id").cast("int").alias("ensemble"))
     draw = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("ensemble").cast("string"), F.col("guide_name").cast("string")))
-    dealt = controls.crossJoin(F.broadcast(runs)).withColumn("turn", F.row_number().over(W.partitionBy("ensemble", "bin").orderBy(draw, "guide_name")) - 1)
+    dealt = controls.crossJoin(runs).withColumn("turn", F.row_number().over(W.partitionBy("ensemble", "bin").orderBy(draw, "guide_name")) - 1)
     used = places.filter("turn < have").select("bin", "turn", F.col("target").alias("group"))
     return dealt.join(used, ["bin", "turn"]).select("ensemble", "group", "guide_name")
 
@@ -72,51 +75,109 @@ def ols_effect(scores: DataFrame, treated: DataFrame, keys: list[str], covariate
     return s.select(*keys, "target", beta.alias("beta"), F.col("m").alias("n_treated"), F.col("n").alias("n_cells"))
 
 
+def uniforms(cells: np.ndarray, draws: np.ndarray, seed: int, name: str) -> np.ndarray:
+    """A number from [0, 1) for each cell (row) and draw (column), from their numbers, a seed and a name only."""
+    key = np.uint64(int.from_bytes(hashlib.sha256(f"{seed}|{name}".encode()).digest()[:8], "big"))
+    with np.errstate(over="ignore"):
+        x = _mixed(np.asarray(cells).astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ key)[:, None]
+        x = _mixed(x + (draws.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93))
+    return (x >> np.uint64(11)).astype(np.float64) / (1 << 53)
+
+
+def hash_part(cell: int, parts: int = 32) -> int:
+    """The group in which a partition's sums are added up first, by the id of a cell of it."""
+    return int(_mixed(np.array([cell], np.int64).view(np.uint64))[0] % np.uint64(parts))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit finaliser."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def randomisation_test(clr: DataFrame, cells: DataFrame, treated: DataFrame, covariates: list[str], draws: int = 1024, seed: int = 42) -> DataFrame:
     """Conditional randomisation test per condition and target for every program.
 
     clr: cell_id, program, clr. A cell's chance of treatment comes from a ridge logistic
     regression on the covariates; labels are drawn ``draws`` times from it and the
     effect is the least-squares coefficient of the label. p = (1 + draws at least as
-    large) / (draws + 1), and a skew-normal tail fitted to the draws. One task per condition
-    and target holds that condition's cells by programs; condition, target, program, beta, pval, skew_pval.
+    large) / (draws + 1), and a skew-normal tail fitted to the draws. condition, target, program, beta, pval, skew_pval.
+
+    The regressions take a task per condition and target with covariates only, no programs. Scores stay where they
+    lie: a partition sends sums of labels times scores and covariates, from which the coefficients
+    follow, so no task holds a condition. A cell's labels depend on its id, not on its partition.
     """
-    wide = clr.groupBy("cell_id").agg(F.sort_array(F.collect_list(F.struct("program", "clr"))).alias("u"))
-    rows = wide.join(cells.select("cell_id", "condition", *covariates), "cell_id")
-    rows = rows.join(treated.groupBy("cell_id").agg(F.collect_set("target").alias("own")), "cell_id", "left")
+    spark = clr.sparkSession
+    programs = sorted(r[0] for r in clr.select("program").distinct().collect())
+    scale = cells.groupBy("condition").agg(F.count("*"), *(f(c).alias(f"{n}_{i}") for i, c in enumerate(covariates) for n, f in (("m", F.avg), ("s", F.stddev_pop))))
+    x = [((F.col(c) - F.col(f"m_{i}")) / F.when(F.col(f"s_{i}") > 0, F.col(f"s_{i}")).otherwise(1.0)).cast("double") for i, c in enumerate(covariates)]
+    present = cells.join(clr.select("cell_id").distinct(), "cell_id", "left_semi").join(scale, "condition")
+    design = present.select("cell_id", "condition", F.array(F.lit(1.0), *x).alias("x"))
+    design = design.join(treated.groupBy("cell_id").agg(F.collect_set("target").alias("own")), "cell_id", "left")
     targets = treated.select("target").distinct()
-    rows = rows.crossJoin(F.broadcast(targets)).withColumn("t", F.coalesce(F.array_contains("own", F.col("target")), F.lit(False)).cast("double"))
-    rows = rows.select("condition", "target", "t", "cell_id", *covariates, F.col("u.program").alias("programs"), F.col("u.clr").alias("y"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("cell_id")
-        t, y = pdf["t"].to_numpy(float), np.array(pdf["y"].tolist(), float)
-        c = pdf[covariates].to_numpy(float) if covariates else np.zeros((len(pdf), 0))
-        c = (c - c.mean(0)) / np.where(c.std(0) > 0, c.std(0), 1)
-        x = np.c_[np.ones(len(pdf)), c]
-        p = logistic(x, t)
-        q, _ = np.linalg.qr(x)
-        rest = y - q @ (q.T @ y)
-
-        def effect(labels: np.ndarray) -> np.ndarray:
-            r = labels - q @ (q.T @ labels)
-            size = (r * r).sum(0)
-            return (r.T @ rest) / np.where(size > 0, size, np.inf)[:, None]
-
-        rng = np.random.default_rng([seed, *str(pdf["target"].iloc[0]).encode(), *str(pdf["condition"].iloc[0]).encode()])
-        beta = effect(t[:, None])[0]
-        null = np.concatenate([effect((rng.random((len(t), 64)) < p[:, None]).astype(float)) for _ in range(-(-draws // 64))])[:draws]
+    def chance(pdf: pd.DataFrame) -> pd.DataFrame:
+        w = logistic_weights(np.array(pdf["x"].tolist(), float), pdf["t"].to_numpy(float))
+        return pd.DataFrame({"condition": [pdf["condition"].iloc[0]], "target": [pdf["target"].iloc[0]], "w": [w.tolist()]})
+
+    labels = design.join(targets, how="cross").select("condition", "target", "x", F.coalesce(F.array_contains("own", F.col("target")), F.lit(False)).cast("double").alias("t"))
+    found = labels.groupBy("condition", "target").applyInPandas(chance, "condition string, target string, w array<double>").collect()
+    sent = spark.sparkContext.broadcast({(r.condition, r.target): np.array(r.w) for r in found})  # numbers of covariates only
+    index, k, n_programs = pd.Index(programs), len(covariates) + 1, len(programs)
+    rows = clr.groupBy("cell_id").agg(F.collect_list("program").alias("p"), F.collect_list(F.col("clr").cast("double")).alias("y")).join(design, "cell_id")
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """By condition and target: sums over cells of label * (covariates, scores), for the true label and each draw; without a target: of covariates * (covariates, scores)."""
+        total: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            for condition, part in batch.groupby("condition"):
+                y = np.zeros((len(part), n_programs))
+                np.add.at(y, (np.repeat(np.arange(len(part)), part["p"].map(len)), index.get_indexer(np.concatenate(part["p"].to_list()))), np.concatenate(part["y"].to_list()))
+                x = np.array(part["x"].tolist(), float)
+                both, ids = np.c_[x, y], part["cell_id"].to_numpy()
+                total[condition, None] = total.get((condition, None), 0) + x.T @ both
+                own = [set(o) if o is not None else set() for o in part["own"]]
+                for (c, target), w in sent.value.items():
+                    if c == condition:
+                        t = np.array([target in o for o in own], float)
+                        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+                        drawn = (uniforms(ids, np.arange(draws), seed, f"{c}|{target}") < p[:, None]).T.astype(float)
+                        total[c, target] = total.get((c, target), 0) + np.r_[t[None] @ both, drawn @ both]
+        part = hash_part(batch["cell_id"].iloc[0]) if total else 0
+        for (condition, target), m in total.items():
+            yield pd.DataFrame({"condition": [condition], "target": [target], "part": [part], "v": [m.ravel().tolist()]})
+
+    def added(pdf: pd.DataFrame) -> pd.DataFrame:
+        v = np.sum(np.stack(pdf["v"].to_list()), axis=0)
+        return pd.DataFrame({"condition": [pdf["condition"].iloc[0]], "target": [pdf["target"].iloc[0]], "part": [0], "v": [v.tolist()]})
+
+    schema, keys = "condition string, target string, part int, v array<double>", ["condition", "target"]
+    parts = rows.mapInPandas(sums, schema).groupBy(*keys, "part").applyInPandas(added, schema).groupBy(*keys).applyInPandas(added, schema)
+    parts = parts.select("condition", "target", "v")
+    grams = parts.filter("target IS NULL").select("condition", F.col("v").alias("g"))
+
+    def test(pdf: pd.DataFrame) -> pd.DataFrame:
+        g = np.asarray(pdf["g"].iloc[0], float).reshape(k, -1)
+        inverse = np.linalg.pinv(g[:, :k])
+        fit = inverse @ g[:, k:]
+        v = np.asarray(pdf["v"].iloc[0], float).reshape(draws + 1, -1)
+        lx, ly = v[:, :k], v[:, k:]
+        size = lx[:, 0] - np.einsum("di,ij,dj->d", lx, inverse, lx)  # a label is 0 or 1, and covariate 0 is 1
+        effect = (ly - lx @ fit) / np.where(size > 1e-9, size, np.inf)[:, None]
+        beta, null = effect[0], effect[1:]
         mean, sd = null.mean(0), null.std(0)
         skew = np.where(sd > 0, ((null - mean) ** 3).mean(0) / np.where(sd > 0, sd, 1) ** 3, 0)
-        pv = (1 + (np.abs(null) >= np.abs(beta)).sum(0)) / (draws + 1)
-        return pd.DataFrame({"condition": pdf["condition"].iloc[0], "target": pdf["target"].iloc[0], "program": list(pdf["programs"].iloc[0]), "beta": beta, "pval": pv, "mean": mean, "sd": sd, "skew": skew})
+        pv = (1 + (np.abs(null) >= np.abs(beta) - 1e-12).sum(0)) / (draws + 1)
+        return pd.DataFrame({"condition": pdf["condition"].iloc[0], "target": pdf["target"].iloc[0], "program": programs, "beta": beta, "pval": pv, "mean": mean, "sd": sd, "skew": skew})
 
-    out = rows.groupBy("condition", "target").applyInPandas(run, "condition string, target string, program string, beta double, pval double, mean double, sd double, skew double")
+    judged = parts.filter("target IS NOT NULL").join(grams, "condition")
+    out = judged.groupBy("condition", "target").applyInPandas(test, "condition string, target string, program string, beta double, pval double, mean double, sd double, skew double")
     return out.withColumn("skew_pval", skew_normal_p("beta", "mean", "sd", "skew")).drop("mean", "sd", "skew")
 
 
-def logistic(x: np.ndarray, t: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
-    """Fitted chances of a ridge logistic regression by Newton steps; the first column is not penalised."""
+def logistic_weights(x: np.ndarray, t: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
+    """Weights of a ridge logistic regression by Newton steps; the first column is not penalised."""
     w, penalty = np.zeros(x.shape[1]), ridge * np.eye(x.shape[1])
     penalty[0, 0] = 1e-8
     for _ in range(rounds):
@@ -125,7 +186,12 @@ def logistic(x: np.ndarray, t: np.ndarray, ridge: float = 1.0, rounds: int = 25)
         w = w + step
         if np.abs(step).max() < 1e-10:
             break
-    return 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+    return w
+
+
+def logistic(x: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Fitted chances of that regression."""
+    return 1 / (1 + np.exp(-np.clip(x @ logistic_weights(x, t), -30, 30)))
 
 
 def nearest_free(scores: np.ndarray, wanted: np.ndarray, ratio: int, width: float) -> list[list[tuple[int, float]]]:
@@ -337,34 +403,78 @@ def refit(scores: DataFrame, labels: DataFrame, value: str = "score") -> DataFra
     return s.select("draw", "program", (F.col("m1") - F.col("m0")).alias("beta"))
 
 
+def _hash(draw: Column, seed: int) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), draw.cast("string"), F.col("cell_id").cast("string")))
+
+
 def permuted_labels(cells: DataFrame, draws: int, seed: int = 42) -> DataFrame:
-    """draw, cell_id, treated, weight: the number of treated cells kept, their places drawn by a seeded hash."""
-    n = cells.agg(F.sum("treated").alias("_n"))
-    grid = cells.select("cell_id").crossJoin(cells.sparkSession.range(draws).select(F.col("id").cast("int").alias("draw")))
-    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("draw").cast("string"), F.col("cell_id").cast("string")))
-    place = F.row_number().over(W.partitionBy("draw").orderBy(h, "cell_id"))
-    return grid.withColumn("_k", place).crossJoin(F.broadcast(n)).select("draw", "cell_id", (F.col("_k") <= F.col("_n")).cast("int").alias("treated"), F.lit(1.0).alias("weight"))
+    """cell_id, treated, on, off: arrays over the draws of a cell's weight as a treated one and as a control.
+
+    A draw treats as many cells as are treated, those with its smallest hashes. Its largest such hash is found by counts of hash
+    prefixes and a sort of the cells of one prefix, so no task sorts all cells.
+    """
+    n = cells.agg(F.coalesce(F.sum("treated"), F.lit(0)).cast("long").alias("_n"))
+    grid = cells.select("cell_id", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("draw")).withColumn("_h", _hash(F.col("draw"), seed)).withColumn("_prefix", F.substring("_h", 1, PREFIX))
+    counts = grid.groupBy("draw", "_prefix").count()
+    upto = F.sum("count").over(W.partitionBy("draw").orderBy("_prefix").rowsBetween(W.unboundedPreceding, W.currentRow))
+    edge = counts.withColumn("_upto", upto).join(n, how="cross").filter("_n > 0 AND _upto >= _n AND _upto - count < _n").select("draw", "_prefix", (F.col("_n") - F.col("_upto") + F.col("count")).alias("_k"))
+    place = F.row_number().over(W.partitionBy("draw").orderBy("_h", "cell_id"))
+    last = grid.join(edge, ["draw", "_prefix"]).withColumn("_place", place).filter("_place = _k").select("draw", F.struct("_h", "cell_id").alias("last"))
+    ends = last.agg(F.map_from_entries(F.collect_list(F.struct("draw", "last"))).alias("_ends"))  # one row, an entry a draw
+    drawn = lambda d: F.coalesce(F.struct(_hash(d, seed).alias("_h"), F.col("cell_id")) <= F.try_element_at("_ends", d), F.lit(False)).cast("double")
+    on = F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), drawn)
+    rows = cells.select("cell_id", "treated").join(F.broadcast(ends), how="cross").select("cell_id", "treated", on.alias("on"))
+    return rows.withColumn("off", F.transform("on", lambda x: 1 - x))
 
 
 def bootstrap_labels(cells: DataFrame, draws: int, seed: int = 42) -> DataFrame:
-    """draw, cell_id, treated, weight: Poisson(1) weights of a bootstrap, each from a seeded hash of draw and cell."""
-    grid = cells.select("cell_id", "treated").crossJoin(cells.sparkSession.range(draws).select(F.col("id").cast("int").alias("draw")))
-    h = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("draw").cast("string"), F.col("cell_id").cast("string")))
-    u = F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / 4294967296.0
+    """cell_id, treated, on, off: as permuted_labels, with the Poisson(1) weights of a bootstrap, each from a seeded hash of draw and cell."""
     cdf = [sum(np.exp(-1) / np.prod(range(1, j + 1)) for j in range(k + 1)) for k in range(9)]
-    weight = sum(((u >= c).cast("double") for c in cdf), F.lit(0.0))
-    return grid.select("draw", "cell_id", "treated", weight.alias("weight"))
+
+    def weight(d: Column) -> Column:
+        u = F.conv(F.substring(_hash(d, seed), 1, 8), 16, 10).cast("double") / 4294967296.0
+        return sum(((u >= c).cast("double") for c in cdf), F.lit(0.0))
+
+    rows = cells.select("cell_id", "treated", F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), weight).alias("w"))
+    return rows.select("cell_id", "treated", *(F.transform("w", lambda x, t=t: F.when(F.col("treated") == t, x).otherwise(0.0)).alias(n) for t, n in ((1, "on"), (0, "off"))))
+
+
+def refit_draws(scores: DataFrame, labels: DataFrame, value: str = "score") -> DataFrame:
+    """draw, program, beta: mean difference treated less control under each draw's weights.
+
+    Scores stay with their cells; a partition sends four sums for each draw and program.
+    """
+    programs = sorted(r[0] for r in scores.select("program").distinct().collect())
+    index = pd.Index(programs)
+    rows = scores.groupBy("cell_id").agg(F.collect_list("program").alias("p"), F.collect_list(F.col(value).cast("double")).alias("y")).join(labels, "cell_id").select("p", "y", "on", "off")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = 0
+        for batch in batches:
+            at = (np.repeat(np.arange(len(batch)), batch["p"].map(len)), index.get_indexer(np.concatenate(batch["p"].to_list())))
+            y, there = np.zeros((len(batch), len(index))), np.zeros((len(batch), len(index)))
+            np.add.at(y, at, np.concatenate(batch["y"].to_list()))
+            np.add.at(there, at, 1)
+            on, off = np.array(batch["on"].tolist(), float).T, np.array(batch["off"].tolist(), float).T
+            total = total + np.stack([on @ y, on @ there, off @ y, off @ there], -1)
+        if isinstance(total, np.ndarray):
+            draw, program = np.indices(total.shape[:2]).reshape(2, -1)
+            yield pd.DataFrame(total.reshape(-1, 4), columns=["s1", "n1", "s0", "n0"]).assign(draw=draw, program=np.array(programs, object)[program])
+
+    sums = rows.mapInPandas(run, "draw int, program string, s1 double, n1 double, s0 double, n0 double").groupBy("draw", "program").agg(*(F.sum(c).alias(c) for c in ("s1", "n1", "s0", "n0")))
+    mean = lambda s, n: F.col(s) / F.when(F.col(n) > 0, F.col(n))
+    return sums.select("draw", "program", (mean("s1", "n1") - mean("s0", "n0")).alias("beta"))
 
 
 def permutation_bias(scores: DataFrame, cells: DataFrame, draws: int = 100, seed: int = 42) -> DataFrame:
     """Mean effect per program over label shuffles, to be subtracted."""
-    return refit(scores, permuted_labels(cells, draws, seed)).groupBy("program").agg(F.avg("beta").alias("bias"))
+    return refit_draws(scores, permuted_labels(cells, draws, seed)).groupBy("program").agg(F.avg("beta").alias("bias"))
 
 
 def bootstrap_effects(scores: DataFrame, cells: DataFrame, draws: int = 500, seed: int = 42) -> DataFrame:
     """program, beta, se, stat, pval: the effect with its bootstrap deviation."""
     own = refit(scores, cells.select("cell_id", "treated", F.lit(1.0).alias("weight"), F.lit(0).alias("draw"))).select("program", "beta")
-    se = refit(scores, bootstrap_labels(cells, draws, seed)).groupBy("program").agg(F.stddev_samp("beta").alias("se"))
+    se = refit_draws(scores, bootstrap_labels(cells, draws, seed)).groupBy("program").agg(F.stddev_samp("beta").alias("se"))
     z = F.col("beta") / F.col("se")
     return own.join(se, "program").withColumn("stat", z).withColumn("pval", normal_p(z))
 
@@ -381,7 +491,7 @@ def gene_tests(expr: DataFrame, cells: DataFrame, moderated: bool = True) -> Dat
     base = lib.agg(*(f.alias(f"{n}{t}") for t in (0, 1) for n, f in (("n", F.count_if(F.col("treated") == t)), ("z", side(F.col("zero"), t)), ("zz", side(F.col("zero") * F.col("zero"), t)))))
     d = F.col("v") - F.col("zero")
     dd = F.col("v") * F.col("v") - F.col("zero") * F.col("zero")
-    g = rows.groupBy("gene_id").agg(*(F.coalesce(side(x, t), F.lit(0.0)).alias(f"{n}{t}") for t in (0, 1) for n, x in (("d", d), ("dd", dd)))).crossJoin(F.broadcast(base))
+    g = rows.groupBy("gene_id").agg(*(F.coalesce(side(x, t), F.lit(0.0)).alias(f"{n}{t}") for t in (0, 1) for n, x in (("d", d), ("dd", dd)))).crossJoin(base)
     mean = lambda t: (F.col(f"z{t}") + F.col(f"d{t}")) / F.col(f"n{t}")
     ss = lambda t: F.col(f"zz{t}") + F.col(f"dd{t}") - (F.col(f"z{t}") + F.col(f"d{t}")) * mean(t)
     df = F.col("n0") + F.col("n1") - 2
@@ -392,7 +502,7 @@ def gene_tests(expr: DataFrame, cells: DataFrame, moderated: bool = True) -> Dat
         return g.drop("spread")
     # prior by moments of log variances
     prior = g.filter("s2 > 1e-12").agg(F.avg(F.log("s2")).alias("m"), F.var_samp(F.log("s2")).alias("v"), F.first("df").alias("_df")).select(F.exp("m").alias("s0"), F.greatest(F.lit(0.5), 2 / F.greatest(F.col("v") - 2 / F.col("_df"), F.lit(1e-3))).alias("d0"))
-    g = g.crossJoin(F.broadcast(prior))
+    g = g.crossJoin(prior)
     post = (F.col("d0") * F.col("s0") + F.col("df") * F.col("s2")) / (F.col("d0") + F.col("df"))
     g = g.withColumn("moderated_t", F.when(F.col("s2") > 1e-12, F.col("beta") / (F.sqrt(post) * F.col("spread"))))
     return g.withColumn("moderated_pval", t_p("moderated_t", F.col("d0") + F.col("df"))).drop("spread", "s0", "d0")

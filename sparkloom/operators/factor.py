@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 from pyspark.sql.window import Window as W
 
+from sparkloom.operators.calibration import hash_part, uniforms
 from sparkloom.operators.ranking import benjamini_hochberg_wide, top_k
 from sparkloom.operators.similarity import cluster_medians, distance
 
-#: H has k rows and the high-variance genes as columns; both are chosen by the caller and bounded here.
-MAX_GENES, MAX_K = 20_000, 1000
+#: Numbers of all H that one job updates together; more replicates take turns. One H of k by high-variance genes is the caller's choice.
+TOGETHER = 1 << 23
 #: Share of each base when it is not given.
 BACKGROUND = 0.25
 
@@ -35,7 +36,7 @@ def variable_genes(expr: DataFrame, n_cells: int, n_top: int = 2000) -> DataFram
 def prepare(expr: DataFrame, genes: DataFrame) -> DataFrame:
     """One row per cell: cell_id, idx (places of genes by id), val (counts over the gene's deviation)."""
     placed = genes.select("gene_id", F.sqrt("var").alias("sd"), (F.row_number().over(W.orderBy("gene_id")) - 1).alias("i")).filter("sd > 0")
-    rows = expr.join(F.broadcast(placed), "gene_id").select("cell_id", "i", (F.col("count") / F.col("sd")).alias("v"))
+    rows = expr.join(placed, "gene_id").select("cell_id", "i", (F.col("count") / F.col("sd")).alias("v"))
     return rows.groupBy("cell_id").agg(F.array_sort(F.collect_list(F.struct("i", "v"))).alias("x")).select("cell_id", F.col("x.i").alias("idx"), F.col("x.v").alias("val"))
 
 
@@ -60,60 +61,71 @@ def _usage_rows(pdf: pd.DataFrame, h: np.ndarray, loss: str, rounds: int) -> tup
     return w, rows
 
 
-def factorise(matrix: DataFrame, n_genes: int, k: int, seed: int, loss: str = "frobenius", rounds: int = 20, inner: int = 10, l1: float = 0.0, l2: float = 0.0, fraction: float | None = None) -> np.ndarray:
-    """H (k by genes) of one replicate. Each round is one job: cells are updated where they lie against a broadcast H,
-    and partitions send sums of k by genes numbers, which are added up by Spark. loss: frobenius or kl.
-    fraction: cells of each round, drawn anew by seed (mini-batches).
+def factorise(matrix: DataFrame, n_genes: int, k: int, seed: int, **options) -> np.ndarray:
+    """H (k by genes) of one replicate: see factorise_all."""
+    return factorise_all(matrix, n_genes, [(k, seed)], **options)[0]
+
+
+def factorise_all(matrix: DataFrame, n_genes: int, runs: list[tuple[int, int]], loss: str = "frobenius", rounds: int = 20, inner: int = 10, l1: float = 0.0, l2: float = 0.0, fraction: float | None = None) -> list[np.ndarray]:
+    """H (k by genes) of each replicate (k, seed). A round is one job for all of them: cells are updated where they lie against
+    the broadcast Hs, and partitions send sums of k by genes numbers as arrays, which are added up in two steps. loss: frobenius or kl.
+    fraction: cells of each round, drawn anew by the replicate's seed (mini-batches).
     """
-    if n_genes > MAX_GENES or k > MAX_K:
-        raise ValueError(f"at most {MAX_GENES} genes and {MAX_K} programs")
-    rng = np.random.default_rng([seed, k])
-    h = rng.random((k, n_genes)) + 0.01
     spark = matrix.sparkSession
+    hs = [np.random.default_rng([seed, k]).random((k, n_genes)) + 0.01 for k, seed in runs]
+    step = max(1, TOGETHER // max(1, max((h.size for h in hs), default=1)))
+    if len(runs) > step:
+        options = {"loss": loss, "rounds": rounds, "inner": inner, "l1": l1, "l2": l2, "fraction": fraction}
+        return [h for at in range(0, len(runs), step) for h in factorise_all(matrix, n_genes, runs[at : at + step], **options)]
+    schema = "run int, a int, part int, g array<double>"
+
+    def added(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = np.sum(np.stack(pdf["g"].to_list()), axis=0)
+        return pd.DataFrame({"run": [pdf["run"].iloc[0]], "a": [pdf["a"].iloc[0]], "part": [pdf["part"].iloc[0]], "g": [total.tolist()]})
+
     for turn in range(rounds):
-        sent = spark.sparkContext.broadcast(h)
+        sent = spark.sparkContext.broadcast(hs)
 
-        def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+        def update(batches: Iterator[pd.DataFrame], sent=sent, turn=turn) -> Iterator[pd.DataFrame]:
             now = sent.value
-            gram, cross = np.zeros((k, k)), np.zeros((k, n_genes))
-            for pdf in batches:
-                w, rows = _usage_rows(pdf, now, loss, inner)
-                gram += w.T @ w if loss == "frobenius" else np.diag(w.sum(0))
-                for r, (i, v) in enumerate(rows):
-                    cross[:, i] += np.outer(w[r], v if loss == "frobenius" else v / np.maximum(w[r] @ now[:, i], 1e-12))
-            for a in range(k):
-                yield pd.DataFrame({"a": [a], "g": [np.r_[gram[a], cross[a]]]})
-
-        part = matrix if fraction is None else matrix.sample(fraction=fraction, seed=seed * 1000 + turn)
-        sums = part.mapInPandas(run, "a int, g array<double>").select("a", F.posexplode("g").alias("i", "v")).groupBy("a", "i").agg(F.sum("v").alias("v"))
-        found = sums.groupBy("a").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "v"))), lambda x: x["v"]).alias("g")).orderBy("a").toPandas()
+            gram = [np.zeros((len(h), len(h))) for h in now]
+            cross = [np.zeros(h.shape) for h in now]
+            part = 0
+            for batch in batches:
+                part = hash_part(batch["cell_id"].iloc[0]) if len(batch) else part
+                for run, (h, (_, seed)) in enumerate(zip(now, runs, strict=True)):
+                    pdf = batch
+                    if fraction is not None:
+                        pdf = batch[uniforms(batch["cell_id"].to_numpy(), np.array([turn]), seed, "batch")[:, 0] < fraction]
+                    w, rows = _usage_rows(pdf, h, loss, inner)
+                    gram[run] += w.T @ w if loss == "frobenius" else np.diag(w.sum(0))
+                    for r, (i, v) in enumerate(rows):
+                        cross[run][:, i] += np.outer(w[r], v if loss == "frobenius" else v / np.maximum(w[r] @ h[:, i], 1e-12))
+            for run, h in enumerate(now):
+                yield pd.DataFrame({"run": run, "a": range(len(h)), "part": part, "g": np.c_[gram[run], cross[run]].tolist()})
+
+        sums = matrix.mapInPandas(update, schema).groupBy("run", "a", "part").applyInPandas(added, schema).groupBy("run", "a").applyInPandas(added, schema)
+        found = sums.select("run", "a", "g").toPandas().sort_values(["run", "a"])
         sent.unpersist()
-        both = np.array(found["g"].tolist(), float).reshape(len(found), -1)
-        if len(both) < k:
-            continue
-        gram, cross = both[:, :k], both[:, k:]
-        if loss == "frobenius":
-            h = h * cross / np.maximum(gram @ h + l1 + l2 * h, 1e-12)
-        else:
-            h = h * cross / np.maximum(np.diag(gram)[:, None] + l1 + l2 * h, 1e-12)
-    return h
+        for run, own in found.groupby("run"):
+            h, both = hs[run], np.array(own["g"].tolist(), float)
+            gram, cross = both[:, : len(h)], both[:, len(h) :]
+            if gram.any():
+                base = gram @ h if loss == "frobenius" else np.diag(gram)[:, None]
+                hs[run] = h * cross / np.maximum(base + l1 + l2 * h, 1e-12)
+    return hs
 
 
 def replicates(matrix: DataFrame, n_genes: int, ks: list[int], n_iter: int, seed: int = 14, done: DataFrame | None = None, **options) -> DataFrame:
-    """Spectra of all (K, replicate) that ``done`` lacks: K, replicate, component, dim, value."""
+    """Spectra of all (K, replicate) that ``done`` lacks: K, replicate, component, dim, value. All replicates go through the same jobs."""
     spark = matrix.sparkSession
     have = {(r.K, r.replicate) for r in done.select("K", "replicate").distinct().collect()} if done is not None else set()
-    frames = []
-    for k in ks:
-        for i in range(n_iter):
-            if (k, i) not in have:
-                h = factorise(matrix, n_genes, k, seed + i, **options)
-                frames.append(spark.createDataFrame([(k, i, c, row.tolist()) for c, row in enumerate(h)], "K int, replicate int, component int, h array<double>"))
-    out = None
-    for f in frames:
-        out = f if out is None else out.unionByName(f)
-    if out is None:
+    todo = [(k, i) for k in ks for i in range(n_iter) if (k, i) not in have]
+    if not todo and done is not None:
         return done
+    found = factorise_all(matrix, n_genes, [(k, seed + i) for k, i in todo], **options)
+    rows = [(k, i, c, row.tolist()) for (k, i), h in zip(todo, found, strict=True) for c, row in enumerate(h)]
+    out = spark.createDataFrame(rows, "K int, replicate int, component int, h array<double>")
     long = out.select("K", "replicate", "component", F.posexplode("h").alias("dim", "value"))
     return long if done is None else done.unionByName(long)
 

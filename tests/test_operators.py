@@ -294,3 +294,57 @@ def test_random_sets_are_no_discoveries(spark):
     got = {r.term: r for r in E.prerank(loading, spark.createDataFrame(sets, "term string, gene_id long"), permutations=200).collect()}
     assert got["planted"].fdr < 0.05 and got["planted"].fwer < 0.05 and got["planted"].nes > 1.5
     assert sum(r.fwer < 0.05 for t, r in got.items() if t != "planted") <= 1 and all(r.fdr <= 1 for r in got.values())
+
+
+def test_randomisation_against_all_cells_in_one_place(spark):
+    """Coefficients and draws from sums of partitions, against least squares with the same labels."""
+    rng = np.random.default_rng(9)
+    n, draws = 80, 60
+    y = rng.normal(size=(n, 3))
+    x = rng.normal(size=n)
+    t = (rng.random(n) < 0.3).astype(float)
+    y[:, 1] += t
+    clr = spark.createDataFrame([(i, str(p), float(y[i, p])) for i in range(n) for p in range(3)], "cell_id long, program string, clr double")
+    cells = spark.createDataFrame([(i, "c", float(x[i])) for i in range(n)], "cell_id long, condition string, x double")
+    treated = spark.createDataFrame([(i, "t") for i in range(n) if t[i]], "cell_id long, target string")
+    got = {r.program: r for r in C.randomisation_test(clr.repartition(3), cells, treated, ["x"], draws=draws, seed=3).collect()}
+    d = np.c_[np.ones(n), (x - x.mean()) / x.std()]
+    p = C.logistic(d, t)
+    labels = [t, *(C.uniforms(np.arange(n), np.arange(draws), 3, "c|t") < p[:, None]).T.astype(float)]
+    effect = np.array([np.linalg.lstsq(np.c_[d, v], y, rcond=None)[0][-1] for v in labels])
+    for k in range(3):
+        assert got[str(k)].beta == pytest.approx(effect[0, k])
+        assert got[str(k)].pval == pytest.approx((1 + (abs(effect[1:, k]) >= abs(effect[0, k]) - 1e-12).sum()) / (draws + 1))
+
+
+def test_uniforms_are_uniform_and_named():
+    u = C.uniforms(np.arange(2000), np.arange(20), 1, "a")
+    assert abs(u.mean() - 0.5) < 0.01 and 0 <= u.min() and u.max() < 1 and abs(np.corrcoef(u[:, 0], u[:, 1])[0, 1]) < 0.08
+    assert (C.uniforms(np.arange(5, 9), np.arange(20), 1, "a") == u[5:9]).all() and not (C.uniforms(np.arange(9), np.arange(20), 1, "b") == u[:9]).any()
+
+
+def test_draws_of_bootstraps_against_plain_refits(spark):
+    rng = np.random.default_rng(6)
+    cells = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(60)], "cell_id long, treated int")
+    scores = spark.createDataFrame([(i, p, float(rng.random())) for i in range(60) for p in "ab" if rng.random() < 0.8], "cell_id long, program string, score double")
+    for make in (C.bootstrap_labels, C.permuted_labels):
+        labels = make(cells, 7)
+        got = {(r.draw, r.program): r.beta for r in C.refit_draws(scores, labels).collect()}
+        rows_of = labels.collect()
+        assert all(sum(r.on[d] for r in rows_of) == 15 for d in range(7)) or make is C.bootstrap_labels
+        long = [(d, r.cell_id, side, w[d]) for r in rows_of for side, w in ((1, r.on), (0, r.off)) for d in range(7) if w[d]]
+        want = {(r.draw, r.program): r.beta for r in C.refit(scores, spark.createDataFrame(long, "draw int, cell_id long, treated int, weight double")).collect()}
+        assert {k for k, v in got.items() if v is not None} == {k for k, v in want.items() if v is not None} and all(got[k] == pytest.approx(want[k]) for k in want if want[k] is not None)
+    assert C.permutation_bias(scores, cells.filter("treated = 0"), draws=2).filter("bias IS NOT NULL").count() == 0
+
+
+def test_replicates_together_and_alone(spark):
+    rng = np.random.default_rng(1)
+    m = spark.createDataFrame([(i, sorted(rng.choice(8, 4, replace=False).tolist()), rng.random(4).tolist()) for i in range(30)], "cell_id long, idx array<int>, val array<double>")
+    for options in ({"rounds": 3}, {"rounds": 2, "loss": "kl", "fraction": 0.6}):
+        both = N.factorise_all(m, 8, [(2, 1), (3, 5)], **options)
+        assert [h.shape for h in both] == [(2, 8), (3, 8)]
+        for h, (k, seed) in zip(both, [(2, 1), (3, 5)], strict=True):
+            assert np.allclose(h, N.factorise(m.repartition(3), 8, k, seed, **options))
+    out = N.replicates(m, 8, [2], 2, rounds=2)
+    assert N.replicates(m, 8, [2], 2, done=out, rounds=2) is out and out.count() == 2 * 2 * 8
