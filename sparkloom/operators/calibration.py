@@ -479,14 +479,19 @@ def bootstrap_effects(scores: DataFrame, cells: DataFrame, draws: int = 500, see
     return own.join(se, "program").withColumn("stat", z).withColumn("pval", normal_p(z))
 
 
-def gene_tests(expr: DataFrame, cells: DataFrame, moderated: bool = True) -> DataFrame:
+def gene_tests(expr: DataFrame, cells: DataFrame, moderated: bool = True, weighted: bool = False, least_count: float = 0, least_cells: int = 0) -> DataFrame:
     """Per gene log CPM difference treated less control with ordinary t; moderated t with variances shrunk to a common prior (Smyth 2004).
 
     expr: cell_id, gene_id, count; cells: cell_id, treated. Cells without a count of a gene have log2(0.5 / (total + 1) * 1e6). Constant genes have null t.
+    weighted: precision weights by the trend of the deviation over the mean count (Law et al. 2014), see weighted_sums().
+    least_count, least_cells: genes with fewer counts, or cells with a count, are left out.
     """
     total = expr.groupBy("cell_id").agg(F.sum("count").alias("total"))
     lib = cells.join(total, "cell_id").withColumn("zero", F.log2(0.5 / (F.col("total") + 1) * 1e6))
     rows = expr.join(lib, "cell_id").withColumn("v", F.log2((F.col("count") + 0.5) / (F.col("total") + 1) * 1e6))
+    if least_count or least_cells:
+        kept = rows.groupBy("gene_id").agg(F.sum("count").alias("_s"), F.count_if(F.col("count") > 0).alias("_n")).filter((F.col("_s") >= least_count) & (F.col("_n") >= least_cells))
+        rows = rows.join(kept.select("gene_id"), "gene_id", "left_semi")
     side = lambda c, t: F.sum(F.when(F.col("treated") == t, c))
     base = lib.agg(*(f.alias(f"{n}{t}") for t in (0, 1) for n, f in (("n", F.count_if(F.col("treated") == t)), ("z", side(F.col("zero"), t)), ("zz", side(F.col("zero") * F.col("zero"), t)))))
     d = F.col("v") - F.col("zero")
@@ -495,7 +500,14 @@ def gene_tests(expr: DataFrame, cells: DataFrame, moderated: bool = True) -> Dat
     mean = lambda t: (F.col(f"z{t}") + F.col(f"d{t}")) / F.col(f"n{t}")
     ss = lambda t: F.col(f"zz{t}") + F.col(f"dd{t}") - (F.col(f"z{t}") + F.col(f"d{t}")) * mean(t)
     df = F.col("n0") + F.col("n1") - 2
-    g = g.select("gene_id", (mean(1) - mean(0)).alias("beta"), ((ss(0) + ss(1)) / df).alias("s2"), df.cast("double").alias("df"), F.sqrt(1 / F.col("n0") + 1 / F.col("n1")).alias("spread"))
+    g = g.select("gene_id", mean(0).alias("m0"), mean(1).alias("m1"), "n0", "n1", ((ss(0) + ss(1)) / df).alias("s2"), df.cast("double").alias("df"))
+    if weighted:
+        s = weighted_sums(rows, lib, g)
+        m = lambda t: F.col(f"y{t}") / F.col(f"w{t}")
+        rest = lambda t: F.greatest(F.lit(0.0), F.col(f"yy{t}") - F.col(f"y{t}") * m(t))
+        g = s.join(g.select("gene_id", "df"), "gene_id").select("gene_id", (m(1) - m(0)).alias("beta"), ((rest(0) + rest(1)) / F.col("df")).alias("s2"), "df", F.sqrt(1 / F.col("w0") + 1 / F.col("w1")).alias("spread"))
+    else:
+        g = g.select("gene_id", (F.col("m1") - F.col("m0")).alias("beta"), "s2", "df", F.sqrt(1 / F.col("n0") + 1 / F.col("n1")).alias("spread"))
     t = F.when(F.col("s2") > 1e-12, F.col("beta") / (F.sqrt("s2") * F.col("spread")))
     g = g.withColumn("t", t).withColumn("pval", t_p("t", "df"))
     if not moderated:
@@ -508,6 +520,72 @@ def gene_tests(expr: DataFrame, cells: DataFrame, moderated: bool = True) -> Dat
     return g.withColumn("moderated_pval", t_p("moderated_t", F.col("d0") + F.col("df"))).drop("spread", "s0", "d0")
 
 
+#: Points of the trend of deviations over mean counts, and library sizes that are told apart in weights.
+TREND_POINTS, LIBRARIES = 40, 4096
+LOG_MILLION = float(np.log2(1e6))
+
+
+def deviation_trend(genes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Mean log2 count and mean square root of the deviation of TREND_POINTS groups of genes of similar mean counts; genes: x, s2."""
+    rows = genes.filter("s2 > 1e-12").select("x", F.pow("s2", F.lit(0.25)).alias("y"))
+    cuts = rows.agg(F.percentile_approx("x", F.array(*(F.lit(i / TREND_POINTS) for i in range(1, TREND_POINTS))), F.lit(10_000)).alias("c"))
+    points = rows.crossJoin(cuts).groupBy(F.size(F.filter("c", lambda c: c < F.col("x"))).alias("b")).agg(F.avg("x").alias("x"), F.avg("y").alias("y")).orderBy("x").collect()
+    return np.array([p.x for p in points]), np.array([p.y for p in points])
+
+
+def weighted_sums(rows: DataFrame, lib: DataFrame, genes: DataFrame) -> DataFrame:
+    """gene_id and, for control (0) and treated (1) cells, sums of weights, weight * v and weight * v * v over all cells.
+
+    An observation's weight is the trend at its fitted log2 count, to the power -4: the gene's mean of the side plus the cell's log2
+    library size. So cells without a count of the gene need only the distribution of library sizes, which is sent: exact for up
+    to LIBRARIES different ones a side, else in so many groups by size with their means. The trend is piecewise linear, level beyond its ends.
+    """
+    spark = rows.sparkSession
+    size = F.log2(F.col("total") + 1) - LOG_MILLION
+    lib = lib.withColumn("l", size)
+    mean_l = lib.agg(F.avg("l").alias("l")).first().l or 0.0
+    n = F.col("n0") + F.col("n1")
+    x, y = deviation_trend(genes.select("s2", ((F.col("m0") * F.col("n0") + F.col("m1") * F.col("n1")) / n + mean_l).alias("x")))
+    sides = lib.groupBy("treated").agg(F.count_distinct("total").alias("n"), F.min("l").alias("lo"), F.max("l").alias("hi"))
+    cell = F.when(F.col("n") <= LIBRARIES, F.col("l")).otherwise(F.floor((F.col("l") - F.col("lo")) / F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-9)) * (LIBRARIES - 1)))
+    sizes = lib.join(sides, "treated").groupBy("treated", cell.alias("g")).agg(F.count("*").alias("n"), F.avg("l").alias("l")).toPandas()
+    sent = spark.sparkContext.broadcast({t: (own["l"].to_numpy(float), own["n"].to_numpy(float)) for t, own in sizes.groupby("treated")})
+
+    def weight(fitted: np.ndarray) -> np.ndarray:
+        return np.interp(fitted, x, y) ** -4.0 if len(x) else np.ones_like(fitted)
+
+    def zeros(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                part = batch.iloc[at : at + 256]
+                out = {"gene_id": part["gene_id"].to_numpy()}
+                for t in (0, 1):
+                    l, count = sent.value.get(t, (np.zeros(0), np.zeros(0)))
+                    w = weight(part[f"m{t}"].to_numpy(float)[:, None] + l) * count
+                    z = -1.0 - l
+                    out |= {f"w{t}": w.sum(1), f"y{t}": (w * z).sum(1), f"yy{t}": (w * z * z).sum(1)}
+                yield pd.DataFrame(out)
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            side = batch["treated"].to_numpy()
+            w = weight(np.where(side == 1, batch["m1"], batch["m0"]) + batch["l"].to_numpy(float))
+            v, z = batch["v"].to_numpy(float), batch["zero"].to_numpy(float)
+            out = {"gene_id": batch["gene_id"]}
+            for t in (0, 1):
+                own = w * (side == t)
+                out |= {f"w{t}": 0.0 * own, f"y{t}": own * (v - z), f"yy{t}": own * (v * v - z * z)}
+            yield pd.DataFrame(out)
+
+    kind = rows.schema["gene_id"].dataType.simpleString()
+    columns = [f"{c}{t}" for t in (0, 1) for c in ("w", "y", "yy")]
+    schema = f"gene_id {kind}, " + ", ".join(f"{c} double" for c in columns)
+    means = genes.select("gene_id", "m0", "m1")
+    seen = rows.withColumn("l", size).join(means, "gene_id").select("gene_id", "treated", "m0", "m1", "l", "v", "zero")
+    both = means.mapInPandas(zeros, schema).unionByName(seen.mapInPandas(counted, schema))
+    return both.groupBy("gene_id").agg(*(F.sum(c).alias(c) for c in columns))
+
+
 def matched_effects(scores: DataFrame, cells: DataFrame, treated: DataFrame, covariates: list[str], control_cells: DataFrame, ratio: int = 4, least: int = 10, value: str = "score", seed: int = 42, max_controls: int | None = MAX_CONTROLS) -> DataFrame:
     """The matched pipeline for all targets at once: gate, match, balance, weighted regression per program.
 

@@ -165,3 +165,11 @@ def gene_tests(spark, sf_dir):
     s = ScreenL(spark, sf_dir)
     cells = s.cells.select("cell_id", (F.col("condition") == "F").cast("int").alias("treated"))
     return rounded(C.gene_tests(s.expr, cells).select("gene_id", "beta", "t"), "beta", "t")
+
+
+@register("gene_tests_weighted")
+def gene_tests_weighted(spark, sf_dir):
+    """gene_tests with weights by the trend of deviations; genes with at least 10 counts in 10 cells."""
+    s = ScreenL(spark, sf_dir)
+    cells = s.cells.select("cell_id", (F.col("condition") == "F").cast("int").alias("treated"))
+    return C.gene_tests(s.expr, cells, weighted=True, least_count=10, least_cells=10)

@@ -348,3 +348,29 @@ def test_replicates_together_and_alone(spark):
             assert np.allclose(h, N.factorise(m.repartition(3), 8, k, seed, **options))
     out = N.replicates(m, 8, [2], 2, rounds=2)
     assert N.replicates(m, 8, [2], 2, done=out, rounds=2) is out and out.count() == 2 * 2 * 8
+
+
+def test_weighted_gene_tests_against_dense_least_squares(spark):
+    rng = np.random.default_rng(12)
+    n, m = 70, 45
+    side = (np.arange(n) % 3 == 0).astype(int)
+    counts = rng.poisson(rng.gamma(1.0, 3.0, m)[None] * rng.gamma(5, 0.2, n)[:, None] * np.where(side[:, None] * (np.arange(m) < 5), 3, 1))
+    counts[:, 0] += 1
+    expr = spark.createDataFrame([(i, g, float(counts[i, g])) for i in range(n) for g in range(m) if counts[i, g]], "cell_id long, gene_id long, count double")
+    cells = spark.createDataFrame([(i, int(side[i])) for i in range(n)], "cell_id long, treated int")
+    got = {r.gene_id: r for r in C.gene_tests(expr, cells, weighted=True, moderated=False).collect()}
+    total = counts.sum(1)
+    v, lib = np.log2((counts + 0.5) / (total[:, None] + 1) * 1e6), np.log2(total + 1) - np.log2(1e6)
+    means = np.stack([v[side == t].mean(0) for t in (0, 1)])
+    s2 = sum(((v[side == t] - means[t]) ** 2).sum(0) for t in (0, 1)) / (n - 2)
+    genes = [g for g in range(m) if counts[:, g].any()]
+    x, y = C.deviation_trend(spark.createDataFrame([(float(v[:, g].mean() + lib.mean()), float(s2[g])) for g in genes], "x double, s2 double"))
+    for g in genes:
+        w = np.interp(means[side, g] + lib, x, y) ** -4.0
+        d = np.c_[np.ones(n), side] * np.sqrt(w)[:, None]
+        beta, rest, _, _ = np.linalg.lstsq(d, v[:, g] * np.sqrt(w), rcond=None)
+        s = rest[0] / (n - 2)
+        t = beta[1] / np.sqrt(s * np.linalg.inv(d.T @ d)[1, 1])
+        assert got[g].beta == pytest.approx(beta[1], rel=1e-6, abs=1e-9) and got[g].t == pytest.approx(t, rel=1e-6, abs=1e-6)
+    kept = C.gene_tests(expr, cells, least_count=20, least_cells=10).select("gene_id").collect()
+    assert {r.gene_id for r in kept} == {g for g in genes if counts[:, g].sum() >= 20 and (counts[:, g] > 0).sum() >= 10}
