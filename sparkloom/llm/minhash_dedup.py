@@ -64,6 +64,10 @@ def exact(rules: Rules) -> Rules:
 KNOWN_WORDS = 60_000
 
 
+#: Pairs of one document that are compared in one place.
+PAIRS_A_PART = 4096
+
+
 class Shingler:
     """Distinct shingle hashes of a text. Words keep their hashes until many are known."""
 
@@ -165,8 +169,11 @@ def _likely_pairs(pairs: DataFrame, sketch: DataFrame, rules: Rules) -> DataFram
 
 
 def _compared(likely: DataFrame, sets: DataFrame) -> DataFrame:
-    """Adds the exact number of common shingles."""
-    both = likely.join(sets.withColumnsRenamed({"id": "b", "hashes": "h_b"}), "b").join(sets.withColumnsRenamed({"id": "a", "hashes": "h_a"}), "a")
+    """Adds the exact number of common shingles. A hot document's pairs are dealt out in parts of about PAIRS_A_PART, each with a copy of its set."""
+    parts = cut(likely.groupBy("a").agg(F.ceil(F.count("*") / PAIRS_A_PART).alias("parts")), "near-parts")
+    own = sets.withColumnsRenamed({"id": "a", "hashes": "h_a"}).join(parts, "a").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    dealt = likely.join(parts, "a").withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts"))).drop("parts")
+    both = dealt.join(sets.withColumnsRenamed({"id": "b", "hashes": "h_b"}), "b").join(own, ["a", "part"])
     return cut(both.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("h_a", "h_b")).alias("common")), "near-compared")
 
 

@@ -183,6 +183,15 @@ def test_near_pairs_far_from_the_centre(spark):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == want
 
 
+def test_pairs_of_a_hot_document_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "PAIRS_A_PART", 3)
+    rng = random.Random(3)
+    sets = {i: sorted(rng.sample(range(60), 30)) for i in range(25)}
+    likely = spark.createDataFrame([(0, b, 30, 30) for b in range(1, 25)] + [(5, 9, 30, 30)], "a long, b long, n_a long, n_b long")
+    got = {(r.a, r.b): r.common for r in minhash_dedup._compared(likely, spark.createDataFrame(list(sets.items()), "id long, hashes array<long>")).collect()}
+    assert got == {(a, b): len(set(sets[a]) & set(sets[b])) for a, b in [(0, b) for b in range(1, 25)] + [(5, 9)]}
+
+
 def test_pairs_of_a_star_that_share_much_outside_the_centre(spark):
     sets = {1: set(range(100)), 2: {*range(80), *range(200, 215)}, 3: {*range(80), *range(200, 215), 300}, 4: {*range(20, 100), *range(400, 415)}}
     stars = spark.createDataFrame([(1, b, 100, len(sets[b]), len(sets[1] & sets[b])) for b in (2, 3, 4)], "a long, b long, n_a long, n_b long, common int")
