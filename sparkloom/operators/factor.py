@@ -250,7 +250,7 @@ def motif_enrichment(loading: DataFrame, counts: DataFrame, genes: DataFrame, nu
     c = counts.select("gene_id", "motif", F.col("n").cast("double").alias("n")).join(genes.select("gene_id").distinct(), "gene_id", "left_semi")
     y = c.groupBy("motif").agg(F.sum("n").alias("sy"), F.sum(F.col("n") * F.col("n")).alias("qy"))
     xy = rows.join(c, "gene_id").groupBy("program", "motif").agg(F.sum(F.col("score") * F.col("n")).alias("xy"))
-    m = x.crossJoin(F.broadcast(y)).join(xy, ["program", "motif"], "left").fillna(0.0, ["xy"])
+    m = x.crossJoin(y).join(xy, ["program", "motif"], "left").fillna(0.0, ["xy"])
     var = (F.col("qx") - F.col("sx") * F.col("sx") / n) * (F.col("qy") - F.col("sy") * F.col("sy") / n)
     m = m.withColumn("stat", F.when(var > 0, (F.col("xy") - F.col("sx") * F.col("sy") / n) / F.sqrt(var))).filter("stat IS NOT NULL")
     m = m.withColumn("pval", t_p(F.col("stat") * F.sqrt((n - 2) / (1 - F.col("stat") * F.col("stat"))), F.lit(float(n - 2))))

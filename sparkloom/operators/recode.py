@@ -193,7 +193,7 @@ def cp10k(expr: DataFrame) -> DataFrame:
 
 def floored_composition(usage: DataFrame, floor: float = 1e-8) -> DataFrame:
     """Scores of all cells and programs, missing ones 0, raised to ``floor`` and divided by the cell's sum, with the centred log ratio."""
-    grid = usage.select("cell_id").distinct().crossJoin(F.broadcast(usage.select("program").distinct()))
+    grid = usage.select("cell_id").distinct().crossJoin(usage.select("program").distinct())
     full = grid.join(usage, ["cell_id", "program"], "left").withColumn("u", F.greatest(F.coalesce("score", F.lit(0.0)), F.lit(floor)))
     cell = W.partitionBy("cell_id")
     share = full.withColumn("share", F.col("u") / F.sum("u").over(cell))

@@ -55,7 +55,7 @@ def knockdown(expr: DataFrame, cells: DataFrame, assignment: DataFrame, guides:
     base_cells = labels.filter(F.col("target") == control).select("cell_id")
     base_n = base_cells.join(where, "cell_id").groupBy("condition").agg(F.count("*").alias("n0"))
     base = own.join(base_cells, "cell_id").join(where, "cell_id").groupBy("target", "condition").agg(F.sum("norm").alias("s0"))
-    grid = gene_of.select("target").distinct().crossJoin(F.broadcast(cells.select("condition").distinct()))
+    grid = gene_of.select("target").distinct().crossJoin(cells.select("condition").distinct())
     out = grid.join(count, ["target", "condition"], "left").join(total, ["target", "condition"], "left").join(base, ["target", "condition"], "left").join(base_n, "condition", "left")
     pert = F.coalesce("s", F.lit(0.0)) / F.col("n")
     ctrl = F.coalesce(F.coalesce("s0", F.lit(0.0)) / F.col("n0"), F.lit(0.0))
@@ -145,7 +145,7 @@ def specificity(assoc: DataFrame, temperature: float = 0.5, value: str = "log2FC
     peak = rows.groupBy("sample", "target_name").agg(F.max(a).alias("_peak"))
     rows = rows.join(peak, ["sample", "target_name"]).withColumn("_e", F.exp(a - F.col("_peak"))).drop("_peak")
     total = rows.groupBy("sample").agg(F.sum("_e").alias("_total"))
-    rows = rows.join(F.broadcast(total), "sample").withColumn("weight", F.col("_e") / F.col("_total")).drop("_e", "_total")
+    rows = rows.join(total, "sample").withColumn("weight", F.col("_e") / F.col("_total")).drop("_e", "_total")
     p_t = rows.groupBy("sample", "target_name").agg(F.sum("weight").alias("p_target"))
     p_p = rows.groupBy("sample", "program_name").agg(F.sum("weight").alias("p_program"))
     rows = rows.join(p_t, ["sample", "target_name"]).join(p_p, ["sample", "program_name"])

@@ -24,7 +24,7 @@ def sheets(df: DataFrame, order: list[str], rows: int = SHEET_ROWS) -> DataFrame
     sizes = ranged.groupBy("_p").count()
     before = F.coalesce(F.sum("count").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     ranged = ranged.withColumn("_k", F.row_number().over(W.partitionBy("_p").orderBy(*order)))
-    out = ranged.join(F.broadcast(sizes.withColumn("_b", before).drop("count")), "_p")
+    out = ranged.join(sizes.withColumn("_b", before).drop("count"), "_p")
     return out.withColumn("sheet", F.floor((F.col("_b") + F.col("_k") - 1) / rows)).drop("_p", "_k", "_b")
 
 
