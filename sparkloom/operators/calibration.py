@@ -71,7 +71,7 @@ def ols_effect(scores: DataFrame, treated: DataFrame, keys: list[str], covariate
     centred = lambda ab, a, b: ab - a * b / n
     tt, ty, tz = centred(m, m, m), centred(F.col("ty"), m, F.col("sy")), centred(F.col("tz"), m, F.col("sz"))
     zz, zy = centred(F.col("szz"), F.col("sz"), F.col("sz")), centred(F.col("szy"), F.col("sz"), F.col("sy"))
-    beta = (ty * zz - tz * zy) / (tt * zz - tz * tz) if covariate else ty / tt
+    beta = (ty * zz - tz * zy) / F.nullif(tt * zz - tz * tz, F.lit(0.0)) if covariate else ty / F.nullif(tt, F.lit(0.0))
     return s.select(*keys, "target", beta.alias("beta"), F.col("m").alias("n_treated"), F.col("n").alias("n_cells"))
 
 
@@ -277,10 +277,11 @@ def balance(cells: DataFrame, keys: list[str], covariates: list[str], bound: flo
     w, x = F.col("_w"), F.col("x")
     side = lambda t: F.col("treated") == t
     s = long.groupBy(*keys, "covariate").agg(*(f.alias(f"{n}{t}") for t in (0, 1) for n, f in (("w", F.sum(F.when(side(t), w))), ("s", F.sum(F.when(side(t), w * x))), ("q", F.sum(F.when(side(t), w * x * x))))))
-    mean = lambda t: F.col(f"s{t}") / F.col(f"w{t}")
-    var = lambda t: (F.col(f"q{t}") - F.col(f"s{t}") * mean(t)) / (F.col(f"w{t}") - 1)
-    smd = (mean(1) - mean(0)) / F.sqrt((var(1) + var(0)) / 2)
-    return s.select(*keys, "covariate", smd.alias("smd"), (var(1) / var(0)).alias("variance_ratio"), (F.abs(smd) < bound).alias("balanced"))
+    some = lambda x: F.nullif(x, F.lit(0.0))  # constant covariates and single cells have null statistics
+    mean = lambda t: F.col(f"s{t}") / some(F.col(f"w{t}"))
+    var = lambda t: (F.col(f"q{t}") - F.col(f"s{t}") * mean(t)) / some(F.col(f"w{t}") - 1)
+    smd = (mean(1) - mean(0)) / some(F.sqrt(F.greatest(F.lit(0.0), (var(1) + var(0)) / 2)))
+    return s.select(*keys, "covariate", smd.alias("smd"), (var(1) / some(var(0))).alias("variance_ratio"), (F.abs(smd) < bound).alias("balanced"))
 
 
 def prune_collinear(df: DataFrame, columns: list[str], bound: float = 0.95) -> list[str]:
@@ -397,8 +398,8 @@ def gene_effects(usage: DataFrame, loading: DataFrame, betas: DataFrame, pseudo:
 def refit(scores: DataFrame, labels: DataFrame, value: str = "score") -> DataFrame:
     """Mean difference treated less control per draw and program. labels: draw, cell_id, treated, weight."""
     s = scores.join(labels, "cell_id").groupBy("draw", "program").agg(
-        (F.sum(F.when(F.col("treated") == 1, F.col("weight") * F.col(value))) / F.sum(F.when(F.col("treated") == 1, F.col("weight")))).alias("m1"),
-        (F.sum(F.when(F.col("treated") == 0, F.col("weight") * F.col(value))) / F.sum(F.when(F.col("treated") == 0, F.col("weight")))).alias("m0"),
+        (F.sum(F.when(F.col("treated") == 1, F.col("weight") * F.col(value))) / F.nullif(F.sum(F.when(F.col("treated") == 1, F.col("weight"))), F.lit(0.0))).alias("m1"),
+        (F.sum(F.when(F.col("treated") == 0, F.col("weight") * F.col(value))) / F.nullif(F.sum(F.when(F.col("treated") == 0, F.col("weight"))), F.lit(0.0))).alias("m0"),
     )
     return s.select("draw", "program", (F.col("m1") - F.col("m0")).alias("beta"))
 
@@ -436,7 +437,8 @@ def bootstrap_labels(cells: DataFrame, draws: int, seed: int = 42) -> DataFrame:
         return sum(((u >= c).cast("double") for c in cdf), F.lit(0.0))
 
     rows = cells.select("cell_id", "treated", F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), weight).alias("w"))
-    return rows.select("cell_id", "treated", *(F.transform("w", lambda x, t=t: F.when(F.col("treated") == t, x).otherwise(0.0)).alias(n) for t, n in ((1, "on"), (0, "off"))))
+    own = lambda side: F.when(F.col("treated") == side, F.col("w")).otherwise(F.transform("w", lambda x: x * 0.0))
+    return rows.select("cell_id", "treated", own(1).alias("on"), own(0).alias("off"))
 
 
 def refit_draws(scores: DataFrame, labels: DataFrame, value: str = "score") -> DataFrame:
@@ -475,7 +477,7 @@ def bootstrap_effects(scores: DataFrame, cells: DataFrame, draws: int = 500, see
     """program, beta, se, stat, pval: the effect with its bootstrap deviation."""
     own = refit(scores, cells.select("cell_id", "treated", F.lit(1.0).alias("weight"), F.lit(0).alias("draw"))).select("program", "beta")
     se = refit_draws(scores, bootstrap_labels(cells, draws, seed)).groupBy("program").agg(F.stddev_samp("beta").alias("se"))
-    z = F.col("beta") / F.col("se")
+    z = F.col("beta") / F.nullif("se", F.lit(0.0))
     return own.join(se, "program").withColumn("stat", z).withColumn("pval", normal_p(z))
 
 
@@ -497,17 +499,17 @@ def gene_tests(expr: DataFrame, cells: DataFrame, moderated: bool = True, weight
     d = F.col("v") - F.col("zero")
     dd = F.col("v") * F.col("v") - F.col("zero") * F.col("zero")
     g = rows.groupBy("gene_id").agg(*(F.coalesce(side(x, t), F.lit(0.0)).alias(f"{n}{t}") for t in (0, 1) for n, x in (("d", d), ("dd", dd)))).crossJoin(base)
-    mean = lambda t: (F.col(f"z{t}") + F.col(f"d{t}")) / F.col(f"n{t}")
+    mean = lambda t: (F.col(f"z{t}") + F.col(f"d{t}")) / F.nullif(f"n{t}", F.lit(0))
     ss = lambda t: F.col(f"zz{t}") + F.col(f"dd{t}") - (F.col(f"z{t}") + F.col(f"d{t}")) * mean(t)
     df = F.col("n0") + F.col("n1") - 2
     g = g.select("gene_id", mean(0).alias("m0"), mean(1).alias("m1"), "n0", "n1", ((ss(0) + ss(1)) / df).alias("s2"), df.cast("double").alias("df"))
     if weighted:
         s = weighted_sums(rows, lib, g)
-        m = lambda t: F.col(f"y{t}") / F.col(f"w{t}")
+        m = lambda t: F.col(f"y{t}") / F.nullif(f"w{t}", F.lit(0.0))
         rest = lambda t: F.greatest(F.lit(0.0), F.col(f"yy{t}") - F.col(f"y{t}") * m(t))
-        g = s.join(g.select("gene_id", "df"), "gene_id").select("gene_id", (m(1) - m(0)).alias("beta"), ((rest(0) + rest(1)) / F.col("df")).alias("s2"), "df", F.sqrt(1 / F.col("w0") + 1 / F.col("w1")).alias("spread"))
+        g = s.join(g.select("gene_id", "df"), "gene_id").select("gene_id", (m(1) - m(0)).alias("beta"), ((rest(0) + rest(1)) / F.col("df")).alias("s2"), "df", F.sqrt(1 / F.nullif("w0", F.lit(0.0)) + 1 / F.nullif("w1", F.lit(0.0))).alias("spread"))
     else:
-        g = g.select("gene_id", (F.col("m1") - F.col("m0")).alias("beta"), "s2", "df", F.sqrt(1 / F.col("n0") + 1 / F.col("n1")).alias("spread"))
+        g = g.select("gene_id", (F.col("m1") - F.col("m0")).alias("beta"), "s2", "df", F.sqrt(1 / F.nullif("n0", F.lit(0)) + 1 / F.nullif("n1", F.lit(0))).alias("spread"))
     t = F.when(F.col("s2") > 1e-12, F.col("beta") / (F.sqrt("s2") * F.col("spread")))
     g = g.withColumn("t", t).withColumn("pval", t_p("t", "df"))
     if not moderated:

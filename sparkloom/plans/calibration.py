@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from sparkloom.operators import calibration as C
@@ -9,6 +12,7 @@ from sparkloom.operators.association import cells_of_targets, perturbation_assoc
 from sparkloom.operators.recode import floored_composition
 from sparkloom.plans.association import rounded
 from sparkloom.plans.registry import register
+from sparkloom.plans.sqlmath import normal_p
 from sparkloom.plans.tables import CELL_TARGET_L
 from sparkloom.sources.tables import CONTROL, ScreenE, ScreenL
 
@@ -33,10 +37,19 @@ def qq_table(spark, sf_dir):
     return rounded(C.qq(a, ["sample"], "adj_pval").drop("adj_pval"), "expected", "observed")
 
 
-@register("matched_control_groups")
+GROUPS = {
+    "binned": "SELECT guide_name, target, ntile(2) OVER (ORDER BY cells, guide_name) AS bin FROM guides_e JOIN (SELECT guide_name, count(*) AS cells FROM assign_e WHERE n > 0 GROUP BY guide_name) USING (guide_name)",
+    "controls": "SELECT * FROM binned WHERE target = 'non-targeting'",
+    "slots": "SELECT *, row_number() OVER (PARTITION BY target ORDER BY guide_name) AS slot FROM binned WHERE target <> 'non-targeting'",
+    "places": "SELECT bin, target, have, row_number() OVER (PARTITION BY bin ORDER BY target, slot) - 1 AS turn FROM slots JOIN (SELECT bin, count(*) AS have FROM controls GROUP BY bin) USING (bin) WHERE slot <= 6",
+    "dealt": "SELECT ensemble, bin, guide_name, row_number() OVER (PARTITION BY ensemble, bin ORDER BY md5('42|' || ensemble || '|' || guide_name), guide_name) - 1 AS turn FROM controls CROSS JOIN (SELECT unnest(range(0, 10)) AS ensemble)",
+}
+
+
+@register("matched_control_groups", 'SELECT CAST(ensemble AS BIGINT) AS ensemble, p.target AS "group", guide_name FROM dealt JOIN places p USING (bin, turn) WHERE turn < have', GROUPS)
 def matched_control_groups(spark, sf_dir):
     s = ScreenE(spark, sf_dir)
-    return C.matched_control_groups(s.guides, s.assignment, CONTROL, bins=2)
+    return C.matched_control_groups(s.guides, s.assignment, CONTROL, bins=2).withColumn("ensemble", F.col("ensemble").cast("long"))
 
 
 OLS = {"design": "SELECT u.program, c.condition, u.cell_id, u.score, CAST(u.cell_id % 7 AS DOUBLE) AS z FROM usage_e u JOIN cells_e c USING (cell_id)"}
@@ -149,9 +162,18 @@ def permutation_bias(spark, sf_dir):
     return rounded(C.permutation_bias(*_labels(spark, sf_dir), draws=20), "bias", digits=9)
 
 
-@register("bootstrap_effects")
+CDF = ", ".join(f"{sum(np.exp(-1) / math.factorial(j) for j in range(k + 1))!r}" for k in range(9)).replace("np.float64(", "").replace(")", "")
+BOOT = LABELS | {
+    "boot": f"SELECT draw, cell_id, treated, list_sum(list_transform([{CDF}]::DOUBLE[], lambda c: CASE WHEN u >= c THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)) AS w FROM (SELECT draw, cell_id, treated, CAST('0x' || substr(md5('42|' || draw || '|' || cell_id), 1, 8) AS UBIGINT) / 4294967296.0 AS u FROM lab CROSS JOIN (SELECT unnest(range(0, 50)) AS draw))",
+    "own": "SELECT program, avg(score) FILTER (WHERE treated = 1) - avg(score) FILTER (WHERE treated = 0) AS beta FROM usage_e JOIN lab USING (cell_id) GROUP BY program",
+    "drawn": "SELECT program, stddev_samp(b) AS se FROM (SELECT draw, program, sum(w * score) FILTER (WHERE treated = 1) / nullif(sum(w) FILTER (WHERE treated = 1), 0) - sum(w * score) FILTER (WHERE treated = 0) / nullif(sum(w) FILTER (WHERE treated = 0), 0) AS b FROM usage_e JOIN boot USING (cell_id) GROUP BY ALL) GROUP BY program",
+}
+
+
+@register("bootstrap_effects", f"SELECT program, round(beta, 9) AS beta, round(se, 9) AS se, round(beta / nullif(se, 0), 6) AS stat, round({normal_p('(beta / nullif(se, 0))')}, 6) AS pval FROM own JOIN drawn USING (program)", BOOT)
 def bootstrap_effects(spark, sf_dir):
-    return C.bootstrap_effects(*_labels(spark, sf_dir), draws=50)
+    out = C.bootstrap_effects(*_labels(spark, sf_dir), draws=50)
+    return rounded(rounded(out, "beta", "se", digits=9), "stat", "pval")
 
 
 GENE = {

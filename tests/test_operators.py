@@ -332,6 +332,7 @@ def test_draws_of_bootstraps_against_plain_refits(spark):
         got = {(r.draw, r.program): r.beta for r in C.refit_draws(scores, labels).collect()}
         rows_of = labels.collect()
         assert all(sum(r.on[d] for r in rows_of) == 15 for d in range(7)) or make is C.bootstrap_labels
+        assert len({tuple(r.on[d] for r in rows_of) for d in range(7)}) == 7
         long = [(d, r.cell_id, side, w[d]) for r in rows_of for side, w in ((1, r.on), (0, r.off)) for d in range(7) if w[d]]
         want = {(r.draw, r.program): r.beta for r in C.refit(scores, spark.createDataFrame(long, "draw int, cell_id long, treated int, weight double")).collect()}
         assert {k for k, v in got.items() if v is not None} == {k for k, v in want.items() if v is not None} and all(got[k] == pytest.approx(want[k]) for k in want if want[k] is not None)
