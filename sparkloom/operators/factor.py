@@ -131,14 +131,14 @@ def replicates(matrix: DataFrame, n_genes: int, ks: list[int], n_iter: int, seed
 
 
 def consensus(spectra: DataFrame, k: int, threshold: float = 2.0, neighbours: float = 0.3, seed: int = 1) -> DataFrame:
-    """label, dim, median: L2-normalised spectra without outliers, clustered into k, their medians of sum 1.
+    """label, dim, median: L2-normalised spectra without outliers and zero ones, clustered into k, their medians of sum 1.
 
     spectra: replicate, component, dim, value of one K. An outlier's mean distance to its
     nearest neighbours (a share of the replicates) is above the threshold.
     """
     spec = spectra.withColumn("id", F.concat_ws("-", "replicate", "component"))
     norm = spec.groupBy("id").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("n"))
-    unit = spec.join(norm, "id").select("id", "dim", (F.col("value") / F.col("n")).alias("value")).cache()
+    unit = spec.join(norm.filter("n > 0"), "id").select("id", "dim", (F.col("value") / F.col("n")).alias("value")).cache()
     n = max(1, int(neighbours * spec.select("replicate").distinct().count()))
     near = top_k(distance(unit, unit, "id", "dim", "value").filter("a <> b"), ["a"], [F.asc("d"), F.asc("b")], n)
     kept = near.groupBy(F.col("a").alias("id")).agg(F.avg("d").alias("density")).filter(F.col("density") <= threshold).select("id")

@@ -375,3 +375,48 @@ def test_weighted_gene_tests_against_dense_least_squares(spark):
         assert got[g].beta == pytest.approx(beta[1], rel=1e-6, abs=1e-9) and got[g].t == pytest.approx(t, rel=1e-6, abs=1e-6)
     kept = C.gene_tests(expr, cells, least_count=20, least_cells=10).select("gene_id").collect()
     assert {r.gene_id for r in kept} == {g for g in genes if counts[:, g].sum() >= 20 and (counts[:, g] > 0).sum() >= 10}
+
+
+def test_hurdle_without_covariates_by_hand(spark):
+    rng = np.random.default_rng(3)
+    t = np.arange(300) % 2
+    y = np.where(rng.random(300) < np.where(t == 1, 0.7, 0.4), rng.gamma(2, 1e-5, 300) * (1 + t), 0.0)
+    df = spark.createDataFrame([("k", i, int(t[i]), float(y[i])) for i in range(300)], "k string, cell_id long, treated int, y double")
+    r = C.hurdle(df, ["k"], "y", []).first()
+    v, p = np.log1p(1e6 * y), [np.mean(y[t == s] > 0) for s in (0, 1)]
+    m = [v[(t == s) & (y > 0)].mean() for s in (0, 1)]
+    assert r.logit == pytest.approx(np.log(p[1] / (1 - p[1])) - np.log(p[0] / (1 - p[0])), abs=1e-4)
+    assert r.positive == pytest.approx(m[1] - m[0]) and r.ame == pytest.approx(p[1] * m[1] - p[0] * m[0], abs=1e-4)
+    # delta method, from independent halves: Var(p m) = m^2 p (1 - p) / n + p^2 s^2 / n_positive
+    s2 = sum(((v[(t == s) & (y > 0)] - m[s]) ** 2).sum() for s in (0, 1)) / ((y > 0).sum() - 2)
+    var = sum(m[s] ** 2 * p[s] * (1 - p[s]) / 150 + p[s] ** 2 * s2 / ((t == s) & (y > 0)).sum() for s in (0, 1))
+    assert r.se == pytest.approx(np.sqrt(var), rel=1e-3)
+
+
+def test_consensus_of_planted_programs(spark):
+    rng = np.random.default_rng(4)
+    base = np.array([[5, 4, 3, 0, 0, 1], [0, 1, 0, 6, 2, 2]], float)
+    rows = [(i, c, d, float(max(0.0, base[c, d] * (i + 1) + rng.normal(0, 0.01)))) for i in range(6) for c in range(2) for d in range(6)]
+    rows += [(9, 0, d, float(d == 1)) for d in range(6)] + [(9, 1, d, 0.0) for d in range(6)]  # an outlier and a zero spectrum
+    got = N.consensus(spark.createDataFrame(rows, "replicate int, component int, dim int, value double"), 2, threshold=0.5).collect()
+    found = {label: [r["median"] for r in sorted((x for x in got if x.label == label), key=lambda x: x.dim)] for label in (0, 1)}
+    want = base / base.sum(1, keepdims=True)
+    assert len(got) == 12 and min(np.abs(np.array([found[0], found[1]]) - want).max(), np.abs(np.array([found[1], found[0]]) - want).max()) < 0.02
+
+
+def test_components_of_expression(spark):
+    rng = np.random.default_rng(5)
+    x = rng.random((40, 6)) * (rng.random((40, 6)) < 0.7)
+    m = spark.createDataFrame([(i, [j for j in range(6) if x[i, j]], [float(v) for v in x[i] if v]) for i in range(40)], "cell_id long, idx array<int>, val array<double>")
+    got = np.array([r.pc for r in N.pca(m, 6, 3).orderBy("cell_id").collect()])
+    _, _, axes = np.linalg.svd(x - x.mean(0))
+    assert np.allclose(np.abs(got), np.abs(x @ axes[:3].T), atol=1e-6)
+
+
+def test_usages_of_fixed_spectra(spark):
+    h = np.array([[1.0, 2, 0, 0], [0, 0, 3, 1]])
+    w = np.array([[2.0, 0.5], [0.1, 4], [1, 1]])
+    m = spark.createDataFrame([(i, list(range(4)), row.tolist()) for i, row in enumerate(w @ h)], "cell_id long, idx array<int>, val array<double>")
+    for loss in ("frobenius", "kl"):
+        got = np.array([r.usage for r in N.usages(m, h, loss).orderBy("cell_id").collect()])
+        assert np.allclose(got, w, atol=1e-3)
