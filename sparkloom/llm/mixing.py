@@ -27,6 +27,8 @@ BUCKET_DOCS = 512
 RANGE_SLOTS = 1024
 #: Weights that are no small whole numbers are rounded to units of this part of their sum.
 UNITS = 1 << 28
+#: The smallest weight that is told apart, as a part of the sum: a window is no longer than this many slots.
+SMALLEST = 1 << 20
 SEED = 42
 
 
@@ -43,13 +45,13 @@ def units(weights: DataFrame) -> DataFrame:
     """source, s (number from 0), u (whole number), total (of all u): the target share of a source is u / total.
 
     Whole weights with a sum of up to UNITS are used as they are; others are rounded to
-    the total's part of UNITS, one unit at least. A null or non-positive weight has
-    no share: u is 0 and s null. One small row a source.
+    the total's part of UNITS. Weights of less than a SMALLEST part of the sum count as that part, so that a plan stays
+    finite. A null or non-positive weight has no share: u is 0 and s null. One small row a source.
     """
     every = W.partitionBy(F.lit(1))
     w = weights.select("source", F.greatest(F.coalesce(F.col("weight").cast("double"), F.lit(0.0)), F.lit(0.0)).alias("w"))
-    w = w.withColumn("sum", F.sum("w").over(every)).withColumn("whole", F.bool_and(F.col("w") == F.floor("w")).over(every) & (F.col("sum") <= UNITS))
-    scaled = F.greatest(F.lit(1), F.round(F.col("w") / F.col("sum") * UNITS)).cast("long")
+    w = w.withColumn("sum", F.sum("w").over(every)).withColumn("whole", F.bool_and((F.col("w") == F.floor("w")) & ((F.col("w") == 0) | (F.col("w") * SMALLEST >= F.col("sum")))).over(every) & (F.col("sum") <= UNITS))
+    scaled = F.greatest(F.lit(UNITS // SMALLEST), F.round(F.col("w") / F.col("sum") * UNITS)).cast("long")
     u = F.when(F.col("w") == 0, F.lit(0).cast("long")).when(F.col("whole"), F.col("w").cast("long")).otherwise(scaled)
     w = w.select("source", u.alias("u")).withColumn("total", F.sum("u").over(every))
     number = F.row_number().over(W.partitionBy(F.col("u") > 0).orderBy(F.col("source").asc_nulls_first())) - 1

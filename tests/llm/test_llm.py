@@ -359,6 +359,9 @@ def test_units_of_weights(spark):
     assert (got["a"].u, got["b"].u, got[None].u, got["z"].u, got["z"].s, got["n"].s) == (1, 2, 4, 0, None, None) and got["a"].total == 7
     got = mixing.units(spark.createDataFrame([(str(i), 0.3) for i in range(3)], "source string, weight double")).collect()
     assert len({r.u for r in got}) == 1 and sorted(r.s for r in got) == [0, 1, 2]
+    for tiny in (1e-12, 1.0):
+        got = {r.source: r.u for r in mixing.units(spark.createDataFrame([("big", tiny * 2.0**40), ("tiny", tiny)], "source string, weight double")).collect()}
+        assert got["tiny"] * mixing.SMALLEST == mixing.UNITS and abs(got["big"] - mixing.UNITS) < 2
 
 
 def test_mixing_query_against_brute_force(spark, data):
@@ -522,6 +525,13 @@ def test_the_cut_decides_in_named_containers():
     assert html_extract.extract(page, -WEIGHTS) != html_extract.extract(page, WEIGHTS)
 
 
+def test_pages_without_containers():
+    text = "<p>One two three four five six seven eight nine ten.</p>"
+    links = "<ul>" + "<li><a href=x>go</a>" * 6 + "</ul>"
+    assert html_extract.extract(links + text * 3 + links, WEIGHTS) == "\n".join(["One two three four five six seven eight nine ten."] * 3)
+    assert html_extract.extract(text, np.zeros(8)) == "" and html_extract.extract("no tags & no blocks at all, only words.", WEIGHTS) == "no tags & no blocks at all, only words."
+
+
 def test_reduced_cuts_equal_full_ones():
     rng = random.Random(3)
     for _ in range(100):
