@@ -218,16 +218,17 @@ def _across(stars: DataFrame, labels: DataFrame, sets: DataFrame, rules: Rules)
     of_centre = labels.select(F.col("id").alias("c"), F.col("component").alias("main"))
     group = cut(group.join(of_centre, "c", "left").withColumn("main", F.coalesce("main", "c")), "near-groups")
     band = lambda x: F.floor(F.log(x) / step).cast("int")
-    other = lambda df: df.select("c", F.col("id").alias("x"), F.col("n").alias("n_x"), F.col("i").alias("i_x"), F.col("own").alias("own_x"), *(k for k in ("band", "r") if k in df.columns))
+    names = {"id": "x", "n": "n_x", "i": "i_x", "own": "own_x", "q": "q_x"}
+    other = lambda df: df.select("c", *(F.col(k).alias(v) for k, v in names.items() if k in df.columns), *(k for k in ("band", "r") if k in df.columns))
     apart = (F.col("own") != F.col("own_x")) & _possible("n", "n_x", rules)
-    need = f * (F.col("n") + F.col("n_x"))
+    enough = lambda common: (100 + rules.percent) * common >= rules.percent * (F.col("n") + F.col("n_x"))
     n, i = F.col("n").cast("double"), F.col("i").cast("double")
 
     top = F.least(n / least, i / f - n)
     strays = group.filter("own <> main").withColumn("top", top).filter(F.col("top") >= n * least)
     strays = strays.withColumn("band", F.explode(F.sequence(band(n * least), band(F.col("top")))))
     inside = group.withColumn("band", band(F.col("n"))).join(cut(other(strays), "near-strays"), ["c", "band"])
-    inside = inside.filter(apart & (F.least("i", "i_x") >= need)).select("id", "x")
+    inside = inside.filter(apart & enough(F.least("i", "i_x"))).select("id", "x")
 
     mixed = group.filter("c <> id").groupBy("c").agg(F.bool_or(F.col("own") != F.col("main")).alias("m"), F.count("*").alias("k")).filter("m AND k > 1").select("c")
     outer = group.filter("c <> id AND i < n").join(cut(mixed, "near-mixed"), "c", "left_semi")
@@ -239,7 +240,10 @@ def _across(stars: DataFrame, labels: DataFrame, sets: DataFrame, rules: Rules)
     wants = F.greatest(F.lit(1), F.ceil((rules.percent * F.col("n") - 100 * F.col("i")) / 100))
     outer = outer.withColumn("q", F.count("*").over(rank)).withColumn("at", F.row_number().over(rank.orderBy("k", "r")))
     outer = cut(outer.filter(F.col("at") <= F.col("q") - wants + 1), "near-outside-prefix")
-    beside = outer.alias("l").join(cut(other(outer.filter("own <> main")), "near-outside-strays"), ["c", "r"]).filter(apart).select("id", "x")
+    # pairs that their overlaps with the centre allow are in ``inside``; others need at least the rest in common outside it
+    inner = F.least("i", "i_x")
+    beside = outer.join(cut(other(outer.filter("own <> main")), "near-outside-strays"), ["c", "r"])
+    beside = beside.filter(apart & ~enough(inner) & enough(inner + F.least("q", "q_x"))).select("id", "x")
     return inside.union(beside).select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct()
 
 
