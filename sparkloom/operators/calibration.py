@@ -408,37 +408,41 @@ def _hash(draw: Column, seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), draw.cast("string"), F.col("cell_id").cast("string")))
 
 
-def permuted_labels(cells: DataFrame, draws: int, seed: int = 42) -> DataFrame:
-    """cell_id, treated, on, off: arrays over the draws of a cell's weight as a treated one and as a control.
+def permuted_labels(cells: DataFrame, draws: int, seed: int = 42, keys: list[str] | None = None) -> DataFrame:
+    """keys, cell_id, treated, on, off: arrays over the draws of a cell's weight as a treated one and as a control.
 
-    A draw treats as many cells as are treated, those with its smallest hashes. Its largest such hash is found by counts of hash
+    A draw treats as many cells of a key as are treated, those with its smallest hashes. Its largest such hash is found by counts of hash
     prefixes and a sort of the cells of one prefix, so no task sorts all cells.
     """
-    n = cells.agg(F.coalesce(F.sum("treated"), F.lit(0)).cast("long").alias("_n"))
-    grid = cells.select("cell_id", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("draw")).withColumn("_h", _hash(F.col("draw"), seed)).withColumn("_prefix", F.substring("_h", 1, PREFIX))
-    counts = grid.groupBy("draw", "_prefix").count()
-    upto = F.sum("count").over(W.partitionBy("draw").orderBy("_prefix").rowsBetween(W.unboundedPreceding, W.currentRow))
-    edge = counts.withColumn("_upto", upto).join(n, how="cross").filter("_n > 0 AND _upto >= _n AND _upto - count < _n").select("draw", "_prefix", (F.col("_n") - F.col("_upto") + F.col("count")).alias("_k"))
-    place = F.row_number().over(W.partitionBy("draw").orderBy("_h", "cell_id"))
-    last = grid.join(edge, ["draw", "_prefix"]).withColumn("_place", place).filter("_place = _k").select("draw", F.struct("_h", "cell_id").alias("last"))
-    ends = last.agg(F.map_from_entries(F.collect_list(F.struct("draw", "last"))).alias("_ends"))  # one row, an entry a draw
+    keys = keys or []
+    n = cells.groupBy(*keys).agg(F.coalesce(F.sum("treated"), F.lit(0)).cast("long").alias("_n"))
+    with_ = lambda df, other: df.join(other, keys) if keys else df.join(other, how="cross")
+    grid = cells.select(*keys, "cell_id", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("draw")).withColumn("_h", _hash(F.col("draw"), seed)).withColumn("_prefix", F.substring("_h", 1, PREFIX))
+    counts = grid.groupBy(*keys, "draw", "_prefix").count()
+    upto = F.sum("count").over(W.partitionBy(*keys, "draw").orderBy("_prefix").rowsBetween(W.unboundedPreceding, W.currentRow))
+    edge = with_(counts.withColumn("_upto", upto), n).filter("_n > 0 AND _upto >= _n AND _upto - count < _n").select(*keys, "draw", "_prefix", (F.col("_n") - F.col("_upto") + F.col("count")).alias("_k"))
+    place = F.row_number().over(W.partitionBy(*keys, "draw").orderBy("_h", "cell_id"))
+    last = grid.join(edge, [*keys, "draw", "_prefix"]).withColumn("_place", place).filter("_place = _k").select(*keys, "draw", F.struct("_h", "cell_id").alias("last"))
+    ends = last.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("draw", "last"))).alias("_ends"))  # a row a key, an entry a draw
     drawn = lambda d: F.coalesce(F.struct(_hash(d, seed).alias("_h"), F.col("cell_id")) <= F.try_element_at("_ends", d), F.lit(False)).cast("double")
     on = F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), drawn)
-    rows = cells.select("cell_id", "treated").join(F.broadcast(ends), how="cross").select("cell_id", "treated", on.alias("on"))
+    own = cells.select(*keys, "cell_id", "treated")
+    rows = (own.join(ends, keys, "left") if keys else own.join(F.broadcast(ends), how="cross")).select(*keys, "cell_id", "treated", on.alias("on"))
     return rows.withColumn("off", F.transform("on", lambda x: 1 - x))
 
 
-def bootstrap_labels(cells: DataFrame, draws: int, seed: int = 42) -> DataFrame:
-    """cell_id, treated, on, off: as permuted_labels, with the Poisson(1) weights of a bootstrap, each from a seeded hash of draw and cell."""
+def bootstrap_labels(cells: DataFrame, draws: int, seed: int = 42, keys: list[str] | None = None) -> DataFrame:
+    """keys, cell_id, treated, on, off: as permuted_labels, with the Poisson(1) weights of a bootstrap, each from a seeded hash of draw and cell."""
     cdf = [sum(np.exp(-1) / np.prod(range(1, j + 1)) for j in range(k + 1)) for k in range(9)]
 
     def weight(d: Column) -> Column:
         u = F.conv(F.substring(_hash(d, seed), 1, 8), 16, 10).cast("double") / 4294967296.0
         return sum(((u >= c).cast("double") for c in cdf), F.lit(0.0))
 
-    rows = cells.select("cell_id", "treated", F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), weight).alias("w"))
+    keys = keys or []
+    rows = cells.select(*keys, "cell_id", "treated", F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), weight).alias("w"))
     own = lambda side: F.when(F.col("treated") == side, F.col("w")).otherwise(F.transform("w", lambda x: x * 0.0))
-    return rows.select("cell_id", "treated", own(1).alias("on"), own(0).alias("off"))
+    return rows.select(*keys, "cell_id", "treated", own(1).alias("on"), own(0).alias("off"))
 
 
 def refit_draws(scores: DataFrame, labels: DataFrame, value: str = "score") -> DataFrame:

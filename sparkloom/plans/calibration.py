@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from sparkloom.operators import calibration as C
+from sparkloom.operators import propagation as G
 from sparkloom.operators.association import cells_of_targets, perturbation_association, reference_cells
 from sparkloom.operators.recode import floored_composition
 from sparkloom.plans.association import rounded
@@ -176,6 +177,38 @@ def bootstrap_effects(spark, sf_dir):
     return rounded(rounded(out, "beta", "se", digits=9), "stat", "pval")
 
 
+#: Draws 0, 1-4 and 5-14: the data, permutations and bootstraps of one set of labels.
+PROPAGATED = BOOT | {
+    "dr": "SELECT 0 AS d, cell_id, CAST(treated AS DOUBLE) AS t, 1.0::DOUBLE AS w FROM lab UNION ALL SELECT draw + 1, cell_id, treated, 1.0 FROM perm WHERE draw < 4 UNION ALL SELECT draw + 5, cell_id, treated, w FROM boot WHERE draw < 10",
+    "loading_e": "SELECT CAST(l_suppkey % 64 AS VARCHAR) AS program, p_brand AS gene_id, sum(l_quantity) AS w FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY ALL",
+    "ye": "SELECT cell_id, program, ln(1e6 * score + 1) AS y, CAST(cell_id % 7 AS DOUBLE) AS z FROM usage_e",
+    "gr": "SELECT d, program, sum(w) AS n, sum(w * t) AS st, sum(w * z) AS sz, sum(w * y) AS sy, sum(w * z * z) AS zz, sum(w * z * t) AS zt, sum(w * z * y) AS zy, sum(w * t * y) AS ty FROM dr JOIN ye USING (cell_id) GROUP BY ALL",
+    "be": "SELECT d, program, ((ty - st * sy / n) * (zz - sz * sz / n) - (zt - st * sz / n) * (zy - sz * sy / n)) / ((st - st * st / n) * (zz - sz * sz / n) - (zt - st * sz / n) * (zt - st * sz / n)) AS beta FROM gr",
+    "now": "SELECT cell_id, gene_id, ln(sum(exp(y) * w)) AS o FROM ye JOIN loading_e USING (program) GROUP BY ALL",
+    "grown": "SELECT d, cell_id, gene_id, ln(sum(exp(y + beta) * w)) AS c FROM ye JOIN be USING (program) JOIN loading_e USING (program) GROUP BY ALL",
+    "ef": "SELECT d, gene_id, sum(dr.w * (c - o)) / sum(dr.w) AS e FROM grown JOIN now USING (cell_id, gene_id) JOIN dr USING (d, cell_id) GROUP BY ALL",
+}
+_BY_DRAW = "any_value({0}) FILTER (d = 0) AS {1}, avg({0}) FILTER (d BETWEEN 1 AND 4) AS bias, stddev_samp({0}) FILTER (d > 4) AS se"
+
+
+def _propagated(spark, sf_dir):
+    usage, cells = _labels(spark, sf_dir)
+    s = ScreenE(spark, sf_dir)
+    lines = s.table("lineitem").join(s.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey")
+    loading = lines.groupBy((F.col("l_suppkey") % 64).cast("string").alias("program"), F.col("p_brand").alias("gene_id")).agg(F.sum("l_quantity").cast("double").alias("score"))
+    return G.effects_with_errors(usage, loading, cells.withColumn("z", (F.col("cell_id") % 7).cast("double")), covariates=["z"], permutations=4, bootstraps=10)
+
+
+@register("propagated_program_effects", f"SELECT program, round(beta, 8) AS beta, round(bias, 8) AS bias, round(se, 8) AS se, round(beta / nullif(se, 0), 6) AS stat, round({normal_p('(beta / nullif(se, 0))')}, 6) AS pval FROM (SELECT program, {_BY_DRAW.format('beta', 'beta')} FROM be GROUP BY program)", PROPAGATED)
+def propagated_program_effects(spark, sf_dir):
+    return rounded(rounded(_propagated(spark, sf_dir)[0], "beta", "bias", "se", digits=8), "stat", "pval")
+
+
+@register("propagated_gene_effects", f"SELECT gene_id, round(effect, 8) AS effect, round(bias, 8) AS bias, round(effect - bias, 8) AS corrected, round(se, 8) AS se, round((effect - bias) / nullif(se, 0), 6) AS stat, round({normal_p('((effect - bias) / nullif(se, 0))')}, 6) AS pval FROM (SELECT gene_id, {_BY_DRAW.format('e', 'effect')} FROM ef GROUP BY gene_id)", PROPAGATED)
+def propagated_gene_effects(spark, sf_dir):
+    return rounded(rounded(_propagated(spark, sf_dir)[1], "effect", "bias", "corrected", "se", digits=8), "stat", "pval")
+
+
 GENE = {
     "lib": "SELECT o_orderkey AS cell_id, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS treated, sum(l_quantity) AS total FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL",
     "vals": "SELECT g.gene_id, l.treated, log2((coalesce(x.count, 0) + 0.5) / (l.total + 1) * 1e6) AS v FROM (SELECT DISTINCT gene_id FROM expr_l) g CROSS JOIN (SELECT * FROM lib) l LEFT JOIN expr_l x ON x.gene_id = g.gene_id AND x.cell_id = l.cell_id",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,21 @@ def shared_folder(spark: SparkSession) -> str:
     return where
 
 
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, and a lost executor costs a re-read."""
+    path = f"{shared_folder(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a table that written() wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Source:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
