@@ -39,8 +39,8 @@ CONTENT = set("article content entry main post story".split())
 NAME = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)")
 ATTRIBUTE = re.compile(r"""[^>=]*+(?:(>)|=\s*+(["'])?)""")
 BLOCK_TAG = re.compile(f"</?(?:{'|'.join(sorted(BLOCKS))})\\b", re.I)
-NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+PAIR = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 WORD = re.compile(r"[a-z]+")
 
 SAMPLE_PAGES = 2000
@@ -74,11 +74,26 @@ class Block:
     listed: bool
 
 
+def attributes_of(text: str) -> dict[str, str]:
+    """Names (lower case) and values of a tag's attributes; of repeated names the first counts, as in browsers."""
+    found: dict[str, str] = {}
+    for name, value in PAIR.findall(text):
+        found.setdefault(name.lower(), html_lib.unescape(value[1:-1] if value[:1] in ("'", '"') and value[-1:] == value[:1] and len(value) > 1 else value))
+    return found
+
+
+def _hidden(of: dict[str, str]) -> bool:
+    return "hidden" in of or of.get("aria-hidden", "").strip().lower() == "true" or bool(NO_DISPLAY.search(of.get("style", "")))
+
+
 def _state(tag: str, attributes: str, state: int) -> int:
     """1 inside content, -1 inside boilerplate, 0 unknown; boilerplate holds for all that it contains."""
-    if state < 0 or tag in BOILERPLATE_TAGS or tag in CONTROLS or attributes and HIDDEN.search(attributes):
+    if state < 0 or tag in BOILERPLATE_TAGS or tag in CONTROLS:
+        return -1
+    of = attributes_of(attributes) if attributes and not attributes.isspace() else {}
+    if _hidden(of):
         return -1
-    names = {w for n in NAMES.findall(attributes) for w in WORD.findall(n.lower())} if attributes else set()
+    names = {w for n in ("class", "id", "role") if n in of for w in WORD.findall(of[n].lower())}
     if tag in ("html", "body"):
         return state
     bad, good = bool(names & BOILERPLATE), bool(names & CONTENT)
