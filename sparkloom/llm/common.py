@@ -6,6 +6,8 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -38,23 +40,45 @@ def shared_dir(spark: SparkSession) -> str:
     return where
 
 
-def cut(df: DataFrame, tag: str) -> DataFrame:
+#: Tables written within scratch(), to be deleted at its end.
+_MADE: ContextVar[list | None] = ContextVar("made", default=None)
+
+
+def cut(df: DataFrame, tag: str, keep: bool = False) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back, which ends its lineage there.
 
-    A lost executor then costs a re-read, not a recomputation.
+    A lost executor then costs a re-read, not a recomputation. Within scratch() the table is deleted at its end unless kept.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    if _MADE.get() is not None and not keep:
+        _MADE.get().append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Deletes what cut() writes inside, once that is done; a result that outlives it is cut with keep."""
+    made: list = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for spark, path in made:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(df: DataFrame) -> None:
     """Deletes the files of a table that cut() wrote, once nothing reads it any more."""
-    spark = df.sparkSession
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, folder)
 
 
 def _marked(rows: DataFrame, wanted: DataFrame, *keys: str) -> DataFrame:

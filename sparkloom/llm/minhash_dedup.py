@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from sparkloom.llm.common import batches, bits_filter, cut, discard, mix64, without, words_of
+from sparkloom.llm.common import batches, bits_filter, cut, discard, mix64, scratch, without, words_of
 
 
 @dataclass(frozen=True)
@@ -252,8 +252,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Null and empty texts have no shingles and link with nothing; rows with a null id
     stay alone with a null component. Rows that repeat an id are that document. An empty
-    table gives an empty result.
+    table gives an empty result. The result is written; the tables on the way to it are deleted.
     """
+    with scratch():
+        return cut(_near_duplicates(docs, id_col, text_col, rules), "near-result", keep=True)
+
+
+def _near_duplicates(docs: DataFrame, id_col: str, text_col: str, rules: Rules) -> DataFrame:
     every = cut(sketches(docs, id_col, text_col, rules), "near-sketches")
     named = every.filter("n > 0 AND id IS NOT NULL")
     # equal sets: the smallest id stands for all
@@ -290,7 +295,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that stand for their group, with all columns."""
-    dropped = cut(near_duplicates(docs, id_col, text_col, rules).filter("NOT kept").select(id_col).distinct(), "near-dropped")
+    found = near_duplicates(docs, id_col, text_col, rules)
+    dropped = cut(found.filter("NOT kept").select(id_col).distinct(), "near-dropped")
+    discard(found)
     return without(docs, dropped, id_col)
 
 
