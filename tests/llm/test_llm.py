@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from sparkloom.llm.common import shared_dir
 from sparkloom.llm import bpe, chat_format, exact_dedup, html_extract, language_id, minhash_dedup, mixing, quality_rules, queries, secrets_scan, substring_dedup
 
 ODD = [None, "", " \t\n\x0b\x0c\r", "a", "A b", "é日🙂   x", "x " * 30_000, "a" * 50_000, "\u0001\u0002\u0003", "same text", "same text", "sameText", "\0<|endoftext|>"]
@@ -210,6 +211,15 @@ def test_near_duplicates_without_estimates(spark):
     assert got == components(dict(enumerate(found)), 5, 80)
 
 
+def test_near_duplicates_leave_one_table(spark, data):
+    import os
+
+    where = shared_dir(spark).removeprefix("file://").removeprefix("file:")
+    before = set(os.listdir(where))
+    found = minhash_dedup.near_duplicates(spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").limit(60))
+    assert found.count() == 60 and [f.rsplit("-", 1)[0] for f in set(os.listdir(where)) - before] == ["near-result"]
+
+
 def test_near_of_odd_rows(spark):
     got = {r.doc_id: r for r in minhash_dedup.near_duplicates(documents(spark)).collect()}
     assert [got[i].component_id for i in (0, 1, 2, 9, 10)] == [0, 1, 2, 9, 9] and got[0].n_shingles == 0
@@ -560,6 +570,21 @@ def test_hostile_pages_take_linear_time(page):
     assert time.process_time() - began < 10
 
 
+KEPT_TAGS = [
+    '<p title="some hidden gems">', '<p data-hidden="x">', '<section data-id="share">', '<p data-class="ad">', "<p title='display:none'>", '<p data-role=menu>', '<p title="aria-hidden=true">', '<p aria-hidden="false">', '<p style="display:block">',
+    '<p class="x" data-x="footer">', '<div onclick="share(1)">', '<p alt="nav" id=lead>', '<p style="x-display:nonesuch">', '<p title="class=comment">', "<p title='id=\"sidebar\"'>", '<p xclass="ad">', '<p aria-role="menu">', '<p lang=en title=hidden>', '<p id="a" id="ad">', '<p data-style="display:none">', '<p title="a > b hidden">',
+]
+LOST_TAGS = ["<p hidden>", "<p HIDDEN=''>", '<p style="color:red; DISPLAY : none">', "<p aria-hidden=true>", "<div class='x share'>", '<section id="comments">', "<p CLASS=ad>", "<div role = 'menu'>", '<p a="b"class="ad">', "<p class='&#97;d'>"]
+
+
+@pytest.mark.parametrize("tag", KEPT_TAGS + LOST_TAGS)
+def test_only_exact_attributes_hide_text(spark, tag):
+    name = re.match("<([a-z]+)", tag)[1]
+    page = f"<article><h1>Title of it</h1><p>First words of a text.</p>{tag}The words in question here.</{name}><p>Last words of a text.</p></article>"
+    lost = {b.text for b in html_extract.blocks_of(page) if b.state < 0}
+    assert ("The words in question here." in lost) == (tag in LOST_TAGS)
+
+
 def test_page_query(spark, data):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{data}/pages.parquet").collect()}
     import html
@@ -669,6 +694,15 @@ DEEP = "[" * 3000 + "]" * 3000
 BAD = ['{"content": "\\ud800", "tool_calls": []}', '{"tool_calls": [{"id": "a", "name": "f", "arguments": ' + DEEP + "}]}", '{"tool_calls": [{"id": "a", "name": "f", "arguments": {"x": 1e999}}]}', '{"tool_calls": [{"id": NaN}]}', "{" * 100_000, '{"tool_calls": ' + "9" * 5000 + "}"]
 
 
+def test_control_characters_have_one_form(spark):
+    odd = [chr(i) for i in [*range(1, 32), 34, 47, 92, 127, 0x2028, 0xE9, 0x1F642]]
+    texts = [f"a{c}b" for c in odd] + [f"{{x{c}" for c in odd] + ["{\\u001f \\\\u001f"]
+    got = {r.turn: r.message for r in chat_format.format_chat(chat_rows(spark, [(1, i, "assistant", t) for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        assert json.loads(got[i]) == {"content": t, "role": "assistant"}
+        assert got[i] == chat_format.canonical({"content": t, "role": "assistant"})
+
+
 def test_odd_texts_of_chats(spark):
     schema = {"f": {"properties": {"x": {"type": "integer"}}}}
     fine = ['{"tool_calls": [{"id": "a", "name": "f", "arguments": "' + "[" * 100_000 + '"}]}', '{"tool_calls": [{"id": "b", "name": "f", "arguments": {"x": ' + "9" * 400 + "}}]}", '{"tool_calls": [{"id": 7, "name": "f", "arguments": {"x": 2.0}}]}']
@@ -772,6 +806,16 @@ def test_pipeline_returns_places_and_decodes(spark, data, texts):
         assert all(n == mixing.BLOCK_DOCS for n in sizes[:-1])
 
 
+def test_a_second_run_leaves_the_first_ones_rows(spark, data):
+    first = corpus_pipeline.run(spark, data)
+    corpus_pipeline.run(spark, data)
+    again = {(r.doc_id, r.source): (r.mix_slot, r.mix_offset) for r in first.collect()}
+    docs = spark.read.parquet(f"{data}/documents.parquet").join(first.select("doc_id", "source"), ["doc_id", "source"], "left_semi")
+    corpus_pipeline.PLACES.clear()
+    alone = corpus_pipeline.encoded(spark, docs, data)
+    assert {(r.doc_id, r.source): (r.mix_slot, r.mix_offset) for r in alone.collect()} == again
+
+
 def test_stages_keep_the_columns(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet").limit(40)
     for _, stage in corpus_pipeline.STAGES[:-1]:
@@ -779,5 +823,5 @@ def test_stages_keep_the_columns(spark, data):
 
 
 def test_registered():
-    assert {re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES} == {str(i) for i in range(1, 11)}
+    assert {re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES} == {str(i) for i in range(1, 14)}
     assert set(queries.ORACLES) <= set(queries.QUERIES)
