@@ -6,7 +6,7 @@ returns the places, token ids and digests of what is left.
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +15,16 @@ from sparkloom.llm import bpe, exact_dedup, minhash_dedup, mixing, quality_rules
 from sparkloom.llm.common import cut, shared_dir
 
 
-def places_path(spark: SparkSession, sf_dir: str) -> str:
-    """Where the mixing stage of the tables at ``sf_dir`` leaves the places of documents, in the shared folder."""
-    return f"{shared_dir(spark)}/pipeline-places-{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
+#: Where the last mixing stage over the tables of a folder left its places; each run has a folder of its own.
+PLACES: dict[str, str] = {}
+
+
+def _places(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, mix_slot, mix_offset as the mixing stage found them; from the rows alone where another process mixed them."""
+    if sf_dir in PLACES:
+        return spark.read.parquet(PLACES[sf_dir])
+    keys = cut(docs.select("doc_id", "source").distinct(), "pipeline-keys")
+    return mixing.schedule(keys, mixing.root_weights(docs)).select("doc_id", "source", "mix_slot", "mix_offset")
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,13 +43,16 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order that interleaves the sources; their places go to places_path, as files don't keep an order."""
-    return mixing.mix(docs, places=places_path(spark, sf_dir))
+    """All documents, in the order that interleaves the sources; their places go to a table of this run, as files don't keep an order."""
+    path = f"{shared_dir(spark)}/pipeline-places-{uuid.uuid4().hex}"
+    out = mixing.mix(docs, places=path)
+    PLACES[sf_dir] = path
+    return out
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place, token ids and digest of the decoded text of each document, in mixed order within each partition."""
-    places = spark.read.parquet(places_path(spark, sf_dir)).select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "mix_slot", "mix_offset")
+    places = _places(spark, docs, sf_dir).select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "mix_slot", "mix_offset")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source"))
     # texts are moved, not token ids, and in the same way at any size
     placed = docs.select("doc_id", "lang", "source", "text").join(places.hint("merge"), same, "left").sortWithinPartitions(F.col("mix_slot").asc_nulls_last(), "mix_offset")
