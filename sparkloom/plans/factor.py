@@ -2,20 +2,18 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from sparkloom.operators import factor as N
-from sparkloom.operators import similarity as S
 from sparkloom.plans.association import rounded
 from sparkloom.plans.registry import register
-from sparkloom.sources.tables import ScreenL
+from sparkloom.sources.tables import ScreenL, written
 
 
 def _matrix(spark, sf_dir, n_top: int = 100):
     s = ScreenL(spark, sf_dir)
     genes = N.variable_genes(s.expr, s.cells.count(), n_top)
-    return N.prepare(s.expr, genes).cache(), n_top
+    return written(N.prepare(s.expr, genes), "factor-matrix"), n_top
 
 
 @register("variable_genes", "SELECT gene_id, round(var / mean, 6) AS dispersion, row_number() OVER (ORDER BY var / mean DESC, gene_id) AS rank FROM (SELECT gene_id, sum(count) / any_value(n) AS mean, (sum(count * count) - sum(count) * sum(count) / any_value(n)) / (any_value(n) - 1) AS var FROM expr_l CROSS JOIN (SELECT count(*)::DOUBLE AS n FROM cells_l) GROUP BY gene_id) ORDER BY rank LIMIT 200")
@@ -45,11 +43,42 @@ def consensus_programs(spark, sf_dir):
 @register("consensus_usage")
 def consensus_usage(spark, sf_dir):
     matrix, n = _matrix(spark, sf_dir)
-    rows = N.consensus(N.replicates(matrix, n, [3], 3, rounds=5), 3).collect()
-    h = np.zeros((3, n))
-    for r in rows:
-        h[r.label, r.dim] = r["median"]
-    return N.usages(matrix, h)
+    return N.usages(matrix, N.median_matrix(N.consensus(N.replicates(matrix, n, [3], 3, rounds=5), 3), n))
+
+
+@register("consensus_spectra")
+def consensus_spectra(spark, sf_dir):
+    """Spectra of all genes, in TPM, refitted to the usages of the consensus programs."""
+    matrix, n = _matrix(spark, sf_dir)
+    usage = N.usages(matrix, N.median_matrix(N.consensus(N.replicates(matrix, n, [3], 3, rounds=5), 3), n))
+    return N.refit_spectra(N.tpm(ScreenL(spark, sf_dir).expr), usage)
+
+
+@register("factorise_solvers")
+def factorise_solvers(spark, sf_dir):
+    """algo, loss, init, round, objective: the course of each solver from the same matrix."""
+    matrix, n = _matrix(spark, sf_dir)
+    rows = []
+    for algo, loss, init in (("mu", "frobenius", "random"), ("hals", "frobenius", "random"), ("halsvar", "frobenius", "nndsvd"), ("bpp", "frobenius", "nndsvd"), ("mu", "kl", "random"), ("mu", "is", "random")):
+        history: list = []
+        N.factorise(matrix, n, 3, 1, algo=algo, loss=loss, init=init, rounds=3, inner=4, history=history)
+        rows += [(algo, loss, init, i, v) for i, v in enumerate(history[0])]
+    return spark.createDataFrame(rows, "algo string, loss string, init string, round int, objective double")
+
+
+@register("factorise_online")
+def factorise_online(spark, sf_dir):
+    """component, dim, value: spectra after two passes in which each cell is in one of four batches."""
+    matrix, n = _matrix(spark, sf_dir)
+    h = N.factorise_online(matrix, n, 3, 1, batches=4, passes=2)
+    return spark.createDataFrame([(c, row.tolist()) for c, row in enumerate(h)], "component int, h array<double>").select("component", F.posexplode("h").alias("dim", "value"))
+
+
+@register("k_selection_table")
+def k_selection_table(spark, sf_dir):
+    """K, silhouette, prediction_error of factorisations with two to four programs."""
+    matrix, n = _matrix(spark, sf_dir)
+    return N.k_selection(matrix, n, N.replicates(matrix, n, [2, 3, 4], 3, rounds=4))
 
 
 @register("cluster_two_runs")
@@ -58,19 +87,35 @@ def cluster_two_runs(spark, sf_dir):
     matrix, n = _matrix(spark, sf_dir)
     spectra = N.replicates(matrix, n, [4], 2, rounds=4)
     run = lambda i: spectra.filter(F.col("replicate") == i).select(F.col("component").cast("string").alias("program"), F.col("dim").alias("gene_id"), F.col("value").alias("score"))
-    overlap = S.top_overlap(run(0), run(1), 20)
-    vectors = spectra.groupBy("replicate", F.col("component").cast("string").alias("program")).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "value"))), lambda x: x["value"]).alias("v"))
-    vectors = vectors.withColumn("features", N.array_to_vector("v")).orderBy("replicate", "program")
-    labels = N.KMeans(k=2, seed=1).fit(vectors).transform(vectors).select("replicate", "program", "prediction")
-    left = labels.filter("replicate = 0").select(F.col("program").alias("a"), F.col("prediction").alias("group_a"))
-    right = labels.filter("replicate = 1").select(F.col("program").alias("b"), F.col("prediction").alias("group_b"))
-    return overlap.join(left, "a").join(right, "b")
+    return N.cluster_two_runs(run(0), run(1), 2, 20)
 
 
 @register("expression_pca")
 def expression_pca(spark, sf_dir):
-    matrix, n = _matrix(spark, sf_dir, 50)
-    return N.pca(matrix, n, 5)
+    """Scores of z-scored log counts per 10,000 of the 50 most variable genes."""
+    s = ScreenL(spark, sf_dir)
+    genes = N.variable_genes(s.expr, s.cells.count(), 50)
+    rows, mean, scale = N.prepare_log(s.expr, genes)
+    return N.pca(rows, genes.count(), 5, mean, scale)
+
+
+NEAREST = {
+    "gv": "SELECT gene_id, list(coalesce(score, 0.0) ORDER BY program) AS v FROM (SELECT DISTINCT gene_id FROM loading_l) CROSS JOIN (SELECT DISTINCT program FROM loading_l) LEFT JOIN loading_l USING (program, gene_id) GROUP BY gene_id",
+    "gc": "SELECT gene_id, list_transform(v, lambda x: x - list_avg(v)) AS c FROM gv",
+    "gu": "SELECT gene_id, list_transform(c, lambda x: x / sqrt(list_inner_product(c, c))) AS u FROM gc WHERE list_inner_product(c, c) > 0",
+    "gp": "SELECT a.gene_id AS a, b.gene_id AS b, list_inner_product(a.u, b.u) AS r FROM gu a, gu b WHERE a.gene_id <> b.gene_id",
+}
+
+
+@register("nearest_genes", "SELECT a, b, sign, round(r, 6) AS r FROM (SELECT a, b, 1 AS sign, r FROM gp QUALIFY row_number() OVER (PARTITION BY a ORDER BY r DESC, b) <= 5 UNION ALL SELECT a, b, -1, r FROM gp QUALIFY row_number() OVER (PARTITION BY a ORDER BY r, b) <= 5)", NEAREST)
+def nearest_genes(spark, sf_dir):
+    """The five genes whose loadings correlate most with a gene's, and the five that correlate least."""
+    s = ScreenL(spark, sf_dir)
+    programs = sorted(r[0] for r in s.loading.select("program").distinct().collect())
+    vectors = s.loading.groupBy("gene_id").agg(*(F.coalesce(F.sum(F.when(F.col("program") == p, F.col("score"))), F.lit(0.0)).alias(f"p{i}") for i, p in enumerate(programs)))
+    vectors = written(vectors.select(F.col("gene_id").alias("id"), F.array(*(f"p{i}" for i in range(len(programs)))).alias("v")), "gene-vectors")
+    sides = [N.nearest_in_blocks(vectors, 5, N.correlations, largest).withColumn("sign", F.lit(1 if largest else -1)) for largest in (True, False)]
+    return rounded(sides[0].unionByName(sides[1]).withColumnRenamed("value", "r"), "r")
 
 
 #: Keys of a range in which chunks are numbered by one task.
