@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from sparkloom.functions.special import normal_p, normal_two_sided, skew_normal_p, t_p
+from sparkloom.operators.moderation import local_trend, variance_prior
 from sparkloom.operators.similarity import dense
+from sparkloom.sources.tables import written
 
 #: Controls that one matched fit takes unless the caller says otherwise, as the published pipeline does.
 MAX_CONTROLS = 20_000
@@ -485,8 +488,11 @@ def bootstrap_effects(scores: DataFrame, cells: DataFrame, draws: int = 500, see
     return own.join(se, "program").withColumn("stat", z).withColumn("pval", normal_p(z))
 
 
-def gene_tests(expr: DataFrame, cells: DataFrame, moderated: bool = True, weighted: bool = False, least_count: float = 0, least_cells: int = 0) -> DataFrame:
-    """Per gene log CPM difference treated less control with ordinary t; moderated t with variances shrunk to a common prior (Smyth 2004).
+def gene_tests(expr: DataFrame, cells: DataFrame, moderated: bool = True, weighted: bool = False, least_count: float = 0, least_cells: int = 0, trend: bool = True) -> DataFrame:
+    """Per gene log CPM difference treated less control with ordinary t; moderated t with variances shrunk to a prior (Smyth 2004, see variance_prior).
+
+    trend: the prior's variance follows the gene's mean log CPM. prior_df and prior_s2 tell the prior; moderated p-values have the gene's and the
+    prior's freedom, at most that of all genes together.
 
     expr: cell_id, gene_id, count; cells: cell_id, treated. Cells without a count of a gene have log2(0.5 / (total + 1) * 1e6). Constant genes have null t.
     weighted: precision weights by the trend of the deviation over the mean count (Law et al. 2014), see weighted_sums().
@@ -507,70 +513,70 @@ def gene_tests(expr: DataFrame, cells: DataFrame, moderated: bool = True, weight
     ss = lambda t: F.col(f"zz{t}") + F.col(f"dd{t}") - (F.col(f"z{t}") + F.col(f"d{t}")) * mean(t)
     df = F.col("n0") + F.col("n1") - 2
     g = g.select("gene_id", mean(0).alias("m0"), mean(1).alias("m1"), "n0", "n1", ((ss(0) + ss(1)) / df).alias("s2"), df.cast("double").alias("df"))
+    level = (F.col("m0") * F.col("n0") + F.col("m1") * F.col("n1")) / F.nullif(F.col("n0") + F.col("n1"), F.lit(0))
+    g = g.withColumn("x", F.coalesce(level, F.lit(0.0)))
     if weighted:
         s = weighted_sums(rows, lib, g)
         m = lambda t: F.col(f"y{t}") / F.nullif(f"w{t}", F.lit(0.0))
         rest = lambda t: F.greatest(F.lit(0.0), F.col(f"yy{t}") - F.col(f"y{t}") * m(t))
-        g = s.join(g.select("gene_id", "df"), "gene_id").select("gene_id", (m(1) - m(0)).alias("beta"), ((rest(0) + rest(1)) / F.col("df")).alias("s2"), "df", F.sqrt(1 / F.nullif("w0", F.lit(0.0)) + 1 / F.nullif("w1", F.lit(0.0))).alias("spread"))
+        g = s.join(g.select("gene_id", "df", "x"), "gene_id").select("gene_id", "x", (m(1) - m(0)).alias("beta"), ((rest(0) + rest(1)) / F.col("df")).alias("s2"), "df", F.sqrt(1 / F.nullif("w0", F.lit(0.0)) + 1 / F.nullif("w1", F.lit(0.0))).alias("spread"))
     else:
-        g = g.select("gene_id", (F.col("m1") - F.col("m0")).alias("beta"), "s2", "df", F.sqrt(1 / F.nullif("n0", F.lit(0)) + 1 / F.nullif("n1", F.lit(0))).alias("spread"))
+        g = g.select("gene_id", "x", (F.col("m1") - F.col("m0")).alias("beta"), "s2", "df", F.sqrt(1 / F.nullif("n0", F.lit(0)) + 1 / F.nullif("n1", F.lit(0))).alias("spread"))
     t = F.when(F.col("s2") > 1e-12, F.col("beta") / (F.sqrt("s2") * F.col("spread")))
     g = g.withColumn("t", t).withColumn("pval", t_p("t", "df"))
     if not moderated:
-        return g.drop("spread")
-    # prior by moments of log variances
-    prior = g.filter("s2 > 1e-12").agg(F.avg(F.log("s2")).alias("m"), F.var_samp(F.log("s2")).alias("v"), F.first("df").alias("_df")).select(F.exp("m").alias("s0"), F.greatest(F.lit(0.5), 2 / F.greatest(F.col("v") - 2 / F.col("_df"), F.lit(1e-3))).alias("d0"))
-    g = g.crossJoin(prior)
-    post = (F.col("d0") * F.col("s0") + F.col("df") * F.col("s2")) / (F.col("d0") + F.col("df"))
+        return g.drop("spread", "x")
+    g = written(g, "gene-tests")
+    prior = variance_prior(g.filter("s2 > 1e-12"), trend)
+    pooled = float(g.filter("s2 > 1e-12").agg(F.coalesce(F.sum("df"), F.lit(0.0))).first()[0])
+    g = g.withColumn("prior_s2", prior.variance(F.col("x"))).withColumn("prior_df", F.lit(prior.df))
+    post = F.col("prior_s2") if math.isinf(prior.df) else (prior.df * F.col("prior_s2") + F.col("df") * F.col("s2")) / (prior.df + F.col("df"))
     g = g.withColumn("moderated_t", F.when(F.col("s2") > 1e-12, F.col("beta") / (F.sqrt(post) * F.col("spread"))))
-    return g.withColumn("moderated_pval", t_p("moderated_t", F.col("d0") + F.col("df"))).drop("spread", "s0", "d0")
+    return g.withColumn("moderated_pval", t_p("moderated_t", F.least(F.col("df") + prior.df, F.lit(pooled)))).drop("spread", "x")
 
 
-#: Points of the trend of deviations over mean counts, and library sizes that are told apart in weights.
-TREND_POINTS, LIBRARIES = 40, 4096
 LOG_MILLION = float(np.log2(1e6))
+#: Different library sizes that meet the genes in one task.
+SIZES = 4096
 
 
 def deviation_trend(genes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Mean log2 count and mean square root of the deviation of TREND_POINTS groups of genes of similar mean counts; genes: x, s2."""
-    rows = genes.filter("s2 > 1e-12").select("x", F.pow("s2", F.lit(0.25)).alias("y"))
-    cuts = rows.agg(F.percentile_approx("x", F.array(*(F.lit(i / TREND_POINTS) for i in range(1, TREND_POINTS))), F.lit(10_000)).alias("c"))
-    points = rows.crossJoin(cuts).groupBy(F.size(F.filter("c", lambda c: c < F.col("x"))).alias("b")).agg(F.avg("x").alias("x"), F.avg("y").alias("y")).orderBy("x").collect()
-    return np.array([p.x for p in points]), np.array([p.y for p in points])
+    """Local regression of the square root of a gene's deviation on its mean log2 count, at points between which it is a line; genes: x, s2."""
+    found = local_trend(genes.filter("s2 > 1e-12").select("x", F.pow("s2", F.lit(0.25)).alias("y")))
+    most = found.y.max()
+    return (found.x, np.maximum(found.y, 1e-3 * most)) if most > 0 else (np.empty(0), np.empty(0))
 
 
 def weighted_sums(rows: DataFrame, lib: DataFrame, genes: DataFrame) -> DataFrame:
     """gene_id and, for control (0) and treated (1) cells, sums of weights, weight * v and weight * v * v over all cells.
 
     An observation's weight is the trend at its fitted log2 count, to the power -4: the gene's mean of the side plus the cell's log2
-    library size. So cells without a count of the gene need only the distribution of library sizes, which is sent: exact for up
-    to LIBRARIES different ones a side, else in so many groups by size with their means. The trend is piecewise linear, level beyond its ends.
+    library size. So cells without a count of the gene need only the distribution of library sizes: all different ones, in
+    blocks of about SIZES that meet the genes task by task. The trend is a line between its points, level beyond its ends.
     """
-    spark = rows.sparkSession
     size = F.log2(F.col("total") + 1) - LOG_MILLION
     lib = lib.withColumn("l", size)
     mean_l = lib.agg(F.avg("l").alias("l")).first().l or 0.0
     n = F.col("n0") + F.col("n1")
     x, y = deviation_trend(genes.select("s2", ((F.col("m0") * F.col("n0") + F.col("m1") * F.col("n1")) / n + mean_l).alias("x")))
-    sides = lib.groupBy("treated").agg(F.count_distinct("total").alias("n"), F.min("l").alias("lo"), F.max("l").alias("hi"))
-    cell = F.when(F.col("n") <= LIBRARIES, F.col("l")).otherwise(F.floor((F.col("l") - F.col("lo")) / F.greatest(F.col("hi") - F.col("lo"), F.lit(1e-9)) * (LIBRARIES - 1)))
-    sizes = lib.join(sides, "treated").groupBy("treated", cell.alias("g")).agg(F.count("*").alias("n"), F.avg("l").alias("l")).toPandas()
-    sent = spark.sparkContext.broadcast({t: (own["l"].to_numpy(float), own["n"].to_numpy(float)) for t, own in sizes.groupby("treated")})
+    sizes = written(lib.groupBy("treated", "total").agg(F.count("*").alias("n"), F.first("l").alias("l")), "library-sizes")
+    blocks = max(1, -(-sizes.count() // SIZES))
+    sizes = sizes.select("treated", "n", "l", F.pmod(F.xxhash64("total"), F.lit(blocks)).alias("block"))
 
     def weight(fitted: np.ndarray) -> np.ndarray:
         return np.interp(fitted, x, y) ** -4.0 if len(x) else np.ones_like(fitted)
 
-    def zeros(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at : at + 256]
-                out = {"gene_id": part["gene_id"].to_numpy()}
-                for t in (0, 1):
-                    l, count = sent.value.get(t, (np.zeros(0), np.zeros(0)))
-                    w = weight(part[f"m{t}"].to_numpy(float)[:, None] + l) * count
-                    z = -1.0 - l
-                    out |= {f"w{t}": w.sum(1), f"y{t}": (w * z).sum(1), f"yy{t}": (w * z * z).sum(1)}
-                yield pd.DataFrame(out)
+    def zeros(genes: pd.DataFrame, sizes: pd.DataFrame) -> pd.DataFrame:
+        out = {"gene_id": genes["gene_id"].to_numpy()} | {c: np.zeros(len(genes)) for c in columns}
+        for t, own in sizes.groupby("treated"):
+            l, count = own["l"].to_numpy(float), own["n"].to_numpy(float)
+            z = -1.0 - l
+            mean = genes[f"m{t}"].to_numpy(float)
+            for at in range(0, len(genes), 256):
+                w = weight(mean[at : at + 256, None] + l) * count
+                for c, v in (("w", w), ("y", w * z), ("yy", w * z * z)):
+                    out[f"{c}{t}"][at : at + 256] = v.sum(1)
+        return pd.DataFrame(out)
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -588,7 +594,9 @@ def weighted_sums(rows: DataFrame, lib: DataFrame, genes: DataFrame) -> DataFram
     schema = f"gene_id {kind}, " + ", ".join(f"{c} double" for c in columns)
     means = genes.select("gene_id", "m0", "m1")
     seen = rows.withColumn("l", size).join(means, "gene_id").select("gene_id", "treated", "m0", "m1", "l", "v", "zero")
-    both = means.mapInPandas(zeros, schema).unionByName(seen.mapInPandas(counted, schema))
+    spread = means.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    unseen = spread.groupBy("block").cogroup(sizes.groupBy("block")).applyInPandas(zeros, schema)
+    both = unseen.unionByName(seen.mapInPandas(counted, schema))
     return both.groupBy("gene_id").agg(*(F.sum(c).alias(c) for c in columns))
 
 

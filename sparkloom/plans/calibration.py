@@ -215,11 +215,11 @@ GENE = {
 }
 
 
-@register("gene_tests", "SELECT gene_id, round(m1 - m0, 6) AS beta, round((m1 - m0) / sqrt((v1 * (n1 - 1) + v0 * (n0 - 1)) / (n1 + n0 - 2) * (1.0 / n1 + 1.0 / n0)), 6) AS t FROM (SELECT gene_id, avg(v) FILTER (WHERE treated = 1) AS m1, avg(v) FILTER (WHERE treated = 0) AS m0, var_samp(v) FILTER (WHERE treated = 1) AS v1, var_samp(v) FILTER (WHERE treated = 0) AS v0, count(*) FILTER (WHERE treated = 1) AS n1, count(*) FILTER (WHERE treated = 0) AS n0 FROM vals GROUP BY gene_id)", GENE)
+@register("gene_tests", "SELECT gene_id, round(m1 - m0, 6) AS beta, round((m1 - m0) / sqrt((v1 * (n1 - 1) + v0 * (n0 - 1)) / (n1 + n0 - 2) * (1.0 / n1 + 1.0 / n0)), 6) AS t, round((v1 * (n1 - 1) + v0 * (n0 - 1)) / (n1 + n0 - 2), 6) AS s2 FROM (SELECT gene_id, avg(v) FILTER (WHERE treated = 1) AS m1, avg(v) FILTER (WHERE treated = 0) AS m0, var_samp(v) FILTER (WHERE treated = 1) AS v1, var_samp(v) FILTER (WHERE treated = 0) AS v0, count(*) FILTER (WHERE treated = 1) AS n1, count(*) FILTER (WHERE treated = 0) AS n0 FROM vals GROUP BY gene_id)", GENE)
 def gene_tests(spark, sf_dir):
     s = ScreenL(spark, sf_dir)
     cells = s.cells.select("cell_id", (F.col("condition") == "F").cast("int").alias("treated"))
-    return rounded(C.gene_tests(s.expr, cells).select("gene_id", "beta", "t"), "beta", "t")
+    return rounded(C.gene_tests(s.expr, cells).select("gene_id", "beta", "t", "s2"), "beta", "t", "s2")
 
 
 @register("gene_tests_weighted")
