@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -99,6 +99,87 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _sums_by(rows: DataFrame, f: Callable[[str, pd.DataFrame], np.ndarray]) -> dict[str, np.ndarray]:
+    """Sums over each condition's cells of the array that ``f`` returns for a batch of them; added up per partition, then in two steps. Arrays come to the driver, so they are small."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[str, np.ndarray] = {}
+        part = 0
+        for batch in batches:
+            part = hash_part(batch["cell_id"].iloc[0]) if len(batch) else part
+            for condition, own in batch.groupby("condition"):
+                total[condition] = total.get(condition, 0) + f(condition, own)
+        for condition, v in total.items():
+            yield pd.DataFrame({"condition": [condition], "part": [part], "v": [v.ravel().tolist()]})
+
+    def added(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"condition": [pdf["condition"].iloc[0]], "part": [0], "v": [np.sum(np.stack(pdf["v"].to_list()), axis=0).tolist()]})
+
+    schema = "condition string, part int, v array<double>"
+    found = rows.mapInPandas(run, schema).groupBy("condition", "part").applyInPandas(added, schema).groupBy("condition").applyInPandas(added, schema)
+    return {r.condition: np.array(r.v) for r in found.collect()}
+
+
+def _places_of(own: pd.Series, index: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Row and number of each target that a cell carries, of those in ``index``."""
+    pairs = [(i, index[t]) for i, o in enumerate(own) if o is not None for t in o if t in index]
+    at = np.array(pairs, int).reshape(-1, 2)
+    return at[:, 0], at[:, 1]
+
+
+def logistic_all(rows: DataFrame, targets: list[str], k: int, ridge: float = 1.0, rounds: int = 25) -> dict[str, np.ndarray]:
+    """Weights (targets x k) of logistic_weights() for every condition and target at once.
+
+    rows: cell_id, condition, x (k numbers), own (targets of the cell). A Newton step is one pass: cells meet the weights of all
+    targets of their condition in one product and send Gram sums, so neither cells x targets rows nor a condition's cells come together.
+    """
+    spark, n = rows.sparkSession, len(targets)
+    index = {t: i for i, t in enumerate(targets)}
+    penalty = ridge * np.eye(k)
+    penalty[0, 0] = 1e-8
+
+    def carried(condition: str, batch: pd.DataFrame) -> np.ndarray:
+        row, at = _places_of(batch["own"], index)
+        out = np.zeros((n, k))
+        np.add.at(out, at, np.array(batch["x"].tolist(), float)[row])
+        return out
+
+    labels = {c: v.reshape(n, k) for c, v in _sums_by(rows, carried).items()} if n else {}
+    weights = {c: np.zeros((n, k)) for c in labels}
+    going = set(labels)
+    for _ in range(rounds if going else 0):
+        sent = spark.sparkContext.broadcast({c: weights[c] for c in going})
+
+        def grams(condition: str, batch: pd.DataFrame, sent=sent) -> np.ndarray:
+            if condition not in sent.value:
+                return np.zeros((n, k * k + k))
+            x = np.array(batch["x"].tolist(), float)
+            out = np.zeros((n, k * k + k))
+            square = (x[:, :, None] * x[:, None, :]).reshape(len(x), -1)
+            step = max(1, (1 << 21) // max(1, n))
+            for at in range(0, len(x), step):
+                p = 1 / (1 + np.exp(-np.clip(x[at : at + step] @ sent.value[condition].T, -30, 30)))
+                out += np.c_[(p * (1 - p)).T @ square[at : at + step], p.T @ x[at : at + step]]
+            return out
+
+        found = _sums_by(rows, grams)
+        sent.unpersist()
+        for c in sorted(going):
+            v = found[c].reshape(n, k * k + k)
+            slope = labels[c] - v[:, k * k :] - weights[c] @ penalty
+            step = np.linalg.solve(v[:, : k * k].reshape(n, k, k) + penalty, slope[:, :, None])[:, :, 0]
+            weights[c] = weights[c] + step
+            if np.abs(step).max(initial=0) < 1e-10:
+                going.discard(c)
+        if not going:
+            break
+    return weights
+
+
+#: Numbers that a task of the randomisation test holds for the targets of one group and one condition.
+HELD = 1 << 23
+
+
 def randomisation_test(clr: DataFrame, cells: DataFrame, treated: DataFrame, covariates: list[str], draws: int = 1024, seed: int = 42) -> DataFrame:
     """Conditional randomisation test per condition and target for every program.
 
@@ -107,9 +188,9 @@ def randomisation_test(clr: DataFrame, cells: DataFrame, treated: DataFrame, cov
     effect is the least-squares coefficient of the label. p = (1 + draws at least as
     large) / (draws + 1), and a skew-normal tail fitted to the draws. condition, target, program, beta, pval, skew_pval.
 
-    The regressions take a task per condition and target with covariates only, no programs. Scores stay where they
-    lie: a partition sends sums of labels times scores and covariates, from which the coefficients
-    follow, so no task holds a condition. A cell's labels depend on its id, not on its partition.
+    Scores stay where they lie: a partition sends sums of labels times scores and covariates, from which the coefficients
+    follow, so no task holds a condition. Targets are worked off in groups whose sums have up to HELD numbers for a condition, each with a
+    pass of its own. A cell's labels depend on its id, not on its partition.
     """
     spark = clr.sparkSession
     programs = sorted(r[0] for r in clr.select("program").distinct().collect())
@@ -118,53 +199,37 @@ def randomisation_test(clr: DataFrame, cells: DataFrame, treated: DataFrame, cov
     present = cells.join(clr.select("cell_id").distinct(), "cell_id", "left_semi").join(scale, "condition")
     design = present.select("cell_id", "condition", F.array(F.lit(1.0), *x).alias("x"))
     design = design.join(treated.groupBy("cell_id").agg(F.collect_set("target").alias("own")), "cell_id", "left")
-    targets = treated.select("target").distinct()
-
-    def chance(pdf: pd.DataFrame) -> pd.DataFrame:
-        w = logistic_weights(np.array(pdf["x"].tolist(), float), pdf["t"].to_numpy(float))
-        return pd.DataFrame({"condition": [pdf["condition"].iloc[0]], "target": [pdf["target"].iloc[0]], "w": [w.tolist()]})
-
-    labels = design.join(targets, how="cross").select("condition", "target", "x", F.coalesce(F.array_contains("own", F.col("target")), F.lit(False)).cast("double").alias("t"))
-    found = labels.groupBy("condition", "target").applyInPandas(chance, "condition string, target string, w array<double>").collect()
-    sent = spark.sparkContext.broadcast({(r.condition, r.target): np.array(r.w) for r in found})  # numbers of covariates only
+    wide = clr.groupBy("cell_id").agg(F.collect_list("program").alias("p"), F.collect_list(F.col("clr").cast("double")).alias("y"))
+    rows = written(wide.join(design, "cell_id"), "randomised")
+    targets = sorted(r[0] for r in treated.select("target").distinct().collect())
     index, k, n_programs = pd.Index(programs), len(covariates) + 1, len(programs)
-    rows = clr.groupBy("cell_id").agg(F.collect_list("program").alias("p"), F.collect_list(F.col("clr").cast("double")).alias("y")).join(design, "cell_id")
-
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """By condition and target: sums over cells of label * (covariates, scores), for the true label and each draw; without a target: of covariates * (covariates, scores)."""
-        total: dict[tuple, np.ndarray] = {}
-        for batch in batches:
-            for condition, part in batch.groupby("condition"):
-                y = np.zeros((len(part), n_programs))
-                np.add.at(y, (np.repeat(np.arange(len(part)), part["p"].map(len)), index.get_indexer(np.concatenate(part["p"].to_list()))), np.concatenate(part["y"].to_list()))
-                x = np.array(part["x"].tolist(), float)
-                both, ids = np.c_[x, y], part["cell_id"].to_numpy()
-                total[condition, None] = total.get((condition, None), 0) + x.T @ both
-                own = [set(o) if o is not None else set() for o in part["own"]]
-                for (c, target), w in sent.value.items():
-                    if c == condition:
-                        t = np.array([target in o for o in own], float)
-                        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-                        drawn = (uniforms(ids, np.arange(draws), seed, f"{c}|{target}") < p[:, None]).T.astype(float)
-                        total[c, target] = total.get((c, target), 0) + np.r_[t[None] @ both, drawn @ both]
-        part = hash_part(batch["cell_id"].iloc[0]) if total else 0
-        for (condition, target), m in total.items():
-            yield pd.DataFrame({"condition": [condition], "target": [target], "part": [part], "v": [m.ravel().tolist()]})
+    weights = logistic_all(rows, targets, k)
+    together = max(1, HELD // ((draws + 1) * (k + n_programs)))
+    groups = [targets[at : at + together] for at in range(0, len(targets), together)]
+
+    def both_of(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        y = np.zeros((len(part), n_programs))
+        np.add.at(y, (np.repeat(np.arange(len(part)), part["p"].map(len)), index.get_indexer(np.concatenate(part["p"].to_list()))), np.concatenate(part["y"].to_list()))
+        x = np.array(part["x"].tolist(), float)
+        return x, np.c_[x, y]
+
+    def products(condition: str, part: pd.DataFrame) -> np.ndarray:
+        x, both = both_of(part)
+        return x.T @ both
+
+    grams = _sums_by(rows, products)
+    sent_grams = spark.sparkContext.broadcast(grams)
+    schema, keys = "condition string, target string, part int, v array<double>", ["condition", "target"]
 
     def added(pdf: pd.DataFrame) -> pd.DataFrame:
         v = np.sum(np.stack(pdf["v"].to_list()), axis=0)
         return pd.DataFrame({"condition": [pdf["condition"].iloc[0]], "target": [pdf["target"].iloc[0]], "part": [0], "v": [v.tolist()]})
 
-    schema, keys = "condition string, target string, part int, v array<double>", ["condition", "target"]
-    parts = rows.mapInPandas(sums, schema).groupBy(*keys, "part").applyInPandas(added, schema).groupBy(*keys).applyInPandas(added, schema)
-    parts = parts.select("condition", "target", "v")
-    grams = parts.filter("target IS NULL").select("condition", F.col("v").alias("g"))
-
     def test(pdf: pd.DataFrame) -> pd.DataFrame:
-        g = np.asarray(pdf["g"].iloc[0], float).reshape(k, -1)
+        g = sent_grams.value[pdf["condition"].iloc[0]].reshape(k, -1)
         inverse = np.linalg.pinv(g[:, :k])
         fit = inverse @ g[:, k:]
-        v = np.asarray(pdf["v"].iloc[0], float).reshape(draws + 1, -1)
+        v = np.sum(np.stack(pdf["v"].to_list()), axis=0).reshape(draws + 1, -1)
         lx, ly = v[:, :k], v[:, k:]
         size = lx[:, 0] - np.einsum("di,ij,dj->d", lx, inverse, lx)  # a label is 0 or 1, and covariate 0 is 1
         effect = (ly - lx @ fit) / np.where(size > 1e-9, size, np.inf)[:, None]
@@ -174,8 +239,35 @@ def randomisation_test(clr: DataFrame, cells: DataFrame, treated: DataFrame, cov
         pv = (1 + (np.abs(null) >= np.abs(beta) - 1e-12).sum(0)) / (draws + 1)
         return pd.DataFrame({"condition": pdf["condition"].iloc[0], "target": pdf["target"].iloc[0], "program": programs, "beta": beta, "pval": pv, "mean": mean, "sd": sd, "skew": skew})
 
-    judged = parts.filter("target IS NOT NULL").join(grams, "condition")
-    out = judged.groupBy("condition", "target").applyInPandas(test, "condition string, target string, program string, beta double, pval double, mean double, sd double, skew double")
+    out = None
+    for group in groups:
+        sent = spark.sparkContext.broadcast((group, {c: w[[targets.index(t) for t in group]] for c, w in weights.items()}))
+
+        def sums(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+            """By condition and target: sums over cells of label * (covariates, scores), for the true label and each draw."""
+            names, of_condition = sent.value
+            numbers = {t: i for i, t in enumerate(names)}
+            total: dict[tuple, np.ndarray] = {}
+            where = 0
+            for batch in batches:
+                where = hash_part(batch["cell_id"].iloc[0]) if len(batch) else where
+                for condition, part in batch.groupby("condition"):
+                    x, both = both_of(part)
+                    ids = part["cell_id"].to_numpy()
+                    t = np.zeros((len(part), len(names)))
+                    t[_places_of(part["own"], numbers)] = 1
+                    p = 1 / (1 + np.exp(-np.clip(x @ of_condition[condition].T, -30, 30)))
+                    for i, target in enumerate(names):
+                        drawn = (uniforms(ids, np.arange(draws), seed, f"{condition}|{target}") < p[:, i, None]).T.astype(float)
+                        total[condition, target] = total.get((condition, target), 0) + np.r_[t[None, :, i] @ both, drawn @ both]
+            for (condition, target), m in total.items():
+                yield pd.DataFrame({"condition": [condition], "target": [target], "part": [where], "v": [m.ravel().tolist()]})
+
+        parts = rows.mapInPandas(sums, schema).groupBy(*keys, "part").applyInPandas(added, schema)
+        judged = parts.groupBy(*keys).applyInPandas(test, "condition string, target string, program string, beta double, pval double, mean double, sd double, skew double")
+        out = judged if out is None else out.unionByName(judged)
+    if out is None:
+        return spark.createDataFrame([], "condition string, target string, program string, beta double, pval double, skew_pval double")
     return out.withColumn("skew_pval", skew_normal_p("beta", "mean", "sd", "skew")).drop("mean", "sd", "skew")
 
 
