@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.special import chi2_p, normal_p, range_p, t_p
-from sparkloom.operators.ranking import average_ranks, benjamini_hochberg, clean_p, distinct_positions, positions, storey
+from sparkloom.operators.ranking import BUCKETS, average_ranks, benjamini_hochberg, clean_p, distinct_positions, positions, storey
+from sparkloom.sources.tables import written
 
 EPSILON = 1e-9
 
@@ -97,16 +100,17 @@ def perturbation_association(usage: DataFrame, cells: DataFrame, assignment: Dat
 
 
 def _group_ranks(scores: DataFrame, group: str, value: str, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Per (keys, group): n, rank sum; per keys: N, number of groups, sum of squared ranks, sum of t^3 - t."""
-    ranked = average_ranks(scores.filter(F.col(group).isNotNull()), keys, value)
-    by_group = ranked.groupBy(*keys, group).agg(F.count("*").alias("n"), F.sum("rank").alias("r"))
-    whole = ranked.groupBy(*keys).agg(
-        F.count("*").cast("double").alias("total"),
-        F.count_distinct(group).alias("groups"),
-        F.sum(F.col("rank") * F.col("rank")).alias("squares"),
-        F.sum((F.col("equal") * F.col("equal") - 1).cast("double")).alias("ties"),
-    )
-    return by_group, whole
+    """Per (keys, group): n, rank sum; per keys: N, number of groups, sum of squared ranks, sum of t^3 - t.
+
+    Rows of one value are counted by group before values are ranked, and ranks are summed from the counts, so rows never meet their ranks again.
+    """
+    rows = scores.filter(F.col(group).isNotNull() & F.col(value).isNotNull() & ~F.isnan(value))
+    counts = rows.groupBy(*keys, value, group).agg(F.count("*").alias("_n")).groupBy(*keys, value).agg(F.sum("_n").alias("equal"), F.collect_list(F.struct(F.col(group).alias("g"), F.col("_n").alias("n"))).alias("_groups"))
+    placed = distinct_positions(counts, keys, value, "equal").withColumn("rank", F.col("below") + (F.col("equal") + 1) / 2)
+    by_group = placed.select(*keys, "rank", F.inline("_groups")).groupBy(*keys, F.col("g").alias(group)).agg(F.sum("n").alias("n"), F.sum(F.col("rank") * F.col("n")).alias("r"))
+    t = F.col("equal").cast("double")
+    whole = placed.groupBy(*keys).agg(F.sum(t).alias("total"), F.sum(F.col("rank") * F.col("rank") * t).alias("squares"), F.sum(t * t * t - t).alias("ties"))
+    return by_group, whole.join(by_group.groupBy(*keys).agg(F.count("*").alias("groups")), keys)
 
 
 def kruskal_wallis(scores: DataFrame, group: str, value: str = "score", keys: tuple[str, ...] = ("program",)) -> DataFrame:
@@ -214,24 +218,85 @@ def spearman(scores: DataFrame, x: str, y: str, keys: tuple[str, ...] = ("progra
     return r.select(*keys, "stat", _r_test(F.col("stat"), F.col("n")).alias("pval"))
 
 
+def order_sum(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
+    """Sum over pairs of w w' sign(x - x') sign(y - y'), by merging runs of rows sorted by x; O(n log^2 n)."""
+    order = np.lexsort((y, x))
+    x, y, w = x[order], np.unique(y[order], return_inverse=True)[1], w[order].astype(float)
+    n, total = len(x), 0.0
+    place = np.arange(n)
+    size = 1
+    while size < n:
+        block, late = place // (2 * size), (place // size) % 2 == 1
+        by = np.lexsort((y, block))
+        key = block[by].astype(np.int64) * (n + 1) + y[by]
+        early = np.where(late[by], 0.0, w[by])
+        upto = np.r_[0.0, np.cumsum(early)]
+        own = late[by]
+        first = np.searchsorted(key, block[by][own].astype(np.int64) * (n + 1), "left")
+        below = upto[np.searchsorted(key, key[own], "left")] - upto[first]
+        last = np.searchsorted(key, (block[by][own].astype(np.int64) + 1) * (n + 1), "left")
+        above = upto[last] - upto[np.searchsorted(key, key[own], "right")]
+        total += float((w[by][own] * (below - above)).sum())
+        size *= 2
+    # pairs of equal x are in order of y, so each pair of different y was counted once
+    same = np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])] if n else np.empty(0, bool)
+    cell = np.add.reduceat(w, np.flatnonzero(same)) if n else np.empty(0)
+    column = np.add.reduceat(w, np.flatnonzero(np.r_[True, x[1:] != x[:-1]])) if n else np.empty(0)
+    return total - ((column**2).sum() - (cell**2).sum()) / 2
+
+
 def kendall(scores: DataFrame, x: str, y: str, keys: tuple[str, ...] = ("program",)) -> DataFrame:
-    """Kendall's tau-b per keys, for a y of few levels such as a category code.
+    """Kendall's tau-b per keys with its normal p-value, both with ties, for any number of levels. Null and NaN rows are dropped; a constant side has null results.
 
-    Pairs are counted level by level: for two levels of y the concordant ones are a
-    Mann-Whitney count, from positions within the two levels' rows.
+    Equal pairs of values are counted first. Both sides are cut into ranges at approximate quantiles, a value that is a cut
+    being a range of its own. Pairs in one range of x are counted in a task by merging, so are pairs in one range of y but in different ones
+    of x; all others follow from the numbers of rows in the ranges. No task holds more than a range of a key.
     """
     keys = list(keys)
-    rows = scores.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    levels = rows.select(*keys, F.col(y).alias("high")).distinct()
-    merged = rows.join(levels, keys).filter(F.col(y) <= F.col("high"))
-    # rows of a higher level against rows of all lower levels
-    placed = positions(merged, [*keys, "high"], x, (F.col(y) < F.col("high")).cast("int"))
-    up = placed.filter(F.col(y) == F.col("high")).groupBy(*keys, "high").agg(F.sum("below").alias("con"), F.sum("equal").alias("tie"), F.count("*").alias("n_high"))
-    lower = placed.filter(F.col(y) < F.col("high")).groupBy(*keys, "high").agg(F.count("*").alias("n_low"))
-    s = up.join(lower, [*keys, "high"]).groupBy(*keys).agg(F.sum(2 * F.col("con") + F.col("tie") - F.col("n_high") * F.col("n_low")).cast("double").alias("s"))
-    pairs_of = lambda c: F.sum(c * (c - 1) / 2)
-    n = F.col("count").cast("double")
-    tx = rows.groupBy(*keys, x).count().groupBy(*keys).agg(pairs_of(n).alias("tx"), F.sum(n).alias("n"))
-    ty = rows.groupBy(*keys, y).count().groupBy(*keys).agg(pairs_of(n).alias("ty"))
-    total = F.col("n") * (F.col("n") - 1) / 2
-    return s.join(tx, keys).join(ty, keys).select(*keys, (F.col("s") / F.sqrt((total - F.col("tx")) * (total - F.col("ty")))).alias("stat"))
+    good = lambda c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    rows = scores.filter(good(x) & good(y)).groupBy(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).agg(F.count("*").alias("w"))
+    steps = F.array(*(F.lit(i / BUCKETS) for i in range(1, BUCKETS)))
+    cuts = rows.groupBy(*keys).agg(*(F.array_distinct(F.percentile_approx(c, steps, F.lit(1000))).alias(f"c{c}") for c in "xy"))
+    part = lambda c: 2 * F.size(F.filter(f"c{c}", lambda v: v < F.col(c))) + F.when(F.array_contains(f"c{c}", F.col(c)), 1).otherwise(0)
+    rows = written(rows.join(cuts, keys).select(*keys, "x", "y", "w", part("x").alias("bx"), part("y").alias("by")), "kendall-rows")
+    schema = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys) + ", s double"
+
+    def result(pdf: pd.DataFrame, s: float) -> pd.DataFrame:
+        return pd.DataFrame([[*pdf[keys].iloc[0], s]], columns=[*keys, "s"])
+
+    def all_pairs(pdf: pd.DataFrame) -> float:
+        return order_sum(pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["w"].to_numpy())
+
+    def across(pdf: pd.DataFrame) -> pd.DataFrame:
+        return result(pdf, all_pairs(pdf) - sum(all_pairs(p) for _, p in pdf.groupby("bx")))
+
+    def between(pdf: pd.DataFrame) -> pd.DataFrame:
+        bx, by = np.unique(pdf["bx"], return_inverse=True)[1], np.unique(pdf["by"], return_inverse=True)[1]
+        m = np.zeros((bx.max() + 1, by.max() + 1))
+        m[bx, by] = pdf["n"]
+        upto = np.vstack([np.zeros(m.shape[1]), m.cumsum(0)[:-1]])
+        less = np.c_[np.zeros(len(m)), upto.cumsum(1)[:, :-1]]
+        more = upto.sum(1, keepdims=True) - upto.cumsum(1)
+        return result(pdf, float((m * (less - more)).sum()))
+
+    # a range of one value has no pair in order
+    split = rows.groupBy(*keys, "bx").agg((F.min("x") < F.max("x")).alias("some")).filter("some").drop("some")
+    inside = rows.join(split, [*keys, "bx"], "left_semi").groupBy(*keys, "bx").applyInPandas(lambda pdf: result(pdf, all_pairs(pdf)), schema)
+    split = rows.groupBy(*keys, "by").agg(((F.min("y") < F.max("y")) & (F.min("bx") < F.max("bx"))).alias("some")).filter("some").drop("some")
+    beside = rows.join(split, [*keys, "by"], "left_semi").groupBy(*keys, "by").applyInPandas(across, schema)
+    rest = rows.groupBy(*keys, "bx", "by").agg(F.sum("w").alias("n")).groupBy(*keys).applyInPandas(between, schema)
+    s = inside.unionByName(beside).unionByName(rest).groupBy(*keys).agg(F.sum("s").alias("s"))
+
+    def ties(c: str) -> DataFrame:
+        t = F.col("t")
+        return rows.groupBy(*keys, c).agg(F.sum("w").cast("double").alias("t")).groupBy(*keys).agg(
+            F.sum(t).alias(f"n{c}"), F.sum(t * (t - 1)).alias(f"a{c}"), F.sum(t * (t - 1) * (t - 2)).alias(f"b{c}"), F.sum(t * (t - 1) * (2 * t + 5)).alias(f"v{c}")
+        )
+
+    both = s.join(ties("x"), keys).join(ties("y"), keys)
+    n = F.col("nx")
+    pairs = n * (n - 1)
+    some = lambda c: F.nullif(c, F.lit(0.0))
+    tau = F.col("s") / some(F.sqrt((pairs - F.col("ax")) * (pairs - F.col("ay"))) / 2)
+    var = (pairs * (2 * n + 5) - F.col("vx") - F.col("vy")) / 18 + F.col("ax") * F.col("ay") / some(2 * pairs) + F.coalesce(F.col("bx") * F.col("by") / some(9 * pairs * (n - 2)), F.lit(0.0))
+    return both.select(*keys, tau.alias("stat"), F.when(tau.isNotNull(), normal_p(F.col("s") / some(F.sqrt(var)))).alias("pval"))

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 from pyspark.sql.window import Window as W
 
+from sparkloom.functions.special import t_p
 from sparkloom.operators import similarity
+from sparkloom.operators.association import kendall
 from sparkloom.operators.calibration import hash_part, uniforms
-from sparkloom.operators.ranking import benjamini_hochberg_wide, top_k
+from sparkloom.operators.ranking import benjamini_hochberg_wide, positions, top_k
 from sparkloom.operators.similarity import cluster_medians
 from sparkloom.operators.solvers import Rows, block_pivoting, objective, row_sums, solve_rows, update_spectra
 from sparkloom.sources.tables import written
@@ -537,19 +539,38 @@ def motif_counts(hits: DataFrame, bound: float = 0.05, literal: bool = False) ->
     return rows.groupBy("gene_name", "motif").agg(F.count("*").alias("n"))
 
 
-def motif_enrichment(loading: DataFrame, counts: DataFrame, genes: DataFrame, num_genes: int | None = None, literal: bool = False) -> DataFrame:
-    """Pearson correlation of loading and motif count over all genes, per program and motif, BH over all.
+def _rank_gaps(values: DataFrame, key: str, value: str, n: int) -> DataFrame:
+    """Each row's average rank among n genes less that of the genes without a value; rows of zero count as without."""
+    rows = values.filter(F.col(value) != 0)
+    ranked = positions(rows, [key], value)
+    sizes = rows.groupBy(key).agg(F.count("*").alias("_m"), F.count_if(F.col(value) < 0).alias("_low"))
+    zeros = n - F.col("_m")
+    rank = F.col("below") + (F.col("equal") + 1) / 2 + F.when(F.col(value) > 0, zeros).otherwise(0)
+    return ranked.join(sizes, key).withColumn(value, rank - F.col("_low") - (zeros + 1) / 2).drop("below", "equal", "_m", "_low")
 
-    num_genes: the top so many loadings count as 1, others as 0 (literal: the lowest ones).
-    """
-    from sparkloom.functions.special import t_p
 
-    n = genes.select("gene_id").distinct().count()
-    rows = loading.join(genes.select("gene_id").distinct(), "gene_id", "left_semi")
+def motif_enrichment(loading: DataFrame, counts: DataFrame, genes: DataFrame, num_genes: int | None = None, literal: bool = False, correlation: str = "pearson") -> DataFrame:
+    """Correlation of loading and motif count over all genes, per program and motif, BH over all.
+
+    correlation: pearson, spearman or kendall. num_genes: the top so many loadings count as 1, others as 0 (literal: the lowest ones).
+    Genes without a loading or a count enter by their number; for kendall, which compares pairs of genes, as rows of each program and motif.
+    """
+    if correlation not in ("pearson", "spearman", "kendall"):
+        raise ValueError("correlation is pearson, spearman or kendall")
+    genes = genes.select("gene_id").distinct()
+    n = genes.count()
+    rows = loading.join(genes, "gene_id", "left_semi").select("program", "gene_id", F.col("score").cast("double").alias("score"))
     if num_genes:
         rows = top_k(rows, ["program"], [F.asc("score") if literal else F.desc("score"), F.asc("gene_id")], num_genes).select("program", "gene_id", F.lit(1.0).alias("score"))
+    c = counts.select("gene_id", "motif", F.col("n").cast("double").alias("n")).join(genes, "gene_id", "left_semi")
+    if correlation == "kendall":
+        grid = rows.select("program").distinct().crossJoin(c.select("motif").distinct()).crossJoin(genes)
+        full = grid.join(rows, ["program", "gene_id"], "left").join(c, ["motif", "gene_id"], "left").fillna(0.0, ["score", "n"])
+        found = kendall(full, "score", "n", ("program", "motif")).filter("stat IS NOT NULL")
+        return benjamini_hochberg_wide(found, "pval").select("program", "motif", "stat", "pval", "adj_pval")
+    if correlation == "spearman":
+        rows, c = _rank_gaps(rows, "program", "score", n), _rank_gaps(c, "motif", "n", n)
     x = rows.groupBy("program").agg(F.sum("score").alias("sx"), F.sum(F.col("score") * F.col("score")).alias("qx"))
-    c = counts.select("gene_id", "motif", F.col("n").cast("double").alias("n")).join(genes.select("gene_id").distinct(), "gene_id", "left_semi")
     y = c.groupBy("motif").agg(F.sum("n").alias("sy"), F.sum(F.col("n") * F.col("n")).alias("qy"))
     xy = rows.join(c, "gene_id").groupBy("program", "motif").agg(F.sum(F.col("score") * F.col("n")).alias("xy"))
     m = x.crossJoin(y).join(xy, ["program", "motif"], "left").fillna(0.0, ["xy"])

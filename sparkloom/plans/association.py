@@ -154,4 +154,18 @@ def spearman(spark, sf_dir):
 
 @register("kendall", "SELECT a.program, round(sum(sign(a.score - b.score) * sign(a.code - b.code)) / sqrt(sum(abs(sign(a.score - b.score)))::DOUBLE * sum(abs(sign(a.code - b.code)))), 6) AS stat FROM (SELECT *, row_number() OVER (PARTITION BY program ORDER BY score, code) AS i FROM coded) a JOIN (SELECT *, row_number() OVER (PARTITION BY program ORDER BY score, code) AS i FROM coded) b ON a.program = b.program AND a.i < b.i GROUP BY a.program", CODED)
 def kendall(spark, sf_dir):
-    return rounded(A.kendall(_coded(spark, sf_dir), "score", "code"), "stat")
+    return rounded(A.kendall(_coded(spark, sf_dir), "score", "code").drop("pval"), "stat")
+
+
+#: Every program's scores beside those of program 0, all distinct; the p-value has no ties then.
+BESIDE = {
+    "beside": "SELECT u.cell_id, u.program, u.score, v.score AS other FROM usage_e u JOIN usage_e v USING (cell_id) WHERE v.program = '0'",
+    "orders": "SELECT a.program, sum(sign(a.score - b.score) * sign(a.other - b.other)) AS s, sum(abs(sign(a.score - b.score)))::DOUBLE AS px, sum(abs(sign(a.other - b.other)))::DOUBLE AS py FROM beside a JOIN beside b ON a.program = b.program AND a.cell_id < b.cell_id GROUP BY a.program",
+}
+
+
+@register("kendall_programs", "SELECT program, round(s / sqrt(px * py), 6) AS stat FROM orders", BESIDE)
+def kendall_programs(spark, sf_dir):
+    usage = ScreenE(spark, sf_dir).usage
+    other = usage.filter("program = '0'").select("cell_id", F.col("score").alias("other"))
+    return rounded(A.kendall(usage.join(other, "cell_id"), "score", "other").drop("pval"), "stat")

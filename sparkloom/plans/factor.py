@@ -183,9 +183,25 @@ ENRICH = {
 }
 
 
-@register("motif_enrichment", "SELECT program, motif, round(corr(x, y), 6) AS stat FROM dense GROUP BY ALL", ENRICH)
-def motif_enrichment(spark, sf_dir):
+RANKED = ENRICH | {"ranked": "SELECT program, motif, rank() OVER (PARTITION BY program, motif ORDER BY x) + (count(*) OVER (PARTITION BY program, motif, x) - 1) / 2.0 AS x, rank() OVER (PARTITION BY program, motif ORDER BY y) + (count(*) OVER (PARTITION BY program, motif, y) - 1) / 2.0 AS y FROM dense"}
+
+
+def _motif_table(spark, sf_dir):
     s = ScreenL(spark, sf_dir)
     counts = s.table("lineitem").groupBy(F.col("l_partkey").alias("gene_id"), F.concat(F.lit("m"), F.col("l_linenumber") % 5).alias("motif")).agg(F.count("*").alias("n"))
-    genes = s.table("part").select(F.col("p_partkey").alias("gene_id"))
-    return rounded(N.motif_enrichment(s.loading, counts, genes).select("program", "motif", "stat"), "stat")
+    return s.loading, counts, s.table("part").select(F.col("p_partkey").alias("gene_id"))
+
+
+@register("motif_enrichment", "SELECT program, motif, round(corr(x, y), 6) AS stat FROM dense GROUP BY ALL", ENRICH)
+def motif_enrichment(spark, sf_dir):
+    return rounded(N.motif_enrichment(*_motif_table(spark, sf_dir)).select("program", "motif", "stat"), "stat")
+
+
+@register("motif_enrichment_spearman", "SELECT program, motif, round(corr(x, y), 6) AS stat FROM ranked GROUP BY ALL", RANKED)
+def motif_enrichment_spearman(spark, sf_dir):
+    return rounded(N.motif_enrichment(*_motif_table(spark, sf_dir), correlation="spearman").select("program", "motif", "stat"), "stat")
+
+
+@register("motif_enrichment_kendall")
+def motif_enrichment_kendall(spark, sf_dir):
+    return N.motif_enrichment(*_motif_table(spark, sf_dir), correlation="kendall")
