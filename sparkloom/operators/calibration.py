@@ -379,15 +379,22 @@ def balance(cells: DataFrame, keys: list[str], covariates: list[str], bound: flo
     return s.select(*keys, "covariate", smd.alias("smd"), (var(1) / some(var(0))).alias("variance_ratio"), (F.abs(smd) < bound).alias("balanced"))
 
 
-def prune_collinear(df: DataFrame, columns: list[str], bound: float = 0.95) -> list[str]:
-    """Columns left when the later of each pair with |r| above the bound goes, in column order."""
+def collinear_pairs(df: DataFrame, columns: list[str], bound: float = 0.95) -> DataFrame:
+    """a, b, r, dropped: correlations of all pairs of columns, in one pass; dropped: b goes, as its |r| with a column that stays is above the bound."""
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
     r = df.agg(*(F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs)).first() if pairs else {}
     kept: list[str] = []
     for c in columns:
         if all(abs(r[f"{a}|{c}"] or 0) <= bound for a in kept):
             kept.append(c)
-    return kept
+    rows = [(a, b, r[f"{a}|{b}"], b not in kept) for a, b in pairs]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double, dropped boolean")
+
+
+def prune_collinear(df: DataFrame, columns: list[str], bound: float = 0.95) -> list[str]:
+    """Columns left when the later of each pair with |r| above the bound goes, in column order."""
+    gone = {r.b for r in collinear_pairs(df, columns, bound).filter("dropped").collect()}
+    return [c for c in columns if c not in gone]
 
 
 def weighted_ols(matched: DataFrame, keys: list[str], value: str, covariates: list[str], cluster: str | None = "pair") -> DataFrame:
@@ -692,22 +699,34 @@ def weighted_sums(rows: DataFrame, lib: DataFrame, genes: DataFrame) -> DataFram
     return both.groupBy("gene_id").agg(*(F.sum(c).alias(c) for c in columns))
 
 
-def matched_effects(scores: DataFrame, cells: DataFrame, treated: DataFrame, covariates: list[str], control_cells: DataFrame, ratio: int = 4, least: int = 10, value: str = "score", seed: int = 42, max_controls: int | None = MAX_CONTROLS) -> DataFrame:
-    """The matched pipeline for all targets at once: gate, match, balance, weighted regression per program.
+def screened_cells(cells: DataFrame, treated: DataFrame, covariates: list[str], control_cells: DataFrame, least: int = 10, seed: int = 42, max_controls: int | None = MAX_CONTROLS) -> DataFrame:
+    """target, cell_id, treated, covariates: the cells of every target with ``least`` of them, and the controls that its matching may take.
 
-    Controls are thinned before they meet the targets: a target's max_controls first ones are among the first
-    max_controls and as many as the largest target has cells. target, program, beta, se, stat, pval, n, worst_smd.
+    Controls are thinned before they meet the targets: a target's max_controls first ones by hash are among the first max_controls and
+    as many as the largest target has cells, and these have the smallest hash prefixes, which are counted, not sorted.
     """
     own = treated.join(cells, "cell_id").withColumn("treated", F.lit(1))
     big = own.groupBy("target").agg(F.count("*").alias("_n")).filter(F.col("_n") >= least)
     pool = control_cells.join(cells, "cell_id")
     if max_controls is not None:
         most = big.agg(F.coalesce(F.max("_n"), F.lit(0))).first()[0]
-        pool = pool.orderBy(_draw(seed), "cell_id").limit(max_controls + most)
+        prefix = F.substring(_draw(seed), 1, PREFIX)
+        counts = pool.groupBy(prefix.alias("_prefix")).count()
+        upto = F.sum("count").over(W.orderBy("_prefix").rowsBetween(W.unboundedPreceding, W.currentRow))  # at most 65,536 prefixes
+        last = counts.withColumn("_upto", upto).filter(F.col("_upto") >= max_controls + most).agg(F.min("_prefix")).first()[0]
+        pool = pool if last is None else pool.filter(prefix <= last)
     pool = pool.join(big.select("target"), how="cross").withColumn("treated", F.lit(0))
     pool = pool.join(own.select("target", "cell_id"), ["target", "cell_id"], "left_anti")
     columns = ["target", "cell_id", "treated", *covariates]
-    rows = own.join(big, "target", "left_semi").select(*columns).unionByName(pool.select(*columns))
+    return own.join(big, "target", "left_semi").select(*columns).unionByName(pool.select(*columns))
+
+
+def matched_effects(scores: DataFrame, cells: DataFrame, treated: DataFrame, covariates: list[str], control_cells: DataFrame, ratio: int = 4, least: int = 10, value: str = "score", seed: int = 42, max_controls: int | None = MAX_CONTROLS) -> DataFrame:
+    """The matched pipeline for all targets at once: gate, match, balance, weighted regression per program.
+
+    target, program, beta, se, stat, pval, n, worst_smd; see screened_cells for the controls.
+    """
+    rows = screened_cells(cells, treated, covariates, control_cells, least, seed, max_controls)
     matched = match(rows, ["target"], covariates, ratio, seed=seed, max_controls=max_controls)
     full = matched.join(cells.select("cell_id", *covariates), "cell_id")
     worst = balance(full, ["target"], covariates, weight="weight").groupBy("target").agg(F.max(F.abs("smd")).alias("worst_smd"))

@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from sparkloom.operators import calibration as C
+from sparkloom.operators import matched as M
 from sparkloom.operators import propagation as G
 from sparkloom.operators.association import cells_of_targets, perturbation_association, reference_cells
 from sparkloom.operators.recode import floored_composition
@@ -91,11 +92,14 @@ def covariate_balance(spark, sf_dir):
     return rounded(C.balance(li, ["key"], ["l_quantity", "l_extendedprice"]).drop("balanced"), "smd", "variance_ratio")
 
 
-@register("collinearity", "SELECT CASE WHEN abs(corr(l_quantity, l_extendedprice)) > 0.95 THEN 1 ELSE 2 END + 1 AS kept FROM lineitem")
+COLLINEAR = {"cols": "SELECT l_quantity AS q, 2 * l_quantity AS t, l_extendedprice AS p, l_tax AS x FROM lineitem"}
+
+
+@register("collinearity", "SELECT unnest(['l_quantity', 'l_quantity', 'l_quantity', 'twice', 'twice', 'l_extendedprice']) AS a, unnest(['twice', 'l_extendedprice', 'third', 'l_extendedprice', 'third', 'third']) AS b, unnest([round(corr(q, t), 6), round(corr(q, p), 6), round(corr(q, x), 6), round(corr(t, p), 6), round(corr(t, x), 6), round(corr(p, x), 6)]) AS r, unnest([true, abs(corr(q, p)) > 0.95, abs(corr(q, x)) > 0.95, abs(corr(q, p)) > 0.95, abs(corr(q, x)) > 0.95, abs(corr(q, x)) > 0.95]) AS dropped FROM cols", COLLINEAR)
 def collinearity(spark, sf_dir):
+    """Correlations of four columns; twice the quantity is dropped beside the quantity."""
     li = ScreenL(spark, sf_dir).table("lineitem").withColumn("twice", 2 * F.col("l_quantity")).withColumn("third", F.col("l_tax"))
-    kept = C.prune_collinear(li, ["l_quantity", "twice", "l_extendedprice", "third"])
-    return li.groupBy().agg(F.lit(len(kept)).cast("int").alias("kept"))
+    return rounded(C.collinear_pairs(li, ["l_quantity", "twice", "l_extendedprice", "third"]), "r")
 
 
 def _screen(spark, sf_dir):
@@ -107,9 +111,9 @@ def _screen(spark, sf_dir):
 @register("propensity_matching")
 def propensity_matching(spark, sf_dir):
     s, treated, controls = _screen(spark, sf_dir)
-    rows = treated.withColumn("treated", F.lit(1)).unionByName(controls.crossJoin(treated.select("target").distinct()).join(treated, ["target", "cell_id"], "left_anti").withColumn("treated", F.lit(0)))
-    rows = rows.join(s.cells.select("cell_id", "total"), "cell_id").withColumn("status", F.col("cell_id") % 3)
-    return C.match(rows.select("target", "cell_id", "treated", "total", "status"), ["target"], ["total", "status"], ratio=1, caliper=0.5)
+    cells = s.cells.select("cell_id", "total", (F.col("cell_id") % 3).alias("status"))
+    rows = C.screened_cells(cells, treated, ["total", "status"], controls, least=1)
+    return C.match(rows, ["target"], ["total", "status"], ratio=1, caliper=0.5)
 
 
 @register("matched_effects")
@@ -120,13 +124,37 @@ def matched_effects(spark, sf_dir):
 
 @register("hurdle_effects")
 def hurdle_effects(spark, sf_dir):
-    s, treated, _ = _screen(spark, sf_dir)
-    every = s.cells.select("cell_id", (F.col("total") / 1e5).alias("total")).crossJoin(treated.select("target").distinct())
-    cells = every.join(treated.withColumn("treated", F.lit(1)), ["target", "cell_id"], "left").fillna(0, ["treated"])
-    grid = cells.crossJoin(s.usage.select("program").distinct()).join(s.usage, ["cell_id", "program"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)) / 1e6)
+    """The two-part model on the matched cells of each target."""
+    s, treated, controls = _screen(spark, sf_dir)
+    cells = s.cells.select("cell_id", (F.col("total") / 1e5).alias("total"))
+    matched = C.match(C.screened_cells(cells, treated, ["total"], controls), ["target"], ["total"], ratio=1)
+    grid = matched.select("target", "cell_id", "treated").join(cells, "cell_id").crossJoin(s.usage.select("program").distinct())
+    grid = grid.join(s.usage, ["cell_id", "program"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)) / 1e6)
     return C.hurdle(grid.select("target", "program", "cell_id", "treated", "total", "score"), ["target", "program"], "score", ["total"])
 
 
+def _matched_screen(spark, sf_dir):
+    s, treated, controls = _screen(spark, sf_dir)
+    usage = s.usage.withColumn("score", F.col("score") / 1e7)
+    return M.matched_screen(usage, s.cells.select("cell_id", "total"), treated, controls, ["total"], ratio=1, loading=s.loading, permutations=2, bootstraps=4)
+
+
+@register("matched_screen_rates")
+def matched_screen_rates(spark, sf_dir):
+    return _matched_screen(spark, sf_dir)["rates"]
+
+
+@register("matched_screen_programs")
+def matched_screen_programs(spark, sf_dir):
+    """Effects of all targets by three methods, with errors of few bootstraps for the log one."""
+    return _matched_screen(spark, sf_dir)["programs"]
+
+
+@register("matched_screen_genes")
+def matched_screen_genes(spark, sf_dir):
+    return _matched_screen(spark, sf_dir)["genes"]
+
+
 EFFECT = {
     "q": "SELECT cell_id, program, 1 + 1e6 * score / 1e5 AS q FROM usage_l",
     "obs": "SELECT cell_id, gene_id, sum(q * score) AS o, sum(q * exp(CAST(program AS DOUBLE) / 100 - 0.1) * score) AS c FROM q JOIN loading_l USING (program) GROUP BY ALL",

@@ -206,8 +206,8 @@ def compiled_run(spark, sf_dir):
     return loading.unionByName(scores.withColumn("kind", F.lit("score")))
 
 
-@register("consolidated_runs", "SELECT replicate, count(*) AS n FROM (SELECT CAST(l_linenumber AS INTEGER) + CASE WHEN l_suppkey % 2 = 1 THEN 10 ELSE 0 END AS replicate FROM lineitem WHERE l_returnflag <> 'R') GROUP BY replicate")
+@register("consolidated_runs", "SELECT CAST(l_linenumber AS INTEGER) + CASE WHEN l_suppkey % 2 = 1 THEN 10 ELSE 0 END AS replicate, 'spectra_' || l_returnflag AS name, l_suppkey, l_orderkey FROM lineitem WHERE l_returnflag <> 'R'")
 def consolidated_runs(spark, sf_dir):
-    li = Source(spark, sf_dir).table("lineitem").select(F.col("l_linenumber").alias("replicate"), F.concat(F.lit("spectra_"), "l_returnflag").alias("name"), "l_suppkey")
+    li = Source(spark, sf_dir).table("lineitem").select(F.col("l_linenumber").alias("replicate"), F.concat(F.lit("spectra_"), "l_returnflag").alias("name"), "l_suppkey", "l_orderkey")
     both = R.consolidate([li.filter("l_suppkey % 2 = 0"), li.filter("l_suppkey % 2 = 1")], 10, "^spectra", "_R$")
-    return both.groupBy("replicate").agg(F.count("*").alias("n"))
+    return both.select("replicate", "name", "l_suppkey", "l_orderkey")
