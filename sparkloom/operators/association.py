@@ -107,10 +107,12 @@ def _group_ranks(scores: DataFrame, group: str, value: str, keys: list[str]) ->
     rows = scores.filter(F.col(group).isNotNull() & F.col(value).isNotNull() & ~F.isnan(value))
     counts = rows.groupBy(*keys, value, group).agg(F.count("*").alias("_n")).groupBy(*keys, value).agg(F.sum("_n").alias("equal"), F.collect_list(F.struct(F.col(group).alias("g"), F.col("_n").alias("n"))).alias("_groups"))
     placed = distinct_positions(counts, keys, value, "equal").withColumn("rank", F.col("below") + (F.col("equal") + 1) / 2)
-    by_group = placed.select(*keys, "rank", F.inline("_groups")).groupBy(*keys, F.col("g").alias(group)).agg(F.sum("n").alias("n"), F.sum(F.col("rank") * F.col("n")).alias("r"))
-    t = F.col("equal").cast("double")
-    whole = placed.groupBy(*keys).agg(F.sum(t).alias("total"), F.sum(F.col("rank") * F.col("rank") * t).alias("squares"), F.sum(t * t * t - t).alias("ties"))
-    return by_group, whole.join(by_group.groupBy(*keys).agg(F.count("*").alias("groups")), keys)
+    each, t = placed.select(*keys, "rank", "equal", F.inline("_groups")), F.col("equal").cast("double")
+    n, rank = F.col("n"), F.col("rank")
+    # what a whole needs is a sum over its groups too, so the ranks are read once
+    by_group = each.groupBy(*keys, F.col("g").alias(group)).agg(F.sum("n").alias("n"), F.sum(rank * n).alias("r"), F.sum(rank * rank * n).alias("_q"), F.sum(n * (t * t - 1)).alias("_t"))
+    whole = by_group.groupBy(*keys).agg(F.sum("n").cast("double").alias("total"), F.count("*").alias("groups"), F.sum("_q").alias("squares"), F.sum("_t").alias("ties"))
+    return by_group.drop("_q", "_t"), whole
 
 
 def kruskal_wallis(scores: DataFrame, group: str, value: str = "score", keys: tuple[str, ...] = ("program",)) -> DataFrame:

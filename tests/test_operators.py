@@ -240,7 +240,7 @@ def test_sent_matrices_and_joins_agree(spark, monkeypatch):
     def found():
         e = {r.gene_id: r.effect for r in C.gene_effects(usage, loading, betas).collect()}
         v = {r.program: r.explained for r in S.explained_variance(expr, loading, 30).collect()}
-        return e, v
+        return e, v, {"error": S.reconstruction_error(expr, usage, loading).first().error}
 
     sent = found()
     monkeypatch.setattr(S, "DENSE_ENTRIES", 0)
