@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 #: Value ranges into which a group is cut for ranking; a task then holds one range of one group.
 BUCKETS = 32
+#: Where the share of null hypotheses is estimated before it is smoothed.
+LAMBDAS = [i * 0.01 for i in range(96)]
 
 
 def top_k(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
@@ -77,23 +80,32 @@ def benjamini_hochberg_wide(df: DataFrame, p: str, out: str = "adj_pval", bucket
     return rows.drop("_all", "_b", "_m", "_v", "_later", "below", "equal")
 
 
+def storey_steps() -> list[float]:
+    """What a p-value adds to pi0 times the number of tests, by how many of LAMBDAS are below it.
+
+    pi0 is the cubic least-squares fit to (lambda, share of p-values above lambda / (1 - lambda)) at 1, which is linear in the p-values' indicators.
+    """
+    x = np.array(LAMBDAS)
+    powers = np.vander(x, 4)
+    at_one = np.ones(4) @ np.linalg.solve(powers.T @ powers, powers.T)
+    return np.r_[0.0, np.cumsum(at_one / (1 - x))].tolist()
+
+
 def storey(df: DataFrame, keys: list[str], p: str, out: str = "qval", lam: float | None = None, ties: list[str] | None = None) -> DataFrame:
     """Adds q-values: pi0 times the Benjamini-Hochberg values (Storey and Tibshirani 2003).
 
-    pi0 is the share of p-values above ``lam`` over 1 - lam. Without lam it is the
-    bootstrap-free choice of the grid 0.05 ... 0.95: its value at the largest lambda
-    whose tail still holds a twentieth of the group.
+    pi0 is the share of p-values above ``lam`` over 1 - lam, at most 1. Without lam these shares are smoothed by
+    a cubic over lambda = 0, 0.01 ... 0.95 and read at 1; a value outside 0 to 1 counts as 1.
     """
-    group = W.partitionBy(*keys)
-    grid = [lam] if lam is not None else [i / 20 for i in range(1, 20)]
-    n = F.count("*").over(group)
-    entries = [F.struct(F.sum((F.col(p) > g).cast("double")).over(group).alias("tail"), F.lit(g).alias("g")) for g in grid]
-    df = df.withColumn("_n", n).withColumn("_grid", F.array(*entries))
-    fit = F.filter("_grid", lambda x: x["tail"] >= 0.05 * F.col("_n")) if lam is None else F.col("_grid")
-    last = F.try_element_at(fit, F.lit(-1))
-    pi0 = F.least(F.lit(1.0), F.coalesce(last["tail"] / (F.col("_n") * (1 - last["g"])), F.lit(1.0)))
-    df = df.withColumn("_pi0", pi0)
-    return benjamini_hochberg(df, keys, p, out, ties).withColumn(out, F.least(F.lit(1.0), F.col("_pi0") * F.col(out))).drop("_n", "_grid", "_pi0")
+    if lam is None:
+        below = F.size(F.filter(F.array(*map(F.lit, LAMBDAS)), lambda x: x < F.col(p)))
+        pi0 = F.avg(F.get(F.array(*map(F.lit, storey_steps())), below))
+        pi0 = F.when(pi0.between(0.0, 1.0), pi0).otherwise(1.0)
+    else:
+        pi0 = F.least(F.lit(1.0), F.avg((F.col(p) > lam).cast("double")) / (1 - lam))
+    share = df.groupBy(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys))).agg(pi0.alias("_pi0"))
+    rows = df.crossJoin(share) if not keys else df.join(share, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]).drop(*(f"_k{i}" for i in range(len(keys))))
+    return benjamini_hochberg(rows, keys, p, out, ties).withColumn(out, F.least(F.lit(1.0), F.col("_pi0") * F.col(out))).drop("_pi0")
 
 
 def clean_p(p: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkloom.operators import association as A
-from sparkloom.operators.ranking import benjamini_hochberg, storey
+from sparkloom.operators.ranking import benjamini_hochberg, storey, storey_steps
 from sparkloom.plans.registry import register
 from sparkloom.plans.sqlmath import chi2_p, normal_p
 from sparkloom.sources.tables import CONTROL, ScreenE, ScreenL
@@ -74,6 +74,18 @@ def fdr_storey(spark, sf_dir):
     return rounded(storey(p, ["sample"], "p", "qval", 0.5, ["target_name", "program_name"]).select("sample", "target_name", "program_name", "qval"), "qval", digits=9)
 
 
+SMOOTH = UTEST | {
+    "rounded_p": "SELECT *, round(pval, 4) AS p FROM utest",
+    "nulls": f"SELECT sample, avg(list_extract({storey_steps()}::DOUBLE[], 1 + len(list_filter(range(0, 96), lambda i: i * 0.01::DOUBLE < p)))) AS pi0 FROM rounded_p GROUP BY sample",
+}
+
+
+@register("fdr_storey_smooth", "SELECT sample, label AS target_name, program AS program_name, round(least(1.0, CASE WHEN pi0 BETWEEN 0 AND 1 THEN pi0 ELSE 1 END * least(1.0, min(p * m / k) OVER (PARTITION BY sample ORDER BY k DESC))), 9) AS qval FROM (SELECT *, count(*) OVER (PARTITION BY sample) AS m, row_number() OVER (PARTITION BY sample ORDER BY p, label, program) AS k FROM rounded_p JOIN nulls USING (sample))", SMOOTH)
+def fdr_storey_smooth(spark, sf_dir):
+    p = _utest(ScreenE(spark, sf_dir)).withColumn("p", F.round("pval", 4))
+    return rounded(storey(p, ["sample"], "p", "qval", ties=["target_name", "program_name"]).select("sample", "target_name", "program_name", "qval"), "qval", digits=9)
+
+
 RANKS = {
     "labelled": "SELECT u.program, u.score, c.category FROM usage_e u JOIN cells_e c USING (cell_id)",
     "ranked": "SELECT *, rank() OVER (PARTITION BY program ORDER BY score) + (count(*) OVER (PARTITION BY program, score) - 1) / 2.0 AS r, count(*) OVER (PARTITION BY program, score) AS t FROM labelled",

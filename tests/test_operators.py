@@ -50,6 +50,21 @@ def test_storey_is_at_most_bh_and_bounded(spark):
     assert all(0 <= r.qval <= r.adj_pval + 1e-12 <= 1 + 1e-12 for r in both)
 
 
+def test_smoothed_share_of_null_hypotheses(spark):
+    rng = np.random.default_rng(2)
+    p = np.r_[rng.random(300), rng.random(200) ** 6]
+    df = spark.createDataFrame([("a", float(v), i) for i, v in enumerate(p)] + [("b", 0.99, 0), ("b", 1.0, 1), (None, 0.2, 0)], "k string, p double, i int")
+    got = [r.q for r in R.storey(df, ["k"], "p", "q", ties=["i"]).filter("k = 'a'").orderBy("i").collect()]
+    x = np.arange(96) * 0.01
+    pi0 = np.polyval(np.polyfit(x, [(p > v).mean() / (1 - v) for v in x], 3), 1.0)
+    order = np.argsort(p, kind="stable")
+    adjusted = np.empty(len(p))
+    adjusted[order] = np.minimum.accumulate((p[order] * len(p) / np.arange(1, len(p) + 1))[::-1])[::-1]
+    assert 0.4 < pi0 < 0.8 and np.allclose(got, np.minimum(1, pi0 * np.minimum(1, adjusted)))
+    rest = R.storey(df, ["k"], "p", "q", ties=["i"]).filter("k = 'b' OR k IS NULL").collect()
+    assert len(rest) == 3 and all(0 <= r.q <= 1 for r in rest)
+
+
 def test_clean_p(spark):
     df = spark.createDataFrame([(x,) for x in (0.5, None, float("nan"), -0.1, 1.5, 0.0, 1.0)], "p double")
     assert [r[0] for r in df.select(R.clean_p(F.col("p"))).collect()] == [0.5, 1, 1, 1, 1, 0, 1]
