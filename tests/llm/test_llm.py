@@ -595,6 +595,20 @@ def test_page_query(spark, data):
         assert r.text == "\n".join(filter(None, parts)) and r.n_chars == len(r.text)
 
 
+def test_whole_table_with_more_boilerplate_keeps_its_texts(spark, data):
+    """Menus, notices, sidebars, forms and readers' comments around and inside the articles of all pages change no text."""
+    pages = spark.read.parquet(f"{data}/pages.parquet").select("page_id", "html")
+    before = """<header class="site-header"><p>Site name and slogan of the day, for all readers.</p></header><div id="cookie-notice"><p>We use cookies. By going on you accept them all, and the partners' too.</p><button>OK</button></div>
+    <aside class="sidebar"><h3>Most read</h3><ul><li><a href="/a">One more story</a></li><li><a href="/b">And another story</a></li></ul></aside>"""
+    inside = """<form><label>Mail</label><input name=m><p>Subscribe to our newsletter for news every morning.</p></form><div class='ad'><p>Buy now, and save a lot of money today.</p></div>"""
+    after = """<section id="comments"><h2>Comments</h2><article class="comment"><p>I liked the article very much, thanks for writing all of it down.</p></article><article class="comment reply"><p>So did I, and more than once.</p></article></section>
+    <div class="related"><p><a href="/c">Related: a further story</a></p></div><noscript><p hidden>Turn on scripts.</p></noscript>"""
+    more = pages.withColumn("html", F.replace(F.replace("html", F.lit("<article>"), F.lit(before + "<article>")), F.lit("</article>"), F.lit(inside + "</article>" + after)))
+    plain = {r.page_id: r.text for r in html_extract.extract_text(pages).collect()}
+    full = {r.page_id: r.text for r in html_extract.extract_text(more).collect()}
+    assert len(plain) == pages.count() and {i for i in plain if plain[i] != full[i]} == set()
+
+
 # languages
 
 
