@@ -56,7 +56,7 @@ def running_scores(loading: DataFrame, sets: DataFrame, low: float | None = None
 
     The running sum rises by |loading| over the set's total at a hit and falls by 1 / misses
     otherwise, so its extremes lie at hits: its value after hit j at rank r is the share of
-    weight so far less (r - j) / misses, and before it that without the hit's own weight.
+    weight so far less (r - j) / misses, and before it that without the hit's own weight. Of equal extremes the first is the peak.
     """
     rows = loading if low is None else loading.filter(F.col("score") > low)
     order = W.partitionBy("program").orderBy(F.desc("score"), F.asc("gene_id"))
@@ -70,7 +70,7 @@ def running_scores(loading: DataFrame, sets: DataFrame, low: float | None = None
     hits = hits.filter((F.col("m") >= least) & (F.col("m") <= most) & (F.col("total") > 0)).join(n, "program").filter("n > m")
     miss = (F.col("r") - F.col("j")) / (F.col("n") - F.col("m"))
     hits = hits.withColumn("after", F.col("sofar") / F.col("total") - miss).withColumn("before", (F.col("sofar") - F.col("w")) / F.col("total") - miss)
-    s = hits.groupBy("program", "term").agg(F.max("after").alias("hi"), F.min("before").alias("lo"), F.max_by("r", "after").alias("peak_hi"), F.min_by("r", "before").alias("peak_lo"), F.first("m").alias("matched"), F.first("n").alias("n"))
+    s = hits.groupBy("program", "term").agg(F.max("after").alias("hi"), F.min("before").alias("lo"), F.max_by("r", F.struct("after", -F.col("r"))).alias("peak_hi"), F.min_by("r", F.struct("before", "r")).alias("peak_lo"), F.first("m").alias("matched"), F.first("n").alias("n"))
     up = F.col("hi") >= -F.col("lo")
     return s.select("program", "term", "matched", "n", F.when(up, F.col("hi")).otherwise(F.col("lo")).alias("es"), F.when(up, F.col("peak_hi")).otherwise(F.col("peak_lo")).alias("peak"))
 
