@@ -124,10 +124,10 @@ def matched_effects(spark, sf_dir):
 
 @register("hurdle_effects")
 def hurdle_effects(spark, sf_dir):
-    """The two-part model on the matched cells of each target."""
-    s, treated, controls = _screen(spark, sf_dir)
+    """The two-part model on the cells of each target and those that match them among all others."""
+    s, treated, _ = _screen(spark, sf_dir)
     cells = s.cells.select("cell_id", (F.col("total") / 1e5).alias("total"))
-    matched = C.match(C.screened_cells(cells, treated, ["total"], controls), ["target"], ["total"], ratio=1)
+    matched = C.match(C.screened_cells(cells, treated, ["total"], s.cells.select("cell_id"), least=1), ["target"], ["total"], ratio=1)
     grid = matched.select("target", "cell_id", "treated").join(cells, "cell_id").crossJoin(s.usage.select("program").distinct())
     grid = grid.join(s.usage, ["cell_id", "program"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)) / 1e6)
     return C.hurdle(grid.select("target", "program", "cell_id", "treated", "total", "score"), ["target", "program"], "score", ["total"])
