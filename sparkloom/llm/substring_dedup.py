@@ -6,10 +6,10 @@ table. Recurring passages are confirmed in two steps that move hashes only, pack
 by shard: the smallest phrase hash of each window (equal windows have equal ones)
 tells which windows can recur in another shard, then those windows' hashes tell
 which of them start earlier elsewhere. What comes back are passages, not places: a
-shard compiles phrases of its confirmed passages into an Aho-Corasick automaton over word numbers
-and streams all its documents through it. Only windows at a phrase that the automaton
-found are compared, word by word, with the passages, and are removed where they match. So
-automata grow with a shard, not with the corpus.
+shard compiles all phrases of its confirmed passages into an Aho-Corasick automaton over word numbers
+and streams all its documents through it. The phrases that it finds in a window, one
+after the other, are the window's identity: they tell which windows are occurrences of which passage
+window, word by word and without hashes. So automata grow with a shard, not with the corpus.
 """
 
 from __future__ import annotations
@@ -46,6 +46,11 @@ class Passage:
     window: int = 20
     phrase: int = 6
 
+    @property
+    def part(self) -> int:
+        """Words of the automaton's phrases: so few that they share most of their nodes."""
+        return min(3, self.window)
+
 
 def _parsed(batch: pa.RecordBatch) -> pa.RecordBatch:
     """One row: the documents of a batch in the order of their ids, as word numbers and the words that these stand for."""
@@ -217,69 +222,77 @@ def _candidates(shard: Shard, marks: list[dict] | None, n: int) -> tuple[np.ndar
     return windows, times[order], elsewhere[windows]
 
 
-def _letters(shard: Shard) -> tuple[str, int]:
+def _covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:
+    """Marks the places, of n, in ``length`` places from each start on."""
+    marks = np.zeros(n + length + 1, np.int32)
+    np.add.at(marks, starts, 1)
+    np.add.at(marks, starts + length, -1)
+    return np.cumsum(marks[:n]) > 0
+
+
+def _letters(shard: Shard, passages: np.ndarray) -> tuple[str, int]:
     """The shard's words as a string, some letters a word, and how many.
 
-    Letters are the digits of a word's number, from BASE code points of their own at each
-    place, so that matches begin and end at words and no node of a trie has many children.
+    Words of the passages are numbered from 1, all others are 0. Letters are the digits of a
+    number, from code points of their own at each place, so that matches begin and end at words.
     """
-    digits = max(1, -(-(max(1, len(shard.words)) - 1).bit_length() // BASE_BITS))
+    known = np.zeros(len(shard.words) + 1, np.int64)
+    known[shard.number[_covered(len(shard.number), passages, shard.rules.window)]] = 1
+    number = np.where(known > 0, np.cumsum(known), 0)[shard.number]
+    digits = max(1, -(-int(known.sum()).bit_length() // BASE_BITS))
     shift = np.arange(digits - 1, -1, -1) * BASE_BITS
-    letters = (shard.number[:, None] >> shift & ((1 << BASE_BITS) - 1)) + FIRST_LETTER + (np.arange(digits) << BASE_BITS)
+    letters = (number[:, None] >> shift & ((1 << BASE_BITS) - 1)) + FIRST_LETTER + (np.arange(digits) << BASE_BITS)
     return letters.astype("<u4").tobytes().decode("utf-32-le"), digits
 
 
 def compiled(shard: Shard, passages: np.ndarray, text: str, digits: int) -> ahocorasick.Automaton:
-    """The automaton of the phrases of passages, given as starts of their windows in ascending order.
-
-    A phrase is half a window long, and phrases begin so closely in a passage that each of
-    its windows holds one.
-    """
-    width = shard.rules.window
-    size = (width + 1) // 2
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    if len(passages):
-        new = np.r_[True, (np.diff(passages) > 1) | (np.diff(shard.owner[passages]) != 0)]
-        words = np.diff(np.r_[np.flatnonzero(new), len(passages)]) + width - 1
-        each = (words - size) // (width + 1 - size) + 1
-        phrases = np.repeat(passages[new], each) + ragged(np.zeros(len(each), np.int64), each) * (width + 1 - size)
-        for p in (phrases * digits).tolist():
-            automaton.add_word(text[p : p + size * digits])
+    """The automaton of all phrases of passages, given as starts of their windows: some words from each word on."""
+    size = shard.rules.part
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    places = np.flatnonzero(_covered(len(shard.number), passages, shard.rules.window - size + 1))
+    for p in places.tolist():
+        automaton.add_word(text[p * digits : (p + size) * digits], p)
     automaton.make_automaton()
     return automaton
 
 
 def locate(shard: Shard, automaton: ahocorasick.Automaton, text: str, digits: int) -> np.ndarray:
-    """Windows (numbers) that hold a phrase of the automaton, from streaming all documents through it."""
-    width = shard.rules.window
-    size = (width + 1) // 2
-    near = np.zeros(len(shard.number) + 1, np.int32)
+    """A number for each window, from streaming all documents through the automaton; -1 where one of its phrases is none of the automaton's.
+
+    The automaton tells which phrase each word begins. Pairs of neighbouring phrases are
+    numbered as phrases of up to twice the length, until a number stands for a whole window.
+    So two windows have equal numbers where all of their words are equal, and only there.
+    """
+    size, width = shard.rules.part, shard.rules.window
+    found = np.full(len(shard.number), -1, np.int64)
     if len(automaton):
-        ends = (np.fromiter((end for end, _ in automaton.iter(text)), np.int64) + 1) // digits
-        np.add.at(near, np.maximum(0, ends - width), 1)
-        np.add.at(near, ends - size + 1, -1)
-    return np.flatnonzero(np.cumsum(near)[shard.start] > 0)
+        hits = np.fromiter((x for hit in automaton.iter(text) for x in hit), np.int64).reshape(-1, 2)
+        found[(hits[:, 0] + 1) // digits - size] = hits[:, 1]
+    while size < width:
+        step = min(size, width - size)
+        both = (found[: max(0, len(found) - step)] >= 0) & (found[step:] >= 0)
+        at = np.flatnonzero(both)
+        pairs = found[at] * (found.max(initial=0) + 1) + found[at + step]
+        found = np.full(len(both), -1, np.int64)
+        found[at] = pd.factorize(pairs)[0]
+        size += step
+    return found[shard.start]
 
 
 def removed_words(shard: Shard, windows: np.ndarray, times: np.ndarray, earlier: np.ndarray) -> np.ndarray:
     """Marks words to remove. windows: first in the shard, with their number there and whether they start earlier in another one."""
     passage = (times > 1) | earlier
     windows, earlier = windows[passage], earlier[passage]
-    gone = np.zeros(len(shard.number) + 1, np.int32)
-    text, digits = _letters(shard)
-    at = locate(shard, compiled(shard, shard.start[windows], text, digits), text, digits)
-    if len(at):
-        order = np.argsort(shard.hash[windows])
-        windows, earlier = windows[order], earlier[order]
-        k = np.minimum(np.searchsorted(shard.hash[windows], shard.hash[at]), len(windows) - 1)
-        a, b = shard.start[at], shard.start[windows[k]]
-        same = shard.hash[windows[k]] == shard.hash[at]
-        for o in range(shard.rules.window):
-            same &= shard.number[a + o] == shard.number[b + o]
-        starts = a[same & (earlier[k] | (a != b))]
-        np.add.at(gone, starts, 1)
-        np.add.at(gone, starts + shard.rules.window, -1)
-    return np.cumsum(gone[:-1]) > 0
+    text, digits = _letters(shard, shard.start[windows])
+    names = locate(shard, compiled(shard, shard.start[windows], text, digits), text, digits)
+    confirmed, elsewhere = (np.zeros(names.max(initial=-1) + 2, bool) for _ in range(2))  # the last one is of windows without a number
+    confirmed[names[windows]], elsewhere[names[windows[earlier]]] = True, True
+    confirmed[-1] = False
+    at = np.flatnonzero(confirmed[names])
+    first = np.zeros(len(confirmed), np.int64)
+    first[names[at[::-1]]] = at[::-1]
+    again = at[elsewhere[names[at]] | (at != first[names[at]])]
+    return _covered(len(shard.number), shard.start[again], shard.rules.window)
 
 
 def _results(shard: Shard, gone: np.ndarray, names: list[str]) -> pa.RecordBatch:

@@ -267,22 +267,47 @@ def packed_shard(texts, rules):
     return substring_dedup.Shard(substring_dedup._parsed(batch), rules)
 
 
-def test_the_automaton_decides():
-    """Windows are removed where the automaton hits; without its phrases none is."""
+def test_the_automaton_decides(monkeypatch):
+    """What the automaton finds is what is removed: without phrases nothing, without one phrase all but the windows that hold it."""
     rules = substring_dedup.Passage(6, 3)
     shard = packed_shard(["a b c d e f g h", "x a b c d e f g h y", "a b c d e f", "q r s t u v w"], rules)
     use, times, _ = substring_dedup._candidates(shard, None, 1)
     earlier = np.zeros(len(use), bool)
-    gone = substring_dedup.removed_words(shard, use, times, earlier)
-    assert gone.tolist() == [False] * 8 + [False, *[True] * 8, False] + [True] * 6 + [False] * 7
-    text, digits = substring_dedup._letters(shard)
-    empty = substring_dedup.compiled(shard, np.zeros(0, np.int64), text, digits)
-    assert len(substring_dedup.locate(shard, empty, text, digits)) == 0
-    full, substring_dedup.compiled = substring_dedup.compiled, lambda *_: empty
-    try:
-        assert not substring_dedup.removed_words(shard, use, times, earlier).any()
-    finally:
-        substring_dedup.compiled = full
+
+    def gone():
+        return substring_dedup.removed_words(shard, use, times, earlier).tolist()
+
+    assert gone() == [False] * 8 + [False, *[True] * 8, False] + [True] * 6 + [False] * 7
+    full = substring_dedup.compiled
+
+    def without(*phrases):
+        def build(shard, passages, text, digits):
+            left_out = {text[p * digits : (p + rules.part) * digits] for p in phrases}
+            automaton = substring_dedup.ahocorasick.Automaton(substring_dedup.ahocorasick.STORE_INTS)
+            for phrase, number in full(shard, passages, text, digits).items():
+                if phrase not in left_out:
+                    automaton.add_word(phrase, number)
+            automaton.make_automaton()
+            return automaton
+
+        return build
+
+    monkeypatch.setattr(substring_dedup, "compiled", without(*range(6)))
+    assert not any(gone())
+    monkeypatch.setattr(substring_dedup, "compiled", without(0))  # "a b c": windows without it are still found
+    assert gone() == [False] * 8 + [False] * 2 + [True] * 7 + [False] + [False] * 6 + [False] * 7
+
+
+@pytest.mark.parametrize("window", [1, 2, 3, 5, 7, 20])
+def test_located_windows_are_equal_words(window):
+    rng = random.Random(window)
+    rules = substring_dedup.Passage(window, 1)
+    shard = packed_shard([" ".join(rng.choices("ab" if i % 2 else "abcdefgh", k=rng.randrange(60))) for i in range(40)], rules)
+    starts = shard.start.tolist()
+    text, digits = substring_dedup._letters(shard, shard.start)
+    names = substring_dedup.locate(shard, substring_dedup.compiled(shard, shard.start, text, digits), text, digits).tolist()
+    spelt = [tuple(shard.number[s : s + window].tolist()) for s in starts]
+    assert min(names, default=0) >= 0 and len(set(zip(names, spelt, strict=True))) == len(set(names)) == len(set(spelt))
 
 
 def test_word_hashes_tell_words_apart():
