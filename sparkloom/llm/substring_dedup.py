@@ -349,7 +349,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield _packed(number, sent, sent["hash"].copy(), n)
 
     earlier = known.mapInArrow(windows, "bucket int, shard long, blob binary").groupBy("bucket").applyInPandas(_not_first, answer)
-    earlier = cut(earlier.groupBy("shard").agg(gathered("window_marks")).join(marks, "shard", "full"), "passages-windows")
+    earlier = earlier.groupBy("shard").agg(gathered("window_marks")).join(marks, "shard", "full")  # not cut, so that both joins of payloads read one exchange
 
     def remove(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
