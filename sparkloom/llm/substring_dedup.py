@@ -14,7 +14,7 @@ window, word by word and without hashes. So automata grow with a shard, not with
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -30,6 +30,7 @@ from sparkloom.llm.common import batches, cut, mix64, ragged
 
 SHARD_BYTES = 4 << 20
 SHARDS_A_BUCKET = 4
+PHRASES = 1 << 20
 LAST = np.iinfo(np.int64).max
 WINDOW_ROW = np.dtype([("hash", "<u8"), ("check", "<u4"), ("doc", "<i8")])
 #: Bits of a letter in _letters, and a code point from which on there are no surrogates.
@@ -245,29 +246,36 @@ def _letters(shard: Shard, passages: np.ndarray) -> tuple[str, int]:
     return letters.astype("<u4").tobytes().decode("utf-32-le"), digits
 
 
-def compiled(shard: Shard, passages: np.ndarray, text: str, digits: int) -> ahocorasick.Automaton:
-    """The automaton of all phrases of passages, given as starts of their windows: some words from each word on."""
+def compiled(shard: Shard, passages: np.ndarray, text: str, digits: int) -> Iterator[ahocorasick.Automaton]:
+    """Automata of all phrases of passages, given as starts of their windows: some words from each word on.
+
+    One automaton at a time, of up to PHRASES phrases, so that a very long document takes no more memory for them.
+    """
     size = shard.rules.part
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
     places = np.flatnonzero(_covered(len(shard.number), passages, shard.rules.window - size + 1))
-    for p in places.tolist():
-        automaton.add_word(text[p * digits : (p + size) * digits], p)
-    automaton.make_automaton()
-    return automaton
+    for begin in range(0, len(places), PHRASES):
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for p in places[begin : begin + PHRASES].tolist():
+            automaton.add_word(text[p * digits : (p + size) * digits], p)
+        automaton.make_automaton()
+        yield automaton
 
 
-def locate(shard: Shard, automaton: ahocorasick.Automaton, text: str, digits: int) -> np.ndarray:
-    """A number for each window, from streaming all documents through the automaton; -1 where one of its phrases is none of the automaton's.
+def locate(shard: Shard, automata: Iterable[ahocorasick.Automaton], text: str, digits: int) -> np.ndarray:
+    """A number for each window, from streaming all documents through the automata; -1 where one of its phrases is none of theirs.
 
-    The automaton tells which phrase each word begins. Pairs of neighbouring phrases are
+    An automaton tells which phrase each word begins; the first one that knows a phrase numbers it everywhere. Pairs of neighbouring phrases are
     numbered as phrases of up to twice the length, until a number stands for a whole window.
     So two windows have equal numbers where all of their words are equal, and only there.
     """
     size, width = shard.rules.part, shard.rules.window
     found = np.full(len(shard.number), -1, np.int64)
-    if len(automaton):
-        hits = np.fromiter((x for hit in automaton.iter(text) for x in hit), np.int64).reshape(-1, 2)
-        found[(hits[:, 0] + 1) // digits - size] = hits[:, 1]
+    for automaton in automata:
+        if len(automaton):
+            hits = np.fromiter((x for hit in automaton.iter(text) for x in hit), np.int64).reshape(-1, 2)
+            at = (hits[:, 0] + 1) // digits - size
+            new = found[at] < 0
+            found[at[new]] = hits[new, 1]
     while size < width:
         step = min(size, width - size)
         both = (found[: max(0, len(found) - step)] >= 0) & (found[step:] >= 0)
@@ -319,7 +327,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     removed words, end exclusive. Earlier means a smaller id, or the same document and an
     earlier start; null ids come last; rows that repeat an id are ordered by where they
     are stored. Ids are whole numbers, another type is an error. Null and empty texts have no words; an
-    empty table gives an empty result.
+    empty table gives an empty result. Each action on the result runs the automata again.
     """
     if docs.schema[id_col].dataType.typeName() not in ("byte", "short", "integer", "long"):
         raise TypeError(f"{id_col} has to be a whole number")

@@ -284,11 +284,12 @@ def test_the_automaton_decides(monkeypatch):
         def build(shard, passages, text, digits):
             left_out = {text[p * digits : (p + rules.part) * digits] for p in phrases}
             automaton = substring_dedup.ahocorasick.Automaton(substring_dedup.ahocorasick.STORE_INTS)
-            for phrase, number in full(shard, passages, text, digits).items():
-                if phrase not in left_out:
-                    automaton.add_word(phrase, number)
+            for whole in full(shard, passages, text, digits):
+                for phrase, number in whole.items():
+                    if phrase not in left_out:
+                        automaton.add_word(phrase, number)
             automaton.make_automaton()
-            return automaton
+            return [automaton]
 
         return build
 
@@ -298,8 +299,11 @@ def test_the_automaton_decides(monkeypatch):
     assert gone() == [False] * 8 + [False] * 2 + [True] * 7 + [False] + [False] * 6 + [False] * 7
 
 
+@pytest.mark.parametrize("phrases", [1 << 20, 50])
 @pytest.mark.parametrize("window", [1, 2, 3, 5, 7, 20])
-def test_located_windows_are_equal_words(window):
+def test_located_windows_are_equal_words(monkeypatch, window, phrases):
+    """With one automaton as with many."""
+    monkeypatch.setattr(substring_dedup, "PHRASES", phrases)
     rng = random.Random(window)
     rules = substring_dedup.Passage(window, 1)
     shard = packed_shard([" ".join(rng.choices("ab" if i % 2 else "abcdefgh", k=rng.randrange(60))) for i in range(40)], rules)
