@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from sparkloom.sources.tables import written
+
 #: Value ranges into which a group is cut for ranking; a task then holds one range of one group.
 BUCKETS = 32
 #: Where the share of null hypotheses is estimated before it is smoothed.
@@ -25,11 +27,12 @@ def distinct_positions(values: DataFrame, keys: list[str], value: str, weight: s
     """Adds ``below``, the weight of smaller values of the group, and ``_b``, the value's range, to rows of one distinct value each.
 
     A group is cut at approximate quantiles, ranked range by range, and the ranges'
-    totals are summed up, so a group of any size is ranked by many tasks.
+    totals are summed up, so a group of any size is ranked by many tasks. Approximate quantiles depend on the order in which
+    parts arrive, so rows are written with their range: totals and rows must see the same cuts.
     """
     steps = [i / buckets for i in range(1, buckets)]
     cuts = values.groupBy(*keys).agg(F.percentile_approx(value, F.array(*map(F.lit, steps)), F.lit(1000)).alias("_cuts"))
-    rows = values.join(cuts, keys).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts")
+    rows = written(values.join(cuts, keys).withColumn("_b", F.size(F.filter("_cuts", lambda c: c < F.col(value)))).drop("_cuts"), "ranges")
     totals = rows.groupBy(*keys, "_b").agg(F.sum(weight).alias("_t"))
     before = W.partitionBy(*keys).orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     totals = totals.withColumn("_before", F.coalesce(F.sum("_t").over(before), F.lit(0))).drop("_t")
