@@ -25,6 +25,8 @@ from sparkloom.sources.tables import written
 #: Numbers of all H that one job updates together; more replicates take turns. One H of k by high-variance genes is the caller's choice.
 TOGETHER = 1 << 23
 ALGOS, LOSSES = ("mu", "hals", "halsvar", "bpp"), ("frobenius", "kl", "is")
+#: Bases that are scanned at once.
+SCANNED = 1 << 20
 #: Share of each base when it is not given.
 BACKGROUND = 0.25
 
@@ -507,29 +509,42 @@ def scan_motifs(sequences: DataFrame, motifs: dict[str, list[list[float]]], p_ma
         tables[name] = (odds, int(low.sum()), np.cumsum(dist[::-1])[::-1])
     sent = sequences.sparkSession.sparkContext.broadcast(tables)
 
+    wide = max((len(odds) for odds, _, _ in tables.values()), default=0)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         code = np.full(256, 4, np.int8)
         for i, c in enumerate("ACGT"):
             code[ord(c)] = code[ord(c.lower())] = i
         for pdf in batches:
-            found = []
-            for name, gene, seq in zip(pdf["seq_name"], pdf["gene_name"], pdf["seq"], strict=True):
-                x = code[np.frombuffer((seq or "").encode("latin-1", "replace"), np.uint8)]
+            # sequences lie one behind the other with a gap that no window crosses
+            texts = [(s or "").encode("latin-1", "replace") + b"-" * wide for s in pdf["seq"]]
+            ends = np.cumsum([len(t) for t in texts])
+            flat = np.frombuffer(b"".join(texts), np.uint8)
+            for first in range(0, len(flat), SCANNED):
+                x = code[flat[first : first + SCANNED + wide]]
                 for motif, (odds, low, tail) in sent.value.items():
-                    w = len(odds)
-                    if len(x) < w:
+                    w, n = len(odds), min(SCANNED, len(x) - len(odds) + 1)
+                    if n <= 0:
                         continue
-                    windows = np.lib.stride_tricks.sliding_window_view(x, w)
-                    clean = (windows < 4).all(1)
-                    safe = np.minimum(windows, 3)
-                    for strand, rows in (("+", safe), ("-", 3 - safe[:, ::-1])):
-                        s = odds[np.arange(w), rows].sum(1)
+                    clean = np.ones(n, bool)
+                    for j in range(w):
+                        clean &= x[j : j + n] < 4
+                    at = np.flatnonzero(clean)
+                    for strand in "+-":
+                        s = np.zeros(len(at), odds.dtype)
+                        for j in range(w):
+                            s += odds[j, x[at + j]] if strand == "+" else odds[j, 3 - x[at + w - 1 - j]]
                         p = tail[s - low]
-                        for at in np.flatnonzero(clean & (p <= p_max)):
-                            found.append((name, gene, motif, int(at), strand, s[at] / 100, float(p[at])))
-            yield pd.DataFrame(found, columns=["seq_name", "gene_name", "motif", "position", "strand", "score", "pval"])
+                        hit = np.flatnonzero(p <= p_max)
+                        place = first + at[hit]
+                        of = np.searchsorted(ends, place, "right")
+                        yield pd.DataFrame({
+                            "seq_name": pdf["seq_name"].to_numpy()[of], "gene_name": pdf["gene_name"].to_numpy()[of], "motif": motif,
+                            "position": place - np.r_[0, ends][of], "strand": strand, "score": s[hit] / 100, "pval": p[hit],
+                        })
 
     hits = sequences.select("seq_name", "gene_name", "seq").mapInPandas(run, "seq_name string, gene_name string, motif string, position long, strand string, score double, pval double")
+    hits = written(hits, "motif-hits")  # adjusting reads them several times
     return benjamini_hochberg_wide(hits, "pval")
 
 

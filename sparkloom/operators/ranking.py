@@ -11,6 +11,8 @@ from sparkloom.sources.tables import written
 
 #: Value ranges into which a group is cut for ranking; a task then holds one range of one group.
 BUCKETS = 32
+#: Rows of one p-value that a task joins; values of more rows, of which there are at most so many times fewer than rows, are sent.
+HEAVY = 1 << 16
 #: Where the share of null hypotheses is estimated before it is smoothed.
 LAMBDAS = [i * 0.01 for i in range(96)]
 
@@ -69,18 +71,23 @@ def benjamini_hochberg(df: DataFrame, keys: list[str], p: str, out: str = "adj_p
 def benjamini_hochberg_wide(df: DataFrame, p: str, out: str = "adj_pval", buckets: int = BUCKETS) -> DataFrame:
     """Benjamini-Hochberg over a whole table, range by range, so that no task holds it. Rows with a null p are dropped.
 
-    A row's rank is that of the last of its ties, which gives ties one value. The smallest
-    value of each range is carried to the ranges below it.
+    A row's rank is that of the last of its ties, which gives ties one value, so distinct p-values are adjusted. The smallest
+    value of each range is carried to the ranges below it. Values of more than HEAVY rows are sent to them, others are joined.
     """
-    rows = positions(df.withColumn("_all", F.lit(1)), ["_all"], p, buckets=buckets, keep_range=True)
-    ranges = rows.groupBy("_b").agg(F.count("*").alias("_n"))
+    rows = df.filter(F.col(p).isNotNull() & ~F.isnan(p))
+    values = distinct_positions(rows.groupBy(p).agg(F.count("*").alias("equal")).withColumn("_all", F.lit(1)), ["_all"], p, "equal", buckets)
+    ranges = values.groupBy("_b").agg(F.sum("equal").alias("_n"))
     m = F.sum("_n").over(W.partitionBy(F.lit(1)))
-    rows = rows.join(ranges.withColumn("_m", m).drop("_n"), "_b").withColumn("_v", F.col(p) * F.col("_m") / (F.col("below") + F.col("equal")))
+    values = values.join(ranges.withColumn("_m", m).drop("_n"), "_b").withColumn("_v", F.col(p) * F.col("_m") / (F.col("below") + F.col("equal")))
     later = F.min("_v").over(W.orderBy(F.desc("_b")).rowsBetween(W.unboundedPreceding, -1))
-    carried = rows.groupBy("_b").agg(F.min("_v").alias("_v")).select("_b", later.alias("_later"))
+    carried = values.groupBy("_b").agg(F.min("_v").alias("_v")).select("_b", later.alias("_later"))
     own = F.min("_v").over(W.partitionBy("_b").orderBy(F.desc(p)))
-    rows = rows.join(carried, "_b").withColumn(out, F.least(F.lit(1.0), own, F.coalesce("_later", F.lit(1.0))))
-    return rows.drop("_all", "_b", "_m", "_v", "_later", "below", "equal")
+    adjusted = F.least(F.lit(1.0), own, F.coalesce("_later", F.lit(1.0)))
+    values = written(values.join(carried, "_b").select(p, "equal", adjusted.alias(out)), "adjusted")
+    heavy, light = values.filter(F.col("equal") > HEAVY).drop("equal"), values.filter(F.col("equal") <= HEAVY).drop("equal")
+    sent = rows.join(F.broadcast(heavy), p)
+    rest = rows.join(F.broadcast(heavy.select(p)), p, "left_anti").join(light, p)
+    return sent.unionByName(rest).select(*df.columns, out)
 
 
 def storey_steps() -> list[float]:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sparkloom.operators import ranking
+from sparkloom.operators import factor, ranking
 
 
 def test_ranks_when_quantiles_come_out_differently_each_time(spark, monkeypatch):
@@ -18,3 +18,35 @@ def test_ranks_when_quantiles_come_out_differently_each_time(spark, monkeypatch)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(got) == 3000 and all(r.below == 2 * r.value for r in got)
+
+
+def test_a_p_value_of_most_rows_is_not_one_task(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "HEAVY", 50, raising=False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(0, 1000, 1, 4).select("id", F.when(F.col("id") % 100 == 0, F.col("id") / 1000).otherwise(0.5).alias("p"))
+        got = ranking.benjamini_hochberg_wide(rows, "p").withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == 1000 and len({r.task for r in got if r.p == 0.5}) > 1
+    p = sorted(r.p for r in got)
+    for r in got:
+        assert r.adj_pval == min(1.0, *(x * 1000 / sum(y <= x for y in p) for x in set(p) if x >= r.p))
+
+
+def test_motifs_across_sequences_and_pieces_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(factor, "SCANNED", 7, raising=False)
+    texts = ["ACGTTACGT", None, "", "AC", "GTCAAGNACGT", "ttcttgacgt", "CAAGCAAG", "CG"]
+    seqs = spark.createDataFrame([(f"s{i}", f"g{i % 2}", t) for i, t in enumerate(texts)], "seq_name string, gene_name string, seq string").coalesce(1)
+    sharp = lambda word: [[0.97 if b == c else 0.01 for b in "ACGT"] for c in word]
+    got = sorted((r.seq_name, r.gene_name, r.motif, r.position, r.strand) for r in factor.scan_motifs(seqs, {"x": sharp("CAAG"), "yy": sharp("ACG")}, p_max=0.016).collect())
+    back = str.maketrans("ACGT", "TGCA")
+    want = []
+    for i, t in enumerate(texts):
+        for motif, word in (("x", "CAAG"), ("yy", "ACG")):
+            for at in range(len(t or "")):
+                for strand, w in (("+", word), ("-", word.translate(back)[::-1])):
+                    if t[at : at + len(word)].upper() == w:
+                        want.append((f"s{i}", f"g{i % 2}", motif, at, strand))
+    assert got == sorted(want) and len(want) > 8
