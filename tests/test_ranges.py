@@ -1,8 +1,9 @@
 """Ranks and blocks whose plan is read more than once."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from sparkloom.operators import factor, ranking
+from sparkloom.operators import factor, ranking, similarity
 
 
 def test_ranks_when_quantiles_come_out_differently_each_time(spark, monkeypatch):
@@ -50,3 +51,38 @@ def test_motifs_across_sequences_and_pieces_against_brute_force(spark, monkeypat
                     if t[at : at + len(word)].upper() == w:
                         want.append((f"s{i}", f"g{i % 2}", motif, at, strand))
     assert got == sorted(want) and len(want) > 8
+
+
+def test_nearest_of_one_file_in_many_tasks_and_pieces(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "TASK_PAIRS", 100, raising=False)
+    monkeypatch.setattr(factor, "PIECE", (4, 7), raising=False)
+    x = np.random.default_rng(8).integers(0, 3, (40, 3)).astype(float)  # many equal distances and a few constant rows
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(x)], "id long, v array<double>").coalesce(1)
+    for n in (3, 12):
+        found = factor.nearest_in_blocks(df, n, factor.distances).withColumn("task", F.spark_partition_id()).collect()
+        assert len({r.task for r in found}) > 2
+        got = {}
+        for r in found:
+            got.setdefault(r.a, []).append((r.value, r.b))
+        d = factor.distances(x, x)
+        for i in range(40):
+            want = sorted((d[i, j], j) for j in range(40) if j != i)[:n]
+            assert sorted(got[i]) == want
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_correlations_shuffle_no_copies_of_entities(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "DENSE_ENTRIES", 40)
+    rng = np.random.default_rng(4)
+    rows = [(g, str(p), float(rng.random())) for g in range(17) for p in range(5) if rng.random() < 0.8] + [(99, str(p), 1.0) for p in range(5)]
+    df = spark.createDataFrame(rows, "gene_id long, program string, score double")
+    found = similarity.correlation_in_blocks(df, "gene_id", "program", "score")
+    assert "FlatMapGroupsInPandas" not in _plan(found)
+    want = {(r.a, r.b): r.r for r in similarity.correlation(df, df, "gene_id", "program", "score").collect()}
+    rows = found.collect()
+    got = {(r.a, r.b): r.r for r in rows}
+    assert len(rows) == len(got) and set(got) == set(want) and sum(r is None for r in got.values()) >= 35
+    assert all((got[k] is None) == (want[k] is None) and (got[k] is None or abs(got[k] - want[k]) < 1e-9) for k in want)
