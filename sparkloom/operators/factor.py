@@ -25,6 +25,8 @@ from sparkloom.sources.tables import written
 #: Numbers of all H that one job updates together; more replicates take turns. One H of k by high-variance genes is the caller's choice.
 TOGETHER = 1 << 23
 ALGOS, LOSSES = ("mu", "hals", "halsvar", "bpp"), ("frobenius", "kl", "is")
+#: Rows and columns of pairs that a task holds at once.
+PIECE = (256, 8192)
 #: Bases that are scanned at once.
 SCANNED = 1 << 20
 #: Share of each base when it is not given.
@@ -296,29 +298,40 @@ def nearest_in_blocks(vectors: DataFrame, n: int, value: Callable[[np.ndarray, n
     size = others.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
     blocks = max(1, -(-size.n * (size.d or 0) * 5 // (4 * similarity.DENSE_ENTRIES)))
     kind = vectors.schema["id"].dataType.simpleString()
+    spread = vectors.select("id", "v").repartition(max(1, -(-vectors.count() * size.n // similarity.TASK_PAIRS)))
     found = None
     for i in range(blocks):
         rows = others.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == i).orderBy("id").collect()
         if not rows:
             continue
-        names = pd.Series([r.id for r in rows], dtype=object)
+        names = pd.Index([r.id for r in rows], dtype=object)
         sent = spark.sparkContext.broadcast((names, np.array([r.v for r in rows], float)))
 
         def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             names, right = sent.value
-            step = max(1, (1 << 22) // len(names))
+            number, unique = pd.factorize(names)
             for batch in batches:
-                for at in range(0, len(batch), step):
-                    part = batch.iloc[at : at + step]
-                    d = value(np.array(part["v"].tolist(), float), right)
-                    d = np.where(part["id"].to_numpy(object)[:, None] == names.to_numpy()[None, :], np.nan, -d if largest else d)
-                    order = np.argsort(d, axis=1, kind="stable")[:, :n]  # names are in order and NaN comes last
-                    own = np.take_along_axis(d, order, 1)
-                    keep = ~np.isnan(own)
-                    row, _ = np.nonzero(keep)
-                    yield pd.DataFrame({"a": part["id"].to_numpy(object)[row], "b": names.to_numpy()[order[keep]], "value": -own[keep] if largest else own[keep]})
-
-        part = vectors.select("id", "v").mapInPandas(run, f"a {kind}, b {kind}, value double")
+                for at in range(0, len(batch), PIECE[0]):
+                    part = batch.iloc[at : at + PIECE[0]]
+                    left, own = np.array(part["v"].tolist(), float), unique.get_indexer(part["id"])
+                    limit = np.full(len(part), np.inf)  # what a pair of each id must reach
+                    row, column, best = np.empty(0, int), np.empty(0, int), np.empty(0)
+                    for first in range(0, len(right), PIECE[1]):
+                        piece = slice(first, first + PIECE[1])
+                        d = value(left, right[piece])
+                        d = np.where(own[:, None] == number[None, piece], np.nan, -d if largest else d)
+                        if not len(row) and d.shape[1] >= n:
+                            limit = np.fmin(limit, np.partition(d, n - 1, axis=1)[:, n - 1])  # NaN comes last
+                        r, c = np.nonzero(d <= limit[:, None])
+                        row, column, best = np.r_[row, r], np.r_[column, c + first], np.r_[best, d[r, c]]
+                        order = np.lexsort((column, best, row))  # names are in order
+                        row, column, best = row[order], column[order], best[order]
+                        place = np.arange(len(row)) - np.searchsorted(row, row, "left")
+                        limit[row[place == n - 1]] = best[place == n - 1]
+                        row, column, best = row[place < n], column[place < n], best[place < n]
+                    yield pd.DataFrame({"a": part["id"].to_numpy(object)[row], "b": names.to_numpy()[column], "value": -best if largest else best})
+
+        part = spread.mapInPandas(run, f"a {kind}, b {kind}, value double")
         found = part if found is None else found.unionByName(part)
     if found is None:
         return vectors.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(0.0).alias("value")).limit(0)
