@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from sparkloom.operators import factor, ranking, similarity
+from sparkloom.operators import calibration, factor, ranking, similarity
 
 
 def test_ranks_when_quantiles_come_out_differently_each_time(spark, monkeypatch):
@@ -86,3 +86,17 @@ def test_correlations_shuffle_no_copies_of_entities(spark, monkeypatch):
     got = {(r.a, r.b): r.r for r in rows}
     assert len(rows) == len(got) and set(got) == set(want) and sum(r is None for r in got.values()) >= 35
     assert all((got[k] is None) == (want[k] is None) and (got[k] is None or abs(got[k] - want[k]) < 1e-9) for k in want)
+
+
+def test_gene_effects_in_parts_of_the_genes(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    usage = spark.createDataFrame([(c, str(p), float(rng.random())) for c in range(30) for p in range(4) if rng.random() < 0.7], "cell_id long, program string, score double")
+    loading = spark.createDataFrame([(str(p), g, float(rng.random())) for p in range(4) for g in range(25) if rng.random() < 0.6], "program string, gene_id long, score double")
+    betas = spark.createDataFrame([("0", 0.3), ("2", -0.2)], "program string, beta double")
+    want = {r.gene_id: r.effect for r in calibration.gene_effects(usage, loading, betas).collect()}
+    monkeypatch.setattr(similarity, "DENSE_ENTRIES", 60)
+    found = calibration.gene_effects(usage, loading, betas)
+    assert _plan(found).count("MapInPandas") > 1  # no row for a cell and gene
+    rows = found.collect()
+    got = {r.gene_id: r.effect for r in rows}
+    assert len(rows) == len(got) and set(got) == set(want) and all(abs(got[g] - want[g]) < 1e-9 for g in want)
