@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from sparkloom.operators import calibration, factor, ranking, similarity
+from sparkloom.plans import sources
 
 
 def test_ranks_when_quantiles_come_out_differently_each_time(spark, monkeypatch):
@@ -100,3 +101,15 @@ def test_gene_effects_in_parts_of_the_genes(spark, monkeypatch):
     rows = found.collect()
     got = {r.gene_id: r.effect for r in rows}
     assert len(rows) == len(got) and set(got) == set(want) and all(abs(got[g] - want[g]) < 1e-9 for g in want)
+
+
+def test_lines_of_wide_matrices_are_filled_in_order(spark):
+    rng = np.random.default_rng(3)
+    x = {(r, c): float(rng.integers(1, 99)) for r in "abcd" for c in range(13) if rng.random() < 0.4} | {("a", 0): 1.0, ("b", 12): 2.5}
+    df = spark.createDataFrame([(r, c, v) for (r, c), v in x.items()], "r string, c long, v double")
+    found = sources._wide(df, "r", "c", "v")
+    assert "element_at" not in _plan(found)  # a search of the whole row for each column
+    head, *lines = [r[0] for r in found.collect()]
+    columns = sorted({c for _, c in x})
+    assert head == "\t" + "\t".join(map(str, columns))
+    assert sorted(lines) == ["\t".join([r, *(str(x.get((r, c), 0.0)) for c in columns)]) for r in "abcd"]
