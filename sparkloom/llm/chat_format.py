@@ -16,6 +16,7 @@ import re
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 import pyarrow as pa
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from sparkloom.llm.common import cut
 
 CALL = "struct<id: string, name: string, valid: boolean, refs: array<string>>"
+DECLARED = "tools array<struct<name: string, parameters: string, function: struct<name: string, parameters: string>>>"
 TYPES = {"string": str, "boolean": bool, "array": list, "object": dict}
 #: Calls of a conversation that one task orders; larger conversations are ordered by rounds of joins.
 LOCAL_CALLS = 10_000
@@ -63,6 +65,23 @@ def matches(value: object, schema: dict) -> bool:
     return True
 
 
+def _fits(arguments: dict, schema: object) -> bool:
+    """matches(), false for a schema that is none."""
+    try:
+        return isinstance(schema, dict) and matches(arguments, schema)
+    except (*ODD, AttributeError):
+        return False
+
+
+@lru_cache(maxsize=4096)
+def _schema(text: str) -> object:
+    """A declared schema; none that can be read is one that nothing fits."""
+    try:
+        return json.loads(text)
+    except ODD:
+        return None
+
+
 def _is(value: object, kind: str) -> bool:
     if isinstance(value, dict) and set(value) == {"$ref"}:
         return True  # stands for a result that isn't known here
@@ -124,7 +143,7 @@ def _linked(role: str, body: object, schemas: dict[str, dict]) -> dict | None:
             except ODD:
                 arguments = c["arguments"]
         name, ident = c.get("name"), c.get("id")
-        valid = isinstance(name, str) and name in schemas and isinstance(arguments, dict) and matches(arguments, schemas[name])
+        valid = isinstance(name, str) and name in schemas and isinstance(arguments, dict) and _fits(arguments, schemas[name])
         calls.append({"id": _name(ident), "name": name if isinstance(name, str) else None, "valid": valid, "refs": sorted(set(references(arguments)))})
         shown.append({"arguments": arguments, "id": ident, "name": name})
     return {"message": canonical({"content": body.get("content"), "role": role, "tool_calls": shown}), "calls": calls, "answers": None}
@@ -197,13 +216,26 @@ def _order(calls: DataFrame, local_calls: int = LOCAL_CALLS) -> DataFrame:
     return cut(ordered, "chat-order")
 
 
+def declared_tools(messages: DataFrame) -> DataFrame:
+    """conv_id, tools: names and JSON schemas of the tools that a conversation declares.
+
+    A system or developer message that is a JSON object declares them in "tools", each with "name" and "parameters", or with these in
+    "function". Of several declarations of a name the earliest counts; one without parameters takes any.
+    """
+    found = messages.filter(F.col("role").isin("system", "developer") & F.col("conv_id").isNotNull() & F.col("text").contains('"tools"') & F.col("text").rlike(r"^\s*\{"))
+    found = found.select("conv_id", "turn", F.explode(F.from_json("text", DECLARED)["tools"]).alias("t"))
+    tools = found.select("conv_id", "turn", F.coalesce("t.name", "t.function.name").alias("name"), F.coalesce("t.parameters", "t.function.parameters", F.lit("{}")).alias("schema")).filter("name IS NOT NULL")
+    each = tools.groupBy("conv_id", "name").agg(F.min_by("schema", F.struct("turn", "schema")).alias("schema"))
+    return each.groupBy("conv_id").agg(F.collect_list(F.struct("name", "schema")).alias("tools"))
+
+
 def format_chat(messages: DataFrame, schemas: dict[str, dict] | None = None, local_calls: int = LOCAL_CALLS) -> DataFrame:
     """One row per row of ``messages`` (conv_id, turn, role, text): the canonical message and its place.
 
     A conversation in order is its rows by (seq, depth, result, turn). n_calls, n_valid,
     n_answered, n_cyclic: tool calls of the message, those whose arguments fit the schema of a known
     tool, those with a result, and those on or behind a cycle of references. linked: false for a result whose call doesn't exist.
-    schemas: JSON schema of each tool's arguments by name, bounded by the caller.
+    schemas: JSON schema of each tool's arguments by name, bounded by the caller, beside those that a conversation declares itself.
     A message stands where its first call can be made, so before all its results.
     Null conversations, turns and roles stay and link with nothing; null text is null
     content; repeated rows stay, a repeated call identifier counts as one call from its first
@@ -217,11 +249,13 @@ def format_chat(messages: DataFrame, schemas: dict[str, dict] | None = None, loc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("id", pa.string()), ("name", pa.string()), ("valid", pa.bool_()), ("refs", pa.list_(pa.string()))]))
         for batch in batches:
-            found = [read_message(r, t, schemas) for r, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            declared = [schemas | {d["name"]: _schema(d["schema"]) for d in tools or ()} for tools in batch.column(4).to_pylist()]
+            found = [read_message(r, t, d) for r, t, d in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), declared, strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([f["message"] for f in found], pa.string()), pa.array([f["calls"] for f in found], kind), pa.array([f["answers"] for f in found], pa.string())], names=["conv_id", "turn", "role", "message", "calls", "answers"])
 
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:3])
-    parsed = cut(rows.filter(special).mapInArrow(run, f"{head}, message string, calls array<{CALL}>, answers string"), "chat-parsed")
+    linked = rows.filter(special).join(declared_tools(rows), "conv_id", "left").select("conv_id", "turn", "role", "text", "tools")
+    parsed = cut(linked.mapInArrow(run, f"{head}, message string, calls array<{CALL}>, answers string"), "chat-parsed")
     calls = parsed.filter("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn", F.inline("calls")).filter("id IS NOT NULL").withColumnRenamed("id", "call_id")
     order = _order(calls, local_calls)
     answered = parsed.filter("answers IS NOT NULL").select("conv_id", F.col("answers").alias("call_id")).distinct()
