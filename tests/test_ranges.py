@@ -113,3 +113,18 @@ def test_lines_of_wide_matrices_are_filled_in_order(spark):
     columns = sorted({c for _, c in x})
     assert head == "\t" + "\t".join(map(str, columns))
     assert sorted(lines) == ["\t".join([r, *(str(x.get((r, c), 0.0)) for c in columns)]) for r in "abcd"]
+
+
+def test_explained_variance_joins_a_gene_once(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    loading = spark.createDataFrame([(str(p), g, float(rng.random())) for p in range(4) for g in range(25) if rng.random() < 0.6], "program string, gene_id long, score double")
+    expr = spark.createDataFrame([(c, g, float(rng.integers(1, 9))) for c in range(30) for g in range(26) if rng.random() < 0.4], "cell_id long, gene_id long, count double")
+    found = lambda: similarity.explained_variance(expr, loading, 30)
+    want = {r.program: r.explained for r in found().collect()}
+    monkeypatch.setattr(similarity, "DENSE_ENTRIES", 0)
+    wide = found()
+    assert "s3#" in _plan(wide)  # sums of a cell are columns
+    monkeypatch.setattr(similarity, "WIDE", 3)
+    for got in (wide, found()):
+        got = {r.program: r.explained for r in got.collect()}
+        assert set(got) == set(want) and all(abs(got[p] - want[p]) < 1e-9 for p in want)
