@@ -128,3 +128,20 @@ def test_explained_variance_joins_a_gene_once(spark, monkeypatch):
     for got in (wide, found()):
         got = {r.program: r.explained for r in got.collect()}
         assert set(got) == set(want) and all(abs(got[p] - want[p]) < 1e-9 for p in want)
+
+
+def test_silhouette_shuffles_no_copies_of_ids(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "BLOCK_IDS", 9)
+    monkeypatch.setattr(similarity, "PIECE", (4, 3), raising=False)
+    rng = np.random.default_rng(6)
+    x, label = rng.random((50, 3)), ["b", "a", "c"] * 16 + ["d", None]
+    points = spark.createDataFrame([(i, j, float(x[i, j])) for i in range(50) for j in range(3)], "id long, dim int, value double")
+    found = similarity.silhouette(points, spark.createDataFrame(list(enumerate(label)), "id long, label string"))
+    assert "Generate" not in _plan(found) and "FlatMapGroupsInPandas" not in _plan(found)
+    got = {r.id: r.silhouette for r in found.collect()}
+    assert len(got) == 50
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    for i in range(50):
+        m = {c: np.mean([d[i, j] for j in range(50) if j != i and label[j] == c]) for c in "abcd" if any(j != i and label[j] == c for j in range(50))}
+        own, other = m.pop(label[i], None), min(m.values())
+        assert abs(got[i] - (0 if own is None else (other - own) / max(own, other))) < 1e-9
