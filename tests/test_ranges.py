@@ -145,3 +145,35 @@ def test_silhouette_shuffles_no_copies_of_ids(spark, monkeypatch):
         m = {c: np.mean([d[i, j] for j in range(50) if j != i and label[j] == c]) for c in "abcd" if any(j != i and label[j] == c for j in range(50))}
         own, other = m.pop(label[i], None), min(m.values())
         assert abs(got[i] - (0 if own is None else (other - own) / max(own, other))) < 1e-9
+
+
+def test_matching_takes_treated_cells_in_batches(spark):
+    """A target's treated cells, however many, are no group of one task; the matches are those of one sequence."""
+    rng = np.random.default_rng(12)
+    n = 400
+    x, side = rng.normal(size=n), (np.arange(n) % 3 > 0).astype(int)
+    cells = spark.createDataFrame([(i % 2, i, int(side[i]), float(x[i])) for i in range(n)], "k int, cell_id long, treated int, x double")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for caliper, ratio in ((None, 2), (0.1, 1)):
+            found = calibration.match(cells, ["k"], ["x"], ratio, caliper).collect()
+            got = {(r.pair, r.cell_id) for r in found if not r.treated}
+            assert {r.pair for r in found if not r.treated} == {r.cell_id for r in found if r.treated}
+            want = set()
+            for k in (0, 1):
+                own = np.arange(n)[np.arange(n) % 2 == k]
+                z = (x[own] - x[own].mean()) / x[own].std()
+                p = calibration.logistic(np.c_[np.ones(len(own)), z], side[own].astype(float))
+                logit = np.log(p / (1 - p))
+                width = np.inf if caliper is None else caliper * logit.std()
+                free = [j for j in range(len(own)) if not side[own[j]]]
+                for i in sorted((i for i in range(len(own)) if side[own[i]]), key=lambda i: -logit[i]):
+                    for _ in range(ratio):
+                        j = min(free, key=lambda j: abs(logit[j] - logit[i]), default=None)
+                        if j is not None and abs(logit[j] - logit[i]) <= width:
+                            free.remove(j)
+                            want.add((int(own[i]), int(own[j])))
+            assert got == want and len(want) > 50
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
