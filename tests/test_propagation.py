@@ -86,3 +86,14 @@ def test_degenerate_labels_and_tables(spark, screen):
         G.effects_with_errors(scores.withColumn("score", -F.col("score") - 1), loading, df, permutations=1, bootstraps=2)[0].collect()
     with pytest.raises(ValueError):
         G.effects_with_errors(scores, loading, df, method="other")
+
+
+def test_changes_are_multiplied_before_a_log_is_taken(monkeypatch):
+    rng = np.random.default_rng(9)
+    q, w, betas = rng.random((700, 3)) + 0.1, rng.random((3, 40)) * (rng.random((3, 40)) < 0.7) + [[0.01], [0.0], [0.0]], np.r_[rng.normal(size=(3, 3)), [[90.0, -70.0, 1.0], [0.0, 0.0, 0.0]]]
+    often, place = np.c_[np.ones(700), rng.poisson(1, (700, 2)), np.zeros(700)], np.array([0, 1, 2, 0, 3])
+    want = np.array([often[:, i] @ np.log((q * np.exp(b)) @ w / (q @ w)) for i, b in zip(place, betas)])
+    real, logs = np.log, []
+    monkeypatch.setattr(np, "log", lambda x: logs.append(np.size(x)) or real(x))
+    got = G.log_changes(q, w, betas, often, place)
+    assert np.allclose(got, want, rtol=1e-9, atol=1e-9) and sum(logs) < want.size * 700 / 5
