@@ -177,3 +177,16 @@ def test_matching_takes_treated_cells_in_batches(spark):
             assert got == want and len(want) > 50
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_weighted_sums_deal_genes_to_many_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    counts = rng.poisson(2.0, (40, 30))
+    expr = spark.createDataFrame([(i, g, float(counts[i, g])) for i in range(40) for g in range(30) if counts[i, g]], "cell_id long, gene_id long, count double")
+    cells = spark.createDataFrame([(i, i % 2) for i in range(40)], "cell_id long, treated int")
+    found = lambda: {r.gene_id: (r.beta, r.t) for r in calibration.gene_tests(expr, cells, weighted=True, moderated=False).collect()}
+    want = found()
+    monkeypatch.setattr(calibration, "GENES", 4)
+    monkeypatch.setattr(calibration, "SIZES", 9)
+    got = found()
+    assert set(got) == set(want) and len(got) == 30 and all(np.allclose(got[g], want[g], rtol=1e-9) for g in want)
