@@ -74,3 +74,9 @@ def test_unknown_methods_and_no_targets(spark, screen):
         run(screen, propagate=("hurdle",))
     out = run(screen, screen[2].limit(0))
     assert all(df.count() == 0 for df in out.values())
+
+
+def test_rates_count_controls_that_are_thinned(spark, screen):
+    rates = run(screen, loading=None, methods=("ols_log",), max_controls=20)["rates"].collect()
+    assert {r.target: r.controls for r in rates} == {"t0": 165, "t1": 165, "few": 0}
+    assert all(r.matched_controls <= 20 for r in rates)
