@@ -80,3 +80,11 @@ def test_rates_count_controls_that_are_thinned(spark, screen):
     rates = run(screen, loading=None, methods=("ols_log",), max_controls=20)["rates"].collect()
     assert {r.target: r.controls for r in rates} == {"t0": 165, "t1": 165, "few": 0}
     assert all(r.matched_controls <= 20 for r in rates)
+
+
+def test_programs_need_no_loadings_of_genes(spark, screen):
+    options = {"methods": ("ols_log",), "propagate": ("ols_log",)}
+    every, programs = run(screen, **options), run(screen, with_genes=False, **options)
+    assert "genes" in every and "genes" not in programs
+    for got, want in zip(table(programs["programs"]), table(every["programs"]), strict=True):
+        assert all(a == b or isinstance(a, float) and a == pytest.approx(b, rel=1e-6, abs=1e-7) for a, b in zip(got, want, strict=True))
