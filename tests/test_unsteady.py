@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 
-RANKED = ["perturb_utest_balanced", "perturb_utest_guide", "fake_perturbation", "fdr_bh", "fdr_storey"]
+RANKED = ["perturb_utest_balanced", "perturb_utest_guide", "fake_perturbation", "fdr_bh", "fdr_storey", "fdr_storey_smooth"]
 
 
 @pytest.mark.parametrize("name", RANKED)
