@@ -20,7 +20,7 @@ from sparkloom.operators.calibration import hash_part, uniforms
 from sparkloom.operators.ranking import benjamini_hochberg_wide, positions, top_k
 from sparkloom.operators.similarity import cluster_medians
 from sparkloom.operators.solvers import Rows, block_pivoting, objective, row_sums, solve_rows, update_spectra
-from sparkloom.sources.tables import written
+from sparkloom.sources.tables import dealt, written
 
 #: Numbers of all H that one job updates together; more replicates take turns. One H of k by high-variance genes is the caller's choice.
 TOGETHER = 1 << 23
@@ -598,11 +598,14 @@ def motif_enrichment(loading: DataFrame, counts: DataFrame, genes: DataFrame, nu
         return benjamini_hochberg_wide(found, "pval").select("program", "motif", "stat", "pval", "adj_pval")
     if correlation == "spearman":
         rows, c = _rank_gaps(rows, "program", "score", n), _rank_gaps(c, "motif", "n", n)
+    rows, c = written(rows, "motif-loading"), written(c, "motif-counts")
+    pairs = rows.count() + c.count()
     x = rows.groupBy("program").agg(F.sum("score").alias("sx"), F.sum(F.col("score") * F.col("score")).alias("qx"))
     y = c.groupBy("motif").agg(F.sum("n").alias("sy"), F.sum(F.col("n") * F.col("n")).alias("qy"))
-    xy = rows.join(c, "gene_id").groupBy("program", "motif").agg(F.sum(F.col("score") * F.col("n")).alias("xy"))
+    xy = dealt(rows, pairs, "gene_id").join(dealt(c, pairs, "gene_id"), "gene_id").groupBy("program", "motif").agg(F.sum(F.col("score") * F.col("n")).alias("xy"))
     m = x.crossJoin(y).join(xy, ["program", "motif"], "left").fillna(0.0, ["xy"])
     var = (F.col("qx") - F.col("sx") * F.col("sx") / n) * (F.col("qy") - F.col("sy") * F.col("sy") / n)
     m = m.withColumn("stat", F.when(var > 0, (F.col("xy") - F.col("sx") * F.col("sy") / n) / F.sqrt(var))).filter("stat IS NOT NULL")
     m = m.withColumn("pval", t_p(F.col("stat") * F.sqrt((n - 2) / (1 - F.col("stat") * F.col("stat"))), F.lit(float(n - 2))))
+    m = written(m, "motif-tests")  # adjusting reads it several times
     return benjamini_hochberg_wide(m, "pval").select("program", "motif", "stat", "pval", "adj_pval")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sparkloom.operators import factor as N
 from sparkloom.plans.association import rounded
 from sparkloom.plans.registry import register
-from sparkloom.sources.tables import ScreenL, written
+from sparkloom.sources.tables import ScreenL, dealt, written
 
 
 def _matrix(spark, sf_dir, n_top: int = 100):
@@ -188,7 +188,8 @@ RANKED = ENRICH | {"ranked": "SELECT program, motif, rank() OVER (PARTITION BY p
 
 def _motif_table(spark, sf_dir):
     s = ScreenL(spark, sf_dir)
-    counts = s.table("lineitem").groupBy(F.col("l_partkey").alias("gene_id"), F.concat(F.lit("m"), F.col("l_linenumber") % 5).alias("motif")).agg(F.count("*").alias("n"))
+    lines = s.table("lineitem").select(F.col("l_partkey").alias("gene_id"), F.concat(F.lit("m"), F.col("l_linenumber") % 5).alias("motif"))
+    counts = dealt(lines, lines.count(), "gene_id").groupBy("gene_id", "motif").agg(F.count("*").alias("n"))
     return s.loading, counts, s.table("part").select(F.col("p_partkey").alias("gene_id"))
 
 

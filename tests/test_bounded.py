@@ -1,12 +1,37 @@
 """Steps whose memory or time grew faster than the tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from sparkloom.operators import factor
 from sparkloom.sources import tables
 
 
+@pytest.fixture
+def screen(spark):
+    loading = spark.createDataFrame([(str(p), g, float((p * 7 + g * 3) % 11)) for p in range(3) for g in range(30) if (p + g) % 4], "program string, gene_id long, score double")
+    counts = spark.createDataFrame([(g, f"m{m}", (g * m) % 5 + 1) for m in range(2) for g in range(30) if (m + g) % 3], "gene_id long, motif string, n long")
+    return loading, counts, spark.range(32).select(F.col("id").alias("gene_id"))
+
+
 def test_loadings_are_dealt_by_gene_into_tasks_of_bounded_size(spark, data, monkeypatch):
     monkeypatch.setattr(tables, "TASK_ROWS", 500, raising=False)
     loading = tables.ScreenL(spark, data).loading
     rows = loading.withColumn("task", F.spark_partition_id()).collect()
     assert len({r.task for r in rows}) >= 6000 // 500 and len({(r.gene_id, r.task) for r in rows}) == len({r.gene_id for r in rows})
+
+
+@pytest.mark.parametrize("correlation", ["pearson", "spearman"])
+def test_motif_counts_are_matched_in_tasks_of_bounded_size(spark, screen, monkeypatch, correlation):
+    monkeypatch.setattr(tables, "TASK_ROWS", 10, raising=False)
+    dealt = []
+    monkeypatch.setattr(factor, "dealt", lambda *a: dealt.append(tables.dealt(*a)) or dealt[-1], raising=False)
+    found = factor.motif_enrichment(*screen, correlation=correlation).count()
+    assert found == 6 and len(dealt) == 2 and all(df.rdd.getNumPartitions() >= 10 for df in dealt)
+
+
+@pytest.mark.parametrize("correlation", ["pearson"])
+def test_motif_tests_are_computed_once(spark, screen, correlation):
+    found = factor.motif_enrichment(*screen, correlation=correlation)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == 6 and "Pandas" not in plan and "ArrowEval" not in plan  # adjusting p-values doesn't compute them again
