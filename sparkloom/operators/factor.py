@@ -594,7 +594,7 @@ def motif_enrichment(loading: DataFrame, counts: DataFrame, genes: DataFrame, nu
     if correlation == "kendall":
         grid = rows.select("program").distinct().crossJoin(c.select("motif").distinct()).crossJoin(genes)
         full = grid.join(rows, ["program", "gene_id"], "left").join(c, ["motif", "gene_id"], "left").fillna(0.0, ["score", "n"])
-        found = kendall(full, "score", "n", ("program", "motif")).filter("stat IS NOT NULL")
+        found = written(kendall(full, "score", "n", ("program", "motif")).filter("stat IS NOT NULL"), "motif-kendall")  # adjusting reads it several times
         return benjamini_hochberg_wide(found, "pval").select("program", "motif", "stat", "pval", "adj_pval")
     if correlation == "spearman":
         rows, c = _rank_gaps(rows, "program", "score", n), _rank_gaps(c, "motif", "n", n)

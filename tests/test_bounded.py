@@ -30,7 +30,7 @@ def test_motif_counts_are_matched_in_tasks_of_bounded_size(spark, screen, monkey
     assert found == 6 and len(dealt) == 2 and all(df.rdd.getNumPartitions() >= 10 for df in dealt)
 
 
-@pytest.mark.parametrize("correlation", ["pearson"])
+@pytest.mark.parametrize("correlation", ["pearson", "kendall"])
 def test_motif_tests_are_computed_once(spark, screen, correlation):
     found = factor.motif_enrichment(*screen, correlation=correlation)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
