@@ -57,16 +57,23 @@ def tpm(expr: DataFrame, million: float = 1e6) -> DataFrame:
 
 def prepare_log(expr: DataFrame, genes: DataFrame, target: float = 1e4) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """Rows as prepare() has them of log1p(counts per ``target``), and mean and deviation of each gene over all cells with a count, zeros included."""
-    placed = genes.select("gene_id", (F.row_number().over(W.orderBy("gene_id")) - 1).alias("i"))
-    logged = tpm(expr, target).withColumn("v", F.log1p("tpm"))
-    n = expr.filter("count > 0").select("cell_id").distinct().count()
-    rows = logged.join(placed, "gene_id")
+    placed = written(genes.select("gene_id", (F.row_number().over(W.orderBy("gene_id")) - 1).alias("i")), "placed-genes")
+    # one pass: a cell's total and its chosen genes come from the same rows
+    wide = expr.join(placed, "gene_id", "left").groupBy("cell_id").agg(
+        F.sum("count").alias("_t"),
+        F.coalesce(F.bool_or(F.col("count") > 0), F.lit(False)).alias("_some"),
+        F.array_sort(F.collect_list(F.when(F.col("i").isNotNull(), F.struct("i", "count")))).alias("x"),
+    )
+    logs = F.transform("x", lambda x: F.log1p(x["count"] * target / F.col("_t")))
+    wide = written(wide.filter("_t > 0").select("cell_id", F.col("x.i").alias("idx"), logs.alias("val"), "_some"), "log-counts")
+    n = wide.filter("_some").count()
+    rows = wide.select(F.explode(F.arrays_zip("idx", "val")).alias("x")).select(F.col("x.idx").alias("i"), F.col("x.val").alias("v"))
     sums = rows.groupBy("i").agg(F.sum("v").alias("s"), F.sum(F.col("v") * F.col("v")).alias("q")).collect()  # two numbers a chosen gene
-    mean, square = np.zeros(placed.count()), np.zeros(placed.count())
+    size = placed.count()
+    mean, square = np.zeros(size), np.zeros(size)
     for r in sums:
         mean[r.i], square[r.i] = r.s / n, r.q / n
-    wide = logged.join(placed, "gene_id", "left").groupBy("cell_id").agg(F.array_sort(F.collect_list(F.when(F.col("i").isNotNull(), F.struct("i", "v")))).alias("x"))
-    return wide.select("cell_id", F.col("x.i").alias("idx"), F.col("x.v").alias("val")), mean, np.sqrt(np.maximum(square - mean**2, 0))
+    return wide.drop("_some"), mean, np.sqrt(np.maximum(square - mean**2, 0))
 
 
 def summed(matrix: DataFrame, f: Callable[[Rows, pd.DataFrame], list[np.ndarray]]) -> list[np.ndarray]:
@@ -97,11 +104,13 @@ def singular_vectors(matrix: DataFrame, n_genes: int, k: int, mean: np.ndarray |
     """The first k right singular vectors (columns) and squared singular values of (X - mean) / scale.
 
     Subspace iteration with a random start: a pass sends genes x (k + 10) numbers, cells answer with sums. Means and scales
-    are applied to products only, so rows stay sparse. It ends when the k values no longer move; signs make the
+    are applied to products only, so rows stay sparse; those without an entry are counted. It ends when the k values no longer move; signs make the
     largest entry of a vector positive.
     """
     d = 1 / np.where(scale > 0, scale, np.inf) if scale is not None else np.ones(n_genes)
     shift = mean * d if mean is not None else np.zeros(n_genes)
+    empty = matrix.filter(F.size("idx") == 0).count()
+    matrix = matrix.filter(F.size("idx") > 0)
     q = np.linalg.qr(np.random.default_rng(seed).normal(size=(n_genes, min(n_genes, k + 10))))[0]
     before = None
     for _ in range(passes):
@@ -112,10 +121,11 @@ def singular_vectors(matrix: DataFrame, n_genes: int, k: int, mean: np.ndarray |
             z = rows.times(right) - off
             return [rows.crossed(z, n_genes).T, z.sum(0)]
 
-        found = summed(matrix, f)
+        found = summed(matrix, f) or ([np.zeros(q.size), np.zeros(q.shape[1])] if empty else [])
         sent.unpersist()
         if not found:
             break
+        found[1] = found[1] - empty * (shift @ q)  # of rows without an entry, all alike
         y = found[0].reshape(n_genes, -1) * d[:, None] - np.outer(shift, found[1])
         values, turn = np.linalg.eigh((q.T @ y + y.T @ q) / 2)
         values, turn = values[::-1], turn[:, ::-1]

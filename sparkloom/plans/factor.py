@@ -94,7 +94,7 @@ def cluster_two_runs(spark, sf_dir):
 def expression_pca(spark, sf_dir):
     """Scores of z-scored log counts per 10,000 of the 50 most variable genes."""
     s = ScreenL(spark, sf_dir)
-    genes = N.variable_genes(s.expr, s.cells.count(), 50)
+    genes = written(N.variable_genes(s.expr, s.cells.count(), 50), "variable-genes")
     rows, mean, scale = N.prepare_log(s.expr, genes)
     return N.pca(rows, genes.count(), 5, mean, scale)
 

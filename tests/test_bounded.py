@@ -35,3 +35,22 @@ def test_motif_tests_are_computed_once(spark, screen, correlation):
     found = factor.motif_enrichment(*screen, correlation=correlation)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert found.count() == 6 and "Pandas" not in plan and "ArrowEval" not in plan  # adjusting p-values doesn't compute them again
+
+
+def test_components_are_found_without_reading_counts_again(spark):
+    import numpy as np
+
+    x = np.random.default_rng(5).integers(0, 4, (40, 12)) * (np.arange(40) % 3 > 0)[:, None]
+    x[:, 0] = np.arange(40) % 5  # not among the chosen genes, so some cells have no entry
+    expr = spark.createDataFrame([(c, g, float(x[c, g])) for c in range(40) for g in range(12) if x[c, g]], "cell_id long, gene_id long, count double")
+    genes = spark.range(1, 12).select(F.col("id").alias("gene_id"))
+    rows, mean, scale = factor.prepare_log(expr, genes)
+    assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()  # a pass over the cells reads them, it doesn't build them
+    got = {r.cell_id: r.pc for r in factor.pca(rows, 11, 3, mean, scale).collect()}
+    kept = np.flatnonzero(x.sum(1))
+    v = np.log1p(1e4 * x[kept] / x[kept].sum(1, keepdims=True))[:, 1:]
+    z = (v - v.mean(0)) / v.std(0)
+    axes = np.linalg.svd(z, full_matrices=False)[2][:3].T
+    axes *= np.where(np.take_along_axis(axes, np.abs(axes).argmax(0)[None], 0) < 0, -1, 1)
+    assert sorted(got) == kept.tolist() and (v.sum(1) == 0).any()
+    assert np.abs(np.array([got[c] for c in kept]) - z @ axes).max() < 1e-4
