@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from sparkloom.operators.ranking import top_k
+from sparkloom.sources.tables import written
 
 #: Abbreviations that end no sentence.
 ABBREVIATIONS = ["et al.", "e.g.", "i.e.", "Fig.", "Ref.", "vs."]
@@ -65,9 +66,18 @@ def mechanistic(papers: DataFrame, pairs: DataFrame, verbs: list[str], n_both: i
     return top_k(hit, ["pmid", "a", "b"], [F.asc("position")], max(n_both, n_any)).filter(F.when(F.col("both"), F.col("rank") <= n_both).otherwise(F.col("rank") <= n_any)).select("pmid", "a", "b", "both", "sentence", "rank")
 
 
+def parsed(annotated: DataFrame, id_col: str = "pmid", json_col: str = "payload") -> DataFrame:
+    """id, d: the content of BioC JSON, read once and written, for mentions() and relations() of the same documents."""
+    return written(annotated.select(id_col, F.from_json(json_col, BIOC).alias("d")), "bioc")
+
+
+def _content(annotated: DataFrame, id_col: str, json_col: str) -> DataFrame:
+    return annotated.select(id_col, F.col("d") if "d" in annotated.columns else F.from_json(json_col, BIOC).alias("d"))
+
+
 def mentions(annotated: DataFrame, id_col: str = "pmid", json_col: str = "payload") -> DataFrame:
-    """id, gene (upper case), texts: annotations of type Gene in BioC JSON."""
-    doc = annotated.select(id_col, F.from_json(json_col, BIOC).alias("d"))
+    """id, gene (upper case), texts: annotations of type Gene in BioC JSON, or in what parsed() made of it."""
+    doc = _content(annotated, id_col, json_col)
     a = doc.select(id_col, F.explode("d.passages").alias("p")).select(id_col, F.explode("p.annotations").alias("a"))
     a = a.filter(F.col("a.infons")["type"] == "Gene").select(id_col, F.upper(F.coalesce(F.col("a.infons")["name"], F.col("a.text"))).alias("gene"), F.col("a.text").alias("text"))
     return a.groupBy(id_col, "gene").agg(F.array_sort(F.collect_set("text")).alias("texts"))
@@ -75,7 +85,7 @@ def mentions(annotated: DataFrame, id_col: str = "pmid", json_col: str = "payloa
 
 def relations(annotated: DataFrame, id_col: str = "pmid", json_col: str = "payload", kinds: tuple[str, ...] = ("Positive_Correlation", "Negative_Correlation")) -> DataFrame:
     """id, title, gene_a, gene_b, kind, score of gene-gene relations."""
-    doc = annotated.select(id_col, F.from_json(json_col, BIOC).alias("d"))
+    doc = _content(annotated, id_col, json_col)
     title = F.array_max(F.transform(F.filter("d.passages", lambda p: p["infons"]["type"] == "title"), lambda p: p["text"]))
     r = doc.select(id_col, title.alias("title"), F.explode("d.relations").alias("r")).select(id_col, "title", F.col("r.infons").alias("i"))
     r = r.select(id_col, "title", F.upper(F.col("i")["role1"]).alias("gene_a"), F.upper(F.col("i")["role2"]).alias("gene_b"), F.col("i")["type"].alias("kind"), F.col("i")["score"].try_cast("double").alias("score"))
@@ -88,6 +98,7 @@ def regulator_evidence(found: DataFrame, regulators: DataFrame, mentioned: DataF
     both = both.unionByName(found.filter(F.col("score") >= least).select("pmid", F.col("gene_b").alias("regulator"), F.col("gene_a").alias("other"), "kind", "score"))
     own = both.join(regulators.select("regulator").distinct(), "regulator", "left_semi").filter("regulator <> other")
     own = top_k(own, ["regulator", "other", "pmid"], [F.desc("score"), F.asc("kind")], 1).drop("rank")
+    own = written(own, "own-relations")
     none = regulators.select("regulator").distinct().join(own.select("regulator").distinct(), "regulator", "left_anti")
     fallback = mentioned.select("pmid", F.col("gene").alias("regulator")).join(none, "regulator", "left_semi").select("pmid", "regulator", F.lit(None).cast("string").alias("other"), F.lit("Mentioned").alias("kind"), F.lit(least).alias("score"))
     return top_k(own.unionByName(fallback), ["regulator"], [F.desc("score"), F.asc("pmid"), F.asc("other")], n)

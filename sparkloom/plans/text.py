@@ -8,7 +8,7 @@ from sparkloom.operators import text as T
 from sparkloom.operators.ranking import top_k
 from sparkloom.plans.association import rounded
 from sparkloom.plans.registry import register
-from sparkloom.sources.tables import Papers, ScreenL
+from sparkloom.sources.tables import Papers, ScreenL, dealt
 
 VERBS = ["then", "heit", "tion"]
 DOMAIN = ["the ", "der "]
@@ -61,7 +61,7 @@ def _annotated(spark, sf_dir):
     kind = F.when(F.col("l_returnflag") == "A", "Positive_Correlation").when(F.col("l_returnflag") == "N", "Negative_Correlation").otherwise("Association")
     relation = F.struct(F.create_map(F.lit("role1"), gene("l_partkey"), F.lit("role2"), gene("l_suppkey"), F.lit("type"), kind, F.lit("score"), (F.col("l_discount") * 10).cast("string")).alias("infons"))
     passage = F.struct(F.create_map(F.lit("type"), F.lit("title")).alias("infons"), F.concat(F.lit("order "), F.first(F.col("l_orderkey").cast("string"))).alias("text"), F.collect_list(annotation).alias("annotations"))
-    return li.groupBy(F.col("l_orderkey").alias("pmid")).agg(F.to_json(F.struct(F.array(passage).alias("passages"), F.collect_list(relation).alias("relations"))).alias("payload"))
+    return dealt(li, li.count(), "l_orderkey").groupBy(F.col("l_orderkey").alias("pmid")).agg(F.to_json(F.struct(F.array(passage).alias("passages"), F.collect_list(relation).alias("relations"))).alias("payload"))
 
 
 @register("gene_mentions", "SELECT l_orderkey AS pmid, 'G' || (l_partkey % 40) AS gene, list_sort(list(DISTINCT 't' || l_linenumber)) AS texts FROM lineitem WHERE l_linenumber % 4 <> 0 GROUP BY ALL")
@@ -85,7 +85,7 @@ REGULATOR = RELATIONS | {
 
 @register("regulator_evidence", "SELECT pmid, regulator, other, kind, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY regulator ORDER BY score DESC, pmid, other) AS rank FROM ones) WHERE rank <= 10", REGULATOR)
 def regulator_evidence(spark, sf_dir):
-    a = _annotated(spark, sf_dir)
+    a = T.parsed(_annotated(spark, sf_dir))
     regulators = spark.range(1).select(F.explode(F.array(*map(F.lit, ["G1", "G2", "G3", "G77"]))).alias("regulator"))
     found = rounded(T.relations(a), "score").filter("score >= 0.85")
     return T.regulator_evidence(found, regulators, T.mentions(a))
