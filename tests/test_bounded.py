@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sparkloom.operators import factor
+import __spark_entry__ as entry
+from sparkloom.operators import factor, similarity
 from sparkloom.sources import tables
 
 
@@ -54,3 +55,21 @@ def test_components_are_found_without_reading_counts_again(spark):
     axes *= np.where(np.take_along_axis(axes, np.abs(axes).argmax(0)[None], 0) < 0, -1, 1)
     assert sorted(got) == kept.tolist() and (v.sum(1) == 0).any()
     assert np.abs(np.array([got[c] for c in kept]) - z @ axes).max() < 1e-4
+
+
+def test_products_of_a_reconstruction_meet_in_tasks_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(tables, "TASK_ROWS", 10, raising=False)
+    expr = spark.createDataFrame([(c, g, float((c * g) % 7 + 1)) for c in range(9) for g in range(8) if (c + g) % 3], "cell_id long, gene_id long, count double")
+    usage = spark.createDataFrame([(c, str(p), c + p / 2) for c in range(10) for p in range(3) if (c + p) % 2], "cell_id long, program string, score double")
+    loading = spark.createDataFrame([(str(p), g, g - p / 4) for p in range(3) for g in range(9)], "program string, gene_id long, score double")
+    want = similarity.reconstruction_error(expr, usage, loading).first().error
+    monkeypatch.setattr(similarity, "DENSE_ENTRIES", 0)
+    dealt = []
+    monkeypatch.setattr(similarity, "dealt", lambda *a: dealt.append(tables.dealt(*a)) or dealt[-1], raising=False)
+    assert abs(similarity.reconstruction_error(expr, usage, loading).first().error - want) < 1e-6 * want
+    assert len(dealt) == 6 and sum(df.rdd.getNumPartitions() > 4 for df in dealt) >= 2
+
+
+def test_documents_are_parsed_once(spark, data):
+    plan = entry.queries()["regulator_evidence"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan
