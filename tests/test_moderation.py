@@ -131,3 +131,19 @@ def test_moderated_tests_of_empty_tables(spark):
     _, _, expr, cells = screen(spark)
     assert C.gene_tests(expr.limit(0), cells).count() == 0
     assert C.gene_tests(expr.limit(0), cells, weighted=True).count() == 0
+
+
+def test_counts_are_read_once(spark):
+    _, _, expr, cells = screen(spark)
+    want = {r.gene_id: (r.beta, r.t) for r in C.gene_tests(expr, cells).collect()}
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    rows = expr.count()
+    got = {r.gene_id: (r.beta, r.t) for r in C.gene_tests(expr.mapInPandas(counted, expr.schema), cells).collect()}
+    assert got.keys() == want.keys() and all(got[g] == pytest.approx(want[g], rel=1e-9) for g in want)
+    assert read.value == rows
