@@ -88,3 +88,27 @@ def test_programs_need_no_loadings_of_genes(spark, screen):
     assert "genes" in every and "genes" not in programs
     for got, want in zip(table(programs["programs"]), table(every["programs"]), strict=True):
         assert all(a == b or isinstance(a, float) and a == pytest.approx(b, rel=1e-6, abs=1e-7) for a, b in zip(got, want, strict=True))
+
+
+def test_falling_match_equals_nearest_free_and_waits_in_files(monkeypatch):
+    monkeypatch.setattr(C, "WAITING", 3)
+    rng = np.random.default_rng(12)
+    for _ in range(200):
+        scores, wanted = (np.sort(np.round(rng.random(rng.integers(1, n)) ** rng.choice([1, 4]), 2)) for n in (60, 40))
+        ratio, width = int(rng.integers(1, 4)), float(rng.choice([0.05, 0.3, np.inf]))
+        want = C.nearest_free(scores, wanted[::-1], ratio, width)
+        going = C.FallingMatch(ratio, width)
+        cells = [(-x, 0, -i, (x, i, 0.5)) for i, x in enumerate(scores.tolist())] + [(-x, 1, i, (x, i, 0.5)) for i, x in enumerate(wanted[::-1].tolist())]
+        for _, side, _, cell in sorted(cells):
+            (going.treated if side else going.control)(cell)
+        going.end()
+        got = {own[1]: [(other[1], d) for other, d in mine] for own, mine in going.found}
+        assert got == {i: m for i, m in enumerate(want) if m}
+
+
+def test_no_control_is_left_out(spark):
+    n = 21_000  # one more than 20,000 and each is needed
+    cells = spark.range(2 * n).select("id", ((F.col("id") * 7919) % 1000).cast("double").alias("a")).withColumnRenamed("id", "cell_id")
+    treated = cells.filter(F.col("cell_id") < n).select("cell_id", F.lit("t").alias("target"))
+    rows = C.screened_cells(cells, treated, ["a"], cells.select("cell_id"), least=1)
+    assert C.match(rows, ["target"], ["a"], 1).filter("treated = 0").agg(F.count_distinct("cell_id")).first()[0] == n
