@@ -112,3 +112,31 @@ def test_no_control_is_left_out(spark):
     treated = cells.filter(F.col("cell_id") < n).select("cell_id", F.lit("t").alias("target"))
     rows = C.screened_cells(cells, treated, ["a"], cells.select("cell_id"), least=1)
     assert C.match(rows, ["target"], ["a"], 1).filter("treated = 0").agg(F.count_distinct("cell_id")).first()[0] == n
+
+
+@pytest.mark.parametrize("cluster", ["pair", None])
+def test_weighted_ols_from_sums_equals_matrices(spark, cluster):
+    rng = np.random.default_rng(13)
+    n = 90
+    t, w, a, pair = np.arange(n) % 3 == 0, rng.integers(1, 4, n) / 2, rng.normal(1e5, 2e4, n), np.arange(n) // 3
+    y = 2.0 * t + a / 1e5 + rng.normal(0, 1, n)
+    df = spark.createDataFrame([("k", int(t[i]), float(y[i]), float(w[i]), int(pair[i]), float(a[i]), 7.0) for i in range(n)], "k string, treated int, y double, weight double, pair long, a double, c double")
+    got = C.weighted_ols(df.repartition(3), ["k"], "y", ["a", "c"], cluster).first()
+    x = np.c_[np.ones(n), t, (a - a.mean()) / a.std()]
+    inv = np.linalg.inv((x * w[:, None]).T @ x)
+    beta = inv @ x.T @ (w * y)
+    u = x * (w * (y - x @ beta))[:, None]
+    if cluster:
+        u = np.stack([u[pair == g].sum(0) for g in range(30)])
+        factor = 30 / 29 * (n - 1) / (n - 4)
+    else:
+        u, factor = u / (1 - np.einsum("ij,jk,ik->i", x, inv, x) * w)[:, None], 1
+    assert got.beta == pytest.approx(beta[1]) and got.se == pytest.approx(np.sqrt(factor * (inv @ u.T @ u @ inv)[1, 1])) and got.n == n
+
+
+def test_matched_effects_use_every_control(spark):
+    n = 21_000
+    cells = spark.range(2 * n).select(F.col("id").alias("cell_id"), ((F.col("id") * 7919) % 1000).cast("double").alias("a"))
+    treated = cells.filter(F.col("cell_id") < n).select("cell_id", F.lit("t").alias("target"))
+    scores = cells.select("cell_id", F.lit("p").alias("program"), (F.col("cell_id") % 11).cast("double").alias("score"))
+    assert C.matched_effects(scores, cells, treated, ["a"], cells.select("cell_id"), ratio=1).first().n == 2 * n
