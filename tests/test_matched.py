@@ -140,3 +140,26 @@ def test_matched_effects_use_every_control(spark):
     treated = cells.filter(F.col("cell_id") < n).select("cell_id", F.lit("t").alias("target"))
     scores = cells.select("cell_id", F.lit("p").alias("program"), (F.col("cell_id") % 11).cast("double").alias("score"))
     assert C.matched_effects(scores, cells, treated, ["a"], cells.select("cell_id"), ratio=1).first().n == 2 * n
+
+
+def test_hurdle_from_sums_equals_one_task(spark, monkeypatch):
+    rng = np.random.default_rng(14)
+    data = []
+    for g, n in (("a", 300), ("b", 200), ("c", 40)):
+        t, a = np.arange(n) % 2, rng.normal(1e3, 200, n)
+        y = np.where(rng.random(n) < 0.3 + 0.3 * t, rng.gamma(2, 1e-5, n) * (1 + t) * a / 1e3, 0.0)
+        data += [(g, int(t[i]), float(a[i]), float(y[i])) for i in range(n)]
+    df = spark.createDataFrame(data, "k string, treated int, a double, y double")
+    want = {r.k: r for r in C.hurdle(df, ["k"], "y", ["a"]).collect()}
+    monkeypatch.setattr(C, "GROUP_ROWS", 100)
+    got = {r.k: r for r in C.hurdle(df, ["k"], "y", ["a"]).collect()}
+    assert set(got) == set(want) == {"a", "b", "c"}
+    for k, r in want.items():
+        assert list(got[k])[1:] == pytest.approx(list(r)[1:], rel=1e-6, abs=1e-12), k
+
+
+def test_screen_takes_all_controls_by_default():
+    import inspect
+
+    every = (C.screened_cells, C.match, C.matched_effects, matched_screen)
+    assert all(inspect.signature(f).parameters["max_controls"].default is None for f in every)
