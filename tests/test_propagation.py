@@ -97,3 +97,17 @@ def test_changes_are_multiplied_before_a_log_is_taken(monkeypatch):
     monkeypatch.setattr(np, "log", lambda x: logs.append(np.size(x)) or real(x))
     got = G.log_changes(q, w, betas, often, place)
     assert np.allclose(got, want, rtol=1e-9, atol=1e-9) and sum(logs) < want.size * 700 / 5
+
+
+def test_covariates_of_unlike_size_and_nearly_collinear(spark):
+    rng = np.random.default_rng(21)
+    n = 120
+    total = rng.uniform(1e3, 4e5, n)
+    near = 0.15 + total / 1e7 + rng.normal(0, 1e-4, n)  # such as a propensity
+    t, y = np.arange(n) % 2, rng.random(n) + 2000 * (near - total / 1e7)
+    cells = spark.createDataFrame([(i, int(t[i]), float(total[i]), float(near[i])) for i in range(n)], "cell_id long, treated int, a double, b double")
+    scores = spark.createDataFrame([(i, "p", float(np.expm1(y[i] - y.min()) / 1e6)) for i in range(n)], "cell_id long, program string, score double")
+    got = G.effects_with_errors(scores, None, cells, covariates=["a", "b"], permutations=0, bootstraps=2)[0].first()
+    z = lambda v: (v - v.mean()) / v.std()
+    want = np.linalg.lstsq(np.c_[np.ones(n), t, z(total), z(near)], y - y.min(), rcond=None)[0][1]
+    assert got.beta == pytest.approx(want, rel=1e-6)
