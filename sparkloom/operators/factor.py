@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
@@ -360,6 +361,94 @@ def correlations(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return unit(a) @ unit(b).T
 
 
+#: Pairs that a task of nearest_correlations compares.
+SCREENED_PAIRS = 1 << 30
+
+
+def _units(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Vectors less their mean, of length 1; NaN for constant ones."""
+    x = np.array(column.to_pylist(), float) if column.null_count else column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    with np.errstate(all="ignore"):
+        x = x - x.mean(1, keepdims=True)
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def nearest_correlations(vectors: DataFrame, n: int) -> DataFrame:
+    """a, b, sign, value: for each id the n others of largest (sign 1) and of smallest (-1) Pearson correlation, ties by id; constant vectors are left out.
+
+    vectors: id, v (arrays of one length). All pairs are compared in single precision; those that could be among the n by its
+    largest error are computed in double, each in the same way, so that equal vectors have equal values. One side is sent in blocks of up to
+    DENSE_ENTRIES numbers, and pairs don't leave the task.
+    """
+    spark, kind = vectors.sparkSession, vectors.schema["id"].dataType.simpleString()
+    size = vectors.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
+    blocks = max(1, -(-size.n * (size.d or 0) * 5 // (4 * similarity.DENSE_ENTRIES)))
+    spread = vectors.select("id", "v").repartition(max(1, -(-size.n * size.n // (blocks * SCREENED_PAIRS)), spark.sparkContext.defaultParallelism))
+    margin = ((size.d or 0) + 8) * 2.0**-23  # more than a single-precision product of unit vectors is off
+    found = None
+    for i in range(blocks):
+        table = vectors.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == i).select("id", "v").orderBy("id").toArrow()
+        if not table.num_rows:
+            continue
+        units = _units(table.column("v").combine_chunks())
+        kept = np.isfinite(units).all(1)
+        sent = spark.sparkContext.broadcast((table.column("id").to_pandas().to_numpy()[kept], units[kept]))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            names, right = sent.value
+            index, small = pd.Index(names), right.astype(np.float32)
+            for batch in batches:
+                ids, every = batch.column("id"), _units(batch.column("v"))
+                good = np.flatnonzero(np.isfinite(every).all(1))
+                number = index.get_indexer(ids.to_pandas())
+                for at in range(0, len(good), PIECE[0]):
+                    these = good[at : at + PIECE[0]]
+                    for sign, (row, column, best) in zip((1, -1), _screened(every[these], number[these], right, small, n, margin), strict=True):
+                        yield pa.RecordBatch.from_arrays([ids.take(pa.array(these[row])), pa.array(names[column], ids.type), pa.array(np.full(len(row), sign), pa.int32()), pa.array(sign * best)], names=["a", "b", "sign", "value"])
+
+        part = spread.mapInArrow(run, f"a {kind}, b {kind}, sign int, value double")
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return vectors.select(F.col("id").alias("a"), F.col("id").alias("b"), F.lit(1).alias("sign"), F.lit(0.0).alias("value")).limit(0)
+    return top_k(found, ["a", "sign"], [F.desc(F.col("value") * F.col("sign")), F.asc("b")], n).select("a", "b", "sign", "value") if blocks > 1 else found
+
+
+def _screened(left: np.ndarray, own: np.ndarray, right: np.ndarray, small: np.ndarray, n: int, margin: float) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row, column and value of each row's n largest products with others, and of its n largest with the sign turned."""
+    single = left.astype(np.float32)
+    limits = [np.full(len(left), -np.inf, np.float32) for _ in range(2)]  # what a pair must reach in single precision
+    met = [[(np.empty(0, int), np.empty(0, int), np.empty(0))] for _ in range(2)]
+
+    def settle(side: int) -> None:
+        row, column, best = (np.concatenate(c) for c in zip(*met[side], strict=True))
+        order = np.lexsort((column, -best, row))  # names are in order
+        row, column, best = row[order], column[order], best[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row, "left")
+        limits[side][row[place == n - 1]] = best[place == n - 1] - 2 * margin
+        met[side] = [(row[place < n], column[place < n], best[place < n])]
+
+    width = PIECE[1] // 4
+    for first in range(0, len(right), width):
+        d = single @ small[first : first + width].T
+        for side, sign in enumerate((1, -1)):
+            if not first and d.shape[1] > n:  # one more, as a row may meet itself
+                limits[side] = sign * np.partition(d, -1 - n if side == 0 else n, axis=1)[:, -1 - n if side == 0 else n] - np.float32(2 * margin)
+            hot = np.flatnonzero((d.max(1) if side == 0 else -d.min(1)) >= limits[side])  # a row's extreme is found faster than its places
+            if not len(hot):
+                continue
+            own_limits = limits[side][hot, None]
+            r, c = np.divmod(np.flatnonzero(d[hot] >= own_limits if side == 0 else d[hot] <= -own_limits), d.shape[1])
+            r, c = hot[r], c + first
+            r, c = r[c != own[r]], c[c != own[r]]
+            value = np.concatenate([np.einsum("ij,ij->i", left[r[x : x + 65536]], right[c[x : x + 65536]]) for x in range(0, len(r), 65536)] or [np.empty(0)])
+            met[side].append((r, c, sign * value))
+            if not first or sum(len(m[0]) for m in met[side]) > 3 * n * len(left):
+                settle(side)
+    for side in range(2):
+        settle(side)
+    return [m[0] for m in met]
+
+
 def _arrays(rows: DataFrame) -> DataFrame:
     """id, v: values in order of dim."""
     return rows.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "value"))), lambda x: x["value"]).alias("v"))

@@ -114,8 +114,7 @@ def nearest_genes(spark, sf_dir):
     programs = sorted(r[0] for r in s.loading.select("program").distinct().collect())
     vectors = s.loading.groupBy("gene_id").agg(*(F.coalesce(F.sum(F.when(F.col("program") == p, F.col("score"))), F.lit(0.0)).alias(f"p{i}") for i, p in enumerate(programs)))
     vectors = written(vectors.select(F.col("gene_id").alias("id"), F.array(*(f"p{i}" for i in range(len(programs)))).alias("v")), "gene-vectors")
-    sides = [N.nearest_in_blocks(vectors, 5, N.correlations, largest).withColumn("sign", F.lit(1 if largest else -1)) for largest in (True, False)]
-    return rounded(sides[0].unionByName(sides[1]).withColumnRenamed("value", "r"), "r")
+    return rounded(N.nearest_correlations(vectors, 5).withColumnRenamed("value", "r"), "r")
 
 
 #: Keys of a range in which chunks are numbered by one task.

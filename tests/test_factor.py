@@ -231,3 +231,23 @@ def test_scores_of_logged_scaled_counts(spark):
     got = np.array([r.pc for r in N.pca(rows, 6, 3, mean, scale).orderBy("cell_id").collect()])
     _, _, vt = np.linalg.svd(z)
     assert np.allclose(np.abs(got), np.abs(z @ vt[:3].T), atol=1e-6)
+
+
+def test_nearest_correlations_by_brute_force_with_equal_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(31)
+    x = np.round(rng.random((90, 6)), 1)
+    x[40:70] = x[0:30]  # equal vectors have equal correlations: ties by id
+    x[88:] = 0.5  # constant
+    vectors = spark.createDataFrame([(i, [float(v) for v in x[i]]) for i in range(90)], "id long, v array<double>")
+    u = x[:88] - x[:88].mean(1, keepdims=True)
+    u = u / np.linalg.norm(u, axis=1, keepdims=True)
+    r = {(a, b): float(np.einsum("i,i->", u[a], u[b])) for a in range(88) for b in range(88) if a != b}
+    want = {(a, sign): sorted((b for b in range(88) if b != a), key=lambda b: (-sign * round(r[a, b], 12), b))[:4] for a in range(88) for sign in (1, -1)}
+    for piece, entries in (((256, 8192), 1 << 23), ((7, 40), 200)):
+        monkeypatch.setattr(N, "PIECE", piece)
+        monkeypatch.setattr(N.similarity, "DENSE_ENTRIES", entries)
+        got = {}
+        for row in sorted(N.nearest_correlations(vectors, 4).collect(), key=lambda q: (-q.sign * round(q.value, 12), q.b)):
+            got.setdefault((row.a, row.sign), []).append(row.b)
+            assert row.value == pytest.approx(r[row.a, row.b], abs=1e-12)
+        assert got == want
